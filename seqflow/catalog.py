@@ -251,3 +251,191 @@ def q_feature_set(spark, sf_dir):
     df = FE.add_all_features(prepared_train(spark, sf_dir))
     return rounded(df.select("part_number", "subpart_no", "subpart_index", "part_index", "subpart_label",
                              *_FEATURE_COLS))
+
+
+# ---------------------------------------------------------------- whole preparation job
+
+@register("prepare_job",
+          "SELECT part_number, subpart_no, subpart_index, part_index, subpart_label, "
+          f"round(first_param, 6) AS first_param, ng_valve_no FROM ({O.prepared_train()})")
+def q_prepare_job(spark, sf_dir):
+    df = prepared_train(spark, sf_dir)
+    return rounded(df.select("part_number", "subpart_no", "subpart_index", "part_index", "subpart_label",
+                             "first_param", "ng_valve_no"))
+
+
+@register("column_max",
+          f"SELECT CAST(coalesce(max(subpart_index), 0) AS INTEGER) AS max_len FROM ({O.indexed(O.measure())})")
+def q_column_max(spark, sf_dir):
+    df = P.add_subpart_index(FX.measurements(spark, sf_dir), FX.MEASUREMENT_ORDER)
+    return spark.range(1).select(P.column_max(df, "subpart_index").alias("max_len"))
+
+
+@register("distinct_groups", f"SELECT DISTINCT part_number, subpart_no, subpart_label FROM ({O.labelled(False)})")
+def q_distinct_groups(spark, sf_dir):
+    return P.distinct_groups(labelled(spark, sf_dir, raw=False), ["part_number", "subpart_no", "subpart_label"])
+
+
+@register("count_sequences",
+          "SELECT count(*) AS n_sequences FROM (SELECT DISTINCT part_number, subpart_no FROM lineitem_m)"
+          .replace("lineitem_m", f"({O.measure()})"))
+def q_count_sequences(spark, sf_dir):
+    return FE.count_sequences(FX.measurements(spark, sf_dir))
+
+
+@register("union_sources",
+          "SELECT source_rank, files_type, (valve_raw IS NULL) AS no_valve, count(*) AS n_rows FROM ("
+          f"SELECT 0 AS source_rank, * EXCLUDE (valve_raw), NULL AS valve_raw FROM ({O.measure()}) WHERE files_type = 'OK' "
+          f"UNION ALL SELECT 1 AS source_rank, * FROM ({O.measure()}) WHERE files_type = 'NG') GROUP BY ALL")
+def q_union_sources(spark, sf_dir):
+    m = FX.measurements(spark, sf_dir)
+    ok = m.where(F.col("files_type") == "OK").drop("valve_raw")
+    ng = m.where(F.col("files_type") == "NG")
+    u = P.union_sources(ok, ng)
+    return u.groupBy("source_rank", "files_type", F.col("valve_raw").isNull().alias("no_valve")).agg(
+        F.count(F.lit(1)).alias("n_rows"))
+
+
+@register("row_index",
+          "SELECT part_number, l_orderkey, l_partkey, row_number() OVER (ORDER BY part_number, subpart_no, "
+          f"l_shipdate, l_orderkey, l_partkey, second_param) - 1 AS row_index FROM ({O.measure()})")
+def q_row_index(spark, sf_dir):
+    from seqflow.operators.ordering import add_row_index
+    df = add_row_index(FX.measurements(spark, sf_dir), ["part_number", "subpart_no", *FX.MEASUREMENT_ORDER])
+    return df.select("part_number", "l_orderkey", "l_partkey", "row_index")
+
+
+@register("conform_schema",
+          "SELECT part_number, subpart_no, round(first_param, 6) AS first_param, NULL::DOUBLE AS row_index, "
+          "NULL::VARCHAR AS ng_valve_no, NULL::DOUBLE AS temp_a, NULL::DOUBLE AS first_param_velocity "
+          f"FROM ({O.measure()})")
+def q_conform_schema(spark, sf_dir):
+    m = FX.measurements(spark, sf_dir).select("part_number", "subpart_no", "first_param")
+    schema = FE.feature_schema(m, ["row_index", "ng_valve_no", "temp_a", "first_param_velocity", "first_param"])
+    return rounded(FE.conform_to_schema(m, schema))
+
+
+# ---------------------------------------------------------------- sequences and splits
+
+from seqflow.operators import sequences as SQ  # noqa: E402
+from seqflow.operators import scaling as SC  # noqa: E402
+from seqflow.operators import metrics as ME  # noqa: E402
+from seqflow.operators import runlogs as RL  # noqa: E402
+from seqflow.operators import state as ST  # noqa: E402
+from seqflow.sources import json_source as J  # noqa: E402
+from seqflow.plans import ingest as IG  # noqa: E402
+
+_PREP = O.prepared_train()
+_T_PREP = f"SELECT max(subpart_index) FROM ({_PREP})"
+_SEQ_FEATURES = ["first_param", "second_param", "third_param"]
+
+
+def _chunked(spark, sf_dir):
+    df = prepared_train(spark, sf_dir)
+    return SQ.chunk_rows(df, P.column_max(df, "subpart_index"))
+
+
+@register("chunk_sequences",
+          "SELECT part_number, chunk, count(*) AS n_steps, max(subpart_label) AS subpart_label, max(group_id) AS "
+          f"group_id, round(sum(first_param), 6) AS sum_first FROM ({O.chunked(_PREP, _T_PREP)}) GROUP BY 1, 2")
+def q_chunk_sequences(spark, sf_dir):
+    nested = SQ.nest_sequences(_chunked(spark, sf_dir), _SEQ_FEATURES)
+    return rounded(nested.select(
+        "part_number", "chunk", F.size("features").cast("long").alias("n_steps"), "subpart_label", "group_id",
+        F.aggregate("features", F.lit(0.0), lambda acc, v: acc + v[0]).alias("sum_first")))
+
+
+@register("unnest_sequences",
+          "SELECT part_number, chunk, step, subpart_label, group_id, " + ", ".join(O.rnd(f, f) for f in _SEQ_FEATURES)
+          + f" FROM ({O.chunked(_PREP, _T_PREP)})")
+def q_unnest_sequences(spark, sf_dir):
+    nested = SQ.nest_sequences(_chunked(spark, sf_dir), _SEQ_FEATURES)
+    return rounded(SQ.unnest_sequences(nested, _SEQ_FEATURES))
+
+
+_P_TRAIN, _P_VAL = SQ.split_fractions(0.75, 0.1)
+
+
+@register("split_groups", O.split(_PREP, _P_TRAIN, _P_VAL))
+def q_split_groups(spark, sf_dir):
+    return SQ.split_groups(prepared_train(spark, sf_dir))
+
+
+@register("class_weights",
+          "SELECT part_number, subpart_no, round(1.0 / count(*) OVER (PARTITION BY subpart_label), 6) AS weight "
+          f"FROM ({O.groups_of(_PREP)})")
+def q_class_weights(spark, sf_dir):
+    g = prepared_train(spark, sf_dir).groupBy("part_number", "subpart_no").agg(F.max("subpart_label").alias("subpart_label"))
+    return rounded(SQ.class_weights(g).select("part_number", "subpart_no", "weight"))
+
+
+@register("rebalance_weights",
+          "WITH w AS (SELECT part_number, subpart_no, 1.0 / count(*) OVER (PARTITION BY subpart_label) AS weight "
+          f"FROM ({O.groups_of(_PREP)})) SELECT part_number, subpart_no, round(CASE WHEN weight > (SELECT avg(weight) "
+          "FROM w) THEN weight * 1.1 ELSE weight * (2 - 1.1) END, 6) AS weight FROM w")
+def q_rebalance_weights(spark, sf_dir):
+    g = prepared_train(spark, sf_dir).groupBy("part_number", "subpart_no").agg(F.max("subpart_label").alias("subpart_label"))
+    w = SQ.class_weights(g).select("part_number", "subpart_no", "weight")
+    return rounded(RL.rebalance_weights(w, "weight", 1.1))
+
+
+@register("resample",
+          "SELECT part_number, subpart_no, subpart_label, CAST(copy AS BIGINT) AS copy FROM ("
+          "SELECT *, unnest(generate_series(1, copies)) AS copy FROM ("
+          "SELECT *, CAST(floor(e) + CASE WHEN u < e - floor(e) THEN 1 ELSE 0 END AS INTEGER) AS copies FROM ("
+          f"SELECT *, {O.uniform()} AS u, (1.0 / count(*) OVER (PARTITION BY subpart_label)) * "
+          "(count(*) OVER ()) / (SELECT count(DISTINCT coalesce(CAST(subpart_label AS VARCHAR), '<null>')) FROM "
+          f"({O.groups_of(_PREP)})) AS e FROM ({O.groups_of(_PREP)}))) WHERE copies > 0)")
+def q_resample(spark, sf_dir):
+    g = prepared_train(spark, sf_dir).groupBy("part_number", "subpart_no").agg(F.max("subpart_label").alias("subpart_label"))
+    out = SQ.resample_balanced(g, ["part_number", "subpart_no"], seed=42)
+    return out.select("part_number", "subpart_no", "subpart_label", F.col("copy").cast("long").alias("copy"))
+
+
+# ---------------------------------------------------------------- scaling
+
+def _scaler_sql(src: str, feats) -> str:
+    return " UNION ALL ".join(
+        f"SELECT 'train' AS scaler_id, '{f}' AS feature, avg({f}) AS mean, CASE WHEN stddev_pop({f}) = 0 THEN 1.0 "
+        f"ELSE stddev_pop({f}) END AS scale FROM ({src})" for f in feats)
+
+
+_SCALE_FEATS = ["subpart_no", "first_param", "second_param", "third_param"]
+
+
+@register("scaler_fit",
+          f"SELECT scaler_id, feature, round(mean, 6) AS mean, round(scale, 6) AS scale FROM "
+          f"({_scaler_sql(_PREP, _SCALE_FEATS)})")
+def q_scaler_fit(spark, sf_dir):
+    return rounded(SC.fit_scaler(prepared_train(spark, sf_dir), _SCALE_FEATS, "train"))
+
+
+def _scaled_sql() -> str:
+    stats = ", ".join(f"avg({f}) AS {f}_m, CASE WHEN stddev_pop({f}) = 0 THEN 1.0 ELSE stddev_pop({f}) END AS {f}_s"
+                      for f in _SCALE_FEATS)
+    return (f"SELECT p.* REPLACE (" + ", ".join(f"(p.{f} - s.{f}_m) / s.{f}_s AS {f}" for f in _SCALE_FEATS)
+            + f") FROM ({_PREP}) p CROSS JOIN (SELECT {stats} FROM ({_PREP})) s")
+
+
+@register("scaler_apply",
+          "SELECT part_number, subpart_index, " + ", ".join(O.rnd(f, f) for f in _SCALE_FEATS)
+          + f" FROM ({_scaled_sql()})")
+def q_scaler_apply(spark, sf_dir):
+    df = prepared_train(spark, sf_dir)
+    params = SC.fit_scaler(df, _SCALE_FEATS, "train")
+    out = SC.apply_scaler(df.withColumn("__raw_subpart", F.col("subpart_no")), params, _SCALE_FEATS)
+    return rounded(out.select("part_number", "subpart_index", *_SCALE_FEATS))
+
+
+@register("scaler_inverse",
+          f"WITH p AS ({_PREP}), s AS (SELECT avg(subpart_no) AS m, CASE WHEN stddev_pop(subpart_no) = 0 THEN 1.0 "
+          "ELSE stddev_pop(subpart_no) END AS sd FROM p) SELECT part_number, p.subpart_no AS subpart_no, "
+          "round_even(avg((p.subpart_no - s.m) / s.sd) * s.sd + s.m, 0) AS subpart_no_inv "
+          "FROM p CROSS JOIN s GROUP BY part_number, p.subpart_no, s.m, s.sd")
+def q_scaler_inverse(spark, sf_dir):
+    df = prepared_train(spark, sf_dir).withColumn("raw_subpart", F.col("subpart_no"))
+    params = SC.fit_scaler(df, ["subpart_no"], "train")
+    scaled = SC.apply_scaler(df, params, ["subpart_no"])
+    per_seq = scaled.groupBy("part_number", "raw_subpart").agg(F.avg("subpart_no").alias("m"))
+    return per_seq.select("part_number", F.col("raw_subpart").alias("subpart_no"),
+                          SC.inverse_mean(F.col("m"), params, "subpart_no").alias("subpart_no_inv"))

@@ -102,6 +102,13 @@ def add_part_index(
     return df.withColumn(name, F.row_number().over(w).cast("double"))
 
 
+def max_sequence_length(df: DataFrame, keys: Sequence[str] = (PART, SUBPART)) -> Column:
+    """Largest sequence, as a scalar subquery on per-sequence counts. Equal to the max of a
+    dense 1-based index, but needs only a partial aggregate, no window or sort."""
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__sf_c"))
+    return counts.select(F.coalesce(F.max("__sf_c"), F.lit(0)).cast("int")).scalar()
+
+
 def column_max(df: DataFrame, column: str) -> Column:
     """Op 32: int(max(column)), 0 when empty, as a lazy scalar subquery column."""
     require(df, column)
@@ -132,10 +139,11 @@ def pad_to_length(
     for k in keys:
         cond = F.col(k).isNotNull()
         not_null = cond if not_null is None else not_null & cond
-    staged = df.where(not_null).select(*cols, n.alias("__sf_n"), last.alias("__sf_last"))
-    i = idx.cast("int")
-    grow = (idx == F.col("__sf_last")) & (F.col("__sf_n") < t) & (i < t)
-    steps = F.when(grow, F.sequence(i, t.cast("int"))).otherwise(F.array(i))
+    # T is referenced through one column, so a scalar subquery runs once
+    staged = df.where(not_null).select(*cols, n.alias("__sf_n"), last.alias("__sf_last"), t.cast("int").alias("__sf_t"))
+    i, tc = idx.cast("int"), F.col("__sf_t")
+    grow = (idx == F.col("__sf_last")) & (F.col("__sf_n") < tc) & (i < tc)
+    steps = F.when(grow, F.sequence(i, tc)).otherwise(F.array(i))
     out = staged.withColumn("__sf_step", F.explode(steps))
     return out.select(*[F.col("__sf_step").cast(df.schema[index].dataType).alias(c) if c == index else F.col(c)
                         for c in cols])

@@ -131,3 +131,69 @@ def all_features(src: str) -> str:
 
 def rnd(expr: str, alias: str) -> str:
     return f"round({expr}, {R}) AS {alias}"
+
+
+# ---------------------------------------------------------------- sequences, scaling, metrics
+
+def chunked(src: str, t: str) -> str:
+    """Rows of complete chunks of T rows per part (row number by part_index), with
+    chunk, step, chunk label and group id from the chunk's last row."""
+    return f"""SELECT * EXCLUDE (lab, rn_, n_, t_) REPLACE (lab AS subpart_label) FROM (
+  SELECT *, last_value(subpart_label) OVER c AS lab,
+         part_number || '#' || CAST(last_value(subpart_no) OVER c AS VARCHAR) AS group_id
+  FROM (SELECT *, (rn_ - 1) // t_ AS chunk, (rn_ - 1) % t_ + 1 AS step FROM (
+          SELECT *, row_number() OVER (PARTITION BY part_number ORDER BY part_index) AS rn_,
+                 count(*) OVER (PARTITION BY part_number) AS n_, CAST(({t}) AS BIGINT) AS t_ FROM ({src})))
+  WHERE chunk < n_ // t_
+  WINDOW c AS (PARTITION BY part_number, chunk ORDER BY step ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING))"""
+
+
+def groups_of(src: str) -> str:
+    return f"SELECT part_number, subpart_no, max(subpart_label) AS subpart_label FROM ({src}) GROUP BY 1, 2"
+
+
+def md5_key(seed: int = 42) -> str:
+    return f"md5('{seed}#' || part_number || '#' || CAST(subpart_no AS VARCHAR))"
+
+
+def uniform(seed: int = 42) -> str:
+    return f"(('0x' || substr({md5_key(seed)}, 1, 8))::BIGINT / 4294967296.0)"
+
+
+def split(src: str, p_train: float, p_val: float, seed: int = 42) -> str:
+    return f"""SELECT part_number, subpart_no, subpart_label,
+  CASE WHEN rk <= floor(tot * {p_train!r}) THEN 'train'
+       WHEN rk <= floor(tot * {p_train!r}) + floor((tot - floor(tot * {p_train!r})) * {p_val!r}) THEN 'val'
+       ELSE 'test' END AS split
+FROM (SELECT *, row_number() OVER (PARTITION BY subpart_label ORDER BY {md5_key(seed)}, part_number, subpart_no) AS rk,
+             count(*) OVER (PARTITION BY subpart_label) AS tot FROM ({groups_of(src)}))"""
+
+
+def runlog() -> str:
+    """events -> one run log row per (user, event): epochs numbered from 1 by time."""
+    return """SELECT CAST(user_id AS VARCHAR) AS run_id,
+  row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS epoch,
+  value / 100.0 AS val_loss, value / 90.0 AS train_loss,
+  ((event_id * 7) % 100) / 100.0 AS f2_ng, ((event_id * 13) % 100) / 100.0 AS recall_ng,
+  ((event_id * 17) % 50) / 50.0 AS precision_ng, ((event_id * 19) % 40) / 40.0 AS precision_ok
+FROM events"""
+
+
+def scored_events() -> str:
+    return """SELECT event_type AS machine, CAST(user_id AS VARCHAR) AS part_number,
+  CAST(event_id % 7 + 1 AS DOUBLE) AS subpart_no, value / (1 + value) AS prob, ln(value) AS logit,
+  CASE WHEN event_type = 'purchase' THEN 1.0 ELSE 0.0 END AS real_label, user_id, ts, event_id
+FROM events"""
+
+
+def bce(z: str, y: str, w: float | None = None) -> str:
+    sp = f"ln(1 + exp(-abs({z})))"
+    if w is None:
+        return f"(greatest({z}, 0) - {z} * {y} + {sp})"
+    return f"((1 - {y}) * {z} + (1 + ({w!r} - 1) * {y}) * ({sp} + greatest(-{z}, 0)))"
+
+
+def focal(z: str, y: str, gamma: float = 2.0, alpha: float = 0.5, dynamic: bool = False) -> str:
+    b = bce(z, y)
+    a = f"CASE WHEN {y} = 1.0 THEN {alpha!r} ELSE {1.0 - alpha!r} END" if dynamic else repr(alpha)
+    return f"({a} * pow(1 - exp(-{b}), {gamma!r}) * {b})"

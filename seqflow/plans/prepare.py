@@ -3,8 +3,8 @@
 union -> normalise subparts -> length filter -> subpart index -> target length T ->
 pad to T -> part index -> (train: drop ambiguous labels, labels to 0/1).
 
-T is the maximum subpart index in train mode (a scalar subquery, so the plan stays
-lazy and nothing passes through the driver but one integer); in other modes the caller
+T is the maximum subpart index in train mode, read off per-sequence counts (a scalar
+subquery, so the plan stays lazy and nothing passes through the driver but one integer); in other modes the caller
 passes the stored value (see `seqflow.operators.state`).
 """
 
@@ -34,11 +34,14 @@ def prepare_job(
     df = P.union_sources(first, second) if second is not None else first
     df = P.normalize_subparts(df)
     df = P.filter_by_length(df, n_subparts=n_subparts, steps=steps)
-    df = P.add_subpart_index(df, order_by)
     if target_len is None:
         if mode != "train":
             raise ValueError("target_len is required outside train mode (read it from the state table)")
-        target_len = P.column_max(df, P.INDEX)
+        # max(subpart_index) of a dense index == longest sequence: counted before any window
+        target_len = P.max_sequence_length(df)
+    # one hash exchange on the part serves every later (part) and (part, subpart) window
+    df = df.repartition(P.PART)
+    df = P.add_subpart_index(df, order_by)
     df = P.pad_to_length(df, target_len)
     df = P.add_part_index(df)
     if mode == "train":
