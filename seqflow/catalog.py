@@ -439,3 +439,216 @@ def q_scaler_inverse(spark, sf_dir):
     per_seq = scaled.groupBy("part_number", "raw_subpart").agg(F.avg("subpart_no").alias("m"))
     return per_seq.select("part_number", F.col("raw_subpart").alias("subpart_no"),
                           SC.inverse_mean(F.col("m"), params, "subpart_no").alias("subpart_no_inv"))
+
+
+# ---------------------------------------------------------------- scores, metrics, losses
+
+def _labels(spark, sf_dir):
+    return FX.table(spark, sf_dir, "labels").select(F.col("quality").alias("label"), F.col("toxic").alias("prediction"))
+
+
+@register("confusion", "SELECT quality AS label, toxic AS prediction, count(*) AS n FROM labels GROUP BY ALL")
+def q_confusion(spark, sf_dir):
+    return ME.confusion(_labels(spark, sf_dir), "label", "prediction")
+
+
+_CNT = ("SELECT count(*) FILTER (WHERE quality = 1 AND toxic = 1) AS tp, count(*) FILTER (WHERE quality = 0 AND "
+        "toxic = 1) AS fp, count(*) FILTER (WHERE quality = 1 AND toxic = 0) AS fn, count(*) FILTER (WHERE "
+        "quality = 0 AND toxic = 0) AS tn FROM labels")
+
+
+def _d(a: str, b: str) -> str:
+    return f"coalesce(({a}) / nullif(({b}), 0), 0.0)"
+
+
+_REPORT = f"""WITH c AS ({_CNT}), m AS (SELECT *, {_d('tp', 'tp + fp')} AS p1, {_d('tp', 'tp + fn')} AS r1,
+  {_d('tn', 'tn + fn')} AS p0, {_d('tn', 'tn + fp')} AS r0, tp + fn AS s1, tn + fp AS s0 FROM c),
+f AS (SELECT *, {_d('2 * p1 * r1', 'p1 + r1')} AS f1, {_d('2 * p0 * r0', 'p0 + r0')} AS f0, s0 + s1 AS tot FROM m)
+SELECT '0' AS class, round(p0, 6) AS precision, round(r0, 6) AS recall, round(f0, 6) AS f1, s0 AS support FROM f
+UNION ALL SELECT '1', round(p1, 6), round(r1, 6), round(f1, 6), s1 FROM f
+UNION ALL SELECT 'accuracy', NULL, NULL, round({_d('tp + tn', 'tot')}, 6), tot FROM f
+UNION ALL SELECT 'macro avg', round((p0 + p1) / 2, 6), round((r0 + r1) / 2, 6), round((f0 + f1) / 2, 6), tot FROM f
+UNION ALL SELECT 'weighted avg', round({_d('p0 * s0 + p1 * s1', 'tot')}, 6), round({_d('r0 * s0 + r1 * s1', 'tot')}, 6),
+  round({_d('f0 * s0 + f1 * s1', 'tot')}, 6), tot FROM f"""
+
+
+@register("class_report", _REPORT)
+def q_class_report(spark, sf_dir):
+    return rounded(ME.classification_report(_labels(spark, sf_dir), "label", "prediction"))
+
+
+@register("fbeta",
+          f"WITH c AS ({_CNT}) SELECT round({_d('5.0 * tp', '5.0 * tp + 4.0 * fn + fp')}, 6) AS fbeta, "
+          f"round({_d('tp', 'tp + fn')}, 6) AS recall, round({_d('tp', 'tp + fp')}, 6) AS precision FROM c")
+def q_fbeta(spark, sf_dir):
+    return rounded(ME.fbeta(_labels(spark, sf_dir), "label", "prediction", 2.0))
+
+
+def _scored(spark, sf_dir):
+    ev = FX.table(spark, sf_dir, "events")
+    v = F.col("value").cast("double")
+    return ev.select(
+        F.col("event_type").alias("machine"), F.col("user_id").cast("string").alias("part_number"),
+        (F.col("event_id") % 7 + 1).cast("double").alias("subpart_no"), (v / (1 + v)).alias("prob"),
+        F.log(v).alias("logit"), F.when(F.col("event_type") == "purchase", 1.0).otherwise(0.0).alias("real_label"),
+        "user_id", "ts", "event_id")
+
+
+@register("score_shape",
+          "SELECT machine, part_number, subpart_no, real_label, CAST(prob > 0.5 AS INTEGER) AS label, "
+          f"round(1 - prob, 6) AS prob_OK, round(prob, 6) AS prob_NG FROM ({O.scored_events()})")
+def q_score_shape(spark, sf_dir):
+    return rounded(ME.score_rows(_scored(spark, sf_dir), "prob", 0.5, real_label="real_label"))
+
+
+@register("bce_loss",
+          f"SELECT user_id, round(avg({O.bce('logit', 'real_label')}), 6) AS bce, "
+          f"round(avg({O.bce('logit', 'real_label', 5.0)}), 6) AS bce_weighted FROM ({O.scored_events()}) GROUP BY 1")
+def q_bce_loss(spark, sf_dir):
+    df = ME.loss_columns(_scored(spark, sf_dir), "logit", "real_label", pos_weight=5.0)
+    return rounded(df.groupBy("user_id").agg(ME.reduce_loss(F.col("bce")).alias("bce"),
+                                             ME.reduce_loss(F.col("bce_weighted")).alias("bce_weighted")))
+
+
+@register("focal_loss",
+          f"SELECT user_id, round(avg({O.focal('logit', 'real_label')}), 6) AS focal, "
+          f"round(sum({O.focal('logit', 'real_label', dynamic=True)}), 6) AS focal_dynamic_sum "
+          f"FROM ({O.scored_events()}) GROUP BY 1")
+def q_focal_loss(spark, sf_dir):
+    df = ME.loss_columns(_scored(spark, sf_dir), "logit", "real_label")
+    return rounded(df.groupBy("user_id").agg(ME.reduce_loss(F.col("focal"), "mean").alias("focal"),
+                                             ME.reduce_loss(F.col("focal_dynamic"), "sum").alias("focal_dynamic_sum")))
+
+
+@register("loss_means",
+          f"SELECT CAST(user_id AS VARCHAR) AS run_id, CAST(dayofmonth(ts) AS INTEGER) AS epoch, "
+          f"round(avg({O.bce('logit', 'real_label')}), 6) AS mean_loss FROM ({O.scored_events()}) GROUP BY 1, 2")
+def q_loss_means(spark, sf_dir):
+    df = ME.loss_columns(_scored(spark, sf_dir), "logit", "real_label").select(
+        F.col("user_id").cast("string").alias("run_id"), F.dayofmonth("ts").alias("epoch"), "bce")
+    return rounded(ME.loss_means(df, "bce"))
+
+
+# ---------------------------------------------------------------- run logs
+
+def _runlog(spark, sf_dir):
+    ev = FX.table(spark, sf_dir, "events")
+    w = F.row_number().over(__import__("pyspark.sql", fromlist=["Window"]).Window.partitionBy("user_id")
+                            .orderBy("ts", "event_id"))
+    e = F.col("event_id")
+    return ev.select(
+        F.col("user_id").cast("string").alias("run_id"), w.cast("long").alias("epoch"),
+        (F.col("value") / 100.0).alias("val_loss"), (F.col("value") / 90.0).alias("train_loss"),
+        ((e * 7) % 100 / 100.0).alias("f2_ng"), ((e * 13) % 100 / 100.0).alias("recall_ng"),
+        ((e * 17) % 50 / 50.0).alias("precision_ng"), ((e * 19) % 40 / 40.0).alias("precision_ok"))
+
+
+_RUNLOG_STEPS = f"""WITH r AS ({O.runlog()}),
+a AS (SELECT *, CASE WHEN isnan(val_loss) THEN 'inf'::DOUBLE ELSE val_loss END AS v FROM r),
+b AS (SELECT *, CASE WHEN v < coalesce(min(v) OVER (PARTITION BY run_id ORDER BY epoch ROWS BETWEEN UNBOUNDED
+        PRECEDING AND 1 PRECEDING), 'inf'::DOUBLE) THEN epoch END AS imp,
+        (precision_ng = 0 OR precision_ok = 0) AS zero FROM a),
+c AS (SELECT *, epoch - coalesce(max(imp) OVER (PARTITION BY run_id ORDER BY epoch ROWS BETWEEN UNBOUNDED PRECEDING
+        AND CURRENT ROW), 0) AS counter FROM b),
+d AS (SELECT *, min(CASE WHEN counter >= 5 THEN epoch END) OVER (PARTITION BY run_id) AS stop_e,
+        min(CASE WHEN zero THEN epoch END) OVER (PARTITION BY run_id) AS zstop FROM c)"""
+
+
+@register("early_stop",
+          _RUNLOG_STEPS + " SELECT run_id, min(CASE WHEN counter >= 5 THEN epoch END) AS stop_epoch, "
+          "max(epoch) AS last_epoch FROM d GROUP BY run_id")
+def q_early_stop(spark, sf_dir):
+    return RL.early_stop(_runlog(spark, sf_dir), patience=5)
+
+
+@register("best_epoch",
+          _RUNLOG_STEPS + """, e AS (SELECT *, row_number() OVER (PARTITION BY run_id ORDER BY f2_ng DESC, v ASC,
+        epoch ASC) AS rk FROM d WHERE (stop_e IS NULL OR epoch <= stop_e) AND (zstop IS NULL OR epoch < zstop)),
+z AS (SELECT run_id, bool_or(zstop IS NOT NULL) AS zero_stop FROM d GROUP BY run_id)
+SELECT z.run_id, e.epoch AS best_epoch, round(CASE WHEN z.zero_stop THEN 0.0 ELSE e.f2_ng END, 6) AS f2,
+  round(e.val_loss, 6) AS val_loss, z.zero_stop FROM z LEFT JOIN (SELECT * FROM e WHERE rk = 1) e USING (run_id)""")
+def q_best_epoch(spark, sf_dir):
+    return rounded(RL.best_epoch(_runlog(spark, sf_dir), patience=5))
+
+
+@register("recall_trigger",
+          f"""SELECT run_id, epoch, CASE WHEN (epoch - 1) >= 5 AND (epoch - 1) % 2 = 0 AND sum(CASE WHEN recall_ng > 0.9
+  THEN 1 ELSE 0 END) OVER (w ROWS BETWEEN 9 PRECEDING AND CURRENT ROW) = 0 THEN 'raise'
+  WHEN (epoch - 1) >= 5 AND (epoch - 1) % 2 = 0 AND sum(CASE WHEN recall_ng > 0.9 THEN 1 ELSE 0 END) OVER
+  (w ROWS BETWEEN 4 PRECEDING AND CURRENT ROW) = 5 THEN 'lower' END AS action
+FROM ({O.runlog()}) WINDOW w AS (PARTITION BY run_id ORDER BY epoch)""")
+def q_recall_trigger(spark, sf_dir):
+    return RL.recall_trigger(_runlog(spark, sf_dir), branch="sampler")
+
+
+# ---------------------------------------------------------------- state and JSON ingest
+
+@register("state_latest",
+          "SELECT event_type AS key, arg_max(CAST(value AS VARCHAR), event_id) AS value, max(event_id) AS version "
+          "FROM events GROUP BY 1")
+def q_state_latest(spark, sf_dir):
+    ev = FX.table(spark, sf_dir, "events")
+    state = ev.select(F.col("event_type").alias("key"), F.col("value").cast("string").alias("value"),
+                      F.col("event_id").alias("version"))
+    return ST.latest_state(state)
+
+
+# Fixed test parameter: high watermark 1998-06-01T00:00:00Z in epoch ms.
+CUTOFF_MS = 896659200000
+
+_JSON_ROWS = """SELECT epoch_ms(max(l_shipdate) OVER (PARTITION BY l_suppkey, l_orderkey)) AS ts,
+  'M' || CAST(l_suppkey % 10 AS VARCHAR) AS device,
+  CAST(row_number() OVER (PARTITION BY l_suppkey, l_orderkey ORDER BY l_linenumber, l_tax, l_discount,
+       l_extendedprice, l_quantity, l_partkey) - 1 AS INTEGER) AS pos,
+  CAST(l_suppkey AS VARCHAR) AS part_number, CAST(l_linenumber AS DOUBLE) AS subpart_no,
+  l_tax AS machine_position, l_discount AS third_param, l_extendedprice AS second_param,
+  l_quantity AS first_param, CAST(l_partkey AS DOUBLE) AS temp_a, CAST(l_orderkey AS DOUBLE) AS temp_b
+FROM lineitem"""
+
+
+@register("incremental_filter",
+          f"SELECT ts, device, CAST(count(*) AS INTEGER) AS n_items FROM ({_JSON_ROWS}) WHERE ts > {CUTOFF_MS} "
+          "GROUP BY ts, device, part_number, temp_b")
+def q_incremental_filter(spark, sf_dir):
+    src = J.incremental_filter(FX.json_source(spark, sf_dir), CUTOFF_MS)
+    return src.select("ts", "device", F.json_array_length("payload").alias("n_items"))
+
+
+@register("json_unnest",
+          f"SELECT ts, device, pos, part_number FROM ({_JSON_ROWS})")
+def q_json_unnest(spark, sf_dir):
+    rows = J.unnest_json(FX.json_source(spark, sf_dir))
+    return rows.select("ts", "device", "pos", F.try_variant_get("value", '$["PART_NUMBER"]', "string").alias(
+        "part_number"))
+
+
+@register("json_object_unnest",
+          "SELECT event_id, CAST(0 AS INTEGER) AS pos, 'k' AS key, CAST(props->>'$.k' AS BIGINT) AS v FROM events")
+def q_json_object_unnest(spark, sf_dir):
+    ev = FX.table(spark, sf_dir, "events").select("event_id", F.col("props").alias("payload"))
+    rows = J.unnest_json(ev, keep_key=True)
+    return rows.select("event_id", "pos", "key",
+                       F.try_variant_get("value", "$", "bigint").alias("v"))
+
+
+_EXTRACT_COLS = ("device, pos, part_number, subpart_no, machine_position, third_param, second_param, first_param, "
+                 "temp_a, temp_b")
+
+
+@register("json_extract", f"SELECT ts, {_EXTRACT_COLS} FROM ({_JSON_ROWS})")
+def q_json_extract(spark, sf_dir):
+    rows = J.extract_measurements(J.unnest_json(FX.json_source(spark, sf_dir)))
+    return J.lower_columns(rows)
+
+
+@register("ingest_job", f"SELECT {_EXTRACT_COLS} FROM ({_JSON_ROWS}) WHERE ts > {CUTOFF_MS}")
+def q_ingest_job(spark, sf_dir):
+    return IG.ingest_json(FX.json_source(spark, sf_dir), CUTOFF_MS)
+
+
+@register("watermark_advance",
+          f"SELECT max(ts) AS last_ts, arg_min(part_number, (pos, device, part_number)) AS last_part FROM "
+          f"({_JSON_ROWS}) WHERE ts = (SELECT max(ts) FROM ({_JSON_ROWS}) WHERE ts > {CUTOFF_MS}) AND ts > {CUTOFF_MS}")
+def q_watermark_advance(spark, sf_dir):
+    rows = J.extract_measurements(J.unnest_json(J.incremental_filter(FX.json_source(spark, sf_dir), CUTOFF_MS)))
+    return ST.watermark_advance(rows)

@@ -62,12 +62,17 @@ def classification_report(df: DataFrame, label: str, pred: str) -> DataFrame:
     total = s0 + s1
     acc = _div(tp + tn, total)
     w = lambda a, b: _div(a * s0 + b * s1, total)
+    def row(name, p, r, f, n):
+        return F.struct(F.lit(name).alias("class"), p.cast("double").alias("precision"),
+                        r.cast("double").alias("recall"), f.cast("double").alias("f1"), n.cast("long").alias("support"))
+
+    none = F.lit(None).cast("double")
     rows = F.array(
-        F.struct(F.lit("0").alias("class"), p0.alias("precision"), r0.alias("recall"), f1_0.alias("f1"), s0.alias("support")),
-        F.struct(F.lit("1"), p1, r1, f1_1, s1),
-        F.struct(F.lit("accuracy"), F.lit(None).cast("double"), F.lit(None).cast("double"), acc, total),
-        F.struct(F.lit("macro avg"), (p0 + p1) / 2, (r0 + r1) / 2, (f1_0 + f1_1) / 2, total),
-        F.struct(F.lit("weighted avg"), w(p0, p1), w(r0, r1), w(f1_0, f1_1), total),
+        row("0", p0, r0, f1_0, s0),
+        row("1", p1, r1, f1_1, s1),
+        row("accuracy", none, none, acc, total),
+        row("macro avg", (p0 + p1) / 2, (r0 + r1) / 2, (f1_0 + f1_1) / 2, total),
+        row("weighted avg", w(p0, p1), w(r0, r1), w(f1_0, f1_1), total),
     )
     return c.select(F.inline(rows))
 

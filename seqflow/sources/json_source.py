@@ -27,16 +27,17 @@ def incremental_filter(df: DataFrame, last_ts: int, ts: str = "ts") -> DataFrame
     return df.where(F.col(ts) > F.lit(int(last_ts)))
 
 
-def unnest_json(df: DataFrame, payload: str = "payload", strict: bool = False) -> DataFrame:
+def unnest_json(df: DataFrame, payload: str = "payload", strict: bool = False, keep_key: bool = False) -> DataFrame:
     """Ops 3 + 57: one row per element of the JSON array in `payload` (an object gives
     one row per field), outer: NULL, '[]' and unparsable text keep one row with NULL
     `value`. Adds `pos` (element position, the order key inside a source row) and
-    `value` (VARIANT). `strict=True` fails on malformed text instead."""
+    `value` (VARIANT), and with `keep_key` the field name of object elements.
+    `strict=True` fails on malformed text instead."""
     spark = df.sparkSession
     parsed = F.parse_json(F.col(payload).outer()) if strict else F.try_parse_json(F.col(payload).outer())
     ex = spark.tvf.variant_explode_outer(parsed)
     out = df.lateralJoin(ex)
-    return out.drop("key")
+    return out if keep_key else out.drop("key")
 
 
 def extract_measurements(df: DataFrame, value: str = "value", keep=("ts", "device"), strict: bool = False,
