@@ -16,7 +16,7 @@ from seqflow import oracle as O
 from seqflow.functions.scalar import subpart_status, valid_valve
 from seqflow.operators import features as FE
 from seqflow.operators import prepare as P
-from seqflow.plans.prepare import prepare_job
+from seqflow.plans.prepare import prepare_job, prepare_job_with_length
 from seqflow.sources import fixtures as FX
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -331,8 +331,10 @@ _SEQ_FEATURES = ["first_param", "second_param", "third_param"]
 
 
 def _chunked(spark, sf_dir):
-    df = prepared_train(spark, sf_dir)
-    return SQ.chunk_rows(df, P.column_max(df, "subpart_index"))
+    # T = the padding length of the prepare job (every prepared sequence has T rows)
+    df, t = prepare_job_with_length(labelled(spark, sf_dir), order_by=FX.MEASUREMENT_ORDER, mode="train",
+                                    n_subparts=K_SUBPARTS, steps=STEPS)
+    return SQ.chunk_rows(df, t)
 
 
 @register("chunk_sequences",
@@ -652,3 +654,29 @@ def q_ingest_job(spark, sf_dir):
 def q_watermark_advance(spark, sf_dir):
     rows = J.extract_measurements(J.unnest_json(J.incremental_filter(FX.json_source(spark, sf_dir), CUTOFF_MS)))
     return ST.watermark_advance(rows)
+
+
+# ---------------------------------------------------------------- positional CSV folders
+
+from seqflow.sources import csv_folder as CSV  # noqa: E402
+
+
+@register("csv_folder_ingest",
+          "SELECT CASE WHEN files_type = 'OK' THEN 0 ELSE 1 END AS source_rank, part_number, subpart_no, ng_valve_no, "
+          "subpart_label, count(*) AS n_rows, round(sum(first_param), 6) AS sum_first, "
+          "round(sum(CAST(l_orderkey AS DOUBLE)), 6) AS sum_temp_b "
+          f"FROM (SELECT *, {O.VALVE} AS ng_valve_no, {O.status()} AS subpart_label FROM ({O.measure()})) GROUP BY ALL")
+def q_csv_folder_ingest(spark, sf_dir):
+    """lineitem written as positional CSV files (OK and NG folders), read back by the
+    folder ingest job and stacked by name."""
+    import uuid
+
+    from seqflow.session import scratch_path
+    root = scratch_path(spark, f"csv-{uuid.uuid4().hex}")
+    ok_dir, ng_dir = FX.write_csv_folders(spark, sf_dir, root)
+    ok = CSV.folder_ingest(spark, ok_dir, "OK", device="M1", source_rank=0)
+    ng = CSV.folder_ingest(spark, ng_dir, "NG", device="M1", source_rank=1)
+    rows = P.union_sources(ok, ng)
+    return rounded(rows.groupBy("source_rank", "part_number", "subpart_no", "ng_valve_no", "subpart_label").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.sum("first_param").alias("sum_first"),
+        F.sum("temp_b").alias("sum_temp_b")))

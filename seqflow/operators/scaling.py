@@ -1,8 +1,8 @@
 """Standard scaling with a tidy parameter table.
 
 Fit is one aggregate pass (mean and population std per feature, constant -> scale 1).
-Parameters live in a table `scaler_id, feature, mean, scale`; applying them uses
-scalar subqueries (one value each), so no join and no broadcast of data is needed.
+Parameters live in a table `scaler_id, feature, mean, scale`; applying them reads the
+whole (features-sized) table as one scalar subquery, so no join of data is needed.
 """
 
 from __future__ import annotations
@@ -30,26 +30,25 @@ def fit_scaler(df: DataFrame, features: Sequence[str], scaler_id: str = "default
                        F.when(F.col("std") == 0, F.lit(1.0)).otherwise(F.col("std")).alias("scale"))
 
 
-def _param(params: DataFrame, feature: str, what: str, scaler_id: str | None) -> Column:
-    p = params.where(F.col("feature") == feature)
-    if scaler_id is not None:
-        p = p.where(F.col("scaler_id") == scaler_id)
-    return p.select(F.first(what)).scalar()
+def param_map(params: DataFrame, scaler_id: str | None = None) -> Column:
+    """All parameters of a fit as one scalar subquery: MAP<feature, STRUCT<mean, scale>>.
+    One small job serves every feature reference (identical subqueries are reused)."""
+    p = params if scaler_id is None else params.where(F.col("scaler_id") == scaler_id)
+    return p.select(F.map_from_entries(F.collect_list(F.struct(
+        "feature", F.struct(F.col("mean").cast("double").alias("mean"),
+                            F.col("scale").cast("double").alias("scale")))))).scalar()
 
 
 def apply_scaler(df: DataFrame, params: DataFrame, features: Sequence[str], scaler_id: str | None = None) -> DataFrame:
-    """Op 25: (x - mean) / scale for each feature, parameters read as scalar subqueries."""
-    out = df
-    for f in features:
-        out = out.withColumn(f, (F.col(f).cast("double") - _param(params, f, "mean", scaler_id))
-                             / _param(params, f, "scale", scaler_id))
-    return out
+    """Op 25: (x - mean) / scale for each feature, parameters read by one scalar subquery."""
+    m = param_map(params, scaler_id)
+    return df.withColumns({f: (F.col(f).cast("double") - m[f]["mean"]) / m[f]["scale"] for f in features})
 
 
 def inverse_mean(df_nested_avg: Column, params: DataFrame, feature: str, scaler_id: str | None = None) -> Column:
     """Op 26: bround(avg_scaled * scale + mean, 0), half-even."""
-    return F.bround(df_nested_avg * _param(params, feature, "scale", scaler_id)
-                    + _param(params, feature, "mean", scaler_id), 0)
+    m = param_map(params, scaler_id)
+    return F.bround(df_nested_avg * m[feature]["scale"] + m[feature]["mean"], 0)
 
 
 def save_scaler(params: DataFrame, path: str, mode: str = "append") -> None:

@@ -13,13 +13,19 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 from seqflow.operators import prepare as P
 
 MODES = ("train", "val", "test", "score")
 
 
-def prepare_job(
+def prepare_job(*args, **kwargs) -> DataFrame:
+    """The prepared rows only; see `prepare_job_with_length`."""
+    return prepare_job_with_length(*args, **kwargs)[0]
+
+
+def prepare_job_with_length(
     first: DataFrame,
     second: DataFrame | None = None,
     *,
@@ -28,7 +34,9 @@ def prepare_job(
     target_len: int | Column | None = None,
     n_subparts: int = 6,
     steps: int | None = None,
-) -> DataFrame:
+) -> tuple[DataFrame, Column]:
+    """(prepared rows, T). T is the padding length: the scalar subquery computed here in
+    train mode (store it for val/test/score), else the value passed in."""
     if mode not in MODES:
         raise ValueError(f"unknown mode {mode!r}; expected one of {MODES}")
     df = P.union_sources(first, second) if second is not None else first
@@ -46,4 +54,5 @@ def prepare_job(
     df = P.add_part_index(df)
     if mode == "train":
         df = P.labels_to_binary(P.exclude_ambiguous(df))
-    return df
+    t = target_len if isinstance(target_len, Column) else F.lit(int(target_len))
+    return df, t

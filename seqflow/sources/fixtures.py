@@ -80,3 +80,55 @@ def json_source(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
         .select("ts", F.concat(F.lit("M"), (F.col("l_suppkey") % 10).cast("string")).alias("device"), "payload")
     )
+
+
+# Header lines of the generated CSV files (Latin-1, one non-ASCII header).
+CSV_TITLE = "Messprotokoll Anlage"
+CSV_HEADER = "Teil-Nr,C-Achse,Leistung,Förderung,Druck,r1,r2,r3,r4,r5,Temperatur A,Temperatur B"
+
+
+def write_csv_folders(spark: SparkSession, sf_dir: str, root: str) -> tuple[str, str]:
+    """Write lineitem as positional CSV files, one file per (supplier, line number) and
+    task: `<root>/OK/B_<task>_<line>_<supplier>_z.csv` and
+    `<root>/NG/A_<task>_<line>_<supplier>_<valves>.csv` (header line + column line).
+
+    Rows are hash-partitioned by file key and streamed into files by `mapInPandas`; no
+    group is buffered, and a task that re-runs truncates and rewrites its own files.
+    Returns (ok_folder, ng_folder)."""
+    import os
+
+    m = measurements(spark, sf_dir)
+    src = (m.repartition("part_number", "subpart_no")
+           .sortWithinPartitions("part_number", "subpart_no", *MEASUREMENT_ORDER)
+           .select("part_number", "subpart_no", "first_param", "second_param", "third_param", "machine_position",
+                   F.col("l_partkey").cast("double").alias("temp_a"), F.col("l_orderkey").cast("double").alias("temp_b"),
+                   "files_type", "valve_raw"))
+    ok_dir, ng_dir = os.path.join(root, "OK"), os.path.join(root, "NG")
+
+    def write(batches):
+        import pandas as pd
+        from pyspark import TaskContext
+
+        os.makedirs(ok_dir, exist_ok=True)
+        os.makedirs(ng_dir, exist_ok=True)
+        pid = TaskContext.get().partitionId()
+        seen: set[str] = set()
+        for pdf in batches:
+            for (part, sub, ft, valve), g in pdf.groupby(["part_number", "subpart_no", "files_type", "valve_raw"],
+                                                         dropna=False, sort=False):
+                if ft == "NG":
+                    path = os.path.join(ng_dir, f"A_{pid}_{int(sub)}_{part}_{valve}.csv")
+                else:
+                    path = os.path.join(ok_dir, f"B_{pid}_{int(sub)}_{part}_z.csv")
+                first = path not in seen
+                seen.add(path)
+                with open(path, "w" if first else "a", encoding="latin-1", newline="") as fh:
+                    if first:
+                        fh.write(CSV_TITLE + "\r\n" + CSV_HEADER + "\r\n")
+                    for r in g.itertuples(index=False):
+                        fh.write(f"{r.subpart_no!r},{r.machine_position!r},{r.third_param!r},{r.second_param!r},"
+                                 f"{r.first_param!r},,,,,,{r.temp_a!r},{r.temp_b!r}\r\n")
+            yield pd.DataFrame({"files": [len(seen)]})
+
+    src.mapInPandas(write, "files long").write.format("noop").mode("overwrite").save()
+    return ok_dir, ng_dir
