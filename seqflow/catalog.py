@@ -680,3 +680,58 @@ def q_csv_folder_ingest(spark, sf_dir):
     return rounded(rows.groupBy("source_rank", "part_number", "subpart_no", "ng_valve_no", "subpart_label").agg(
         F.count(F.lit(1)).alias("n_rows"), F.sum("first_param").alias("sum_first"),
         F.sum("temp_b").alias("sum_temp_b")))
+
+
+# ---------------------------------------------------------------- streaming
+
+from seqflow.streaming import ingest as SI  # noqa: E402
+from seqflow.streaming import score as SS  # noqa: E402
+
+
+@register("stream_ingest", ORACLE["json_extract"])
+def q_stream_ingest(spark, sf_dir):
+    """Raw JSON-payload rows (from lineitem) land as two files (before / after the
+    watermark); an availableNow stream ingests both; the sink is read back."""
+    import uuid
+
+    from seqflow.session import scratch_path
+    root = scratch_path(spark, f"stream-{uuid.uuid4().hex}")
+    src = FX.json_source(spark, sf_dir)
+    src.where(F.col("ts") <= CUTOFF_MS).write.parquet(f"{root}/source/a")
+    src.where(F.col("ts") > CUTOFF_MS).write.parquet(f"{root}/source/b")
+    q = SI.start_ingest(spark, f"{root}/source/*", f"{root}/sink", f"{root}/checkpoint")
+    q.awaitTermination()
+    return spark.read.parquet(f"{root}/sink")
+
+
+_STREAM_BASE = O.length_filtered(O.normalized(O.labelled(True)))
+_STREAM_T = f"SELECT max(c) FROM (SELECT count(*) AS c FROM ({_STREAM_BASE}) GROUP BY part_number, subpart_no)"
+_STREAM_COLS = _SUMMARY_SQL_COLS.replace("round(sum(subpart_label), 6) AS ng_rows",
+                                         "count(*) FILTER (WHERE subpart_label = 'NG') AS ng_rows")
+
+
+@register("stream_prepare_features",
+          f"SELECT {_STREAM_COLS} FROM ("
+          + O.all_features(O.part_indexed(O.padded_clean(O.indexed(_STREAM_BASE), _STREAM_T)))
+          + ") GROUP BY part_number")
+def q_stream_prepare_features(spark, sf_dir):
+    """Labelled measurement rows stream through foreachBatch: prepare (score mode, stored
+    T) -> features -> per-part summary, one output partition per micro-batch."""
+    import uuid
+
+    from seqflow.session import scratch_path
+    root = scratch_path(spark, f"score-{uuid.uuid4().hex}")
+    src = labelled(spark, sf_dir)
+    src.write.parquet(f"{root}/source")
+    stream = spark.readStream.schema(src.schema).parquet(f"{root}/source")
+    # the stored padding length of the train run (one integer through the driver)
+    kept = P.filter_by_length(P.normalize_subparts(src), K_SUBPARTS, STEPS)
+    t = spark.range(1).select(P.max_sequence_length(kept)).first()[0]
+
+    def summary(feats):
+        return _summary(feats.withColumn("subpart_label", (F.col("subpart_label") == "NG").cast("long")))
+
+    q = SS.start_scoring(stream, f"{root}/sink", f"{root}/checkpoint", FX.MEASUREMENT_ORDER, target_len=t,
+                         scorer=summary, n_subparts=K_SUBPARTS, steps=STEPS)
+    q.awaitTermination()
+    return spark.read.parquet(f"{root}/sink").drop("batch_id")
