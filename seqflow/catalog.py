@@ -735,3 +735,59 @@ def q_stream_prepare_features(spark, sf_dir):
                          scorer=summary, n_subparts=K_SUBPARTS, steps=STEPS)
     q.awaitTermination()
     return spark.read.parquet(f"{root}/sink").drop("batch_id")
+
+
+# ---------------------------------------------------------------- model jobs and pandas UDF surface
+
+from seqflow.plans import model as MD  # noqa: E402
+
+
+def _nested_with_split(spark, sf_dir):
+    nested = SQ.nest_sequences(_chunked(spark, sf_dir), _SEQ_FEATURES)
+    groups = SQ.split_groups(nested, keys=("part_number", "chunk"), train_size=0.75, val_size=0.1)
+    return MD.materialize(nested.join(groups.select("part_number", "chunk", "split"), ["part_number", "chunk"]))
+
+
+@register("fit_score_report")
+def q_fit_score_report(spark, sf_dir):
+    """Weighted logistic regression on train sequences, scored on the test split, with
+    the classification report (model output: no SQL oracle)."""
+    data = _nested_with_split(spark, sf_dir)
+    train = SQ.class_weights(data.where(F.col("split") == "train"))
+    model = MD.fit_classifier(train, "logistic", {"maxIter": 20, "regParam": 0.01})
+    scored = MD.score_sequences(model, data.where(F.col("split") == "test"), keys=("part_number", "chunk"),
+                                real_label="subpart_label")
+    return ME.classification_report(scored, "real_label", "label")
+
+
+@register("grid_search_f2")
+def q_grid_search_f2(spark, sf_dir):
+    """Cross-validated grid on F2 (NG); one row per grid point with its mean metric."""
+    data = _nested_with_split(spark, sf_dir)
+    train = SQ.class_weights(data.where(F.col("split") != "test"))
+    grid = {"regParam": [0.01, 0.1]}
+    cv = MD.grid_search(train, grid, folds=2)
+    rows = [(float(pm[list(pm)[0]]), float(m)) for pm, m in zip(cv.getEstimatorParamMaps(), cv.avgMetrics)]
+    return spark.createDataFrame(rows, "reg_param DOUBLE, mean_f2 DOUBLE")
+
+
+def _seq_stats(pdf):
+    import pandas as pd
+    x = pdf.sort_values("subpart_index")["first_param"]
+    return pd.DataFrame({"part_number": [pdf["part_number"].iloc[0]], "subpart_no": [pdf["subpart_no"].iloc[0]],
+                         "first_range": [float(x.max() - x.min())], "first_median": [float(x.median())],
+                         "n_rows": [len(pdf)]})
+
+
+@register("grouped_pandas",
+          "SELECT part_number, subpart_no, round(max(first_param) - min(first_param), 6) AS first_range, "
+          "round(median(first_param), 6) AS first_median, count(*) AS n_rows "
+          f"FROM ({O.indexed(O.length_filtered(O.measure()))}) GROUP BY 1, 2")
+def q_grouped_pandas(spark, sf_dir):
+    """A user-supplied per-sequence pandas function (applyInPandas) on bounded sequences."""
+    df = P.add_subpart_index(P.filter_by_length(FX.measurements(spark, sf_dir), K_SUBPARTS, STEPS),
+                             FX.MEASUREMENT_ORDER)
+    out = FE.apply_grouped_pandas(df.select("part_number", "subpart_no", "subpart_index", "first_param"), _seq_stats,
+                                  "part_number string, subpart_no double, first_range double, first_median double, "
+                                  "n_rows long")
+    return rounded(out)
