@@ -39,6 +39,41 @@ def length_bounds(n_subparts: int, steps: int) -> tuple[float, float]:
     return total * 0.9, total * 1.1
 
 
+def _bounds(df: DataFrame, n_subparts: int, steps: int | None, subpart: str) -> tuple[Column, Column]:
+    if steps is None:
+        min_sub = df.select(F.min(subpart)).scalar()
+        lo230, hi230 = length_bounds(n_subparts, 230)
+        lo200, hi200 = length_bounds(n_subparts, 200)
+        return (F.when(min_sub == 0, F.lit(lo230)).otherwise(F.lit(lo200)),
+                F.when(min_sub == 0, F.lit(hi230)).otherwise(F.lit(hi200)))
+    lo_v, hi_v = length_bounds(n_subparts, steps)
+    return F.lit(lo_v), F.lit(hi_v)
+
+
+def filter_by_length_with_target(
+    df: DataFrame,
+    n_subparts: int = 6,
+    steps: int | None = None,
+    part: str = PART,
+    subpart: str = SUBPART,
+) -> tuple[DataFrame, Column]:
+    """Op 31 plus the longest kept sequence (the train padding length T).
+
+    One partial aggregate of rows per (part, subpart) serves both: summed per part it
+    gives the kept part set (semi-joined back), and its maximum over kept parts is T (a
+    scalar subquery). Spark reuses the aggregate's exchange, so the counting pass runs once.
+    """
+    require(df, part, subpart)
+    lo, hi = _bounds(df, n_subparts, steps, subpart)
+    seq_counts = (df.where(F.col(part).isNotNull()).groupBy(part, subpart)
+                  .agg(F.count(F.lit(1)).alias("__sf_c")))
+    n = F.col("__sf_n")
+    kept = seq_counts.groupBy(part).agg(F.sum("__sf_c").alias("__sf_n")).where((n > lo) & (n < hi)).select(part)
+    target = (seq_counts.join(kept, part, "left_semi")
+              .select(F.coalesce(F.max("__sf_c"), F.lit(0)).cast("int")).scalar())
+    return df.join(kept, part, "left_semi"), target
+
+
 def filter_by_length(
     df: DataFrame,
     n_subparts: int = 6,
@@ -55,25 +90,7 @@ def filter_by_length(
     over-long parts (the hot ones) never reach the windows that follow.
     Rows with a NULL part are dropped; rows with a NULL subpart count.
     """
-    require(df, part, subpart)
-    if steps is None:
-        min_sub = df.select(F.min(subpart)).scalar()
-        lo = F.when(min_sub == 0, F.lit(length_bounds(n_subparts, 230)[0])).otherwise(
-            F.lit(length_bounds(n_subparts, 200)[0]))
-        hi = F.when(min_sub == 0, F.lit(length_bounds(n_subparts, 230)[1])).otherwise(
-            F.lit(length_bounds(n_subparts, 200)[1]))
-    else:
-        lo_v, hi_v = length_bounds(n_subparts, steps)
-        lo, hi = F.lit(lo_v), F.lit(hi_v)
-    n = F.col("__sf_n")
-    kept = (
-        df.where(F.col(part).isNotNull())
-        .groupBy(part)
-        .agg(F.count(F.lit(1)).alias("__sf_n"))
-        .where((n > lo) & (n < hi))
-        .select(part)
-    )
-    return df.join(kept, part, "left_semi")
+    return filter_by_length_with_target(df, n_subparts, steps, part, subpart)[0]
 
 
 def add_subpart_index(

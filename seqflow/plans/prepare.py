@@ -41,12 +41,13 @@ def prepare_job_with_length(
         raise ValueError(f"unknown mode {mode!r}; expected one of {MODES}")
     df = P.union_sources(first, second) if second is not None else first
     df = P.normalize_subparts(df)
-    df = P.filter_by_length(df, n_subparts=n_subparts, steps=steps)
+    if target_len is None and mode != "train":
+        raise ValueError("target_len is required outside train mode (read it from the state table)")
+    # max(subpart_index) of a dense index == longest kept sequence: counted before any window,
+    # from the same per-sequence counts that decide which parts are kept
+    df, longest = P.filter_by_length_with_target(df, n_subparts=n_subparts, steps=steps)
     if target_len is None:
-        if mode != "train":
-            raise ValueError("target_len is required outside train mode (read it from the state table)")
-        # max(subpart_index) of a dense index == longest sequence: counted before any window
-        target_len = P.max_sequence_length(df)
+        target_len = longest
     # one hash exchange on the part serves every later (part) and (part, subpart) window
     df = df.repartition(P.PART)
     df = P.add_subpart_index(df, order_by)
