@@ -791,3 +791,12 @@ def q_grouped_pandas(spark, sf_dir):
                                   "part_number string, subpart_no double, first_range double, first_median double, "
                                   "n_rows long")
     return rounded(out)
+
+
+@register("event_features_skew_safe", ORACLE["event_features"])
+def q_event_features_skew_safe(spark, sf_dir):
+    """Single-signal features per user with the blocked, skew-safe operator (no window
+    ever holds a whole user; blocks of 16 rows here so every user spans several)."""
+    df = FE.add_signal_features_skew_safe(FX.event_signal(spark, sf_dir), signals=("value",), keys=("user_id",),
+                                          order=("ts", "event_id"), block_rows=16)
+    return rounded(df.select("user_id", "event_id", *[f"value_{f}" for f in FE.FEATURES]))

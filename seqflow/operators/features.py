@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from seqflow.functions.scalar import magnitude
+from seqflow.operators.ordering import ordered_index
 from seqflow.operators.prepare import INDEX, PART, SUBPART, require
 
 # Signal names, feature suffixes and their order in the feature set.
@@ -122,6 +123,85 @@ def add_signal_features(
     return staged.select(*out_cols)
 
 
+def add_signal_features_skew_safe(
+    df: DataFrame,
+    signals: Sequence[str] = SIGNALS,
+    keys: Sequence[str] = DEFAULT_KEYS,
+    order: Sequence[str | Column] = (INDEX,),
+    window_size: int = 3,
+    abs_cumsum: Sequence[str] = (),
+    block_rows: int = 1 << 16,
+    prefix_sep: str = "_",
+) -> DataFrame:
+    """The six features of `add_signal_features` for groups of any size.
+
+    No window sees a whole group: rows get a dense position from the skew-safe
+    `ordered_index`, are cut into blocks of `block_rows` per group, and each block also
+    receives a halo of the 2 neighbouring rows on each side (enough for the gradient of
+    the gradient and a centred frame up to 5 rows). Windows run per (group, block); the
+    group's last row is the one without a successor. Running sums add per-block offsets
+    (a window over the small block-sum table, joined back on (group, block)).
+    Results equal the plain operator up to floating-point summation order.
+    """
+    keys = list(keys)
+    require(df, *keys, *signals)
+    halo = 2
+    lo, hi = centred_frame(window_size)
+    if max(-lo, hi) > halo or block_rows <= 2 * halo:
+        raise ValueError("window_size must be <= 5 and block_rows > 4")
+    cols = list(df.columns)
+    b = ordered_index(df, list(order), keys, name="__sf_i")
+    off = (F.col("__sf_i") - 1) % block_rows
+    empty = F.array().cast("array<int>")
+    shifts = F.concat(F.array(F.lit(0)), F.when(off < halo, F.array(F.lit(-1))).otherwise(empty),
+                      F.when(off >= block_rows - halo, F.array(F.lit(1))).otherwise(empty))
+    home_blk = F.floor((F.col("__sf_i") - 1) / block_rows).cast("long")
+    ex = (b.withColumn("__sf_home", home_blk).withColumn("__sf_shift", F.explode(shifts))
+          .withColumn("__sf_blk", F.col("__sf_home") + F.col("__sf_shift")).where(F.col("__sf_blk") >= 0))
+    wo = Window.partitionBy(*keys, "__sf_blk").orderBy("__sf_i")
+    wm = wo.rowsBetween(lo, hi)
+    first = F.col("__sf_i") == 1
+    last = F.lead(F.lit(1), 1).over(wo).isNull()
+    lvl1 = [F.col(c) for c in ex.columns] + [first.alias("__sf_first"), last.alias("__sf_last")]
+    for s in signals:
+        x = F.col(s).cast("double")
+        lvl1 += [F.lag(x, 1).over(wo).alias(f"__sf_{s}_prev"), F.lead(x, 1).over(wo).alias(f"__sf_{s}_next"),
+                 F.avg(x).over(wm).alias(f"{s}{prefix_sep}moving_average"),
+                 F.stddev_samp(x).over(wm).alias(f"{s}{prefix_sep}moving_std"),
+                 F.when(first, x - x).otherwise(x - F.lag(x, 1).over(wo)).alias(f"{s}{prefix_sep}neighbor_diff")]
+    st = ex.select(*lvl1)
+
+    def grad(x, prev, nxt, fst, lst):
+        return (F.when(fst & lst, F.lit(None).cast("double")).when(fst, nxt - x).when(lst, x - prev)
+                .otherwise((nxt - prev) / 2))
+
+    fst, lst = F.col("__sf_first"), F.col("__sf_last")
+    st = st.select("*", *[grad(F.col(s).cast("double"), F.col(f"__sf_{s}_prev"), F.col(f"__sf_{s}_next"), fst, lst)
+                          .alias(f"{s}{prefix_sep}velocity") for s in signals])
+    st = st.select("*", *[grad(F.col(f"{s}{prefix_sep}velocity"), F.lag(f"{s}{prefix_sep}velocity", 1).over(wo),
+                               F.lead(f"{s}{prefix_sep}velocity", 1).over(wo), fst, lst)
+                          .alias(f"{s}{prefix_sep}acceleration") for s in signals])
+    home = st.where(F.col("__sf_shift") == 0)
+    terms = {s: (F.abs(F.col(f"{s}{prefix_sep}neighbor_diff")) if s in abs_cumsum
+                 else F.col(f"{s}{prefix_sep}neighbor_diff")) for s in signals}
+    sums = home.groupBy(*keys, "__sf_blk").agg(*[F.sum(t).alias(f"__sf_{s}_bs") for s, t in terms.items()])
+    wb = Window.partitionBy(*keys).orderBy("__sf_blk").rowsBetween(Window.unboundedPreceding, -1)
+    offs = sums.select(*keys, "__sf_blk", *[F.coalesce(F.sum(f"__sf_{s}_bs").over(wb), F.lit(0.0))
+                                             .alias(f"__sf_{s}_off") for s in signals])
+    h, o = home.alias("__sf_h"), offs.alias("__sf_o")
+    cond = F.col("__sf_h.__sf_blk") == F.col("__sf_o.__sf_blk")
+    for k in keys:
+        cond = cond & F.col(f"__sf_h.`{k}`").eqNullSafe(F.col(f"__sf_o.`{k}`"))
+    j = h.join(o, cond, "inner").select("__sf_h.*", *[F.col(f"__sf_o.__sf_{s}_off") for s in signals])
+    run = Window.partitionBy(*keys, "__sf_blk").orderBy("__sf_i").rowsBetween(Window.unboundedPreceding,
+                                                                              Window.currentRow)
+    out = j.select("*", *[F.when(F.col(f"{s}{prefix_sep}neighbor_diff").isNotNull(),
+                                 F.col(f"__sf_{s}_off") + F.sum(terms[s]).over(run))
+                          .alias(f"{s}{prefix_sep}neighbor_diff_cumsum") for s in signals])
+    out_cols = cols + [f"{s}{prefix_sep}{f}" for s in signals for f in FEATURES]
+    return out.select(*out_cols)
+
+
 def add_magnitude(df: DataFrame, inputs: Sequence[str] = MAGNITUDE_INPUTS, name: str = "magnitude") -> DataFrame:
     """Op 23: sqrt(a^2 + b^2 + c^2); NULL propagates."""
     require(df, *inputs)

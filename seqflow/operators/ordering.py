@@ -6,7 +6,8 @@ index, a raw source key before any length filter) we number rows the way a Spark
 numbers a sorted dataset: range-partition on (k, o) so a hot key is cut into many
 partitions, count rows per (partition, key), turn the counts into offsets on that small
 table, and add the local position. Work is two scans of the data and one shuffle; the
-offsets table has at most (partitions + keys) rows.
+offsets table has at most (partitions + keys) rows. The numbered rows are checkpointed
+once (an eager write to `spark.checkpoint.dir`), so both uses see the same numbering.
 """
 
 from __future__ import annotations
@@ -16,6 +17,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from seqflow.session import checkpoint_dir
+
 _PID, _POS, _CNT, _FIRST, _OFF = "__sf_pid", "__sf_pos", "__sf_cnt", "__sf_first", "__sf_off"
 
 
@@ -50,6 +53,12 @@ def ordered_index(
         # monotonically_increasing_id = (partition << 33) + position in partition
         .withColumn(_POS, F.monotonically_increasing_id() - F.shiftleft(F.col(_PID).cast("long"), 33))
     )
+    # The partition id and position must be the same values in both branches below.
+    # Two executions of a range exchange may cut ranges differently (column pruning can
+    # stop exchange reuse), so the numbered rows are written once (reliable checkpoint in
+    # the shared `spark.checkpoint.dir`) and both branches read them.
+    checkpoint_dir(df.sparkSession)
+    ranged = ranged.checkpoint(eager=True)
     stats = ranged.groupBy(_PID, *keys).agg(F.count(F.lit(1)).alias(_CNT), F.min(_POS).alias(_FIRST))
     w = Window.partitionBy(*keys).orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
     offsets = stats.select(_PID, *keys, _FIRST, F.coalesce(F.sum(_CNT).over(w), F.lit(0)).alias(_OFF))

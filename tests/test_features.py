@@ -96,3 +96,26 @@ def test_feature_schema_and_conform(spark):
     out = FE.conform_to_schema(df, schema)
     r = out.collect()[0]
     assert r["device"] is None and dict(out.dtypes)["device"] == "string" and dict(out.dtypes)["new_feature"] == "double"
+
+
+def test_skew_safe_features_equal_plain(spark):
+    import random
+    rnd = random.Random(7)
+    rows = []
+    for i in range(1, 400):  # one hot key ...
+        rows.append(("hot", 1.0, float(i), None if i % 37 == 0 else rnd.uniform(-5, 5)))
+    for k in range(5):       # ... and small ones, including a one-row and a two-row group
+        for i in range(1, [1, 2, 9, 10, 23][k] + 1):
+            rows.append((f"k{k}", 1.0, float(i), rnd.uniform(0, 3)))
+    df = spark.createDataFrame(rows, "part_number string, subpart_no double, subpart_index double, x double")
+    for w in (3, 4):
+        plain = FE.add_signal_features(df, signals=("x",), window_size=w, abs_cumsum=("x",))
+        safe = FE.add_signal_features_skew_safe(df, signals=("x",), window_size=w, abs_cumsum=("x",), block_rows=8)
+        assert safe.columns == plain.columns
+        a = {(r["part_number"], r["subpart_index"]): r for r in plain.collect()}
+        b = {(r["part_number"], r["subpart_index"]): r for r in safe.collect()}
+        assert a.keys() == b.keys()
+        for key in a:
+            for c in plain.columns:
+                va, vb = a[key][c], b[key][c]
+                assert (va is None and vb is None) or va == pytest.approx(vb, abs=1e-9), (key, c, va, vb)
