@@ -126,8 +126,9 @@ def split_groups(
     p_train, p_val = split_fractions(train_size, val_size)
     groups = df.groupBy(*keys).agg(F.max(label).alias(label)).withColumn("__sf_h", group_hash(keys, seed))
     ranked = ordered_index(groups, ["__sf_h", *keys], [label], name="__sf_rank", bounded_keys=True)
-    # per-label totals: a label is binary, so this table has a proven bound of 3 rows
-    totals = F.broadcast(groups.groupBy(label).agg(F.count(F.lit(1)).alias("__sf_total")))
+    # per-label totals, read off the numbered (checkpointed) rows instead of re-running the
+    # upstream plan; a label is binary, so this table has a proven bound of 3 rows
+    totals = F.broadcast(ranked.groupBy(label).agg(F.count(F.lit(1)).alias("__sf_total")))
     j = ranked.join(totals, ranked[label].eqNullSafe(totals[label]), "inner").drop(totals[label])
     n_train = F.floor(F.col("__sf_total") * F.lit(p_train))
     n_val = F.floor((F.col("__sf_total") - n_train) * F.lit(p_val))
