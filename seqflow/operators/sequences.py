@@ -168,13 +168,17 @@ def resample_balanced(
     `copy` = 1..copies. Totals per class match N/K in expectation; no driver loop.
     """
     keys = list(keys)
-    w = class_weights(df, label, "__sf_w")
-    stats = df.agg(F.count(F.lit(1)).alias("n"), F.count_distinct(F.coalesce(F.col(label).cast("string"),
-                                                                                   F.lit("<null>"))).alias("k"))
+    require(df, label, *keys)
+    # one class-count aggregate (at most 3 rows: a proven bound) gives the weights, the
+    # number of rows N and the number of classes K; Spark reuses its exchange
+    counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("__sf_cnt"))
+    n_rows = counts.select(F.sum("__sf_cnt")).scalar()
+    k = counts.select(F.count(F.lit(1))).scalar()
     n_draws = (num_samples if isinstance(num_samples, Column)
-               else F.lit(int(num_samples)) if num_samples is not None else stats.select("n").scalar())
-    k = stats.select("k").scalar()
-    e = F.col("__sf_w") * n_draws / k
+               else F.lit(int(num_samples)) if num_samples is not None else n_rows)
+    c = F.broadcast(counts)
+    w = df.join(c, df[label].eqNullSafe(c[label]), "inner").drop(c[label])
+    e = (1.0 / F.col("__sf_cnt")) * n_draws / k
     copies = (F.floor(e) + F.when(uniform(keys, seed) < (e - F.floor(e)), 1).otherwise(0)).cast("int")
-    out = w.withColumn("__sf_copies", copies).where(F.col("__sf_copies") > 0)
-    return out.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("__sf_copies")))).drop("__sf_w", "__sf_copies")
+    out = w.withColumn("__sf_copies", copies).where(F.col("__sf_copies") > 0).drop("__sf_cnt")
+    return out.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("__sf_copies")))).drop("__sf_copies")
