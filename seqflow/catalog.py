@@ -800,3 +800,20 @@ def q_event_features_skew_safe(spark, sf_dir):
     df = FE.add_signal_features_skew_safe(FX.event_signal(spark, sf_dir), signals=("value",), keys=("user_id",),
                                           order=("ts", "event_id"), block_rows=16)
     return rounded(df.select("user_id", "event_id", *[f"value_{f}" for f in FE.FEATURES]))
+
+
+# ---------------------------------------------------------------- mode-dependent sequence preparation
+
+from seqflow.plans import sequences as PS  # noqa: E402
+
+
+@register("prepare_sequences_train", O.sequences_train(_PREP, _T_PREP, _SEQ_FEATURES))
+def q_prepare_sequences_train(spark, sf_dir):
+    """Train mode: chunk the prepared rows into T-step sequences, fit and apply the
+    scaler, nest, weight by class."""
+    df, t = prepare_job_with_length(labelled(spark, sf_dir), order_by=FX.MEASUREMENT_ORDER, mode="train",
+                                    n_subparts=K_SUBPARTS, steps=STEPS)
+    seqs, _ = PS.prepare_sequences(df, "train", _SEQ_FEATURES, t)
+    return rounded(seqs.select(
+        "part_number", "chunk", "subpart_label", "group_id", F.size("features").cast("long").alias("n_steps"),
+        F.aggregate("features", F.lit(0.0), lambda acc, v: acc + v[0]).alias("sum_first_scaled"), "weight"))

@@ -197,3 +197,17 @@ def focal(z: str, y: str, gamma: float = 2.0, alpha: float = 0.5, dynamic: bool
     b = bce(z, y)
     a = f"CASE WHEN {y} = 1.0 THEN {alpha!r} ELSE {1.0 - alpha!r} END" if dynamic else repr(alpha)
     return f"({a} * pow(1 - exp(-{b}), {gamma!r}) * {b})"
+
+
+def sequences_train(src: str, t: str, feats) -> str:
+    """Train-mode sequence preparation: per chunk label, group id, class weight, step
+    count and the sum of the scaled first feature."""
+    stats = ", ".join(f"avg({f}) AS {f}_m, CASE WHEN stddev_pop({f}) = 0 THEN 1.0 ELSE stddev_pop({f}) END AS {f}_s"
+                      for f in feats)
+    f0 = feats[0]
+    return f"""WITH c AS ({chunked(src, t)}), s AS (SELECT {stats} FROM c),
+q AS (SELECT part_number, chunk, max(subpart_label) AS subpart_label, max(group_id) AS group_id,
+        count(*) AS n_steps, sum((c.{f0} - s.{f0}_m) / s.{f0}_s) AS sum_first_scaled
+      FROM c CROSS JOIN s GROUP BY part_number, chunk)
+SELECT part_number, chunk, subpart_label, group_id, n_steps, round(sum_first_scaled, 6) AS sum_first_scaled,
+  round(1.0 / count(*) OVER (PARTITION BY subpart_label), 6) AS weight FROM q"""

@@ -84,3 +84,19 @@ def test_class_weights_and_resample(spark):
     counts = {r[0]: r[1] for r in rs.groupBy("subpart_label").count().collect()}
     assert counts[1.0] == 50  # 10 rows x 5 copies exactly
     assert 40 <= counts[0.0] <= 60
+
+
+def test_prepare_sequences_modes(spark):
+    from seqflow.plans.sequences import prepare_sequences
+    df = _rows(spark, parts=3, n=8)
+    train, params = prepare_sequences(df, "train", ["x"], 4)
+    assert {r["weight"] for r in train.collect()} == {pytest.approx(0.5), pytest.approx(0.25)}
+    score, same = prepare_sequences(df, "score", ["x"], 4, scaler=params)
+    rows = score.collect()
+    assert len(rows) == 6 and {r["subpart_label"] for r in rows} == {0.0}
+    flat = [v for r in train.collect() for step in r["features"] for v in step]
+    assert sum(flat) == pytest.approx(0.0, abs=1e-9)  # centred by the train fit
+    with pytest.raises(ValueError):
+        prepare_sequences(df, "val", ["x"], 4)
+    with pytest.raises(ValueError):
+        prepare_sequences(df, "predict", ["x"], 4, scaler=params)
