@@ -99,9 +99,18 @@ def add_subpart_index(
     part: str = PART,
     subpart: str = SUBPART,
     name: str = INDEX,
+    skew_safe: bool = False,
 ) -> DataFrame:
-    """Op 43: 1-based position (DOUBLE) inside (part, subpart) by an explicit order key."""
+    """Op 43: 1-based position (DOUBLE) inside (part, subpart) by an explicit order key.
+
+    The window assumes bounded sequences (as after `filter_by_length`); `skew_safe=True`
+    numbers rows with the range-partitioned `ordered_index` for raw, possibly hot groups.
+    """
     require(df, part, subpart)
+    if skew_safe:
+        from seqflow.operators.ordering import ordered_index
+        return ordered_index(df, list(order_by), [part, subpart], name=name).withColumn(
+            name, F.col(name).cast("double"))
     w = Window.partitionBy(part, subpart).orderBy(*order_by)
     return df.withColumn(name, F.row_number().over(w).cast("double"))
 
@@ -112,9 +121,15 @@ def add_part_index(
     subpart: str = SUBPART,
     index: str = INDEX,
     name: str = PART_INDEX,
+    skew_safe: bool = False,
 ) -> DataFrame:
-    """Op 44: 1-based position (DOUBLE) inside the part, ordered by (subpart, index)."""
+    """Op 44: 1-based position (DOUBLE) inside the part, ordered by (subpart, index).
+    `skew_safe=True` as in `add_subpart_index`."""
     require(df, part, subpart, index)
+    if skew_safe:
+        from seqflow.operators.ordering import ordered_index
+        return ordered_index(df, [F.col(subpart).asc_nulls_first(), F.col(index)], [part], name=name).withColumn(
+            name, F.col(name).cast("double"))
     w = Window.partitionBy(part).orderBy(F.col(subpart).asc_nulls_first(), F.col(index))
     return df.withColumn(name, F.row_number().over(w).cast("double"))
 

@@ -23,3 +23,30 @@ def ingest_json_with_watermark(raw: DataFrame, last_ts: int) -> tuple[DataFrame,
     """(measurement rows without ts, one-row watermark frame `last_ts, last_part`)."""
     rows = J.extract_measurements(J.unnest_json(J.incremental_filter(raw, last_ts)))
     return J.lower_columns(rows.drop("ts")), watermark_advance(rows)
+
+
+# State keys of the incremental ingest.
+LAST_TS_KEY = "last_file_timestamp_ms"
+LAST_PART_KEY = "last_file_part_number"
+
+
+def run_ingest(spark, raw: DataFrame, state_path: str, out_path: str, last_ts: int | None = None,
+               mode: str = "append") -> int | None:
+    """Op 15 as a job: watermark from the state table (or `last_ts`), ingest the newer
+    rows, write them, then store the new watermark (one row reaches the driver). An empty
+    increment writes nothing and leaves the state as it is. A missing part keeps the
+    stored part (D8). Returns the new watermark or None."""
+    from seqflow.operators import state as ST
+    from seqflow.sources.tables import write_table
+
+    if last_ts is None:
+        last_ts = int(ST.get_value(spark.read.schema(ST.STATE_SCHEMA).parquet(state_path), LAST_TS_KEY))
+    rows, wm = ingest_json_with_watermark(raw, last_ts)
+    top = wm.take(1)
+    if not top:
+        return None
+    write_table(rows, path=out_path, mode=mode)
+    ST.set_value(spark, state_path, LAST_TS_KEY, int(top[0]["last_ts"]))
+    if top[0]["last_part"] is not None:
+        ST.set_value(spark, state_path, LAST_PART_KEY, top[0]["last_part"])
+    return int(top[0]["last_ts"])

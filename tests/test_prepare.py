@@ -100,3 +100,12 @@ def test_missing_column_raises(spark):
     df = spark.createDataFrame([(1.0,)], "x double")
     with pytest.raises(KeyError):
         P.add_part_index(df)
+
+
+def test_skew_safe_indexes_equal_windows(spark):
+    rows = [("hot", float(1 + i % 2), i) for i in range(500)] + [("c", 1.0, i) for i in range(7)]
+    df = spark.createDataFrame(rows, "part_number string, subpart_no double, t int")
+    a = P.add_part_index(P.add_subpart_index(df, ["t"]))
+    b = P.add_part_index(P.add_subpart_index(df, ["t"], skew_safe=True), skew_safe=True)
+    assert sorted(map(tuple, a.select("part_number", "t", "subpart_index", "part_index").collect()), key=str) == \
+        sorted(map(tuple, b.select("part_number", "t", "subpart_index", "part_index").collect()), key=str)

@@ -100,3 +100,14 @@ def test_csv_folder_edge_files(spark, tmp_dir):
 def test_csv_schema_collision_rejected():
     with pytest.raises(ValueError):
         CSV.column_positions(["device", "part_number"] + [f"f{i}" for i in range(11)])
+
+
+def test_run_ingest_with_state(spark, tmp_dir):
+    state, out = os.path.join(tmp_dir, "state"), os.path.join(tmp_dir, "out")
+    ST.set_value(spark, state, IG.LAST_TS_KEY, 12)
+    assert IG.run_ingest(spark, raw(spark), state, out) == 20
+    st = spark.read.parquet(state)
+    assert ST.get_value(st, IG.LAST_TS_KEY) == 20 and ST.get_value(st, IG.LAST_PART_KEY) == "P8"
+    assert spark.read.parquet(out).count() == 5
+    assert IG.run_ingest(spark, raw(spark), state, out) is None  # nothing newer: no write, state kept
+    assert spark.read.parquet(out).count() == 5
