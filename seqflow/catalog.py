@@ -37,8 +37,8 @@ def register(name: str, sql: str | None = None):
 
 
 def rounded(df: DataFrame) -> DataFrame:
-    """Round every DOUBLE column to R places."""
-    return df.select(*[F.round(F.col(f.name), R).alias(f.name) if f.dataType.typeName() == "double"
+    """Round every DOUBLE column to R places (sample std columns: see `oracle.R_STD`)."""
+    return df.select(*[F.round(F.col(f.name), O.places(f.name)).alias(f.name) if f.dataType.typeName() == "double"
                        else F.col(f.name) for f in df.schema.fields])
 
 
@@ -492,7 +492,9 @@ def _scored(spark, sf_dir):
     return ev.select(
         F.col("event_type").alias("machine"), F.col("user_id").cast("string").alias("part_number"),
         (F.col("event_id") % 7 + 1).cast("double").alias("subpart_no"), (v / (1 + v)).alias("prob"),
-        F.log(v).alias("logit"), F.when(F.col("event_type") == "purchase", 1.0).otherwise(0.0).alias("real_label"),
+        # logit of p = v / (1 + v), undefined (NULL) at v = 0
+        F.when(v > 0, F.log(v)).alias("logit"),
+        F.when(F.col("event_type") == "purchase", 1.0).otherwise(0.0).alias("real_label"),
         "user_id", "ts", "event_id")
 
 
