@@ -31,11 +31,13 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by `spark.checkpoint.dir`.
 
-    On a cluster this must be set (a shared file system); only when it is unset, as in
-    local tests, a fresh folder under the system temp dir is used and recorded.
+    On a cluster this must be set (a shared file system) and an unset value is an error;
+    only in local mode, as in tests, a fresh folder under the system temp dir is used.
     """
     d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not d:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
         d = tempfile.mkdtemp(prefix="seqflow-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     spark.sparkContext.setCheckpointDir(d)
