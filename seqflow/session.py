@@ -22,7 +22,10 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
           .config("spark.sql.adaptive.skewJoin.enabled", "true")
           .config("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
           .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-          .config("spark.sql.session.timeZone", "UTC"))
+          .config("spark.sql.session.timeZone", "UTC")
+          # checkpoints cut lineage inside jobs (ranked numbering, ML fits); remove their
+          # files once the checkpointed data is no longer referenced
+          .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true"))
     if shuffle_partitions:
         b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     return b.getOrCreate()
