@@ -67,7 +67,7 @@ _SUMMARY_SQL_COLS = """part_number,
   round(avg(first_param_velocity), 6) AS avg_first_velocity,
   round(avg(second_param_acceleration), 6) AS avg_second_acceleration,
   round(avg(third_param_moving_average), 6) AS avg_third_moving_average,
-  round(max(first_param_moving_std), 6) AS max_first_moving_std,
+  round(max(first_param_moving_std), 4) AS max_first_moving_std,
   round(sum(second_param_neighbor_diff), 6) AS sum_second_neighbor_diff,
   round(max(first_param_neighbor_diff_cumsum), 6) AS max_first_diff_cumsum,
   round(avg(magnitude), 6) AS avg_magnitude"""

@@ -162,7 +162,8 @@ def pad_to_length(
     keys = list(keys)
     require(df, index, *keys)
     t = target_len if isinstance(target_len, Column) else F.lit(int(target_len))
-    w = Window.partitionBy(*keys).orderBy(index).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    # count and max over the whole sequence need no ordering, so no extra sort
+    w = Window.partitionBy(*keys)
     idx = F.col(index)
     n = F.count(F.lit(1)).over(w)
     last = F.max(idx).over(w)
