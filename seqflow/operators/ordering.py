@@ -22,10 +22,6 @@ from seqflow.session import checkpoint_dir
 _PID, _POS, _CNT, _FIRST, _OFF = "__sf_pid", "__sf_pos", "__sf_cnt", "__sf_first", "__sf_off"
 
 
-def _shuffle_partitions(df: DataFrame) -> int:
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-
-
 def ordered_index(
     df: DataFrame,
     order_by: Sequence[str | Column],
@@ -45,9 +41,12 @@ def ordered_index(
     (partition id, key), which still spreads a hot key over all its partitions.
     """
     keys = list(partition_by)
-    n = num_partitions or _shuffle_partitions(df)
+    # Without an explicit count the range exchange uses spark.sql.shuffle.partitions and AQE
+    # may coalesce neighbouring ranges (still contiguous and ordered); size the shuffle
+    # partitions to the data, or pass num_partitions.
+    parts = (num_partitions,) if num_partitions else ()
     ranged = (
-        df.repartitionByRange(n, *keys, *order_by)
+        df.repartitionByRange(*parts, *keys, *order_by)
         .sortWithinPartitions(*keys, *order_by)
         .withColumn(_PID, F.spark_partition_id())
         # monotonically_increasing_id = (partition << 33) + position in partition
