@@ -109,3 +109,17 @@ def test_skew_safe_indexes_equal_windows(spark):
     b = P.add_part_index(P.add_subpart_index(df, ["t"], skew_safe=True), skew_safe=True)
     assert sorted(map(tuple, a.select("part_number", "t", "subpart_index", "part_index").collect()), key=str) == \
         sorted(map(tuple, b.select("part_number", "t", "subpart_index", "part_index").collect()), key=str)
+
+
+def test_empty_inputs_give_typed_empty_outputs(spark):
+    from seqflow.plans.features import feature_job
+    from seqflow.plans.prepare import prepare_job
+    schema = ("part_number string, subpart_no double, t int, first_param double, second_param double, "
+              "third_param double, subpart_label string")
+    empty = spark.createDataFrame([], schema)
+    prep = prepare_job(empty, order_by=["t"], mode="train", n_subparts=1, steps=5)
+    assert prep.count() == 0 and "part_index" in prep.columns
+    feats = feature_job(prep, ["row_index", "first_param_velocity", "device"])
+    assert feats.count() == 0
+    types = dict(feats.dtypes)
+    assert types["magnitude"] == "double" and types["row_index"] == "double" and types["device"] == "string"

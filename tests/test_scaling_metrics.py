@@ -92,3 +92,14 @@ def test_recall_trigger_and_rebalance(spark):
     w = spark.createDataFrame([(0.1,), (0.01,), (0.01,)], "weight double")
     got = sorted(r[0] for r in RL.rebalance_weights(w, factor=1.1).collect())
     assert got == [pytest.approx(0.009), pytest.approx(0.009), pytest.approx(0.11)]
+
+
+def test_persist_fit_records_id(spark, tmp_dir):
+    import os
+
+    from seqflow.operators import state as ST
+    df = spark.createDataFrame([(1.0,), (3.0,)], "a double")
+    sid = SC.persist_fit(spark, SC.fit_scaler(df, ["a"]), os.path.join(tmp_dir, "sc"), os.path.join(tmp_dir, "st"))
+    st = spark.read.parquet(os.path.join(tmp_dir, "st"))
+    assert ST.get_value(st, "last_scaler_id") == sid
+    assert SC.load_scaler(spark, os.path.join(tmp_dir, "sc"), sid).collect()[0]["mean"] == 2.0
