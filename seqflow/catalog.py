@@ -57,6 +57,13 @@ def prepared_train(spark: SparkSession, sf_dir: str) -> DataFrame:
                        n_subparts=K_SUBPARTS, steps=STEPS)
 
 
+def prepared_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The prepared train table written once (checkpoint in spark.checkpoint.dir), for
+    queries that read it more than once (fit then apply, counts then rows)."""
+    from seqflow.session import materialize
+    return materialize(prepared_train(spark, sf_dir))
+
+
 # ---------------------------------------------------------------- flagship
 
 _SUMMARY_SQL_COLS = """part_number,
@@ -367,7 +374,7 @@ def q_split_groups(spark, sf_dir):
           "SELECT part_number, subpart_no, round(1.0 / count(*) OVER (PARTITION BY subpart_label), 6) AS weight "
           f"FROM ({O.groups_of(_PREP)})")
 def q_class_weights(spark, sf_dir):
-    g = prepared_train(spark, sf_dir).groupBy("part_number", "subpart_no").agg(F.max("subpart_label").alias("subpart_label"))
+    g = prepared_table(spark, sf_dir).groupBy("part_number", "subpart_no").agg(F.max("subpart_label").alias("subpart_label"))
     return rounded(SQ.class_weights(g).select("part_number", "subpart_no", "weight"))
 
 
@@ -376,7 +383,7 @@ def q_class_weights(spark, sf_dir):
           f"FROM ({O.groups_of(_PREP)})) SELECT part_number, subpart_no, round(CASE WHEN weight > (SELECT avg(weight) "
           "FROM w) THEN weight * 1.1 ELSE weight * (2 - 1.1) END, 6) AS weight FROM w")
 def q_rebalance_weights(spark, sf_dir):
-    g = prepared_train(spark, sf_dir).groupBy("part_number", "subpart_no").agg(F.max("subpart_label").alias("subpart_label"))
+    g = prepared_table(spark, sf_dir).groupBy("part_number", "subpart_no").agg(F.max("subpart_label").alias("subpart_label"))
     w = SQ.class_weights(g).select("part_number", "subpart_no", "weight")
     return rounded(RL.rebalance_weights(w, "weight", 1.1))
 
@@ -389,7 +396,7 @@ def q_rebalance_weights(spark, sf_dir):
           "(count(*) OVER ()) / (SELECT count(DISTINCT coalesce(CAST(subpart_label AS VARCHAR), '<null>')) FROM "
           f"({O.groups_of(_PREP)})) AS e FROM ({O.groups_of(_PREP)}))) WHERE copies > 0)")
 def q_resample(spark, sf_dir):
-    g = prepared_train(spark, sf_dir).groupBy("part_number", "subpart_no").agg(F.max("subpart_label").alias("subpart_label"))
+    g = prepared_table(spark, sf_dir).groupBy("part_number", "subpart_no").agg(F.max("subpart_label").alias("subpart_label"))
     out = SQ.resample_balanced(g, ["part_number", "subpart_no"], seed=42)
     return out.select("part_number", "subpart_no", "subpart_label", F.col("copy").cast("long").alias("copy"))
 
@@ -423,7 +430,7 @@ def _scaled_sql() -> str:
           "SELECT part_number, subpart_index, " + ", ".join(O.rnd(f, f) for f in _SCALE_FEATS)
           + f" FROM ({_scaled_sql()})")
 def q_scaler_apply(spark, sf_dir):
-    df = prepared_train(spark, sf_dir)
+    df = prepared_table(spark, sf_dir)
     params = SC.fit_scaler(df, _SCALE_FEATS, "train")
     out = SC.apply_scaler(df.withColumn("__raw_subpart", F.col("subpart_no")), params, _SCALE_FEATS)
     return rounded(out.select("part_number", "subpart_index", *_SCALE_FEATS))
@@ -435,7 +442,7 @@ def q_scaler_apply(spark, sf_dir):
           "round_even(avg((p.subpart_no - s.m) / s.sd) * s.sd + s.m, 0) AS subpart_no_inv "
           "FROM p CROSS JOIN s GROUP BY part_number, p.subpart_no, s.m, s.sd")
 def q_scaler_inverse(spark, sf_dir):
-    df = prepared_train(spark, sf_dir).withColumn("raw_subpart", F.col("subpart_no"))
+    df = prepared_table(spark, sf_dir).withColumn("raw_subpart", F.col("subpart_no"))
     params = SC.fit_scaler(df, ["subpart_no"], "train")
     scaled = SC.apply_scaler(df, params, ["subpart_no"])
     per_seq = scaled.groupBy("part_number", "raw_subpart").agg(F.avg("subpart_no").alias("m"))
@@ -813,9 +820,8 @@ from seqflow.plans import sequences as PS  # noqa: E402
 def q_prepare_sequences_train(spark, sf_dir):
     """Train mode: chunk the prepared rows into T-step sequences, fit and apply the
     scaler, nest, weight by class."""
-    df, t = prepare_job_with_length(labelled(spark, sf_dir), order_by=FX.MEASUREMENT_ORDER, mode="train",
-                                    n_subparts=K_SUBPARTS, steps=STEPS)
-    seqs, _ = PS.prepare_sequences(df, "train", _SEQ_FEATURES, t)
+    df = prepared_table(spark, sf_dir)  # read three times: T, the scaler fit, the rows
+    seqs, _ = PS.prepare_sequences(df, "train", _SEQ_FEATURES, P.column_max(df, "subpart_index"))
     return rounded(seqs.select(
         "part_number", "chunk", "subpart_label", "group_id", F.size("features").cast("long").alias("n_steps"),
         F.aggregate("features", F.lit(0.0), lambda acc, v: acc + v[0]).alias("sum_first_scaled"), "weight"))

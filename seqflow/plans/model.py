@@ -17,15 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from seqflow.functions.scalar import threshold_label
-from seqflow.session import checkpoint_dir
-
-
-def materialize(df: DataFrame) -> DataFrame:
-    """Cut the lineage before an iterative fit: a reliable checkpoint in the shared
-    `spark.checkpoint.dir`, so every iteration (and a lost executor) reads the written
-    rows instead of re-running the upstream plan."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+from seqflow.session import materialize  # noqa: F401  (iterative fits read checkpointed rows)
 
 
 def sequence_vectors(nested: DataFrame, features: str = "features", out: str = "x") -> DataFrame:

@@ -50,3 +50,11 @@ def checkpoint_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A path for intermediate tables under the shared checkpoint folder."""
     return os.path.join(checkpoint_dir(spark), name)
+
+
+def materialize(df):
+    """Cut the lineage at a job boundary: a reliable checkpoint in the shared
+    `spark.checkpoint.dir` (eager). Later consumers, and a lost executor, read the written
+    rows instead of re-running the upstream plan."""
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
