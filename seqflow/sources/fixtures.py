@@ -14,6 +14,15 @@ from pyspark.sql import functions as F
 ORDER_KEY = ("l_shipdate", "l_orderkey", "l_partkey", "l_extendedprice")
 
 
+def epoch_millis(df: DataFrame, column: str):
+    """Epoch milliseconds of a timestamp column, independent of the session time zone:
+    a TIMESTAMP_NTZ (wall clock as stored) is measured from the NTZ epoch, a TIMESTAMP
+    (an instant) with unix_millis."""
+    if df.schema[column].dataType.typeName() == "timestamp_ntz":
+        return F.expr(f"timestampdiff(MILLISECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', `{column}`)")
+    return F.unix_millis(F.col(column))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Op 1 on the fixture layout: one Parquet file per table."""
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
@@ -69,7 +78,7 @@ def json_source(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_partkey").cast("double").alias("PROCESS_PART_TEMPERATURE_A"),
         F.col("l_orderkey").cast("double").alias("PROCESS_PART_TEMPERATURE_B"),
     )
-    ms = F.unix_millis(F.col("l_shipdate").cast("timestamp"))
+    ms = epoch_millis(li, "l_shipdate")
     return (
         li.groupBy("l_suppkey", "l_orderkey")
         .agg(
