@@ -101,43 +101,48 @@ def write_csv_folders(spark: SparkSession, sf_dir: str, root: str) -> tuple[str,
     task: `<root>/OK/B_<task>_<line>_<supplier>_z.csv` and
     `<root>/NG/A_<task>_<line>_<supplier>_<valves>.csv` (header line + column line).
 
-    Rows are hash-partitioned by file key and streamed into files by `mapInPandas`; no
-    group is buffered, and a task that re-runs truncates and rewrites its own files.
+    Rows are hash-partitioned by file key and sorted, then streamed by `mapInPandas` into
+    one open file at a time through `pyarrow.fs` (local, HDFS or object-store URIs); no
+    group is buffered, and a task that re-runs rewrites its own files.
     Returns (ok_folder, ng_folder)."""
-    import os
-
     m = measurements(spark, sf_dir)
     src = (m.repartition("part_number", "subpart_no")
            .sortWithinPartitions("part_number", "subpart_no", *MEASUREMENT_ORDER)
            .select("part_number", "subpart_no", "first_param", "second_param", "third_param", "machine_position",
                    F.col("l_partkey").cast("double").alias("temp_a"), F.col("l_orderkey").cast("double").alias("temp_b"),
                    "files_type", "valve_raw"))
-    ok_dir, ng_dir = os.path.join(root, "OK"), os.path.join(root, "NG")
+    ok_dir, ng_dir = f"{root.rstrip('/')}/OK", f"{root.rstrip('/')}/NG"
 
     def write(batches):
         import pandas as pd
+        from pyarrow import fs as pafs
         from pyspark import TaskContext
 
-        os.makedirs(ok_dir, exist_ok=True)
-        os.makedirs(ng_dir, exist_ok=True)
+        filesystem, ok_path = pafs.FileSystem.from_uri(ok_dir)
+        ng_path = pafs.FileSystem.from_uri(ng_dir)[1]
+        filesystem.create_dir(ok_path, recursive=True)
+        filesystem.create_dir(ng_path, recursive=True)
         pid = TaskContext.get().partitionId()
-        seen: set[str] = set()
+        current, stream, written = None, None, 0
         for pdf in batches:
-            for (part, sub, ft, valve), g in pdf.groupby(["part_number", "subpart_no", "files_type", "valve_raw"],
-                                                         dropna=False, sort=False):
-                if ft == "NG":
-                    path = os.path.join(ng_dir, f"A_{pid}_{int(sub)}_{part}_{valve}.csv")
-                else:
-                    path = os.path.join(ok_dir, f"B_{pid}_{int(sub)}_{part}_z.csv")
-                first = path not in seen
-                seen.add(path)
-                with open(path, "w" if first else "a", encoding="latin-1", newline="") as fh:
-                    if first:
-                        fh.write(CSV_TITLE + "\r\n" + CSV_HEADER + "\r\n")
-                    for r in g.itertuples(index=False):
-                        fh.write(f"{r.subpart_no!r},{r.machine_position!r},{r.third_param!r},{r.second_param!r},"
-                                 f"{r.first_param!r},,,,,,{r.temp_a!r},{r.temp_b!r}\r\n")
-            yield pd.DataFrame({"files": [len(seen)]})
+            for r in pdf.itertuples(index=False):
+                key = (r.part_number, r.subpart_no)
+                if key != current:
+                    if stream is not None:
+                        stream.close()
+                    if r.files_type == "NG":
+                        path = f"{ng_path}/A_{pid}_{int(r.subpart_no)}_{r.part_number}_{r.valve_raw}.csv"
+                    else:
+                        path = f"{ok_path}/B_{pid}_{int(r.subpart_no)}_{r.part_number}_z.csv"
+                    stream = filesystem.open_output_stream(path)
+                    stream.write((CSV_TITLE + "\r\n" + CSV_HEADER + "\r\n").encode("latin-1"))
+                    current, written = key, written + 1
+                line = (f"{r.subpart_no!r},{r.machine_position!r},{r.third_param!r},{r.second_param!r},"
+                        f"{r.first_param!r},,,,,,{r.temp_a!r},{r.temp_b!r}\r\n")
+                stream.write(line.encode("latin-1"))
+        if stream is not None:
+            stream.close()
+        yield pd.DataFrame({"files": [written]})
 
     src.mapInPandas(write, "files long").write.format("noop").mode("overwrite").save()
     return ok_dir, ng_dir
