@@ -341,14 +341,14 @@ def _chunked(spark, sf_dir):
     # T = the padding length of the prepare job (every prepared sequence has T rows)
     df, t = prepare_job_with_length(labelled(spark, sf_dir), order_by=FX.MEASUREMENT_ORDER, mode="train",
                                     n_subparts=K_SUBPARTS, steps=STEPS)
-    return SQ.chunk_rows(df, t)
+    return SQ.chunk_rows(df, t, by=("part_number",))  # the part as one stream (source-compatible)
 
 
 @register("chunk_sequences",
           "SELECT part_number, chunk, count(*) AS n_steps, max(subpart_label) AS subpart_label, max(group_id) AS "
           f"group_id, round(sum(first_param), 6) AS sum_first FROM ({O.chunked(_PREP, _T_PREP)}) GROUP BY 1, 2")
 def q_chunk_sequences(spark, sf_dir):
-    nested = SQ.nest_sequences(_chunked(spark, sf_dir), _SEQ_FEATURES)
+    nested = SQ.nest_sequences(_chunked(spark, sf_dir), _SEQ_FEATURES, by=("part_number",))
     return rounded(nested.select(
         "part_number", "chunk", F.size("features").cast("long").alias("n_steps"), "subpart_label", "group_id",
         F.aggregate("features", F.lit(0.0), lambda acc, v: acc + v[0]).alias("sum_first")))
@@ -358,7 +358,7 @@ def q_chunk_sequences(spark, sf_dir):
           "SELECT part_number, chunk, step, subpart_label, group_id, " + ", ".join(O.rnd(f, f) for f in _SEQ_FEATURES)
           + f" FROM ({O.chunked(_PREP, _T_PREP)})")
 def q_unnest_sequences(spark, sf_dir):
-    nested = SQ.nest_sequences(_chunked(spark, sf_dir), _SEQ_FEATURES)
+    nested = SQ.nest_sequences(_chunked(spark, sf_dir), _SEQ_FEATURES, by=("part_number",))
     return rounded(SQ.unnest_sequences(nested, _SEQ_FEATURES))
 
 
@@ -752,7 +752,7 @@ from seqflow.plans import model as MD  # noqa: E402
 
 
 def _nested_with_split(spark, sf_dir):
-    nested = SQ.nest_sequences(_chunked(spark, sf_dir), _SEQ_FEATURES)
+    nested = SQ.nest_sequences(_chunked(spark, sf_dir), _SEQ_FEATURES, by=("part_number",))
     groups = SQ.split_groups(nested, keys=("part_number", "chunk"), train_size=0.75, val_size=0.1)
     return MD.materialize(nested.join(groups.select("part_number", "chunk", "split"), ["part_number", "chunk"]))
 
@@ -821,7 +821,8 @@ def q_prepare_sequences_train(spark, sf_dir):
     """Train mode: chunk the prepared rows into T-step sequences, fit and apply the
     scaler, nest, weight by class."""
     df = prepared_table(spark, sf_dir)  # read three times: T, the scaler fit, the rows
-    seqs, _ = PS.prepare_sequences(df, "train", _SEQ_FEATURES, P.column_max(df, "subpart_index"))
+    seqs, _ = PS.prepare_sequences(df, "train", _SEQ_FEATURES, P.column_max(df, "subpart_index"),
+                                   by=("part_number",))
     return rounded(seqs.select(
         "part_number", "chunk", "subpart_label", "group_id", F.size("features").cast("long").alias("n_steps"),
         F.aggregate("features", F.lit(0.0), lambda acc, v: acc + v[0]).alias("sum_first_scaled"), "weight"))

@@ -22,7 +22,7 @@ CHUNK, STEP, GROUP_ID = "chunk", "step", "group_id"
 def chunk_rows(
     df: DataFrame,
     seq_len: int | Column,
-    by: Sequence[str] = (PART,),
+    by: Sequence[str] = (PART, SUBPART),
     order: Sequence[str | Column] = (PART_INDEX,),
     label: str | None = LABEL,
     subpart: str = SUBPART,
@@ -33,7 +33,9 @@ def chunk_rows(
     the chunk's last row.
 
     The row number (not `part_index`, which has gaps after label exclusion or a split)
-    defines the windows.
+    defines the windows. The default chunks each (part, subpart) sequence on its own, so a
+    sequence longer than T never shifts the chunks of the next one; `by=("part_number",)`
+    chunks the part as one stream, as the source system does.
     """
     by = list(by)
     require(df, *by)
@@ -61,7 +63,7 @@ def chunk_rows(
 def nest_sequences(
     chunked: DataFrame,
     features: Sequence[str],
-    by: Sequence[str] = (PART,),
+    by: Sequence[str] = (PART, SUBPART),
     label: str | None = LABEL,
 ) -> DataFrame:
     """Op 64 (2-D -> 3-D): one row per (by, chunk) with `features ARRAY<ARRAY<DOUBLE>>`

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from seqflow.operators import scaling as SC
 from seqflow.operators import sequences as SQ
-from seqflow.operators.prepare import LABEL, PART, PART_INDEX
+from seqflow.operators.prepare import LABEL, PART, PART_INDEX, SUBPART
 
 MODES = ("train", "val", "test", "score")
 
@@ -29,7 +29,7 @@ def prepare_sequences(
     scaler: DataFrame | None = None,
     scaler_id: str = "train",
     label: str = LABEL,
-    by: Sequence[str] = (PART,),
+    by: Sequence[str] = (PART, SUBPART),
     order: Sequence[str | Column] = (PART_INDEX,),
 ) -> tuple[DataFrame, DataFrame]:
     if mode not in MODES:

@@ -35,15 +35,29 @@ def _rows(spark, parts=2, n=10):
 
 
 def test_chunks_drop_tail_and_take_last_row(spark):
-    ch = SQ.chunk_rows(_rows(spark), 4).where(F.col("part_number") == "p0").orderBy("chunk", "step").collect()
+    ch = SQ.chunk_rows(_rows(spark), 4, by=("part_number",)).where(F.col("part_number") == "p0").orderBy(
+        "chunk", "step").collect()
     assert len(ch) == 8  # 10 rows -> 2 chunks of 4, tail of 2 dropped
     assert {r["group_id"] for r in ch if r["chunk"] == 1} == {"p0#2.0"}
     assert {r["group_id"] for r in ch if r["chunk"] == 0} == {"p0#1.0"}
 
 
+def test_chunks_per_sequence_do_not_drift(spark):
+    # part p: subpart 1 has 6 rows (longer than T = 4), subpart 2 has 4 rows
+    rows = [("p", 1.0, float(i), float(i), 0.0) for i in range(1, 7)] + [("p", 2.0, float(i), float(i), 1.0)
+                                                                         for i in range(7, 11)]
+    df = spark.createDataFrame(rows, "part_number string, subpart_no double, part_index double, x double, "
+                                     "subpart_label double")
+    per_seq = {(r["subpart_no"], r["chunk"]) for r in SQ.chunk_rows(df, 4).collect()}
+    assert per_seq == {(1.0, 0), (2.0, 0)}  # subpart 2 stays one whole chunk
+    per_part = SQ.chunk_rows(df, 4, by=("part_number",)).where(F.col("chunk") == 1).collect()
+    assert sorted(r["x"] for r in per_part) == [5.0, 6.0, 7.0, 8.0]  # the stream drifts across subparts
+    assert {r["group_id"] for r in per_part} == {"p#2.0"}
+
+
 def test_nest_unnest_identity(spark):
-    ch = SQ.chunk_rows(_rows(spark), 4)
-    nested = SQ.nest_sequences(ch, ["x"])
+    ch = SQ.chunk_rows(_rows(spark), 4, by=("part_number",))
+    nested = SQ.nest_sequences(ch, ["x"], by=("part_number",))
     back = SQ.unnest_sequences(nested, ["x"])
     a = sorted((r["part_number"], r["chunk"], r["step"], r["x"]) for r in ch.collect())
     b = sorted((r["part_number"], r["chunk"], r["step"], r["x"]) for r in back.collect())
