@@ -9,15 +9,28 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from seqflow import oracle as O
 from seqflow.functions.scalar import subpart_status, valid_valve
 from seqflow.operators import features as FE
+from seqflow.operators import metrics as ME
 from seqflow.operators import prepare as P
+from seqflow.operators import runlogs as RL
+from seqflow.operators import scaling as SC
+from seqflow.operators import sequences as SQ
+from seqflow.operators import state as ST
+from seqflow.operators.ordering import add_row_index
+from seqflow.plans import ingest as IG
+from seqflow.plans import model as MD
+from seqflow.plans import sequences as PS
 from seqflow.plans.prepare import prepare_job, prepare_job_with_length
+from seqflow.sources import csv_folder as CSV
 from seqflow.sources import fixtures as FX
+from seqflow.sources import json_source as J
+from seqflow.streaming import ingest as SI
+from seqflow.streaming import score as SS
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -284,8 +297,7 @@ def q_distinct_groups(spark, sf_dir):
 
 
 @register("count_sequences",
-          "SELECT count(*) AS n_sequences FROM (SELECT DISTINCT part_number, subpart_no FROM lineitem_m)"
-          .replace("lineitem_m", f"({O.measure()})"))
+          f"SELECT count(*) AS n_sequences FROM (SELECT DISTINCT part_number, subpart_no FROM ({O.measure()}))")
 def q_count_sequences(spark, sf_dir):
     return FE.count_sequences(FX.measurements(spark, sf_dir))
 
@@ -307,7 +319,6 @@ def q_union_sources(spark, sf_dir):
           "SELECT part_number, l_orderkey, l_partkey, row_number() OVER (ORDER BY part_number, subpart_no, "
           f"l_shipdate, l_orderkey, l_partkey, second_param) - 1 AS row_index FROM ({O.measure()})")
 def q_row_index(spark, sf_dir):
-    from seqflow.operators.ordering import add_row_index
     df = add_row_index(FX.measurements(spark, sf_dir), ["part_number", "subpart_no", *FX.MEASUREMENT_ORDER])
     return df.select("part_number", "l_orderkey", "l_partkey", "row_index")
 
@@ -324,13 +335,6 @@ def q_conform_schema(spark, sf_dir):
 
 # ---------------------------------------------------------------- sequences and splits
 
-from seqflow.operators import sequences as SQ  # noqa: E402
-from seqflow.operators import scaling as SC  # noqa: E402
-from seqflow.operators import metrics as ME  # noqa: E402
-from seqflow.operators import runlogs as RL  # noqa: E402
-from seqflow.operators import state as ST  # noqa: E402
-from seqflow.sources import json_source as J  # noqa: E402
-from seqflow.plans import ingest as IG  # noqa: E402
 
 _PREP = O.prepared_train()
 _T_PREP = f"SELECT max(subpart_index) FROM ({_PREP})"
@@ -544,8 +548,7 @@ def q_loss_means(spark, sf_dir):
 
 def _runlog(spark, sf_dir):
     ev = FX.table(spark, sf_dir, "events")
-    w = F.row_number().over(__import__("pyspark.sql", fromlist=["Window"]).Window.partitionBy("user_id")
-                            .orderBy("ts", "event_id"))
+    w = F.row_number().over(Window.partitionBy("user_id").orderBy("ts", "event_id"))
     e = F.col("event_id")
     return ev.select(
         F.col("user_id").cast("string").alias("run_id"), w.cast("long").alias("epoch"),
@@ -667,7 +670,6 @@ def q_watermark_advance(spark, sf_dir):
 
 # ---------------------------------------------------------------- positional CSV folders
 
-from seqflow.sources import csv_folder as CSV  # noqa: E402
 
 
 @register("csv_folder_ingest",
@@ -693,8 +695,6 @@ def q_csv_folder_ingest(spark, sf_dir):
 
 # ---------------------------------------------------------------- streaming
 
-from seqflow.streaming import ingest as SI  # noqa: E402
-from seqflow.streaming import score as SS  # noqa: E402
 
 
 @register("stream_ingest", ORACLE["json_extract"])
@@ -748,7 +748,6 @@ def q_stream_prepare_features(spark, sf_dir):
 
 # ---------------------------------------------------------------- model jobs and pandas UDF surface
 
-from seqflow.plans import model as MD  # noqa: E402
 
 
 def _nested_with_split(spark, sf_dir):
@@ -813,7 +812,6 @@ def q_event_features_skew_safe(spark, sf_dir):
 
 # ---------------------------------------------------------------- mode-dependent sequence preparation
 
-from seqflow.plans import sequences as PS  # noqa: E402
 
 
 @register("prepare_sequences_train", O.sequences_train(_PREP, _T_PREP, _SEQ_FEATURES))
