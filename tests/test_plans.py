@@ -39,3 +39,28 @@ def test_no_python_in_native_queries(spark):
     for name in ("feature_set", "split_groups", "chunk_sequences", "scaler_apply", "best_epoch", "ingest_job"):
         text = plan(C.QUERIES[name](spark, SF_SMALL))
         assert "PythonUDF" not in text and "ArrowEvalPython" not in text and "BatchEvalPython" not in text, name
+
+
+def test_no_window_over_the_label_alone(spark):
+    from seqflow.operators import sequences as SQ
+    df = C.prepared_train(spark, SF_SMALL)
+    text = plan(SQ.split_groups(df))
+    # the label is a partition key only of the small offsets window, never of a window over the groups
+    for line in text.split("\n"):
+        if "Window [" in line and "row_number()" in line:
+            assert "windowspecdefinition(subpart_label" not in line
+
+
+def test_prepare_windows_keyed_by_part(spark):
+    df = FE.add_all_features(C.prepared_train(spark, SF_SMALL))
+    for line in plan(df).split("\n"):
+        if "Window [" in line and "__sf_c" not in line:
+            assert "windowspecdefinition(part_number#" in line, line[:200]
+
+
+def test_global_row_index_has_no_single_partition_window(spark):
+    from seqflow.operators.ordering import add_row_index
+    df = add_row_index(FX.measurements(spark, SF_SMALL), ["part_number", "subpart_no", *FX.MEASUREMENT_ORDER])
+    text = plan(df)
+    assert "row_number()" not in text          # positions come from the range numbering, not a window
+    assert "BroadcastExchange" in text         # the offsets table (one row per range partition) is broadcast
