@@ -191,7 +191,7 @@ def scored_events() -> str:
     return """SELECT event_type AS machine, CAST(user_id AS VARCHAR) AS part_number,
   CAST(event_id % 7 + 1 AS DOUBLE) AS subpart_no, value / (1 + value) AS prob,
   CASE WHEN value > 0 THEN ln(value) END AS logit,
-  CASE WHEN event_type = 'purchase' THEN 1.0 ELSE 0.0 END AS real_label, user_id, ts, event_id
+  CAST(CASE WHEN event_type = 'purchase' THEN 1.0 ELSE 0.0 END AS DOUBLE) AS real_label, user_id, ts, event_id
 FROM events"""
 
 
