@@ -38,11 +38,19 @@ def con():
     return c
 
 
+SAME_TYPE = {("int", "INTEGER"), ("bigint", "BIGINT"), ("double", "DOUBLE"), ("string", "VARCHAR"),
+             ("boolean", "BOOLEAN")}
+
+
 @pytest.mark.parametrize("name", sorted(SQL))
 def test_query_matches_oracle(spark, con, name):
-    got = E.queries()[name](spark, SF_SMALL).toPandas()
+    sdf = E.queries()[name](spark, SF_SMALL)
+    got = sdf.toPandas()
     exp = con.execute(SQL[name]).df()
     assert _rows(got) == _rows(exp)
+    rel = con.sql(SQL[name])
+    duck = dict(zip(rel.columns, [str(t) for t in rel.types]))
+    assert all((t, duck.get(c)) in SAME_TYPE for c, t in sdf.dtypes), [(c, t, duck.get(c)) for c, t in sdf.dtypes]
 
 
 def test_every_oracle_has_a_query():
