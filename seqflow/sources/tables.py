@@ -15,9 +15,10 @@ def read_table(spark: SparkSession, name: str | None = None, path: str | None =
 
 
 def write_table(df: DataFrame, name: str | None = None, path: str | None = None, mode: str = "overwrite",
-                fmt: str = "parquet", partition_by: tuple[str, ...] = ()) -> None:
-    """Op 11: overwrite or append. An empty frame with append adds nothing; with
-    overwrite it leaves a typed empty table (Spark writes the schema). No count()."""
+                fmt: str = "parquet", partition_by: tuple[str, ...] = ()) -> DataFrame:
+    """Op 11: overwrite or append, then return the written table (lazy). An empty frame
+    with append adds nothing; with overwrite it leaves a typed empty table (Spark writes
+    the schema). No count()."""
     if mode not in ("overwrite", "append"):
         raise ValueError(f"unsupported write mode {mode!r}")
     w = df.write.mode(mode).format(fmt)
@@ -29,3 +30,4 @@ def write_table(df: DataFrame, name: str | None = None, path: str | None = None,
         w.save(path)
     else:
         raise ValueError("a table name or a path is required")
+    return read_table(df.sparkSession, name=name, path=path, fmt=fmt)

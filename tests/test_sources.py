@@ -66,8 +66,7 @@ def test_write_modes(spark, tmp_dir):
     TB.write_table(df, path=path)
     TB.write_table(df.where("a > 5"), path=path, mode="append")
     assert TB.read_table(spark, path=path).count() == 1
-    TB.write_table(df.where("a > 5"), path=path, mode="overwrite")
-    t = TB.read_table(spark, path=path)
+    t = TB.write_table(df.where("a > 5"), path=path, mode="overwrite")
     assert t.count() == 0 and t.columns == ["a"]
 
 
