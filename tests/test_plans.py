@@ -64,3 +64,11 @@ def test_global_row_index_has_no_single_partition_window(spark):
     text = plan(df)
     assert "row_number()" not in text          # positions come from the range numbering, not a window
     assert "BroadcastExchange" in text         # the offsets table (one row per range partition) is broadcast
+
+
+def test_incremental_filter_pushed_to_parquet(spark, tmp_dir):
+    from seqflow.sources import json_source as J
+    FX.json_source(spark, SF_SMALL).write.parquet(f"{tmp_dir}/raw")
+    raw = spark.read.parquet(f"{tmp_dir}/raw")
+    text = plan(J.extract_measurements(J.unnest_json(J.incremental_filter(raw, 896659200000))))
+    assert "GreaterThan(ts,896659200000)" in text
