@@ -123,3 +123,14 @@ def test_empty_inputs_give_typed_empty_outputs(spark):
     assert feats.count() == 0
     types = dict(feats.dtypes)
     assert types["magnitude"] == "double" and types["row_index"] == "double" and types["device"] == "string"
+
+
+def test_grid_and_pad_take_a_scalar_subquery_length(spark):
+    df = spark.createDataFrame([("p", 1.0, 1.0, 2.0), ("p", 1.0, 2.0, 4.0), ("q", 1.0, 1.0, 1.0),
+                                ("q", 1.0, 2.0, 1.0), ("q", 1.0, 3.0, 1.0)],
+                               "part_number string, subpart_no double, subpart_index double, x double")
+    t = P.column_max(df, "subpart_index")  # 3, computed by Spark, no action here
+    grid = P.align_to_grid(df, t, ["x"]).where(F.col("part_number") == "p").orderBy("subpart_index").collect()
+    assert [r["x"] for r in grid] == [2.0, 4.0, 4.0]
+    padded = P.pad_to_length(df, t).groupBy("part_number").count().orderBy("part_number").collect()
+    assert [r["count"] for r in padded] == [3, 3]
