@@ -60,3 +60,9 @@ def test_every_oracle_has_a_query():
 def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.count() > 0 and "part_number" in df.columns
+
+
+@pytest.mark.parametrize("name", sorted(set(E.queries()) - set(SQL)))
+def test_queries_without_oracle_run(spark, name):
+    df = E.queries()[name](spark, SF_SMALL)
+    assert df.count() > 0
