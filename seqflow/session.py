@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
+import posixpath
 
 from pyspark.sql import SparkSession
 
@@ -32,24 +31,34 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared checkpoint folder named by `spark.checkpoint.dir`.
+    """The shared folder for checkpoints and intermediate tables.
 
-    On a cluster this must be set (a shared file system) and an unset value is an error;
-    only in local mode, as in tests, a fresh folder under the system temp dir is used.
+    In this order: the folder the caller has set on the context, `spark.checkpoint.dir`, and,
+    where neither is set, a folder in the session's warehouse (shared on any cluster that has
+    one). The same rule holds for every master; the system's temporary folder is never used.
     """
-    d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir()
+    if d:
+        return posixpath.dirname(d)  # the context adds a folder of its own
+    d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-        d = tempfile.mkdtemp(prefix="seqflow-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
-    spark.sparkContext.setCheckpointDir(d)
+        d = posixpath.join(spark.conf.get("spark.sql.warehouse.dir"), "_scratch")
+    sc.setCheckpointDir(d)
     return d
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A path for intermediate tables under the shared checkpoint folder."""
-    return os.path.join(checkpoint_dir(spark), name)
+    return posixpath.join(checkpoint_dir(spark), name)
+
+
+def remove_scratch(spark: SparkSession, path: str) -> None:
+    """Remove an intermediate table made under `scratch_path`, through the file system that holds it."""
+    if not path.startswith(checkpoint_dir(spark)):
+        raise ValueError(f"not in the scratch folder: {path}")
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
 def materialize(df):
