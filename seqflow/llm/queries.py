@@ -4,16 +4,25 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from seqflow.llm import mixing
+from seqflow.llm import mixing, url_filter
 from seqflow.llm.common import table
 
 
+#: (verdict, host and path prefix)
+URL_RULES = [("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"), ("block", "net/es/"), ("block", "net/fr/")]
+
+
+def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.filter_urls(table(spark, sf_dir, "pages"), URL_RULES)
+
+
 def op9_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = mixing.mix_sources(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "size", "source_size", "target", "taken")
 
 
 LLM_QUERIES = {
+    "op7_url_filter": op7_url_filter,
     "op9_mix_sources": op9_mix_sources,
 }
 
