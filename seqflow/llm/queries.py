@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from seqflow.llm import mixing, url_filter
+from seqflow.llm import mixing, url_filter, warc
 from seqflow.llm.common import table
 
 
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(spark, table(spark, sf_dir, "pages")).drop("url", "payload")
+
+
 #: (verdict, host and path prefix)
 URL_RULES = [("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"), ("block", "net/es/"), ("block", "net/fr/")]
 
@@ -22,10 +26,12 @@ def op9_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 LLM_QUERIES = {
+    "op2_warc": op2_warc,
     "op7_url_filter": op7_url_filter,
     "op9_mix_sources": op9_mix_sources,
 }
 
 LLM_ORACLE = {
+    "op2_warc": warc.ORACLE,
     "op9_mix_sources": mixing.ORACLE,
 }
