@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from seqflow.llm import mixing, url_filter, warc
+from seqflow.llm import html_text, mixing, url_filter, warc
 from seqflow.llm.common import table
 
 
@@ -25,10 +25,15 @@ def op9_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract_text(table(spark, sf_dir, "pages"))
+
+
 LLM_QUERIES = {
     "op2_warc": op2_warc,
     "op7_url_filter": op7_url_filter,
     "op9_mix_sources": op9_mix_sources,
+    "op10_html_text": op10_html_text,
 }
 
 LLM_ORACLE = {
