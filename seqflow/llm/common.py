@@ -12,20 +12,30 @@ from seqflow.session import scratch_path
 
 #: a word: a run of characters that are no white space (space, tab to carriage return)
 WORD = r"[^\x20\x09-\x0D]+"
+BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+def written(df: DataFrame, name: str, batch_rows: int | None = None) -> DataFrame:
     """The rows of `df`, written as Parquet to the shared scratch folder and read back.
 
     Cuts the lineage: later readers, and tasks rerun after an executor is lost, read the table.
+    batch_rows: rows that Python functions in `df` get at a time, for rows that may be long.
     """
-    path = scratch_path(df.sparkSession, f"{name}-{uuid.uuid4().hex}")
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark = df.sparkSession
+    path = scratch_path(spark, f"{name}-{uuid.uuid4().hex}")
+    before = spark.conf.get(BATCH, None)
+    try:
+        if batch_rows:
+            spark.conf.set(BATCH, str(batch_rows))
+        df.write.parquet(path)
+    finally:
+        if batch_rows:
+            spark.conf.set(BATCH, before) if before else spark.conf.unset(BATCH)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def join_checked(left: DataFrame, small: DataFrame, on: Column | Sequence[str], how: str,

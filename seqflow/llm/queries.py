@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from seqflow.llm import html_text, mixing, url_filter, warc
+from seqflow.llm import html_text, mixing, simhash, url_filter, warc
 from seqflow.llm.common import table
 
 
@@ -12,6 +12,10 @@ def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(spark, table(spark, sf_dir, "pages")).drop("url", "payload")
 
 
+def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, distance=2).drop("fp")
+
+
 #: (verdict, host and path prefix)
 URL_RULES = [("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"), ("block", "net/es/"), ("block", "net/fr/")]
 
@@ -31,6 +35,7 @@ def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 LLM_QUERIES = {
     "op2_warc": op2_warc,
+    "op4_simhash": op4_simhash,
     "op7_url_filter": op7_url_filter,
     "op9_mix_sources": op9_mix_sources,
     "op10_html_text": op10_html_text,
