@@ -19,6 +19,7 @@ table gives no archives and no rows; other columns are ignored.
 from __future__ import annotations
 
 import hashlib
+import io
 import struct
 import urllib.parse
 import uuid
@@ -96,7 +97,10 @@ def write_archives(rows: DataFrame, folder: str, dictionary: bytes, archive_byte
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fs, root = _open_fs(folder)
         fs.create_dir(root, recursive=True)
-        packer = zstandard.ZstdCompressor(level=level, dict_data=_dictionary(dictionary), write_checksum=True)
+        trained = _dictionary(dictionary)
+        if trained:
+            trained.precompute_compress(level=level)
+        packer = zstandard.ZstdCompressor(level=level, dict_data=trained, write_checksum=True)
         out, name, n, size, done = None, "", 0, 0, []
         for b in batches:
             c = {k: b.column(k) for k in b.schema.names}
@@ -121,33 +125,42 @@ def write_archives(rows: DataFrame, folder: str, dictionary: bytes, archive_byte
         yield pa.RecordBatch.from_pydict({"archive": [x[0] for x in done], "records": [x[1] for x in done], "bytes": [x[2] for x in done]},
                                          schema=pa.schema([("archive", pa.string()), ("records", pa.int64()), ("bytes", pa.int64())]))
 
-    return written(rows.mapInArrow(write, "archive string, records long, bytes long"), "warc-manifest")
+    return written(rows.mapInArrow(write, "archive string, records long, bytes long"), "warc-manifest", batch_rows=500)
 
 
 def records(stream) -> Iterator[tuple[dict[str, str], bytes]]:
     """(headers, block) of each record of an open archive; one record is in memory at a time."""
-    magic, head = stream.read(4), b""
-    dictionary = b""
-    if magic == struct.pack("<I", DICT_FRAME):
-        dictionary = stream.read(struct.unpack("<I", stream.read(4))[0])
+    head, dictionary = stream.read(4), b""
+    if head == struct.pack("<I", DICT_FRAME):
+        dictionary, head = stream.read(struct.unpack("<I", stream.read(4))[0]), b""
     else:
-        head = magic
-    opener = zstandard.ZstdDecompressor(dict_data=_dictionary(dictionary))
-    buffered = head + stream.read(1 << 20)
-    while buffered:
-        unpack, parts = opener.decompressobj(), []
-        while not unpack.eof:
-            if not buffered:
+        stream = _Rest(head, stream)
+    lines = io.BufferedReader(zstandard.ZstdDecompressor(dict_data=_dictionary(dictionary)).stream_reader(stream, read_across_frames=True), 1 << 16)
+    while version := lines.readline():
+        if version != b"WARC/1.1\r\n":
+            raise ValueError(f"no WARC record: {version[:40]!r}")
+        fields = {}
+        while (line := lines.readline()) != b"\r\n":
+            k, found, v = line.decode().rstrip("\r\n").partition(": ")
+            if not found:
                 raise ValueError("archive ends inside a record")
-            parts.append(unpack.decompress(buffered))
-            buffered = unpack.unused_data if unpack.eof else stream.read(1 << 20)
-        buffered = buffered or stream.read(1 << 20)
-        head, _, rest = b"".join(parts).partition(b"\r\n\r\n")
-        lines = head.decode().split("\r\n")
-        if lines[0] != "WARC/1.1":
-            raise ValueError(f"no WARC record: {lines[0]!r}")
-        fields = dict(x.split(": ", 1) for x in lines[1:])
-        yield fields, rest[:int(fields["Content-Length"])]
+            fields[k] = v
+        size = int(fields["Content-Length"])
+        block = lines.read(size)
+        if lines.read(4) != b"\r\n\r\n":
+            raise ValueError("archive ends inside a record")
+        yield fields, block
+
+
+class _Rest:
+    """A stream with its first bytes put back."""
+
+    def __init__(self, head: bytes, stream):
+        self.head, self.stream = head, stream
+
+    def read(self, n: int = -1) -> bytes:
+        head, self.head = self.head, b""
+        return head + self.stream.read(n - len(head) if n >= 0 else n)
 
 
 def _page(urn: str) -> int | None:
@@ -155,8 +168,9 @@ def _page(urn: str) -> int | None:
     return int(v) if v else None
 
 
-def read_archives(manifest: DataFrame) -> DataFrame:
-    """One row per record; a response whose payload doesn't have its digest is an error."""
+def read_archives(manifest: DataFrame, payloads: bool = True) -> DataFrame:
+    """One row per record; a response whose payload doesn't have its digest is an error. payloads: also
+    return the payloads (null for revisits)."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = pa.schema([("page_id", pa.int64()), ("payload_bytes", pa.int64()), ("payload_digest", pa.string()),
@@ -173,8 +187,8 @@ def read_archives(manifest: DataFrame) -> DataFrame:
                         uri = f.get("WARC-Target-URI")
                         rows.append((_page(f["WARC-Record-ID"]), int(f["X-Payload-Length"]), digest, kind,
                                      _page(f["WARC-Refers-To"]) if kind == "revisit" else None,
-                                     None if uri is None else urllib.parse.unquote(uri), block if kind == "response" else None))
-                        size += len(block)
+                                     None if uri is None else urllib.parse.unquote(uri), block if payloads and kind == "response" else None))
+                        size += len(block) if payloads else 0
                         if len(rows) >= 2000 or size > 1 << 24:
                             yield pa.RecordBatch.from_arrays([pa.array(v, t.type) for v, t in zip(zip(*rows), schema)], schema=schema)
                             rows, size = [], 0
@@ -196,7 +210,7 @@ def round_trip(spark: SparkSession, pages: DataFrame) -> DataFrame:
     """Archives the pages in the shared scratch folder and reads every record back."""
     manifest = archive_pages(pages, scratch_path(spark, f"warc-{uuid.uuid4().hex}"))
     n = max(1, manifest.count())
-    return read_archives(manifest.repartition(n, "archive"))
+    return read_archives(manifest.repartition(n, "archive"), payloads=False)
 
 
 #: the same rows in DuckDB's SQL
