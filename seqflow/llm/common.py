@@ -54,3 +54,12 @@ def ascii_lower(c: Column) -> Column:
 
 def word_count(c: Column) -> Column:
     return F.coalesce(F.regexp_count(c, F.lit(r"[^\x20\x09-\x0D]++")), F.lit(0)).cast("long")
+
+
+def hash_sample(df: DataFrame, keys: Sequence[str], rows: int, total: int, seed: str) -> DataFrame:
+    """About `rows` of the `total` rows, and never more: those with the smallest seeded hashes of `keys`. The
+    hash also bounds what each task offers, so that the driver merges little more than the sample."""
+    h = F.xxhash64(F.lit(seed), *keys)
+    share = min(1.0, 1.1 * rows / max(total, 1))
+    below = -(1 << 63) + int(share * ((1 << 64) - 1))
+    return df.where(h <= F.lit(min(below, (1 << 63) - 1)).cast("long")).orderBy(h, *keys).limit(rows)
