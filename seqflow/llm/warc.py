@@ -31,7 +31,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seqflow.llm.common import join_checked, written
+from seqflow.llm.common import hash_sample, join_checked, written
 from seqflow.session import scratch_path
 
 DICT_FRAME = 0x184D2A5D  # skippable frame that holds a dictionary
@@ -82,7 +82,8 @@ def sampled_dictionary(rows: DataFrame, sample: int, piece: int, size: int) -> b
     """From the `sample` responses with the smallest seeded hashes, a piece of each at a seeded place."""
     h = F.xxhash64(F.lit("warc"), "page_id", "payload_digest")
     at = F.pmod(h, F.greatest(F.lit(1), F.length("html") - piece + 1)).cast("int")
-    best = rows.where(F.col("refers_to").isNull() & (F.length("html") > 0)).orderBy(h, "page_id").limit(sample)
+    some = rows.where(F.col("refers_to").isNull() & (F.length("html") > 0))
+    best = hash_sample(some, ["page_id", "payload_digest"], sample, some.count(), "warc-sample")
     got = best.select("page_id", "url", "payload_bytes", "payload_digest", F.substring(F.col("html"), at + 1, F.lit(piece)).alias("piece"))
     return train_dictionary([record_bytes(r.page_id, r.url, r.piece.encode(), r.payload_bytes, r.payload_digest, None) for r in got.collect()], size)
 
