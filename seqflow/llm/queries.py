@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from seqflow.llm import html_text, mixing, simhash, url_filter, warc
+from seqflow.llm import ann, html_text, mixing, simhash, substring, url_filter, warc
 from seqflow.llm.common import table
 
 
@@ -12,10 +13,19 @@ def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(spark, table(spark, sf_dir, "pages")).drop("url", "payload")
 
 
+def op3_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, distance=2).drop("fp")
 
 
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = substring.dedup_substrings(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", F.col("_cut.text").alias("text"), F.col("_cut.spans").alias("spans"), F.col("_cut.kept_in").alias("kept_in"))
+
+
 #: (verdict, host and path prefix)
 URL_RULES = [("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"), ("block", "net/es/"), ("block", "net/fr/")]
 
@@ -35,7 +45,9 @@ def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 LLM_QUERIES = {
     "op2_warc": op2_warc,
+    "op3_ann": op3_ann,
     "op4_simhash": op4_simhash,
+    "op6_substring_dedup": op6_substring_dedup,
     "op7_url_filter": op7_url_filter,
     "op9_mix_sources": op9_mix_sources,
     "op10_html_text": op10_html_text,
