@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seqflow.llm import ann, html_text, mixing, simhash, substring, url_filter, warc
+from seqflow.llm import ann, decontaminate, html_text, mixing, simhash, substring, url_filter, warc
 from seqflow.llm.common import table
 
 
@@ -21,6 +21,10 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, distance=2).drop("fp")
 
 
+def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = substring.dedup_substrings(table(spark, sf_dir, "documents"))
     return out.select("doc_id", F.col("_cut.text").alias("text"), F.col("_cut.spans").alias("spans"), F.col("_cut.kept_in").alias("kept_in"))
@@ -47,6 +51,7 @@ LLM_QUERIES = {
     "op2_warc": op2_warc,
     "op3_ann": op3_ann,
     "op4_simhash": op4_simhash,
+    "op5_decontaminate": op5_decontaminate,
     "op6_substring_dedup": op6_substring_dedup,
     "op7_url_filter": op7_url_filter,
     "op9_mix_sources": op9_mix_sources,
