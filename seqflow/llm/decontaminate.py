@@ -22,7 +22,7 @@ from collections.abc import Iterator, Sequence
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 Q = 8  # bytes of a q-gram: read as one 64-bit number
@@ -201,14 +201,17 @@ def clean_documents(docs: DataFrame, benchmark: DataFrame, *, text_col: str = "t
                     max_error: float = 0.1, segment: int = 256, block_bytes: int = 1 << 22) -> DataFrame:
     """The documents that hold no item."""
     spark = docs.sparkSession
-    for block in _blocks(benchmark, item_col, item_text_col, block_bytes):
-        shared = spark.sparkContext.broadcast(Items([r.t for r in block], max_error, segment))
 
-        def leaks(t: pd.Series, shared=shared) -> pd.Series:
+    def leaks(shared) -> Column:
+        @F.pandas_udf("boolean")
+        def run(t: pd.Series) -> pd.Series:
             out = np.zeros(len(t), bool)
             for texts, first in _slices(t):
                 out[[first + x[0] for x in shared.value.find(texts)]] = True
             return pd.Series(out)
 
-        docs = docs.where(~F.pandas_udf(leaks, "boolean")(F.col(text_col).cast("string")))
+        return run(F.col(text_col).cast("string"))
+
+    for block in _blocks(benchmark, item_col, item_text_col, block_bytes):
+        docs = docs.where(~leaks(spark.sparkContext.broadcast(Items([r.t for r in block], max_error, segment))))
     return docs

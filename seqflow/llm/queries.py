@@ -5,10 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seqflow.llm import ann, decontaminate, html_text, mixing, simhash, substring, url_filter, warc
+from seqflow.llm import ann, cotrain, decontaminate, html_text, mixing, simhash, substring, url_filter, warc
 from seqflow.llm.common import table
 
 
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cotrain.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(spark, table(spark, sf_dir, "pages")).drop("url", "payload")
 
@@ -48,6 +52,7 @@ def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 LLM_QUERIES = {
+    "op1_quality": op1_quality,
     "op2_warc": op2_warc,
     "op3_ann": op3_ann,
     "op4_simhash": op4_simhash,
