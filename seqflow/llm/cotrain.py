@@ -143,8 +143,8 @@ def _platt(s: np.ndarray, y: np.ndarray) -> tuple[float, float]:
     return float(w[0]), float(w[1])
 
 
-def _feature_rows(docs: DataFrame, cols: dict[str, str]) -> DataFrame:
-    """y, held and both views of the given documents."""
+def _feature_rows(docs: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """y, held and both views of the given documents, whose columns have `_` before their names."""
 
     def run(batches):
         for b in batches:
@@ -152,7 +152,7 @@ def _feature_rows(docs: DataFrame, cols: dict[str, str]) -> DataFrame:
             m = meta_features(b["lang"].tolist(), b["source"].tolist(), b["n_chars"].tolist())
             yield pd.DataFrame({"y": b["y"], "held": b["held"], "x": list(np.hstack([t, m]))})
 
-    return docs.select("y", "held", *[F.col(c).alias(k) for k, c in cols.items()]).mapInPandas(run, "y double, held boolean, x array<float>")
+    return docs.select("y", "held", *[F.col(f"_{k}").alias(k) for k in cols]).mapInPandas(run, "y double, held boolean, x array<float>")
 
 
 def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", label_col: str = "quality", cols: dict[str, str] | None = None,
@@ -166,9 +166,11 @@ def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", label_col
     picked = hash_sample(has, ["_id"], labelled, has.count(), "quality").select("_id", "y")
     free = hash_sample(others, ["_id"], pool, others.count(), "pool").select("_id", F.lit(None).cast("double").alias("y"))
     picked = written(picked.unionByName(free), "quality-sample")  # at most labelled + pool rows
-    sample = docs.join(F.broadcast(picked), F.col(id_col).cast("long") == F.col("_id"))
+    # only the columns that are used, under names that can't clash
+    used = docs.select(F.col(id_col).cast("long").alias("_doc"), *[F.col(c).alias(f"_{k}") for k, c in cols.items()])
+    sample = used.join(F.broadcast(picked), F.col("_doc") == F.col("_id"))
     sample = sample.withColumn("held", F.pmod(F.xxhash64(F.lit("held"), "_id"), F.lit(4)) == 0)
-    rows = _feature_rows(sample, cols).toArrow()
+    rows = _feature_rows(sample, list(cols)).toArrow()
     y = rows["y"].to_numpy()
     x = rows["x"].combine_chunks().flatten().to_numpy().reshape(len(y), -1) if len(y) else np.zeros((0, TEXT_DIM + META_DIM), np.float32)
     known = ~np.isnan(y.astype(float))

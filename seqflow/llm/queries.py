@@ -31,7 +31,7 @@ def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = substring.dedup_substrings(table(spark, sf_dir, "documents"))
-    return out.select("doc_id", F.col("_cut.text").alias("text"), F.col("_cut.spans").alias("spans"), F.col("_cut.kept_in").alias("kept_in"))
+    return out.select("doc_id", F.col("_seqflow_cut.text").alias("text"), F.col("_seqflow_cut.spans").alias("spans"), F.col("_seqflow_cut.kept_in").alias("kept_in"))
 
 
 #: (verdict, host and path prefix)

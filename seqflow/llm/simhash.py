@@ -219,5 +219,5 @@ def keep_one(docs: DataFrame, *, shingle: int = 3, distance: int = 2, id_col: st
     Rows with a null id stay if nothing in their component has an id."""
     ids = near_duplicates(docs, shingle=shingle, distance=distance, id_col=id_col, text_col=text_col)
     gone = ids.where((F.col("doc_id") != F.col("component_id")) | F.col("doc_id").isNull() & F.col("component_id").isNotNull())
-    gone = written(gone.select(F.col("doc_id").alias("_gone")).distinct(), "simhash-gone")
-    return docs.join(gone, F.col(id_col).cast("long").eqNullSafe(F.col("_gone")), "left_anti")
+    gone = written(gone.select(F.col("doc_id").alias("_seqflow_gone")).distinct(), "simhash-gone")
+    return docs.join(gone, F.col(id_col).cast("long").eqNullSafe(F.col("_seqflow_gone")), "left_anti")

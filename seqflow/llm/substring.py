@@ -144,19 +144,19 @@ def strip_text(doc_id: int, text: str, places: list[tuple[int, int, int, int]],
 
 def dedup_substrings(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", min_words: int = 20,
                      broadcast_places: int = 200_000) -> DataFrame:
-    """The rows of `docs` with struct `_cut` (text, spans, kept_in) added: the text left, the number of spans
+    """The rows of `docs` with struct `_seqflow_cut` (text, spans, kept_in) added: the text left, the number of spans
     removed, and the documents that keep them."""
     places = written(duplicate_places(docs, id_col, text_col), "cdc-places")
     small = (places.agg(F.sum(F.size("places") + 4)).first()[0] or 0) <= broadcast_places
-    places = places.select(F.col("doc_id").alias("_places_of"), "places").withColumnRenamed("places", "_places")
+    places = places.select(F.col("doc_id").alias("_seqflow_places_of"), "places").withColumnRenamed("places", "_seqflow_places")
     key = F.col(id_col).cast("long")
-    rows = docs.join(F.broadcast(places) if small else places, key == F.col("_places_of"), "left")
+    rows = docs.join(F.broadcast(places) if small else places, key == F.col("_seqflow_places_of"), "left")
 
     @F.udf("text string, spans int, kept_in array<long>", useArrow=True)
     def cut(doc_id, text, found):
         return strip_text(doc_id, text, [(x["s"], x["e"], x["digest"], x["first"]) for x in found], min_words)
 
     untouched = F.struct(F.col(text_col).alias("text"), F.lit(0).alias("spans"), F.array().cast("array<long>").alias("kept_in"))
-    touched = rows.where(F.col("_places").isNotNull()).withColumn("_cut", cut(key, F.col(text_col), F.col("_places")))
-    rest = rows.where(F.col("_places").isNull()).withColumn("_cut", untouched)
-    return touched.unionByName(rest).drop("_places", "_places_of")
+    touched = rows.where(F.col("_seqflow_places").isNotNull()).withColumn("_seqflow_cut", cut(key, F.col(text_col), F.col("_seqflow_places")))
+    rest = rows.where(F.col("_seqflow_places").isNull()).withColumn("_seqflow_cut", untouched)
+    return touched.unionByName(rest).drop("_seqflow_places", "_seqflow_places_of")
