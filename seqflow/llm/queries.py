@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seqflow.llm import ann, cotrain, decontaminate, html_text, mixing, simhash, substring, url_filter, warc
+from seqflow.llm import ann, cotrain, decontaminate, html_text, lm, mixing, simhash, substring, url_filter, warc
 from seqflow.llm.common import table
 
 
@@ -42,6 +42,10 @@ def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.filter_urls(table(spark, sf_dir, "pages"), URL_RULES)
 
 
+def op8_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score_documents(table(spark, sf_dir, "documents"))
+
+
 def op9_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = mixing.mix_sources(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "size", "source_size", "target", "taken")
@@ -59,6 +63,7 @@ LLM_QUERIES = {
     "op5_decontaminate": op5_decontaminate,
     "op6_substring_dedup": op6_substring_dedup,
     "op7_url_filter": op7_url_filter,
+    "op8_lm_score": op8_lm_score,
     "op9_mix_sources": op9_mix_sources,
     "op10_html_text": op10_html_text,
 }
