@@ -128,7 +128,7 @@ def edits_within(pattern: bytes, region: bytes, budget: int) -> int | None:
     """Least edits that turn the pattern into some part of the region, if at most `budget`; by alignment in
     the band of diagonals that the region allows."""
     m = len(pattern)
-    width = len(region) - m + budget + 1  # diagonals (place in region - place in pattern) from -budget on
+    width = len(region) - m + 2 * budget + 1  # diagonals (place in region - place in pattern) from -budget on
     if width < 1:
         return None
     p = np.frombuffer(pattern, np.uint8)
