@@ -21,7 +21,9 @@ from seqflow.operators import runlogs as RL
 from seqflow.operators import scaling as SC
 from seqflow.operators import sequences as SQ
 from seqflow.operators import state as ST
+from seqflow.operators import ordering as ORD
 from seqflow.operators.ordering import add_row_index
+from seqflow.plans import features as PF
 from seqflow.plans import ingest as IG
 from seqflow.plans import model as MD
 from seqflow.plans import sequences as PS
@@ -29,6 +31,7 @@ from seqflow.plans.prepare import prepare_job, prepare_job_with_length
 from seqflow.sources import csv_folder as CSV
 from seqflow.sources import fixtures as FX
 from seqflow.sources import json_source as J
+from seqflow.sources import tables as TB
 from seqflow.streaming import ingest as SI
 from seqflow.streaming import score as SS
 
@@ -70,11 +73,14 @@ def prepared_train(spark: SparkSession, sf_dir: str) -> DataFrame:
                        n_subparts=K_SUBPARTS, steps=STEPS)
 
 
-def prepared_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The prepared train table written once (checkpoint in spark.checkpoint.dir), for
-    queries that read it more than once (fit then apply, counts then rows)."""
-    from seqflow.session import materialize
-    return materialize(prepared_train(spark, sf_dir))
+def prepared_table(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
+    """The prepared layer: the named columns of the prepared train table, written once as
+    Parquet (op 11) in the scratch folder, for queries that read it more than once (fit then apply)."""
+    import uuid
+
+    from seqflow.session import scratch_path
+    from seqflow.sources.tables import write_table
+    return write_table(prepared_train(spark, sf_dir).select(*columns), path=scratch_path(spark, f"prepared-{uuid.uuid4().hex}"))
 
 
 # ---------------------------------------------------------------- flagship
@@ -126,6 +132,17 @@ def q_normalize_subpart(spark, sf_dir):
     return rounded(P.normalize_subparts(m).select("part_number", "l_orderkey", "l_partkey", "subpart_no"))
 
 
+@register("normalize_subpart_zero",
+          "SELECT part_number, l_orderkey, l_partkey, round(subpart_no, 6) AS subpart_no FROM ("
+          + O.normalized("SELECT * REPLACE (CASE WHEN subpart_no > 0.65 THEN 0.0 ELSE subpart_no END AS subpart_no) "
+                         f"FROM ({O.measure(True)})") + ")")
+def q_normalize_subpart_zero(spark, sf_dir):
+    """Line number 7 stands for subpart 0, whose rows go (op 18)."""
+    m = FX.measurements(spark, sf_dir, raw_subpart=True)
+    m = m.withColumn("subpart_no", F.when(F.col("subpart_no") > 0.65, 0.0).otherwise(F.col("subpart_no")))
+    return rounded(P.normalize_subparts(m).select("part_number", "l_orderkey", "l_partkey", "subpart_no"))
+
+
 @register("valve_label",
           f"SELECT part_number, subpart_no, ng_valve_no, subpart_label, count(*) AS n_rows "
           f"FROM ({O.labelled(False)}) GROUP BY ALL")
@@ -166,7 +183,7 @@ _T_SQL = f"SELECT CAST(coalesce(max(subpart_index), 0) AS INTEGER) FROM ({O.inde
           f"FROM ({O.padded_clean(O.indexed(O.measure()), _T_SQL)})")
 def q_pad_last(spark, sf_dir):
     df = P.add_subpart_index(FX.measurements(spark, sf_dir), FX.MEASUREMENT_ORDER)
-    out = P.pad_to_length(df, P.column_max(df, "subpart_index"))
+    out = P.pad_to_length(df, P.max_sequence_length(FX.measurements(spark, sf_dir)))
     return rounded(out.select("part_number", "subpart_no", "subpart_index", "l_orderkey", "first_param"))
 
 
@@ -174,7 +191,7 @@ def q_pad_last(spark, sf_dir):
           "WITH s AS (" + O.indexed(O.measure()) + "), "
           "g AS (SELECT DISTINCT part_number, subpart_no FROM s), "
           "grid AS (SELECT part_number, subpart_no, CAST(i AS DOUBLE) AS subpart_index FROM g, "
-          "range(1, 101) t(i)), "
+          f"range(1, ({_T_SQL}) + 1) t(i)), "
           "j AS (SELECT grid.*, s.first_param, s.machine_position FROM grid LEFT JOIN s USING "
           "(part_number, subpart_no, subpart_index)) "
           "SELECT part_number, subpart_no, subpart_index, "
@@ -184,7 +201,7 @@ def q_pad_last(spark, sf_dir):
           "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)")
 def q_align_ffill(spark, sf_dir):
     df = P.add_subpart_index(FX.measurements(spark, sf_dir), FX.MEASUREMENT_ORDER)
-    out = P.align_to_grid(df, 100, ["first_param", "machine_position"])
+    out = P.align_to_grid(df, P.max_sequence_length(df), ["first_param", "machine_position"])
     return rounded(out)
 
 
@@ -193,7 +210,7 @@ def q_align_ffill(spark, sf_dir):
           f"({O.part_indexed(O.padded_clean(O.indexed(O.measure()), _T_SQL))})")
 def q_part_index(spark, sf_dir):
     df = P.add_subpart_index(FX.measurements(spark, sf_dir), FX.MEASUREMENT_ORDER)
-    out = P.add_part_index(P.pad_to_length(df, P.column_max(df, "subpart_index")))
+    out = P.add_part_index(P.pad_to_length(df, P.max_sequence_length(FX.measurements(spark, sf_dir))))
     return out.select("part_number", "subpart_no", "subpart_index", "part_index")
 
 
@@ -323,6 +340,53 @@ def q_row_index(spark, sf_dir):
     return df.select("part_number", "l_orderkey", "l_partkey", "row_index")
 
 
+def _scratch(spark, name: str) -> str:
+    import uuid
+
+    from seqflow.session import scratch_path
+    return scratch_path(spark, f"{name}-{uuid.uuid4().hex}")
+
+
+@register("ordered_write_read",
+          "SELECT part_number, l_orderkey, row_number() OVER (ORDER BY part_number, subpart_no, l_shipdate, l_orderkey, "
+          f"l_partkey, second_param) - 1 AS row_index FROM ({O.measure()})")
+def q_ordered_write_read(spark, sf_dir):
+    """Ops 13 + 60: the row order is written, read back and kept by a sort on the index."""
+    path = _scratch(spark, "ordered")
+    df = add_row_index(FX.measurements(spark, sf_dir), ["part_number", "subpart_no", *FX.MEASUREMENT_ORDER])
+    ORD.write_ordered(df.select("part_number", "l_orderkey", "row_index"), path)
+    return ORD.sort_by_row_index(ORD.read_ordered(spark, path))
+
+
+@register("table_write",
+          "SELECT files_type, count(*) AS n_rows, round(sum(first_param), 6) AS sum_first FROM ("
+          f"SELECT * FROM ({O.measure()}) UNION ALL SELECT * FROM ({O.measure()}) WHERE files_type = 'NG') GROUP BY 1")
+def q_table_write(spark, sf_dir):
+    """Ops 1 + 11: overwrite, append the NG rows once more, read the table."""
+    path = _scratch(spark, "table")
+    m = FX.measurements(spark, sf_dir).select("files_type", "first_param")
+    TB.write_table(m, path=path)
+    TB.write_table(m.where("files_type = 'NG'"), path=path, mode="append")
+    df = TB.read_table(spark, path=path)
+    return rounded(df.groupBy("files_type").agg(F.count(F.lit(1)).alias("n_rows"), F.sum("first_param").alias("sum_first")))
+
+
+@register("lower_names", f"SELECT part_number, subpart_no, round(first_param, 6) AS first_param FROM ({O.measure()})")
+def q_lower_names(spark, sf_dir):
+    m = FX.measurements(spark, sf_dir)
+    return rounded(J.lower_columns(m.select(F.col("part_number").alias("PART_Number"), F.col("subpart_no").alias("SubPart_No"),
+                                            F.col("first_param").alias("FIRST_PARAM"))))
+
+
+@register("feature_job",
+          "SELECT part_number, subpart_no, subpart_index, " + ", ".join(O.rnd(c, c) for c in _FEATURE_COLS)
+          + f", NULL::DOUBLE AS temp_a FROM ({O.all_features(O.prepared_train())})")
+def q_feature_job(spark, sf_dir):
+    """Op 54: the job on the prepared table, projected on the configured schema."""
+    out = PF.feature_job(prepared_train(spark, sf_dir), ["temp_a"])
+    return rounded(out.select("part_number", "subpart_no", "subpart_index", *_FEATURE_COLS, "temp_a"))
+
+
 @register("conform_schema",
           "SELECT part_number, subpart_no, round(first_param, 6) AS first_param, NULL::DOUBLE AS row_index, "
           "NULL::VARCHAR AS ng_valve_no, NULL::DOUBLE AS temp_a, NULL::DOUBLE AS first_param_velocity "
@@ -358,6 +422,17 @@ def q_chunk_sequences(spark, sf_dir):
         F.aggregate("features", F.lit(0.0), lambda acc, v: acc + v[0]).alias("sum_first")))
 
 
+@register("chunk_sequences_by_subpart",
+          "SELECT part_number, subpart_no, chunk, count(*) AS n_steps, max(subpart_label) AS subpart_label, max(group_id) AS "
+          f"group_id, round(sum(first_param), 6) AS sum_first FROM ({O.chunked(_PREP, '50', 'part_number, subpart_no')}) GROUP BY 1, 2, 3")
+def q_chunk_sequences_by_subpart(spark, sf_dir):
+    """The default: each (part, subpart) sequence cut on its own, here every 50 steps."""
+    nested = SQ.nest_sequences(SQ.chunk_rows(prepared_train(spark, sf_dir), 50), _SEQ_FEATURES)
+    return rounded(nested.select(
+        "part_number", "subpart_no", "chunk", F.size("features").cast("long").alias("n_steps"), "subpart_label", "group_id",
+        F.aggregate("features", F.lit(0.0), lambda acc, v: acc + v[0]).alias("sum_first")))
+
+
 @register("unnest_sequences",
           "SELECT part_number, chunk, step, subpart_label, group_id, " + ", ".join(O.rnd(f, f) for f in _SEQ_FEATURES)
           + f" FROM ({O.chunked(_PREP, _T_PREP)})")
@@ -366,7 +441,8 @@ def q_unnest_sequences(spark, sf_dir):
     return rounded(SQ.unnest_sequences(nested, _SEQ_FEATURES))
 
 
-_P_TRAIN, _P_VAL = SQ.split_fractions(0.75, 0.1)
+# 75 % train, then 0.1 of the remaining 0.1 + 0.15 val, the rest test
+_P_TRAIN, _P_VAL = 0.75, 0.1 / (0.1 + (1.0 - 0.75 - 0.1))
 
 
 @register("split_groups", O.split(_PREP, _P_TRAIN, _P_VAL))
@@ -374,11 +450,17 @@ def q_split_groups(spark, sf_dir):
     return SQ.split_groups(prepared_train(spark, sf_dir))
 
 
+def _prepared_groups(spark, sf_dir):
+    """(part_number, subpart_no, subpart_label): all that weights and draws need of the prepared table."""
+    return prepared_train(spark, sf_dir).groupBy("part_number", "subpart_no").agg(
+        F.max("subpart_label").alias("subpart_label"))
+
+
 @register("class_weights",
           "SELECT part_number, subpart_no, round(1.0 / count(*) OVER (PARTITION BY subpart_label), 6) AS weight "
           f"FROM ({O.groups_of(_PREP)})")
 def q_class_weights(spark, sf_dir):
-    g = prepared_table(spark, sf_dir).groupBy("part_number", "subpart_no").agg(F.max("subpart_label").alias("subpart_label"))
+    g = _prepared_groups(spark, sf_dir)
     return rounded(SQ.class_weights(g).select("part_number", "subpart_no", "weight"))
 
 
@@ -387,7 +469,7 @@ def q_class_weights(spark, sf_dir):
           f"FROM ({O.groups_of(_PREP)})) SELECT part_number, subpart_no, round(CASE WHEN weight > (SELECT avg(weight) "
           "FROM w) THEN weight * 1.1 ELSE weight * (2 - 1.1) END, 6) AS weight FROM w")
 def q_rebalance_weights(spark, sf_dir):
-    g = prepared_table(spark, sf_dir).groupBy("part_number", "subpart_no").agg(F.max("subpart_label").alias("subpart_label"))
+    g = _prepared_groups(spark, sf_dir)
     w = SQ.class_weights(g).select("part_number", "subpart_no", "weight")
     return rounded(RL.rebalance_weights(w, "weight", 1.1))
 
@@ -400,7 +482,7 @@ def q_rebalance_weights(spark, sf_dir):
           "(count(*) OVER ()) / (SELECT count(DISTINCT coalesce(CAST(subpart_label AS VARCHAR), '<null>')) FROM "
           f"({O.groups_of(_PREP)})) AS e FROM ({O.groups_of(_PREP)}))) WHERE copies > 0)")
 def q_resample(spark, sf_dir):
-    g = prepared_table(spark, sf_dir).groupBy("part_number", "subpart_no").agg(F.max("subpart_label").alias("subpart_label"))
+    g = _prepared_groups(spark, sf_dir)
     out = SQ.resample_balanced(g, ["part_number", "subpart_no"], seed=42)
     return out.select("part_number", "subpart_no", "subpart_label", F.col("copy").cast("long").alias("copy"))
 
@@ -423,6 +505,17 @@ def q_scaler_fit(spark, sf_dir):
     return rounded(SC.fit_scaler(prepared_train(spark, sf_dir), _SCALE_FEATS, "train"))
 
 
+@register("scaler_persist",
+          f"SELECT feature, round(mean, 6) AS mean, round(scale, 6) AS scale FROM ({_scaler_sql(_PREP, _SCALE_FEATS)})")
+def q_scaler_persist(spark, sf_dir):
+    """Op 37: two fits are stored; the id in the state table loads the second."""
+    table, state = _scratch(spark, "scaler"), _scratch(spark, "state")
+    SC.persist_fit(spark, SC.fit_scaler(FX.measurements(spark, sf_dir), ["first_param"]), table, state)
+    SC.persist_fit(spark, SC.fit_scaler(prepared_train(spark, sf_dir), _SCALE_FEATS), table, state)
+    sid = ST.get_value(spark.read.schema(ST.STATE_SCHEMA).parquet(state), "last_scaler_id")
+    return rounded(SC.load_scaler(spark, table, sid).select("feature", "mean", "scale"))
+
+
 def _scaled_sql() -> str:
     stats = ", ".join(f"avg({f}) AS {f}_m, CASE WHEN stddev_pop({f}) = 0 THEN 1.0 ELSE stddev_pop({f}) END AS {f}_s"
                       for f in _SCALE_FEATS)
@@ -434,7 +527,7 @@ def _scaled_sql() -> str:
           "SELECT part_number, subpart_index, " + ", ".join(O.rnd(f, f) for f in _SCALE_FEATS)
           + f" FROM ({_scaled_sql()})")
 def q_scaler_apply(spark, sf_dir):
-    df = prepared_table(spark, sf_dir)
+    df = prepared_table(spark, sf_dir, "part_number", "subpart_index", *_SCALE_FEATS)
     params = SC.fit_scaler(df, _SCALE_FEATS, "train")
     out = SC.apply_scaler(df.withColumn("__raw_subpart", F.col("subpart_no")), params, _SCALE_FEATS)
     return rounded(out.select("part_number", "subpart_index", *_SCALE_FEATS))
@@ -446,7 +539,7 @@ def q_scaler_apply(spark, sf_dir):
           "round_even(avg((p.subpart_no - s.m) / s.sd) * s.sd + s.m, 0) AS subpart_no_inv "
           "FROM p CROSS JOIN s GROUP BY part_number, p.subpart_no, s.m, s.sd")
 def q_scaler_inverse(spark, sf_dir):
-    df = prepared_table(spark, sf_dir).withColumn("raw_subpart", F.col("subpart_no"))
+    df = prepared_table(spark, sf_dir, "part_number", "subpart_no").withColumn("raw_subpart", F.col("subpart_no"))
     params = SC.fit_scaler(df, ["subpart_no"], "train")
     scaled = SC.apply_scaler(df, params, ["subpart_no"])
     per_seq = scaled.groupBy("part_number", "raw_subpart").agg(F.avg("subpart_no").alias("m"))
@@ -578,9 +671,12 @@ def q_early_stop(spark, sf_dir):
 @register("best_epoch",
           _RUNLOG_STEPS + """, e AS (SELECT *, row_number() OVER (PARTITION BY run_id ORDER BY f2_ng DESC, v ASC,
         epoch ASC) AS rk FROM d WHERE (stop_e IS NULL OR epoch <= stop_e) AND (zstop IS NULL OR epoch < zstop)),
-z AS (SELECT run_id, bool_or(zstop IS NOT NULL) AS zero_stop FROM d GROUP BY run_id)
-SELECT z.run_id, e.epoch AS best_epoch, round(CASE WHEN z.zero_stop THEN 0.0 ELSE e.f2_ng END, 6) AS f2,
-  round(e.val_loss, 6) AS val_loss, z.zero_stop FROM z LEFT JOIN (SELECT * FROM e WHERE rk = 1) e USING (run_id)""")
+z AS (SELECT run_id, bool_or(zstop IS NOT NULL AND (stop_e IS NULL OR zstop <= stop_e)) AS zero_stop FROM d GROUP BY run_id)
+SELECT z.run_id, coalesce(e.epoch, 0)::BIGINT AS best_epoch,
+  round(CASE WHEN z.zero_stop THEN 0.0 ELSE coalesce(e.f2_ng, -1.0) END, 6) AS f2_ng, round(coalesce(e.recall_ng, 0.0), 6) AS recall_ng,
+  round(coalesce(e.precision_ng, 0.0), 6) AS precision_ng, round(coalesce(e.precision_ok, 0.0), 6) AS precision_ok,
+  round(CASE WHEN e.epoch IS NULL THEN 'inf'::DOUBLE ELSE e.val_loss END, 6) AS val_loss, z.zero_stop
+FROM z LEFT JOIN (SELECT * FROM e WHERE rk = 1) e USING (run_id)""")
 def q_best_epoch(spark, sf_dir):
     return rounded(RL.best_epoch(_runlog(spark, sf_dir), patience=5))
 
@@ -664,8 +760,19 @@ def q_ingest_job(spark, sf_dir):
           f"SELECT max(ts) AS last_ts, arg_min(part_number, (pos, device, part_number)) AS last_part FROM "
           f"({_JSON_ROWS}) WHERE ts = (SELECT max(ts) FROM ({_JSON_ROWS}) WHERE ts > {CUTOFF_MS}) AND ts > {CUTOFF_MS}")
 def q_watermark_advance(spark, sf_dir):
-    rows = J.extract_measurements(J.unnest_json(J.incremental_filter(FX.json_source(spark, sf_dir), CUTOFF_MS)))
-    return ST.watermark_advance(rows)
+    new = J.incremental_filter(FX.json_source(spark, sf_dir), CUTOFF_MS)
+    return ST.watermark_advance(J.extract_measurements(J.unnest_json(J.newest(new))))
+
+
+@register("run_ingest_state", f"SELECT {_EXTRACT_COLS} FROM ({_JSON_ROWS}) WHERE ts > {CUTOFF_MS}")
+def q_run_ingest_state(spark, sf_dir):
+    """Two increments of a growing source: the second run starts at the stored watermark."""
+    state, out, mid = _scratch(spark, "state"), _scratch(spark, "ingest"), CUTOFF_MS + 40 * 86_400_000
+    raw = FX.json_source(spark, sf_dir)
+    ST.set_value(spark, state, IG.LAST_TS_KEY, CUTOFF_MS)
+    IG.run_ingest(spark, raw.where(F.col("ts") <= mid), state, out)
+    IG.run_ingest(spark, raw, state, out)
+    return spark.read.parquet(out).drop("after_ts")
 
 
 # ---------------------------------------------------------------- positional CSV folders
@@ -725,14 +832,17 @@ _STREAM_COLS = _SUMMARY_SQL_COLS.replace("round(sum(subpart_label), 6) AS ng_row
           + ") GROUP BY part_number")
 def q_stream_prepare_features(spark, sf_dir):
     """Labelled measurement rows stream through foreachBatch: prepare (score mode, stored
-    T) -> features -> per-part summary, one output partition per micro-batch."""
+    T) -> features -> per-part summary. Every run is split over two files, which are read one a
+    micro-batch, so runs wait in the pending table until they are whole."""
     import uuid
 
     from seqflow.session import scratch_path
     root = scratch_path(spark, f"score-{uuid.uuid4().hex}")
     src = labelled(spark, sf_dir)
-    src.write.parquet(f"{root}/source")
-    stream = spark.readStream.schema(src.schema).parquet(f"{root}/source")
+    half = F.pmod(F.xxhash64("l_orderkey", "l_partkey"), F.lit(2))
+    for k in (0, 1):
+        src.where(half == k).coalesce(1).write.parquet(f"{root}/source/{k}")
+    stream = spark.readStream.schema(src.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/source/*")
     # the stored padding length of the train run (one integer through the driver)
     kept = P.filter_by_length(P.normalize_subparts(src), K_SUBPARTS, STEPS)
     t = spark.range(1).select(P.max_sequence_length(kept)).first()[0]
@@ -740,9 +850,9 @@ def q_stream_prepare_features(spark, sf_dir):
     def summary(feats):
         return _summary(feats.withColumn("subpart_label", (F.col("subpart_label") == "NG").cast("long")))
 
-    q = SS.start_scoring(stream, f"{root}/sink", f"{root}/checkpoint", FX.MEASUREMENT_ORDER, target_len=t,
-                         scorer=summary, n_subparts=K_SUBPARTS, steps=STEPS)
-    q.awaitTermination()
+    job = {"order_by": FX.MEASUREMENT_ORDER, "target_len": t, "steps": STEPS, "scorer": summary, "n_subparts": K_SUBPARTS}
+    SS.start_scoring(stream, f"{root}/sink", f"{root}/checkpoint", **job).awaitTermination()
+    SS.finish_scoring(spark, src.schema, f"{root}/sink", **job)
     return spark.read.parquet(f"{root}/sink").drop("batch_id")
 
 
@@ -750,8 +860,16 @@ def q_stream_prepare_features(spark, sf_dir):
 
 
 
-def _nested_with_split(spark, sf_dir):
-    nested = SQ.nest_sequences(_chunked(spark, sf_dir), _SEQ_FEATURES, by=("part_number",))
+def _nested_with_split(spark, sf_dir, engineered: bool = False):
+    """Nested sequences with their split; written first, as the split and the join both read them."""
+    if engineered:
+        df, t = prepare_job_with_length(labelled(spark, sf_dir), order_by=FX.MEASUREMENT_ORDER, mode="train",
+                                        n_subparts=K_SUBPARTS, steps=STEPS)
+        rows = FE.add_all_features(df).na.fill(0.0, _FEATURE_COLS)
+        nested = SQ.nest_sequences(SQ.chunk_rows(rows, t, by=("part_number",)), _FEATURE_COLS, by=("part_number",))
+    else:
+        nested = SQ.nest_sequences(_chunked(spark, sf_dir), _SEQ_FEATURES, by=("part_number",))
+    nested = TB.write_table(nested, path=_scratch(spark, "nested"))
     groups = SQ.split_groups(nested, keys=("part_number", "chunk"), train_size=0.75, val_size=0.1)
     return MD.materialize(nested.join(groups.select("part_number", "chunk", "split"), ["part_number", "chunk"]))
 
@@ -768,6 +886,35 @@ def q_fit_score_report(spark, sf_dir):
     return ME.classification_report(scored, "real_label", "label")
 
 
+@register("fit_score_properties",
+          f"""WITH g AS (SELECT part_number, chunk, max(subpart_label) AS subpart_label FROM ({O.chunked(_PREP, _T_PREP)}) GROUP BY 1, 2),
+r AS (SELECT *, row_number() OVER (PARTITION BY subpart_label ORDER BY md5('42#' || part_number || '#' || chunk), part_number, chunk) AS rk,
+  count(*) OVER (PARTITION BY subpart_label) AS tot FROM g),
+s AS (SELECT *, floor(tot * {_P_TRAIN!r}) AS ntr FROM r)
+SELECT subpart_label AS real_label, count(*) AS support, count(*) AS in_range FROM s
+WHERE rk > ntr + floor((tot - ntr) * {_P_VAL!r}) GROUP BY 1""")
+def q_fit_score_properties(spark, sf_dir):
+    """Ops 69 + 71 end to end on the 19 engineered columns: fit on train, save, load in another
+    place, score the test split. Per true class: sequences, and those with probabilities that
+    add up to one and a label that follows from them."""
+    from pyspark.ml import PipelineModel
+    data = _nested_with_split(spark, sf_dir, engineered=True)
+    path = _scratch(spark, "model")
+    MD.fit_classifier(SQ.class_weights(data.where(F.col("split") == "train")), "logistic",
+                      {"maxIter": 10, "regParam": 0.01}).write().overwrite().save(path)
+    scored = MD.score_sequences(PipelineModel.load(path), data.where(F.col("split") == "test"),
+                                keys=("part_number", "chunk"), real_label="subpart_label")
+    p, q = F.col("prob_NG"), F.col("prob_OK")
+    ok = p.between(0, 1) & (F.abs(p + q - 1) < 1e-9) & (F.col("label") == (p > 0.5).cast("int"))
+    return scored.groupBy("real_label").agg(F.count(F.lit(1)).alias("support"), F.sum(ok.cast("long")).alias("in_range"))
+
+
+@register("grid_search_properties", "SELECT unnest([0.01, 0.1])::DOUBLE AS reg_param, true AS f2_in_range")
+def q_grid_search_properties(spark, sf_dir):
+    """Op 70: one row per grid point, its mean F2 within 0..1."""
+    return q_grid_search_f2(spark, sf_dir).select("reg_param", F.col("mean_f2").between(0, 1).alias("f2_in_range"))
+
+
 @register("grid_search_f2")
 def q_grid_search_f2(spark, sf_dir):
     """Cross-validated grid on F2 (NG); one row per grid point with its mean metric."""
@@ -818,9 +965,42 @@ def q_event_features_skew_safe(spark, sf_dir):
 def q_prepare_sequences_train(spark, sf_dir):
     """Train mode: chunk the prepared rows into T-step sequences, fit and apply the
     scaler, nest, weight by class."""
-    df = prepared_table(spark, sf_dir)  # read three times: T, the scaler fit, the rows
+    # read three times: T, the scaler fit, the rows
+    df = prepared_table(spark, sf_dir, "part_number", "subpart_no", "subpart_index", "part_index", "subpart_label", *_SEQ_FEATURES)
     seqs, _ = PS.prepare_sequences(df, "train", _SEQ_FEATURES, P.column_max(df, "subpart_index"),
                                    by=("part_number",))
     return rounded(seqs.select(
         "part_number", "chunk", "subpart_label", "group_id", F.size("features").cast("long").alias("n_steps"),
         F.aggregate("features", F.lit(0.0), lambda acc, v: acc + v[0]).alias("sum_first_scaled"), "weight"))
+
+
+_MODE_SQL = f"""WITH c AS ({O.chunked(_PREP, _T_PREP)}), s AS (SELECT avg(first_param) AS m, CASE WHEN stddev_pop(first_param) = 0 THEN 1.0
+  ELSE stddev_pop(first_param) END AS sd FROM c)
+SELECT part_number, chunk, {{label}} AS subpart_label, count(*) AS n_steps, round(sum((first_param - s.m) / s.sd), 6) AS sum_first_scaled
+FROM c CROSS JOIN s GROUP BY part_number, chunk"""
+
+
+def _sequences_in_mode(spark, sf_dir, mode: str):
+    """A training run stores T and the scaler; the given mode reads both from the state table."""
+    table, state = _scratch(spark, "scaler"), _scratch(spark, "state")
+    df = prepared_table(spark, sf_dir, "part_number", "subpart_no", "subpart_index", "part_index", "subpart_label", *_SEQ_FEATURES)
+    t = spark.range(1).select(P.column_max(df, "subpart_index")).first()[0]
+    _, params = PS.prepare_sequences(df, "train", _SEQ_FEATURES, t, by=("part_number",))
+    ST.set_value(spark, state, "padding_length", t)
+    SC.persist_fit(spark, params, table, state)
+    stored = spark.read.schema(ST.STATE_SCHEMA).parquet(state)
+    scaler = SC.load_scaler(spark, table, ST.get_value(stored, "last_scaler_id"))
+    seqs, _ = PS.prepare_sequences(df, mode, _SEQ_FEATURES, ST.get_value(stored, "padding_length"), scaler, by=("part_number",))
+    return rounded(seqs.select("part_number", "chunk", "subpart_label", F.size("features").cast("long").alias("n_steps"),
+                               F.aggregate("features", F.lit(0.0), lambda acc, v: acc + v[0]).alias("sum_first_scaled")))
+
+
+@register("prepare_sequences_val", _MODE_SQL.format(label="max(subpart_label)"))
+def q_prepare_sequences_val(spark, sf_dir):
+    return _sequences_in_mode(spark, sf_dir, "val")
+
+
+@register("prepare_sequences_score", _MODE_SQL.format(label="0.0::DOUBLE"))
+def q_prepare_sequences_score(spark, sf_dir):
+    """Score mode: no labels are read, all are 0."""
+    return _sequences_in_mode(spark, sf_dir, "score")

@@ -133,18 +133,18 @@ def add_signal_features_skew_safe(
 
     No window sees a whole group: rows get a dense position from the skew-safe
     `ordered_index`, are cut into blocks of `block_rows` per group, and each block also
-    receives a halo of the 2 neighbouring rows on each side (enough for the gradient of
-    the gradient and a centred frame up to 5 rows). Windows run per (group, block); the
+    receives a halo of neighbouring rows on each side: 2 for the gradient of the gradient, or
+    as many as the centred frame of `window_size` rows needs. Windows run per (group, block); the
     group's last row is the one without a successor. Running sums add per-block offsets
     (a window over the small block-sum table, joined back on (group, block)).
     Results equal the plain operator up to floating-point summation order.
     """
     keys = list(keys)
     require(df, *keys, *signals)
-    halo = 2
     lo, hi = centred_frame(window_size)
-    if max(-lo, hi) > halo or block_rows <= 2 * halo:
-        raise ValueError("window_size must be <= 5 and block_rows > 4")
+    halo = max(2, -lo, hi)
+    if block_rows <= 2 * halo:
+        raise ValueError(f"block_rows must be more than {2 * halo} for window_size {window_size}")
     cols = list(df.columns)
     b = ordered_index(df, list(order), keys, name="__sf_i")
     off = (F.col("__sf_i") - 1) % block_rows

@@ -42,7 +42,12 @@ def confusion_matrix(df: DataFrame, label: str, pred: str, classes=(0, 1)) -> Da
 
 def _counts(df: DataFrame, label: str, pred: str) -> DataFrame:
     y, p = F.col(label).cast("double"), F.col(pred).cast("double")
-    s = lambda c: F.sum(F.when(c, 1).otherwise(0)).cast("long")
+    # a NULL or third class would otherwise drop out of every count: it is an error
+    bad = ~(F.coalesce(y.isin(0.0, 1.0), F.lit(False)) & F.coalesce(p.isin(0.0, 1.0), F.lit(False)))
+    refuse = F.raise_error(F.concat(F.lit("label and prediction must be 0 or 1, got: "),
+                                    F.coalesce(y.cast("string"), F.lit("NULL")), F.lit(", "),
+                                    F.coalesce(p.cast("string"), F.lit("NULL")))).cast("int")
+    s = lambda c: F.sum(F.when(bad, refuse).when(c, 1).otherwise(0)).cast("long")
     return df.agg(
         s((y == 1) & (p == 1)).alias("tp"), s((y == 0) & (p == 1)).alias("fp"),
         s((y == 1) & (p == 0)).alias("fn"), s((y == 0) & (p == 0)).alias("tn"),
@@ -50,7 +55,7 @@ def _counts(df: DataFrame, label: str, pred: str) -> DataFrame:
 
 
 def classification_report(df: DataFrame, label: str, pred: str) -> DataFrame:
-    """Op 40: rows '0', '1', 'accuracy', 'macro avg', 'weighted avg' with precision,
+    """Op 40 (a label or prediction that is NULL or neither 0 nor 1 fails the query): rows '0', '1', 'accuracy', 'macro avg', 'weighted avg' with precision,
     recall, f1 and support; the accuracy row carries the accuracy in f1 (as the usual
     text report prints it) and NULL precision / recall."""
     c = _counts(df, label, pred)

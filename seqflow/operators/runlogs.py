@@ -29,36 +29,43 @@ def early_stop(df: DataFrame, patience: int = 5, loss: str = "val_loss", run: st
         F.max(epoch).alias("last_epoch"))
 
 
+#: metrics of the best epoch, and what they are where no epoch is best
+BEST_METRICS = {"f2_ng": -1.0, "recall_ng": 0.0, "precision_ng": 0.0, "f1_ng": 0.0, "recall_ok": 0.0, "precision_ok": 0.0,
+                "f1_ok": 0.0, "val_loss": float("inf")}
+
+
 def best_epoch(df: DataFrame, patience: int = 5, run: str = RUN, epoch: str = EPOCH,
                f2: str = "f2_ng", loss: str = "val_loss",
                precision_cols: tuple[str, str] = ("precision_ng", "precision_ok")) -> DataFrame:
     """Op 72: best epoch per run = max F2, ties -> lower val_loss, then earlier epoch,
     over the epochs the loop reaches: up to the early-stop epoch (inclusive) and before
-    the first epoch with a zero precision in either class (which ends the run with
-    F2 reported as 0). NaN losses count as +inf."""
+    the first epoch with a zero precision in either class. Such an epoch ends the run with F2
+    reported as 0, but only if the loop reaches it; later ones don't count. NaN losses count as
+    +inf. A run without a best epoch has epoch 0 and the initial metrics. Returns the
+    metrics of `BEST_METRICS` that the log has; one window per run and one aggregate."""
     v = F.nanvl(F.col(loss).cast("double"), F.lit(float("inf")))
     w = Window.partitionBy(run).orderBy(epoch)
     before = w.rowsBetween(Window.unboundedPreceding, -1)
     upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     improved = v < F.coalesce(F.min(v).over(before), F.lit(float("inf")))
-    zero = (F.col(precision_cols[0]) == 0) | (F.col(precision_cols[1]) == 0)
+    zero = F.coalesce((F.col(precision_cols[0]) == 0) | (F.col(precision_cols[1]) == 0), F.lit(False))
     s = df.select("*", F.when(improved, F.col(epoch)).alias("__sf_imp"), zero.alias("__sf_zero"), v.alias("__sf_v"))
-    s = s.withColumn("__sf_counter", F.col(epoch) - F.coalesce(F.max("__sf_imp").over(upto), F.lit(0)))
-    per_run = Window.partitionBy(run)
-    stop = F.min(F.when(F.col("__sf_counter") >= patience, F.col(epoch))).over(per_run)
-    zstop = F.min(F.when(F.col("__sf_zero"), F.col(epoch))).over(per_run)
-    s = s.withColumn("__sf_stop", stop).withColumn("__sf_zstop", zstop)
-    reached = ((F.col("__sf_stop").isNull() | (F.col(epoch) <= F.col("__sf_stop")))
-               & (F.col("__sf_zstop").isNull() | (F.col(epoch) < F.col("__sf_zstop"))))
-    cand = s.where(reached)
-    key = F.struct(F.col(f2).cast("double"), -F.col("__sf_v"), -F.col(epoch).cast("long"))
-    best = cand.groupBy(run).agg(F.max_by(F.struct(F.col(epoch).alias("best_epoch"), F.col(f2).alias("f2"),
-                                                   F.col(loss).alias("val_loss")), key).alias("b"))
-    zeros = s.groupBy(run).agg(F.max(F.col("__sf_zstop").isNotNull()).alias("zero_stop"))
-    j = zeros.join(best, run, "left")
-    return j.select(run, F.col("b.best_epoch").alias("best_epoch"),
-                    F.when(F.col("zero_stop"), F.lit(0.0)).otherwise(F.col("b.f2")).alias("f2"),
-                    F.col("b.val_loss").alias("val_loss"), "zero_stop")
+    counter = F.col(epoch) - F.coalesce(F.max("__sf_imp").over(upto), F.lit(0))
+    s = s.withColumn("__sf_over", (counter >= patience).cast("int"))
+    # an epoch is reached if no earlier one ended the run, by its counter or by a zero precision
+    ended = F.coalesce(F.max(F.greatest("__sf_over", F.col("__sf_zero").cast("int"))).over(before), F.lit(0))
+    s = s.withColumn("__sf_reached", ended == 0)
+    metrics = [c for c in BEST_METRICS if c in df.columns]
+    cand = F.col("__sf_reached") & ~F.col("__sf_zero")
+    key = F.when(cand, F.struct(F.col(f2).cast("double"), -F.col("__sf_v"), -F.col(epoch).cast("long")))
+    best = F.max_by(F.struct(F.col(epoch).alias("best_epoch"), *[F.col(c).cast("double").alias(c) for c in metrics]), key)
+    out = s.groupBy(run).agg(best.alias("b"), F.max(F.col("__sf_reached") & F.col("__sf_zero")).alias("zero_stop"),
+                             F.max(cand).alias("__sf_any"))
+    pick = {c: F.when(F.col("__sf_any"), F.col(f"b.{c}")).otherwise(F.lit(BEST_METRICS[c])) for c in metrics}
+    if f2 in pick:
+        pick[f2] = F.when(F.col("zero_stop"), F.lit(0.0)).otherwise(pick[f2])
+    best_col = F.when(F.col("__sf_any"), F.col("b.best_epoch")).otherwise(F.lit(0)).cast(df.schema[epoch].dataType)
+    return out.select(run, best_col.alias("best_epoch"), *[pick[c].alias(c) for c in metrics], "zero_stop")
 
 
 def recall_trigger(df: DataFrame, recall: str = "recall_ng", run: str = RUN, epoch: str = EPOCH,

@@ -63,13 +63,13 @@ def load_scaler(spark, path: str, scaler_id: str) -> DataFrame:
 
 def persist_fit(spark, params: DataFrame, path: str, state_path: str, key: str = "last_scaler_id",
                 scaler_id: str | None = None) -> str:
-    """Op 37: store a fit under a timestamped id (ddmmYYYY_HHMMSS) and record the id in
+    """Op 37: store a fit under a timestamped id (ddmmYYYY_HHMMSS_microseconds) and record the id in
     the state table; later modes load it with `load_scaler(spark, path, id)`."""
     import datetime
 
     from seqflow.operators.state import set_value
 
-    sid = scaler_id or datetime.datetime.now().strftime("%d%m%Y_%H%M%S")
+    sid = scaler_id or datetime.datetime.now().strftime("%d%m%Y_%H%M%S_%f")
     save_scaler(params.withColumn("scaler_id", F.lit(sid)), path)
     set_value(spark, state_path, key, sid)
     return sid

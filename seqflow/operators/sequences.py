@@ -55,7 +55,7 @@ def chunk_rows(
         wc = Window.partitionBy(*by, CHUNK)
         last_label = F.max_by(F.col(label), F.col(STEP)).over(wc)
         last_sub = F.max_by(F.col(subpart), F.col(STEP)).over(wc)
-        gid = F.concat_ws("#", *[F.col(b).cast("string") for b in by], last_sub.cast("string"))
+        gid = F.concat_ws("#", F.col(by[0]).cast("string"), last_sub.cast("string"))
         out = out.withColumn(label, last_label).withColumn(GROUP_ID, gid)
     return out.drop("__sf_rn", "__sf_n", "__sf_t")
 
@@ -129,8 +129,8 @@ def split_groups(
     groups = df.groupBy(*keys).agg(F.max(label).alias(label)).withColumn("__sf_h", group_hash(keys, seed))
     ranked = ordered_index(groups, ["__sf_h", *keys], [label], name="__sf_rank", bounded_keys=True)
     # per-label totals, read off the numbered (checkpointed) rows instead of re-running the
-    # upstream plan; a label is binary, so this table has a proven bound of 3 rows
-    totals = F.broadcast(ranked.groupBy(label).agg(F.count(F.lit(1)).alias("__sf_total")))
+    # upstream plan; AQE broadcasts them where they are small
+    totals = ranked.groupBy(label).agg(F.count(F.lit(1)).alias("__sf_total"))
     j = ranked.join(totals, ranked[label].eqNullSafe(totals[label]), "inner").drop(totals[label])
     n_train = F.floor(F.col("__sf_total") * F.lit(p_train))
     n_val = F.floor((F.col("__sf_total") - n_train) * F.lit(p_val))
@@ -148,9 +148,9 @@ def assign_split(df: DataFrame, groups: DataFrame, which: str, keys: Sequence[st
 
 def class_weights(df: DataFrame, label: str = LABEL, name: str = "weight") -> DataFrame:
     """Op 38: weight = 1 / count(rows of the same class). Class counts are a partial
-    aggregate joined back by broadcast (the label is binary: a proven 3-row bound)."""
+    aggregate joined back; AQE broadcasts them where the classes are few."""
     require(df, label)
-    counts = F.broadcast(df.groupBy(label).agg(F.count(F.lit(1)).alias("__sf_cnt")))
+    counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("__sf_cnt"))
     j = df.join(counts, df[label].eqNullSafe(counts[label]), "inner").drop(counts[label])
     return j.withColumn(name, 1.0 / F.col("__sf_cnt")).drop("__sf_cnt")
 
@@ -171,14 +171,14 @@ def resample_balanced(
     """
     keys = list(keys)
     require(df, label, *keys)
-    # one class-count aggregate (at most 3 rows: a proven bound) gives the weights, the
-    # number of rows N and the number of classes K; Spark reuses its exchange
+    # one class-count aggregate gives the weights, the number of rows N and the number of
+    # classes K; Spark reuses its exchange
     counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("__sf_cnt"))
     n_rows = counts.select(F.sum("__sf_cnt")).scalar()
     k = counts.select(F.count(F.lit(1))).scalar()
     n_draws = (num_samples if isinstance(num_samples, Column)
                else F.lit(int(num_samples)) if num_samples is not None else n_rows)
-    c = F.broadcast(counts)
+    c = counts
     w = df.join(c, df[label].eqNullSafe(c[label]), "inner").drop(c[label])
     e = (1.0 / F.col("__sf_cnt")) * n_draws / k
     copies = (F.floor(e) + F.when(uniform(keys, seed) < (e - F.floor(e)), 1).otherwise(0)).cast("int")

@@ -29,14 +29,19 @@ def get_value(state: DataFrame, key: str):
     return json.loads(rows[0][0])
 
 
+def table_exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is anything at `path`, asked of the file system that holds it."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+
+
 def set_value(spark: SparkSession, path: str, key: str, value) -> bool:
     """Op 14 (set): append a new version unless the JSON text equals the latest; returns
     whether a row was written."""
     text = json.dumps(value, sort_keys=True)
-    try:
+    cur = []
+    if table_exists(spark, path):  # any other failure to read is an error: a new version 1 would be lost
         cur = latest_state(spark.read.schema(STATE_SCHEMA).parquet(path).where(F.col("key") == key)).take(1)
-    except Exception:  # noqa: BLE001 - no table yet
-        cur = []
     if cur and cur[0]["value"] == text:
         return False
     version = (cur[0]["version"] + 1) if cur else 1
@@ -48,7 +53,8 @@ def watermark_advance(rows: DataFrame, ts: str = "ts", part: str = "part_number"
                       device: str = "device") -> DataFrame:
     """Op 6: new high watermark = max(ts); last part = the part of the first row at that
     ts (lowest `pos`, then device, then part). One row; empty input gives no row.
-    Both are partial aggregates; the max is a scalar subquery."""
+    Both are partial aggregates; the max is a scalar subquery. The rows need no more than one ts:
+    callers that have the raw rows take the max there, see `raw_watermark`."""
     top = rows.select(F.max(ts)).scalar()
     at_max = rows.where(F.col(ts) == top)
     out = at_max.agg(F.max(ts).alias("last_ts"),

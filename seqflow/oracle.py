@@ -7,8 +7,6 @@ rounded to 6 places on both sides. The SQL is assembled from small text template
 
 from __future__ import annotations
 
-from seqflow.operators.prepare import length_bounds
-
 R = 6  # decimal places for double outputs
 # Sample standard deviations are computed by different (equally valid) update formulas in
 # the two engines; on values near 1e5 they differ in the 11th significant digit, so
@@ -61,7 +59,7 @@ def normalized(src: str) -> str:
 
 
 def length_filtered(src: str, k: int = 7, steps: int = 86) -> str:
-    lo, hi = length_bounds(k, steps)
+    lo, hi = k * steps * 0.9, k * steps * 1.1
     return (f"SELECT * FROM ({src}) WHERE part_number IN (SELECT part_number FROM ({src}) "
             f"WHERE part_number IS NOT NULL GROUP BY part_number HAVING count(*) > {lo!r} AND count(*) < {hi!r})")
 
@@ -143,17 +141,17 @@ def rnd(expr: str, alias: str) -> str:
 
 # ---------------------------------------------------------------- sequences, scaling, metrics
 
-def chunked(src: str, t: str) -> str:
-    """Rows of complete chunks of T rows per part (row number by part_index), with
+def chunked(src: str, t: str, keys: str = "part_number") -> str:
+    """Rows of complete chunks of T rows per `keys` (row number by part_index), with
     chunk, step, chunk label and group id from the chunk's last row."""
     return f"""SELECT * EXCLUDE (lab, rn_, n_, t_) REPLACE (lab AS subpart_label) FROM (
   SELECT *, last_value(subpart_label) OVER c AS lab,
          part_number || '#' || CAST(last_value(subpart_no) OVER c AS VARCHAR) AS group_id
   FROM (SELECT *, (rn_ - 1) // t_ AS chunk, (rn_ - 1) % t_ + 1 AS step FROM (
-          SELECT *, row_number() OVER (PARTITION BY part_number ORDER BY part_index) AS rn_,
-                 count(*) OVER (PARTITION BY part_number) AS n_, CAST(({t}) AS BIGINT) AS t_ FROM ({src})))
+          SELECT *, row_number() OVER (PARTITION BY {keys} ORDER BY part_index) AS rn_,
+                 count(*) OVER (PARTITION BY {keys}) AS n_, CAST(({t}) AS BIGINT) AS t_ FROM ({src})))
   WHERE chunk < n_ // t_
-  WINDOW c AS (PARTITION BY part_number, chunk ORDER BY step ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING))"""
+  WINDOW c AS (PARTITION BY {keys}, chunk ORDER BY step ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING))"""
 
 
 def groups_of(src: str) -> str:

@@ -39,13 +39,13 @@ def column_positions(schema: Sequence[str]) -> list[tuple[int, str]]:
 
 
 def list_csv(spark: SparkSession, folder: str, files_type: str) -> DataFrame:
-    """Op 7: files `*.csv` under `folder` (path, name, content); NG keeps names of kind A."""
-    df = (spark.read.format("binaryFile").option("pathGlobFilter", "*.csv")
+    """Op 7: files `*.csv` under `folder` (path, name, content); NG keeps names of kind A, and
+    files of other kinds are not read. A file is one run and must fit in a cell: Spark refuses
+    files over `spark.sql.sources.binaryFile.maxLength` (2 GB) by name."""
+    glob = f"{NG_KIND}_*.csv" if files_type == "NG" else "*.csv"
+    df = (spark.read.format("binaryFile").option("pathGlobFilter", glob)
           .option("recursiveFileLookup", "true").load(folder))
-    df = df.select("path", F.element_at(F.split("path", "/"), -1).alias("name"), "content")
-    if files_type == "NG":
-        df = df.where(F.split("name", "_")[0] == F.lit(NG_KIND))
-    return df
+    return df.select("path", F.element_at(F.split("path", "/"), -1).alias("name"), "content")
 
 
 def file_metadata(files: DataFrame, files_type: str) -> DataFrame:
@@ -59,13 +59,17 @@ def file_metadata(files: DataFrame, files_type: str) -> DataFrame:
 
 def read_positional(files: DataFrame, schema: Sequence[str] = DEFAULT_SCHEMA, header_rows: int = 1) -> DataFrame:
     """Op 8: Latin-1 text, skip `header_rows + 1` lines and blank lines, bind by position.
-    Adds `line_no` (0-based) as the order key within a file; cells stay text (see op 10)."""
+    Adds `line_no` (0-based) as the order key within a file; cells stay text (see op 10). Quoted
+    cells may hold commas and doubled quotes, but no line breaks."""
     text = F.decode(F.col("content"), "ISO-8859-1")
     keep = [c for c in files.columns if c != "content"]
     lines = files.select(*keep, F.posexplode(F.split(text, "\r?\n")).alias("line_no", "line"))
     lines = lines.where((F.col("line_no") > header_rows) & (F.trim(F.col("line")) != ""))
-    cells = F.split(F.col("line"), ",")
-    return lines.select(*keep, "line_no", *[F.get(cells, pos).alias(name) for pos, name in column_positions(schema)])
+    places = column_positions(schema)
+    width = max(pos for pos, _ in places) + 1
+    cells = F.from_csv(F.col("line"), ", ".join(f"c{i} STRING" for i in range(width)), {"escape": '"'})
+    lines = lines.select(*keep, "line_no", cells.alias("__sf_cells"))
+    return lines.select(*keep, "line_no", *[F.col(f"__sf_cells.c{pos}").alias(name) for pos, name in places])
 
 
 def coerce_numeric(df: DataFrame, columns: Sequence[str]) -> DataFrame:

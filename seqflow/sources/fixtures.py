@@ -101,20 +101,26 @@ def write_csv_folders(spark: SparkSession, sf_dir: str, root: str) -> tuple[str,
     task: `<root>/OK/B_<task>_<line>_<supplier>_z.csv` and
     `<root>/NG/A_<task>_<line>_<supplier>_<valves>.csv` (header line + column line).
 
-    Rows are hash-partitioned by file key and sorted, then streamed by `mapInPandas` into
+    Lines are built by Spark; rows are hash-partitioned by file key and sorted, then streamed by `mapInArrow` into
     one open file at a time through `pyarrow.fs` (local, HDFS or object-store URIs); no
     group is buffered, and a task that re-runs rewrites its own files.
     Returns (ok_folder, ng_folder)."""
     m = measurements(spark, sf_dir)
+    number = lambda c: F.col(c).cast("double").cast("string")
+    # one reserved cell is quoted text with a comma
+    line = F.concat_ws(",", *map(number, ("subpart_no", "machine_position", "third_param", "second_param", "first_param")),
+                       F.lit('"1,5",,,,'), number("l_partkey"), number("l_orderkey"))
+    name = F.when(F.col("files_type") == "NG", F.concat_ws("_", F.col("subpart_no").cast("int"), "part_number", F.concat("valve_raw", F.lit(".csv"))))
+    name = F.coalesce(name, F.concat_ws("_", F.col("subpart_no").cast("int"), "part_number", F.lit("z.csv")))
     src = (m.repartition("part_number", "subpart_no")
            .sortWithinPartitions("part_number", "subpart_no", *MEASUREMENT_ORDER)
-           .select("part_number", "subpart_no", "first_param", "second_param", "third_param", "machine_position",
-                   F.col("l_partkey").cast("double").alias("temp_a"), F.col("l_orderkey").cast("double").alias("temp_b"),
-                   "files_type", "valve_raw"))
+           .select("files_type", name.alias("name"), line.alias("line")))
     ok_dir, ng_dir = f"{root.rstrip('/')}/OK", f"{root.rstrip('/')}/NG"
 
     def write(batches):
-        import pandas as pd
+        from itertools import groupby
+
+        import pyarrow as pa
         from pyarrow import fs as pafs
         from pyspark import TaskContext
 
@@ -124,25 +130,22 @@ def write_csv_folders(spark: SparkSession, sf_dir: str, root: str) -> tuple[str,
         filesystem.create_dir(ng_path, recursive=True)
         pid = TaskContext.get().partitionId()
         current, stream, written = None, None, 0
-        for pdf in batches:
-            for r in pdf.itertuples(index=False):
-                key = (r.part_number, r.subpart_no)
+        for b in batches:
+            at, keys = 0, zip(b.column("files_type").to_pylist(), b.column("name").to_pylist())
+            for key, rows in groupby(keys):  # a file's lines of the batch are written at once
+                n = sum(1 for _ in rows)
                 if key != current:
                     if stream is not None:
                         stream.close()
-                    if r.files_type == "NG":
-                        path = f"{ng_path}/A_{pid}_{int(r.subpart_no)}_{r.part_number}_{r.valve_raw}.csv"
-                    else:
-                        path = f"{ok_path}/B_{pid}_{int(r.subpart_no)}_{r.part_number}_z.csv"
-                    stream = filesystem.open_output_stream(path)
+                    folder, kind = (ng_path, "A") if key[0] == "NG" else (ok_path, "B")
+                    stream = filesystem.open_output_stream(f"{folder}/{kind}_{pid}_{key[1]}")
                     stream.write((CSV_TITLE + "\r\n" + CSV_HEADER + "\r\n").encode("latin-1"))
                     current, written = key, written + 1
-                line = (f"{r.subpart_no!r},{r.machine_position!r},{r.third_param!r},{r.second_param!r},"
-                        f"{r.first_param!r},,,,,,{r.temp_a!r},{r.temp_b!r}\r\n")
-                stream.write(line.encode("latin-1"))
+                stream.write(("\r\n".join(b.column("line").slice(at, n).to_pylist()) + "\r\n").encode("latin-1"))
+                at += n
         if stream is not None:
             stream.close()
-        yield pd.DataFrame({"files": [written]})
+        yield pa.RecordBatch.from_pydict({"files": [written]})
 
-    src.mapInPandas(write, "files long").write.format("noop").mode("overwrite").save()
+    src.mapInArrow(write, "files long").write.format("noop").mode("overwrite").save()
     return ok_dir, ng_dir

@@ -42,16 +42,26 @@ def unnest_json(df: DataFrame, payload: str = "payload", strict: bool = False, k
 
 def extract_measurements(df: DataFrame, value: str = "value", keep=("ts", "device"), strict: bool = False,
                          keep_pos: bool = True) -> DataFrame:
-    """Op 4: typed columns from each element; missing key or bad cast -> NULL
+    """Op 4: typed columns from each element; missing key, bad cast or NaN -> NULL
     (`strict=True`: bad cast fails). Bracket paths, since keys contain '(' and '.'."""
     get = F.variant_get if strict else F.try_variant_get
     cols = [F.col(k) for k in keep]
     if keep_pos and "pos" in df.columns:
         cols.append(F.col("pos"))
-    cols += [get(F.col(value), '$["' + k + '"]', t).alias(name) for k, name, t in KEY_MAP]
+    for k, name, t in KEY_MAP:
+        v = get(F.col(value), '$["' + k + '"]', t)
+        cols.append((F.when(~F.isnan(v), v) if t == "double" else v).alias(name))  # NaN is a missing value
     return df.select(*cols)
 
 
+def newest(df: DataFrame, ts: str = "ts") -> DataFrame:
+    """The raw rows at the largest `ts`: all that the watermark needs, found before anything is unnested."""
+    return df.where(F.col(ts) == df.select(F.max(ts)).scalar())
+
+
 def lower_columns(df: DataFrame) -> DataFrame:
-    """Op 5: every column name lower-cased."""
+    """Op 5: every column name lower-cased; names that would become equal are an error."""
+    names = [c.lower() for c in df.columns]
+    if len(set(names)) < len(names):
+        raise ValueError(f"names clash in lower case: {sorted({c for c in names if names.count(c) > 1})}")
     return df.toDF(*[c.lower() for c in df.columns])

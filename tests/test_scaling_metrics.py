@@ -82,7 +82,21 @@ def test_early_stop_and_best_epoch(spark):
     assert best["best_epoch"] == 7 and not best["zero_stop"]  # f2 grows with epoch, stop at 7 inclusive
     zlog = _log(spark, [1.0, 0.9, 0.8, 0.7], prec=[0.5, 0.5, 0.0, 0.5])
     zb = RL.best_epoch(zlog).collect()[0]
-    assert zb["best_epoch"] == 2 and zb["f2"] == 0.0 and zb["zero_stop"]
+    assert zb["best_epoch"] == 2 and zb["f2_ng"] == 0.0 and zb["zero_stop"]
+    # a zero precision after the early stop is never reached
+    late = RL.best_epoch(_log(spark, [1.0, 1.1, 1.2, 1.3], prec=[0.5, 0.5, 0.5, 0.0]), patience=2).collect()[0]
+    assert late["best_epoch"] == 3 and late["f2_ng"] == pytest.approx(0.2) and not late["zero_stop"]
+    # a run that ends at once has epoch 0 and the initial metrics
+    none = RL.best_epoch(_log(spark, [1.0, 0.9], prec=[0.0, 0.5])).collect()[0]
+    assert none["best_epoch"] == 0 and none["f2_ng"] == 0.0 and none["val_loss"] == float("inf") and none["zero_stop"]
+    assert "Join" not in RL.best_epoch(log)._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("bad", [(None, 1.0), (2.0, 1.0), (1.0, None), (0.0, 2.0)])
+def test_report_rejects_other_labels(spark, bad):
+    df = spark.createDataFrame([(1.0, 1.0), (0.0, 1.0), bad], "label double, prediction double")
+    with pytest.raises(Exception, match="label and prediction must be 0 or 1"):
+        ME.classification_report(df, "label", "prediction").collect()
 
 
 def test_recall_trigger_and_rebalance(spark):

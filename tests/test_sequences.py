@@ -50,6 +50,7 @@ def test_chunks_per_sequence_do_not_drift(spark):
                                      "subpart_label double")
     per_seq = {(r["subpart_no"], r["chunk"]) for r in SQ.chunk_rows(df, 4).collect()}
     assert per_seq == {(1.0, 0), (2.0, 0)}  # subpart 2 stays one whole chunk
+    assert {r["group_id"] for r in SQ.chunk_rows(df, 4).collect()} == {"p#1.0", "p#2.0"}
     per_part = SQ.chunk_rows(df, 4, by=("part_number",)).where(F.col("chunk") == 1).collect()
     assert sorted(r["x"] for r in per_part) == [5.0, 6.0, 7.0, 8.0]  # the stream drifts across subparts
     assert {r["group_id"] for r in per_part} == {"p#2.0"}

@@ -110,3 +110,32 @@ def test_run_ingest_with_state(spark, tmp_dir):
     assert spark.read.parquet(out).count() == 5
     assert IG.run_ingest(spark, raw(spark), state, out) is None  # nothing newer: no write, state kept
     assert spark.read.parquet(out).count() == 5
+
+
+def test_set_value_after_a_failed_read_is_an_error(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "broken-state")
+    os.makedirs(path)
+    with open(os.path.join(path, "part-0.parquet"), "w") as f:
+        f.write("no parquet")
+    with pytest.raises(Exception):
+        ST.set_value(spark, path, "T", 1)
+
+
+def test_increment_is_closed_and_repeatable(spark, tmp_dir):
+    state, out = os.path.join(tmp_dir, "state2"), os.path.join(tmp_dir, "out2")
+    ST.set_value(spark, state, IG.LAST_TS_KEY, 0)
+    IG.run_ingest(spark, raw(spark).where("ts <= 12"), state, out)
+    n = spark.read.parquet(out).count()
+    # a crash after the write, before the state: the same increment again replaces its rows
+    IG.run_ingest(spark, raw(spark).where("ts <= 12"), state, out, last_ts=0)
+    assert spark.read.parquet(out).count() == n
+    assert IG.run_ingest(spark, raw(spark), state, out) == 20
+    assert spark.read.parquet(out).count() == n + 5
+
+
+def test_nan_text_is_missing(spark):
+    df = spark.createDataFrame([(1, "M", '[{"PART_NUMBER": "p", "PROCESS_PART_TEMPERATURE_A": "NaN", "PROCESS_PART_TEMPERATURE_B": "1.5"}]')],
+                               "ts long, device string, payload string")
+    from seqflow.sources import json_source as JS
+    r = JS.extract_measurements(JS.unnest_json(df)).collect()[0]
+    assert r["temp_a"] is None and r["temp_b"] == 1.5

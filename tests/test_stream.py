@@ -46,9 +46,11 @@ def test_foreach_batch_scoring_is_idempotent(spark, tmp_dir):
     def summary(feats):
         return feats.groupBy("part_number").agg(F.count(F.lit(1)).alias("n"))
 
+    job = {"order_by": FX.MEASUREMENT_ORDER, "target_len": 20, "steps": C.STEPS, "scorer": summary, "n_subparts": C.K_SUBPARTS}
+
     def run():
-        SS.start_scoring(stream, f"{tmp_dir}/sink", f"{tmp_dir}/ckpt", FX.MEASUREMENT_ORDER, target_len=20,
-                         scorer=summary, n_subparts=C.K_SUBPARTS, steps=C.STEPS).awaitTermination()
+        SS.start_scoring(stream, f"{tmp_dir}/sink", f"{tmp_dir}/ckpt", **job).awaitTermination()
+        SS.finish_scoring(spark, src.schema, f"{tmp_dir}/sink", **job)
         return sorted(tuple(r) for r in spark.read.parquet(f"{tmp_dir}/sink").collect())
 
     first = run()
@@ -56,3 +58,30 @@ def test_foreach_batch_scoring_is_idempotent(spark, tmp_dir):
     assert run() == first  # restart without new files: nothing added
     src.limit(0).write.mode("append").parquet(f"{tmp_dir}/src/b")
     assert len(run()) >= len(first)
+
+
+def test_runs_that_span_micro_batches(spark, tmp_dir):
+    """Two runs over four files; the first is whole, by the delay, before the second ends."""
+    from datetime import datetime, timedelta
+
+    from seqflow.streaming import score as SS
+    t0 = datetime(2024, 1, 1)
+    schema = ("part_number string, subpart_no double, ts timestamp, first_param double, second_param double, third_param double, "
+              "machine_position double, ng_valve_no string, subpart_label string")
+
+    def rows(part, start, ids):
+        return [(part, 1.0, start + timedelta(minutes=i), float(i), 1.0, 2.0, 3.0, None, "OK") for i in ids]
+
+    late = t0 + timedelta(days=1)
+    parts = [rows("a", t0, range(10)), rows("a", t0, range(10, 20)) + rows("b", late, range(4)), rows("b", late, range(4, 12)), rows("b", late, range(12, 20))]
+    for k, r in enumerate(parts):
+        spark.createDataFrame(r, schema).coalesce(1).write.parquet(f"{tmp_dir}/src/{k}")
+        stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{tmp_dir}/src/*")
+        job = {"order_by": ["ts"], "target_len": 20, "steps": 20, "n_subparts": 1,
+               "scorer": lambda f: f.groupBy("part_number").agg(F.count(F.lit(1)).alias("n"))}
+        SS.start_scoring(stream, f"{tmp_dir}/sink", f"{tmp_dir}/ckpt", time_col="ts", delay="2 hours", **job).awaitTermination()
+    done = {(r["part_number"], r["n"]) for r in spark.read.parquet(f"{tmp_dir}/sink").collect()}
+    assert done == {("a", 20)}
+    SS.finish_scoring(spark, stream.schema, f"{tmp_dir}/sink", **job)
+    done = {(r["part_number"], r["n"]) for r in spark.read.parquet(f"{tmp_dir}/sink").collect()}
+    assert done == {("a", 20), ("b", 20)}
