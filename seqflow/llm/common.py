@@ -12,10 +12,18 @@ from seqflow.session import scratch_path
 
 #: a word: a run of characters that are no white space (space, tab to carriage return)
 WORD = r"[^\x20\x09-\x0D]+"
-BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+BATCH, DEFAULT_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch", "10000"
+
+
+def short_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Rows may hold long texts: unless the session sets a number of its own, Python functions get at most `rows`
+    rows at a time (Spark's default of 10,000 takes hundreds of MB in the executor and its Python worker)."""
+    if spark.conf.get(BATCH, DEFAULT_BATCH) == DEFAULT_BATCH:
+        spark.conf.set(BATCH, str(rows))
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    short_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -22,7 +22,7 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
         out = met.where(F.col("b") > F.col("a")).select(F.col("b").alias("a"), F.col("m").alias("b"))
     else:
         out = met.select(F.col("b").alias("a"), F.col("m").alias("b")).union(least.select(F.col("n").alias("a"), F.col("m").alias("b")))
-    return out.where("a != b").distinct()
+    return out.where("a != b")
 
 
 def connected_components(edges: DataFrame) -> DataFrame:
@@ -37,4 +37,4 @@ def connected_components(edges: DataFrame) -> DataFrame:
             return edges.select(F.col("a").alias("node"), F.col("b").alias("root")).union(
                 edges.select(F.col("b").alias("node"), F.col("b").alias("root"))).distinct()
         before = mark
-        edges = written(_star(_star(edges, True), False), "cc-edges")
+        edges = written(_star(_star(edges, True), False).distinct(), "cc-edges")
