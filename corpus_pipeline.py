@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from seqflow.llm import cotrain, decontaminate, mixing, simhash, substring
-from seqflow.llm.common import table, written
+from seqflow.llm.common import short_batches, table, written
 
 SHINGLE_WORDS, MAX_BITS = 3, 2
 
@@ -26,10 +26,12 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    short_batches(spark)
     return simhash.keep_one(docs, shingle=SHINGLE_WORDS, distance=MAX_BITS)
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    short_batches(spark)
     cut = substring.dedup_substrings(docs)
     cut = cut.where((F.col("_seqflow_cut.spans") == 0) | F.col("_seqflow_cut.text").rlike(r"[^\x20\x09-\x0D]"))
     length = F.when(F.col("_seqflow_cut.spans") == 0, F.col("n_chars")).otherwise(F.length("_seqflow_cut.text")).cast(docs.schema["n_chars"].dataType)
@@ -59,5 +61,5 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
-        docs = written(stage(spark, docs, sf_dir), f"pipeline-{name}", batch_rows=1000)
+        docs = written(stage(spark, docs, sf_dir), f"pipeline-{name}")
     return STAGES[-1][1](spark, docs, sf_dir)
