@@ -3,7 +3,8 @@
 Centroids are fitted by balanced bisection on a bounded sample and linked in a neighbour graph that fits in
 memory. Every vector goes to the list of its nearest centroid and, near a boundary, to those of further
 centroids within (1 + `closure`) times that distance. A query walks the graph to its nearest centroids, keeps
-those within (1 + `ratio`) times the least distance, at most `probes`, and is compared with their lists.
+those within (1 + `ratio`) times the least distance, at most `probes` but always enough for k results, and is
+compared with their lists.
 Nearness is the inner product: vectors get one more coordinate that makes all norms equal, in which the
 largest inner product is the least distance; the scores are those of the original vectors, in doubles.
 
@@ -124,6 +125,13 @@ def graph_search(q: np.ndarray, c: np.ndarray, near: np.ndarray, entry: np.ndarr
     return np.where(np.isfinite(dist), pool, -1), np.maximum(dist, 0)
 
 
+def nearest(q: np.ndarray, c: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All centroids, nearest first, as `graph_search` gives them: for indexes no larger than its width."""
+    d = squared(q, c)
+    ids = np.argsort(d, axis=1, kind="stable")
+    return ids, np.take_along_axis(d, ids, 1)
+
+
 def _matrix(c: pa.Array | pa.ChunkedArray, dtype) -> np.ndarray:
     c = c.combine_chunks() if isinstance(c, pa.ChunkedArray) else c
     return c.flatten().to_numpy(zero_copy_only=False).astype(dtype).reshape(len(c), -1)
@@ -165,8 +173,10 @@ def search(vectors: DataFrame, is_query: Column, *, k: int = 20, id_col: str = "
     centroids = balanced_centroids(lifted(_matrix(got["v"], np.float64)), lists)
     index = spark.sparkContext.broadcast((centroids, *neighbour_graph(centroids, degree)))
 
-    def choose(batches: Iterator[pa.RecordBatch], width: int, keep: int, slack: float, query: bool) -> Iterator[pa.RecordBatch]:
+    def choose(batches: Iterator[pa.RecordBatch], width: int, keep: int, slack: float, sizes=None) -> Iterator[pa.RecordBatch]:
+        """Rows with each list they are put in, or, given the lists' sizes, are looked for in."""
         c, near, entry = index.value
+        query = sizes is not None
         for b in batches:
             for at in range(0, b.num_rows, 512):
                 part = b.slice(at, 512)
@@ -176,19 +186,26 @@ def search(vectors: DataFrame, is_query: Column, *, k: int = 20, id_col: str = "
                     x = np.hstack([x, np.zeros((len(x), 1))]).astype(np.float32)
                 else:
                     x = lifted(x)
-                ids, d = graph_search(x, c, near, entry, width)
+                ids, d = graph_search(x, c, near, entry, width) if len(c) > width else nearest(x, c)
                 d = np.sqrt(d)
                 ok = (ids >= 0) & (d <= (1 + slack) * d[:, :1] + 1e-6)
                 ok[:, keep:] = False
+                if query:  # an entry is in at most `replicas` lists, so this many postings hold k + 1 entries
+                    held = np.where(ids >= 0, sizes.value[ids], 0)
+                    ok |= (ids >= 0) & (np.cumsum(held, axis=1) - held < (k + 1) * replicas)
                 r, p = np.nonzero(ok)
                 yield pa.RecordBatch.from_arrays([pa.array(ids[r, p].astype(np.int32)), part.column("rep").take(pa.array(r)), part.column("v").take(pa.array(r))], names=["list", "rep", "v"])
 
     kind = "list int, rep long, v array<double>"
-    posted = written(reps.select("rep", "v").mapInArrow(lambda it: choose(it, max(24, 2 * replicas), replicas, closure, False), kind), "ann-lists", batch_rows=4096)
+    posted = written(reps.select("rep", "v").mapInArrow(lambda it: choose(it, max(24, 2 * replicas), replicas, closure), kind), "ann-lists", batch_rows=4096)
+    count = np.zeros(lists, np.int64)
+    for r in posted.groupBy("list").count().collect():  # at most max_lists rows
+        count[r["list"]] = r["count"]
+    held = spark.sparkContext.broadcast(count)
     wanted = rows.where(is_query).join(reps.select("rep", F.col("v").alias("_v")), F.col("v") == F.col("_v")).select("vec_id", "rep")
     wanted = written(wanted, "ann-queries")
     asked = reps.select("rep", "v").join(wanted.select("rep").distinct(), "rep", "left_semi")
-    asked = written(asked.mapInArrow(lambda it: choose(it, probes + probes // 2, probes, ratio, True), kind), "ann-probes", batch_rows=4096)
+    asked = written(asked.mapInArrow(lambda it: choose(it, probes + probes // 2, probes, ratio, held), kind), "ann-probes", batch_rows=4096)
 
     # chunks of a list times chunks of the queries at it
     sizes = posted.groupBy("list").agg(F.ceil(F.count(F.lit(1)) / chunk).cast("int").alias("np"))
