@@ -171,7 +171,7 @@ def q_length_filter(spark, sf_dir):
 @register("subpart_index",
           f"SELECT part_number, subpart_no, l_orderkey, l_partkey, subpart_index FROM ({O.indexed(O.measure())})")
 def q_subpart_index(spark, sf_dir):
-    df = P.add_subpart_index(FX.measurements(spark, sf_dir), FX.MEASUREMENT_ORDER)
+    df = P.add_subpart_index(FX.measurements(spark, sf_dir), FX.MEASUREMENT_ORDER, skew_safe=True)
     return df.select("part_number", "subpart_no", "l_orderkey", "l_partkey", "subpart_index")
 
 
@@ -223,9 +223,9 @@ def _feature_query(feature: str, abs_cumsum=()):
            + f" FROM ({O.signal_features(O.measure(), order=O.ORDER, abs_cumsum=abs_cumsum)})")
 
     def q(spark, sf_dir):
-        df = FE.add_signal_features(FX.measurements(spark, sf_dir), order=FX.MEASUREMENT_ORDER,
-                                    features=(feature,) if feature != "acceleration" else ("acceleration",),
-                                    abs_cumsum=abs_cumsum)
+        # raw rows may hold hot sequences: the blocked operator, whose windows never hold a whole one
+        df = FE.add_signal_features_skew_safe(FX.measurements(spark, sf_dir), order=FX.MEASUREMENT_ORDER,
+                                              abs_cumsum=abs_cumsum)
         return rounded(df.select("part_number", "subpart_no", "l_orderkey", "l_partkey", *cols))
     return q, sql
 

@@ -227,17 +227,15 @@ def add_relative_features(
     """Ops 33 + 34 + 55: relative_f = f / (median setpoint of f in the part + 1e-9).
 
     The setpoint is the exact median of f over rows with start <= index <= end in the
-    part; computed as a window over the part (no aggregate + join), parts without rows
-    in range get NULL.
+    part: an aggregate over these rows only, joined back (AQE broadcasts it or splits a hot
+    part); parts without rows in range get NULL.
     """
     require(df, part, index, *feature_list)
-    wp = Window.partitionBy(part)
-    in_range = F.col(index).between(start_index, end_index)
-    out = df
-    for f in feature_list:
-        setpoint = F.median(F.when(in_range, F.col(f).cast("double"))).over(wp)
-        out = out.withColumn(f"relative_{f}", F.col(f) / (setpoint + F.lit(1e-9)))
-    return out
+    points = median_setpoints(df, start_index, end_index, feature_list, part, index)
+    points = points.select(F.col(part).alias("__sf_part"), *[F.col(f"{f}_setpoint").alias(f"__sf_{f}_setpoint") for f in feature_list])
+    out = df.join(points, F.col(part).eqNullSafe(F.col("__sf_part")), "left")
+    rel = [(F.col(f) / (F.col(f"__sf_{f}_setpoint") + F.lit(1e-9))).alias(f"relative_{f}") for f in feature_list]
+    return out.select(*[F.col(c) for c in df.columns], *rel)
 
 
 def median_setpoints(
@@ -248,11 +246,10 @@ def median_setpoints(
     part: str = PART,
     index: str = INDEX,
 ) -> DataFrame:
-    """Op 33 on its own: one row per part with `{f}_setpoint` (exact median)."""
+    """Op 33 on its own: one row per part that has rows in range, with `{f}_setpoint` (exact median)."""
     require(df, part, index, *feature_list)
-    in_range = F.col(index).between(start_index, end_index)
-    return df.groupBy(part).agg(
-        *[F.median(F.when(in_range, F.col(f).cast("double"))).alias(f"{f}_setpoint") for f in feature_list])
+    return df.where(F.col(index).between(start_index, end_index)).groupBy(part).agg(
+        *[F.median(F.col(f).cast("double")).alias(f"{f}_setpoint") for f in feature_list])
 
 
 # Column types of the engineered schema; other names default to DOUBLE.
