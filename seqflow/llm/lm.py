@@ -1,11 +1,11 @@
 """Language-model scores of documents: a causal self-attention model over subword ids, trained in numpy.
 
 One pass over the training documents counts their words and takes a span of words every `train_every` words of
-every document; the words' counts give exact counts of subwords and of subword pairs. Output classes are the
-most frequent subwords, the end, and classes of rarer subwords of about equal mass (inside which a subword has
-its share after the subword before it). The model adds one block of self-attention, with a bias for each distance, and a
-feed-forward layer to the log probabilities of the pairs. It is trained on the spans in shards: each trains on
-its own rows, and the shards' weights are averaged after every round.
+every document; the words' counts give exact counts of subwords and of subword pairs inside words. An outcome
+is one of the most frequent subwords, the end, or a rare subword (which then has its share of these); it is
+predicted in two steps, its group and its slot in the group. The model adds one block of self-attention, with a
+bias for each distance, and a feed-forward layer to the log probabilities of the pairs. It is trained on the spans
+in shards: each trains on its own rows, and the shards' weights are averaged after every round.
 
 A text is scored in windows of `WINDOW` inputs of which the last `STEP` are scored, so each subword is scored once,
 with at least WINDOW - STEP inputs before it; all windows of some texts go through the model as one batch
@@ -33,6 +33,7 @@ from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import tiktoken
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -40,10 +41,11 @@ from pyspark.sql import functions as F
 
 from seqflow.llm.common import written
 
-WINDOW, STEP = 32, 24
+WINDOW, STEP = 20, 15
 BACK = WINDOW - STEP
 DIM, HIDDEN = 16, 32
-INPUTS, CLASSES, TAILS = 1024, 160, 24  # input rows (start, other, frequent subwords); output classes, of which for rare subwords
+GROUPS, SLOTS = 32, 32  # outcomes are predicted in two steps: the group, and the slot in it
+INPUTS = GROUPS * SLOTS  # input rows (start, rare, frequent subwords); as many outcomes (end, rare, frequent subwords)
 PIECE = 256  # longer words are encoded in pieces of so many characters
 WORDS_KEPT = 300_000  # words whose subwords a worker remembers
 PATTERN = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"  # fixed: the tokenizer's own split
@@ -56,6 +58,8 @@ class Subwords:
     def __init__(self, ranks: dict[bytes, int]):
         self.coder = tiktoken.Encoding("words", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
         self.size = max(ranks.values()) + 1
+        self.lead = np.zeros(self.size, bool)
+        self.lead[[i for t, i in ranks.items() if t[:1] == b" "]] = True
 
     def encode(self, word: bytes) -> list[int]:
         text = " " + word.decode("utf-8", "replace")
@@ -63,6 +67,17 @@ class Subwords:
             return self.coder.encode_ordinary(text)
         return [i for a in range(0, len(text), PIECE) for i in self.coder.encode_ordinary(text[a:a + PIECE])]
 
+    def encode_all(self, words: list[bytes]) -> list[list[int]]:
+        """`encode` of each word. Short words go as one text, which the coder splits before every space: a subword
+        that starts with a space starts a word. Where that doesn't add up, each is encoded by itself."""
+        if max(map(len, words), default=0) < PIECE:
+            ids = np.array(self.coder.encode_ordinary(" " + b" ".join(words).decode("utf-8", "replace")), np.int64)
+            starts = np.flatnonzero(self.lead[ids])
+            if len(starts) == len(words):
+                flat, ends = ids.tolist(), [*starts.tolist()[1:], len(ids)]
+                return [flat[a:b] for a, b in zip(starts.tolist(), ends)]
+        return [self.encode(w) for w in words]
+
 
 def read_ranks(path: str) -> dict[bytes, int]:
     return {base64.b64decode(a): int(b) for a, b in map(bytes.split, Path(path).read_bytes().splitlines())}
@@ -137,7 +152,7 @@ def pair_counts(words: DataFrame, shared) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder, total = _subwords(shared), Counter()
         for b in batches:
-            ids = [coder.encode(w.as_buffer().to_pybytes()) for w in b.column("word").cast(pa.binary())]
+            ids = coder.encode_all(b.column("word").cast(pa.binary()).to_pylist())
             n = b.column("c").to_numpy(zero_copy_only=False)
             size = np.array([len(x) for x in ids])
             flat = np.fromiter(chain.from_iterable(ids), np.int64, size.sum())
@@ -156,38 +171,36 @@ def pair_counts(words: DataFrame, shared) -> DataFrame:
 
 
 class Classes:
-    """Rows, entries and classes of the subword ids, and the pair model the network starts from.
+    """Rows and outcomes of the subword ids, and the pair model the network starts from.
 
-    Row: what the input of a position looks up (0 the start, 1 a rare subword, or one of the frequent ones). Entry: the
-    same ids as outcomes (0 the end, 1 all rare subwords). Entries are grouped in classes, which the network predicts;
-    inside its class an entry has a share that depends on the row before it.
+    Row: what the input of a position looks up (0 the start, 1 a rare subword, or one of the frequent ones). Outcome: the
+    same ids as what comes next (the end in place of the start), numbered by frequency; `SLOTS` outcomes in a row are a
+    group. A rare subword has its smoothed share of the rare ones.
     """
 
     def __init__(self, size: int, unigram: np.ndarray):
         order = np.argsort(-unigram, kind="stable")
         top = order[:INPUTS - 2]
-        self.row = np.ones(size + 2, np.int64)  # of the ids, then of the start and the end
+        self.row = np.ones(size + 2, np.int32)  # of the ids, then of the start and the end
         self.row[top] = np.arange(2, 2 + len(top))
         self.row[size] = 0
-        self.entry = self.row.copy()
-        self.entry[size + 1] = 0
         rest = np.ones(size, bool)
         rest[top] = False
         self.rare = np.zeros(size + 2, np.float32)  # log share of a rare subword among them
         self.rare[:size][rest] = np.log((unigram[rest] + 1.0) / (unigram[rest] + 1.0).sum())
-        self.mass = np.ones(INPUTS)  # of the entries
+        self.mass = np.ones(INPUTS)  # of the outcomes, by row
         self.mass[2:2 + len(top)] += unigram[top]
         self.mass[1] += unigram[rest].sum()
-        own = CLASSES - TAILS - 1  # class 0 is the end
-        by_mass = 1 + np.argsort(-self.mass[1:], kind="stable")
-        self.cls = np.zeros(INPUTS, np.int64)
-        self.cls[by_mass[:own]] = 1 + np.arange(own)
-        sums = np.cumsum(self.mass[by_mass[own:]])
-        self.cls[by_mass[own:]] = 1 + own + np.minimum((sums - 0.5) / sums[-1] * TAILS, TAILS - 1).astype(np.int64)
+        self.by_mass = np.argsort(-self.mass, kind="stable")  # outcome number -> row
+        self.number = np.empty(INPUTS, np.int32)
+        self.number[self.by_mass] = np.arange(INPUTS)
+        entry = self.row.copy()
+        entry[size + 1] = 0
+        self.outcome = self.number[entry]  # of the ids; the start's isn't used
 
     def fit_pairs(self, within: np.ndarray, first: np.ndarray, last: np.ndarray, across: np.ndarray, n_docs: int) -> None:
-        """within: counts of (row, entry) inside words; first: of entries that start a word; last: of rows that end one;
-        across: of (row, entry) from one word to the next, in the spans."""
+        """Counts, all by rows (the end at 0): within: of pairs inside words; first: of what starts a word; last: of what ends
+        one; across: of pairs from one word to the next, in the spans."""
         start = first.astype(float).copy()
         start[0] += n_docs
         start = (start + 0.5 * self.mass / self.mass.sum()) / (start.sum() + 0.5)
@@ -198,10 +211,10 @@ class Classes:
         n, kinds = across.sum(1, keepdims=True), (across > 0).sum(1, keepdims=True) + 1e-3
         p = (1 - ends) * p + ends * (across + kinds * start) / (n + kinds)
         p[0] = start
-        of_class = np.zeros((CLASSES, INPUTS))
-        np.add.at(of_class, self.cls, p.T)
-        self.base = np.log(of_class.T).astype(np.float32)
-        self.inside = (np.log(p) - self.base[:, self.cls]).astype(np.float32)
+        p = p[:, self.by_mass].reshape(INPUTS, GROUPS, SLOTS)
+        of_group = p.sum(2)
+        self.group = np.log(of_group).astype(np.float32)  # (row, group)
+        self.slot = np.ascontiguousarray(np.log(p / of_group[:, :, None]).astype(np.float32).transpose(1, 0, 2))  # (group, row, slot)
 
 
 # ---------------------------------------------------------------- the network
@@ -215,11 +228,13 @@ def new_weights(seed: int = 5) -> dict[str, np.ndarray]:
     rng = np.random.default_rng(seed)
     shapes = {"E": (INPUTS, DIM), "q": (DIM, DIM), "k": (DIM, DIM), "v": (DIM, DIM), "age": (WINDOW,), "w1": (DIM, HIDDEN), "b1": (HIDDEN,), "w2": (HIDDEN, DIM)}
     w = {n: (rng.standard_normal(s) * (0.3 if n == "E" else 0.0 if len(s) == 1 else s[0] ** -0.5)).astype(np.float32) for n, s in shapes.items()}
-    return w | {"wo": np.zeros((DIM, CLASSES), np.float32), "bo": np.zeros(CLASSES, np.float32)}
+    zeros = {"wg": (DIM, GROUPS), "bg": (GROUPS,), "ws": (GROUPS, DIM, SLOTS), "bs": (GROUPS, SLOTS)}
+    return w | {n: np.zeros(s, np.float32) for n, s in zeros.items()}
 
 
-def gradients(w: dict[str, np.ndarray], base: np.ndarray, x: np.ndarray, y: np.ndarray) -> tuple[float, dict[str, np.ndarray]]:
-    """Mean loss of windows x (B, WINDOW input rows) with classes y (B, STEP; -1: not counted), and its gradients."""
+def gradients(w: dict[str, np.ndarray], group: np.ndarray, slot: np.ndarray, x: np.ndarray, y: np.ndarray) -> tuple[float, dict[str, np.ndarray]]:
+    """Mean loss of windows x (B, WINDOW input rows) with outcomes y (B, STEP; -1: not counted), and its gradients.
+    group, slot: the pair model's log probabilities."""
     e = w["E"][x]
     eq, c = e[:, BACK:], np.float32(DIM ** -0.5)
     q, k, v = eq @ w["q"] * c, e @ w["k"], e @ w["v"]
@@ -230,18 +245,32 @@ def gradients(w: dict[str, np.ndarray], base: np.ndarray, x: np.ndarray, y: np.n
     h = (eq + p @ v).reshape(-1, DIM)
     a = np.maximum(h @ w["w1"] + w["b1"], 0)
     h2 = h + a @ w["w2"]
-    lo = h2 @ w["wo"] + w["bo"] + base[x[:, BACK:].ravel()]
-    lo -= lo.max(1, keepdims=True)
-    z = np.exp(lo)
-    z /= z.sum(1, keepdims=True)
-    t = y.ravel()
+    row, t = x[:, BACK:].ravel(), y.ravel()
     at, live = np.arange(len(t)), (t >= 0).astype(np.float32)
     n = max(float(live.sum()), 1.0)
-    loss = -float((np.log(z[at, t] + 1e-30) * live).sum()) / n
-    z[at, t] -= 1
-    z *= (live / n)[:, None]
-    g = {"wo": h2.T @ z, "bo": z.sum(0)}
-    d2 = z @ w["wo"].T
+    tg, ts = np.where(t >= 0, t // SLOTS, 0), np.where(t >= 0, t % SLOTS, 0)
+
+    def slope(lo: np.ndarray, goal: np.ndarray, live: np.ndarray) -> tuple[float, np.ndarray]:
+        z = np.exp(lo - lo.max(1, keepdims=True))
+        z /= z.sum(1, keepdims=True)
+        i = np.arange(len(goal))
+        loss = -float((np.log(z[i, goal] + 1e-30) * live).sum()) / n
+        z[i, goal] -= 1
+        z *= (live / n)[:, None]
+        return loss, z
+
+    loss, z = slope(h2 @ w["wg"] + w["bg"] + group[row], tg, live)
+    g = {"wg": h2.T @ z, "bg": z.sum(0), "ws": np.zeros_like(w["ws"]), "bs": np.zeros_like(w["bs"])}
+    d2 = z @ w["wg"].T
+    order = np.argsort(tg, kind="stable")
+    ends = np.searchsorted(tg[order], np.arange(GROUPS + 1))
+    for j in range(GROUPS):
+        own = order[ends[j]:ends[j + 1]]
+        if len(own):
+            more, z = slope(h2[own] @ w["ws"][j] + w["bs"][j] + slot[j][row[own]], ts[own], live[own])
+            loss += more
+            g["ws"][j], g["bs"][j] = h2[own].T @ z, z.sum(0)
+            d2[own] += z @ w["ws"][j].T
     g["w2"] = a.T @ d2
     da = d2 @ w["w2"].T * (a > 0)
     g["w1"], g["b1"] = h.T @ da, da.sum(0)
@@ -249,7 +278,7 @@ def gradients(w: dict[str, np.ndarray], base: np.ndarray, x: np.ndarray, y: np.n
     dp = dh @ v.transpose(0, 2, 1)
     dv = p.transpose(0, 2, 1) @ dh
     ds = p * (dp - (dp * p).sum(-1, keepdims=True))
-    g["age"] = np.bincount(_AGE.ravel(), np.where(_FUTURE, 0, ds.sum(0)).ravel(), WINDOW).astype(np.float32)
+    g["age"] = np.bincount(_AGE.ravel(), np.where(_FUTURE, 0, ds.sum(0)).ravel(), WINDOW).astype(w["age"].dtype)
     dq, dk = ds @ k * c, ds.transpose(0, 2, 1) @ q
     flat = lambda m: m.reshape(-1, m.shape[-1])
     g["q"], g["k"], g["v"] = flat(eq).T @ flat(dq), flat(e).T @ flat(dk), flat(e).T @ flat(dv)
@@ -260,13 +289,13 @@ def gradients(w: dict[str, np.ndarray], base: np.ndarray, x: np.ndarray, y: np.n
     return loss, g
 
 
-def train(w: dict[str, np.ndarray], base: np.ndarray, windows: Iterator[tuple[np.ndarray, np.ndarray]], rate: float) -> tuple[dict[str, np.ndarray], int]:
+def train(w: dict[str, np.ndarray], group: np.ndarray, slot: np.ndarray, windows: Iterator[tuple[np.ndarray, np.ndarray]], rate: float) -> tuple[dict[str, np.ndarray], int]:
     """Adam over batches of windows; the new weights and the number of windows."""
     w = {n: v.copy() for n, v in w.items()}
     m, s = ({n: np.zeros_like(v) for n, v in w.items()} for _ in range(2))
     n = step = 0
     for x, y in windows:
-        _, g = gradients(w, base, x, y)
+        _, g = gradients(w, group, slot, x, y)
         step, n = step + 1, n + len(x)
         for k, d in g.items():
             m[k] += 0.1 * (d - m[k])
@@ -280,56 +309,80 @@ class Network:
 
     def __init__(self, w: dict[str, np.ndarray], classes: Classes):
         self.e, self.w, self.classes = w["E"], w, classes
-        self.q, self.k, self.v = w["E"] @ w["q"] * np.float32(DIM ** -0.5), w["E"] @ w["k"], w["E"] @ w["v"]
+        self.q, self.k = w["E"] @ w["q"] * np.float32(DIM ** -0.5), w["E"] @ w["k"]
+        self.v = np.hstack([w["E"] @ w["v"], np.ones((INPUTS, 1), np.float32)])  # the last column adds up the weights
         self.mask = np.where(_FUTURE, np.float32(-1e9), w["age"][_AGE])
-        self.base = classes.base + w["bo"]
+        self.ones = np.ones(SLOTS, np.float32)
+        self.group = classes.group + w["bg"]
+        self.slot = classes.slot + w["bs"][:, None, :]
 
     def log_probs(self, ids: np.ndarray, size: np.ndarray) -> np.ndarray:
         """Natural log probability of each text; ids: the subwords of all texts in a row, size: of each."""
-        n = len(size)
-        last = len(self.classes.row) - 1
+        c, n = self.classes, len(size)
+        last = len(c.row) - 1
         wins = (size + STEP) // STEP  # of size + 1 targets, the end being one
         length = wins * STEP + BACK + 1
         at = np.cumsum(length) - length
-        stream = np.full(int(length.sum()), last, np.int64)  # the end, and after it what isn't counted
+        stream = np.full(int(length.sum()), last, np.int32)  # the end, and after it what isn't counted
         stream[(at[:, None] + np.arange(BACK + 1)).ravel()] = last - 1  # the start, also as what comes before a text
         stream[np.repeat(at + BACK + 1 - (np.cumsum(size) - size), size) + np.arange(len(ids))] = ids
-        c = self.classes
-        row, entry, rare = c.row[stream], c.entry[stream], c.rare[stream]
-        cls = c.cls[entry]
-        inside = rare[1:] + c.inside[row[:-1], entry[1:]]  # of each next entry
+        row, outcome, rare = c.row[stream], c.outcome[stream], c.rare[stream]
         first = np.repeat(at, wins) + STEP * (np.arange(wins.sum()) - np.repeat(np.cumsum(wins) - wins, wins))
         left = np.repeat(size + 1, wins) - (first - np.repeat(at, wins))  # targets from here to the end
-        out = np.empty(len(first))
-        for a in range(0, len(first), 16):  # small batches stay in the processor's cache
-            f = first[a:a + 16]
-            x = row[f[:, None] + np.arange(WINDOW)]
-            goal = f[:, None] + np.arange(BACK + 1, WINDOW + 1)
-            lp = self._window(x, cls[goal]) + inside[goal - 1]
-            lp[np.arange(STEP) >= left[a:a + 16, None]] = 0
-            out[a:a + 16] = lp.sum(1, dtype=np.float64)
-        return np.bincount(np.repeat(np.arange(n), wins), out, n)
-
-    def _window(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        text = np.repeat(np.arange(n), wins)
+        out = np.zeros(n)
+        for a in range(0, len(first), 4096):
+            f, rest = first[a:a + 4096], left[a:a + 4096]
+            h = np.empty((len(f), STEP, DIM), np.float32)
+            for i in range(0, len(f), 24):  # small batches stay in the processor's cache
+                h[i:i + 24] = self._hidden(row[f[i:i + 24, None] + _J[0]])
+            live = np.arange(STEP) < rest[:, None]
+            goal = (f[:, None] + np.arange(BACK + 1, WINDOW + 1))[live]
+            lp = self._outcomes(h[live], row[goal - 1], outcome[goal]) + rare[goal]
+            out += np.bincount(np.repeat(text[a:a + 4096], np.minimum(rest, STEP)), lp, n)
+        return out
+
+    def _hidden(self, x: np.ndarray) -> np.ndarray:
+        """(B, STEP, DIM): what attention and the feed-forward layer make of the scored positions."""
         xq = x[:, BACK:]
         s = self.q[xq] @ self.k[x].transpose(0, 2, 1)
         s += self.mask
-        np.clip(s, None, 60, out=s)
-        np.exp(s, out=s)
-        s /= s.sum(-1, keepdims=True)
-        h = s @ self.v[x]
+        np.exp(np.minimum(s, 60, out=s), out=s)
+        mixed = s @ self.v[x]
+        h = mixed[:, :, :DIM] / mixed[:, :, DIM:]
         h += self.e[xq]
-        h = h.reshape(-1, DIM)
-        a = h @ self.w["w1"]
+        flat = h.reshape(-1, DIM)
+        a = flat @ self.w["w1"]
         a += self.w["b1"]
         np.maximum(a, 0, out=a)
-        h = h + a @ self.w["w2"]
-        lo = h @ self.w["wo"]
-        lo += self.base[xq.ravel()]
-        goal = lo[np.arange(len(lo)), y.ravel()]
-        np.clip(lo, None, 60, out=lo)
-        np.exp(lo, out=lo)
-        return (goal - np.log(lo.sum(1))).reshape(y.shape)
+        flat += a @ self.w["w2"]
+        return h
+
+    def _outcomes(self, h: np.ndarray, row: np.ndarray, y: np.ndarray) -> np.ndarray:
+        """Log probability of each outcome: of its group, and of its slot there."""
+        out = np.empty(len(h), np.float32)
+        place = np.arange(1024)
+
+        def log_softmax(lo: np.ndarray, goal: np.ndarray) -> np.ndarray:
+            picked = lo[place[:len(lo)], goal]
+            np.exp(np.minimum(lo, 60, out=lo), out=lo)
+            return picked - np.log(lo @ self.ones)
+
+        group, slot = y // SLOTS, y % SLOTS
+        for a in range(0, len(h), 1024):
+            b = slice(a, a + 1024)
+            lo = h[b] @ self.w["wg"]
+            lo += self.group[row[b]]
+            out[b] = log_softmax(lo, group[b])
+        order = np.argsort(group.astype(np.uint8), kind="stable")
+        ends = np.searchsorted(group[order], np.arange(GROUPS + 1))
+        for j in range(GROUPS):
+            for a in range(ends[j], ends[j + 1], 1024):
+                own = order[a:min(a + 1024, ends[j + 1])]
+                lo = h[own] @ self.w["ws"][j]
+                lo += self.slot[j][row[own]]
+                out[own] += log_softmax(lo, slot[own])
+        return out
 
 
 # ---------------------------------------------------------------- jobs
@@ -340,7 +393,9 @@ def across_counts(windows: DataFrame, shared, classes: Classes) -> np.ndarray:
     lead = np.zeros(len(classes.row), bool)
     lead[[i for t, i in shared.value[1].items() if t[:1] == b" "]] = True
     lead[-1] = True
-    table = windows.sparkSession.sparkContext.broadcast((classes.row, classes.entry, lead))
+    entry = classes.row.copy()
+    entry[-1] = 0  # the end
+    table = windows.sparkSession.sparkContext.broadcast((classes.row, entry, lead))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         row, entry, lead = table.value
@@ -385,8 +440,10 @@ def span_windows(spans: DataFrame, shared, size: int) -> DataFrame:
         coder = _subwords(shared)
         for b in batches:
             keys, rows = [], []
-            for s, place, key in zip(b.column("s"), b.column("n").to_pylist(), b.column("key").to_pylist()):
-                ids = [i for w in s.as_py().encode().split() for i in coder.encode(w)]
+            words = [s.encode().split() for s in b.column("s").to_pylist()]
+            coded = iter(coder.encode_all(list(chain.from_iterable(words))))
+            for own, place, key in zip(words, b.column("n").to_pylist(), b.column("key").to_pylist()):
+                ids = [i for _ in own for i in next(coded)]
                 ids = ([size] * (BACK + 1) if place & 1 else []) + ids + ([size + 1] if place & 2 else [])
                 if len(ids) > BACK + 1 and (len(ids) > WINDOW or place & 2):
                     ids = ids[:WINDOW + 1]
@@ -404,13 +461,13 @@ def fit_network(windows: DataFrame, classes: Classes, rounds: int, least: int, p
     shards = max(1, min(max_shards, -(-n // per_shard)))
     dealt = windows.repartition(shards, "key").sortWithinPartitions("key", "ids")
     names = list(w)
-    table = spark.sparkContext.broadcast((classes.row, classes.cls[classes.entry], classes.base))
+    table = spark.sparkContext.broadcast((classes.row, classes.outcome, classes.group, classes.slot))
     rounds = max(rounds, min(4 * rounds, -(-least // max(n, 1))))  # a small corpus is gone through more often
     for turn in range(rounds if n else 0):
         now = spark.sparkContext.broadcast(w)
 
         def run(batches: Iterator[pa.RecordBatch], now=now, turn=turn, rounds=rounds) -> Iterator[pa.RecordBatch]:
-            row, cls, base = table.value
+            row, outcome, group, slot = table.value
 
             def parts() -> Iterator[tuple[np.ndarray, np.ndarray]]:
                 for b in batches:
@@ -418,9 +475,9 @@ def fit_network(windows: DataFrame, classes: Classes, rounds: int, least: int, p
                     for a in range(0, len(ids), 48):
                         part = ids[a:a + 48]
                         goal = part[:, BACK + 1:]
-                        yield row[part[:, :WINDOW]], np.where(goal >= 0, cls[goal], -1)
+                        yield row[part[:, :WINDOW]], np.where(goal >= 0, outcome[goal], -1)
 
-            new, n = train(now.value, base, parts(), rate * (1 - 0.8 * turn / rounds))
+            new, n = train(now.value, group, slot, parts(), rate * (1 - 0.8 * turn / rounds))
             flat = np.concatenate([new[k].ravel() for k in names]) * np.float32(n)
             yield pa.RecordBatch.from_arrays([pa.array([n], pa.int64()), pa.array([flat.tobytes()], pa.binary())], names=["n", "w"])
 
@@ -447,7 +504,7 @@ def frequent_words(words: DataFrame, most: int) -> tuple[DataFrame, float]:
 
 
 def score_documents(docs: DataFrame, *, tokenizer: str = "/opt/tokenizers/byte_bpe_50k.tiktoken", id_col: str = "doc_id", text_col: str = "text",
-                    train_every: int = 288, span: int = 24, rounds: int = 2, least_windows: int = 150_000, per_shard: int = 20_000, max_shards: int = 256,
+                    train_every: int = 256, span: int = 16, rounds: int = 2, least_windows: int = 150_000, per_shard: int = 20_000, max_shards: int = 256,
                     rate: float = 0.01, frequent: int = 1 << 18) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score."""
     spark = docs.sparkSession
@@ -475,10 +532,12 @@ def score_documents(docs: DataFrame, *, tokenizer: str = "/opt/tokenizers/byte_b
         lexicon = _Lexicon(_subwords(shared), counts)
         row = TaskContext.get().partitionId() << 36
         for b in batches:
-            for a in range(0, b.num_rows, 200):
-                part = b.slice(a, 200)
-                yield _score_batch(part, net, lexicon, row, n_docs)
-                row += part.num_rows
+            a, size = 0, 0
+            for i, n in enumerate(pc.binary_length(pc.fill_null(b.column("t"), "")).to_pylist()):
+                size += n
+                if size >= 1 << 20 or i == b.num_rows - 1:  # about a megabyte of text at a time
+                    yield _score_batch(b.slice(a, i + 1 - a), net, lexicon, row, n_docs)
+                    row, a, size = row + i + 1 - a, i + 1, 0
 
     scored = written(rows.mapInArrow(run, schema), "lm-scored", batch_rows=1000)
     rare = scored.select("row", F.explode(F.arrays_zip("words", "times")).alias("x")).select("row", F.col("x.words").alias("word"), F.col("x.times").alias("times"))
@@ -504,49 +563,46 @@ class _Lexicon:
         self.ids: list[list[int]] = []
         self.count: list[int] = []
 
-    def numbers(self, words: list[bytes]) -> list[int]:
+    def numbers(self, words: list[bytes]) -> np.ndarray:
         number = self.number
-        out = list(map(number.get, words))
-        if None in out:
-            for i, k in enumerate(out):
-                if k is None:
-                    w = words[i]
-                    k = number.get(w)
-                    if k is None:
-                        k = number[w] = len(self.words)
-                        self.words.append(w)
-                        self.ids.append(self.coder.encode(w))
-                        self.count.append(self.counts.get(w, 0))
-                    out[i] = k
-        return out
+        if len(number) > WORDS_KEPT:
+            self.clear()
+            number = self.number
+        new = list(set(words).difference(number))
+        if new:
+            number.update(zip(new, range(len(self.words), len(self.words) + len(new))))
+            self.words += new
+            self.ids += self.coder.encode_all(new)
+            self.count += [self.counts.get(w, 0) for w in new]
+        return np.fromiter(map(number.__getitem__, words), np.int32, len(words))
 
 
 def _score_batch(b: pa.RecordBatch, net: Network, lex: _Lexicon, row: int, n_docs: int) -> pa.RecordBatch:
-    if len(lex.words) > WORDS_KEPT:
-        lex.clear()
     ids = b.column("doc_id").to_pylist()
-    numbers = [np.array(lex.numbers(_words(t.as_py())), np.int64) for t in b.column("t")]
-    n_words = np.array([len(x) for x in numbers])
-    flat = np.concatenate(numbers)
-    used, at = np.unique(flat, return_inverse=True)  # the words of this batch
+    each_doc = [_words(t.as_py()) for t in b.column("t")]
+    n_words = np.array([len(x) for x in each_doc])
+    flat = lex.numbers(list(chain.from_iterable(each_doc)))
+    of = np.repeat(np.arange(len(ids)), n_words)
+    used = np.flatnonzero(np.bincount(flat, minlength=len(lex.words)))  # the words of this batch
+    place = np.empty(len(lex.words), np.int32)
+    place[used] = np.arange(len(used))
+    at = place[flat]
     own = [lex.ids[k] for k in used.tolist()]
-    size = np.array([len(x) for x in own], np.int64)
-    subs = np.fromiter(chain.from_iterable(own), np.int64, int(size.sum()))
-    start = np.cumsum(size) - size
-    each = size[at]
+    size = np.array([len(x) for x in own], np.int32)
+    subs = np.fromiter(chain.from_iterable(own), np.int32, int(size.sum()))
+    start, each = np.cumsum(size) - size, size[at]
     stream = subs[np.repeat(start[at] - (np.cumsum(each) - each), each) + np.arange(each.sum())]
-    of = np.repeat(np.arange(len(ids)), n_words)
     score = net.log_probs(stream, np.bincount(of, each, len(ids)).astype(np.int64)) / LN10
-    count = np.array([lex.count[k] for k in used.tolist()], np.int64)[at]
-    known = np.bincount(of, np.log10(count + 1.0), len(ids)) + np.log10(n_docs + 1.0)
-    n_known = np.bincount(of, count > 0, len(ids)).astype(np.int64) + (n_docs > 0)
-    words, times, end = [], [], np.cumsum(n_words)
-    for i in range(len(ids)):
-        s = slice(end[i] - n_words[i], end[i])
-        k, n = np.unique(flat[s][count[s] == 0], return_counts=True)
-        words.append([lex.words[x].decode() for x in k.tolist()])
-        times.append(n.astype(np.int32))
+    count = np.array([lex.count[k] for k in used.tolist()], np.int64)
+    known = np.bincount(of, np.log10(count + 1.0)[at], len(ids)) + np.log10(n_docs + 1.0)
+    seen = (count > 0)[at]
+    n_known = np.bincount(of, seen, len(ids)).astype(np.int64) + (n_docs > 0)
+    # other words go to a join: (document, word) pairs and how often
+    pair, times = np.unique(of[~seen] * np.int64(len(lex.words)) + flat[~seen], return_counts=True)
+    doc = pair // max(len(lex.words), 1)
+    ends = pa.array(np.searchsorted(doc, np.arange(len(ids) + 1)).astype(np.int32))
+    words = pa.array([lex.words[k] for k in (pair % max(len(lex.words), 1)).tolist()], pa.binary()).cast(pa.string())
     return pa.RecordBatch.from_arrays([
         pa.array(np.arange(row, row + len(ids))), b.column("doc_id"), pa.array([is_held_out(i) for i in ids]), pa.array(n_words + 1), pa.array(n_known),
-        pa.array(known), pa.array(score), pa.array(words, pa.list_(pa.string())), pa.array(times, pa.list_(pa.int32()))],
+        pa.array(known), pa.array(score), pa.ListArray.from_arrays(ends, words), pa.ListArray.from_arrays(ends, pa.array(times.astype(np.int32)))],
         names=["row", "doc_id", "held_out", "n_tokens", "n_known", "known", "score", "words", "times"])
