@@ -313,6 +313,8 @@ class Network:
         self.v = np.hstack([w["E"] @ w["v"], np.ones((INPUTS, 1), np.float32)])  # the last column adds up the weights
         self.mask = np.where(_FUTURE, np.float32(-1e9), w["age"][_AGE])
         self.ones = np.ones(SLOTS, np.float32)
+        # no score can exceed this, so its exponential is finite where the bound is below 80
+        self.bound = float(np.linalg.norm(self.q, axis=1).max() * np.linalg.norm(self.k, axis=1).max() + w["age"].max())
         self.group = classes.group + w["bg"]
         self.slot = classes.slot + w["bs"][:, None, :]
 
@@ -334,8 +336,8 @@ class Network:
         for a in range(0, len(first), 4096):
             f, rest = first[a:a + 4096], left[a:a + 4096]
             h = np.empty((len(f), STEP, DIM), np.float32)
-            for i in range(0, len(f), 24):  # small batches stay in the processor's cache
-                h[i:i + 24] = self._hidden(row[f[i:i + 24, None] + _J[0]])
+            for i in range(0, len(f), 64):  # small batches stay in the processor's cache
+                h[i:i + 64] = self._hidden(row[f[i:i + 64, None] + _J[0]])
             live = np.arange(STEP) < rest[:, None]
             goal = (f[:, None] + np.arange(BACK + 1, WINDOW + 1))[live]
             lp = self._outcomes(h[live], row[goal - 1], outcome[goal]) + rare[goal]
@@ -347,7 +349,9 @@ class Network:
         xq = x[:, BACK:]
         s = self.q[xq] @ self.k[x].transpose(0, 2, 1)
         s += self.mask
-        np.exp(np.minimum(s, 60, out=s), out=s)
+        if self.bound > 80:
+            np.minimum(s, 60, out=s)
+        np.exp(s, out=s)
         mixed = s @ self.v[x]
         h = mixed[:, :, :DIM] / mixed[:, :, DIM:]
         h += self.e[xq]
@@ -504,7 +508,7 @@ def frequent_words(words: DataFrame, most: int) -> tuple[DataFrame, float]:
 
 
 def score_documents(docs: DataFrame, *, tokenizer: str = "/opt/tokenizers/byte_bpe_50k.tiktoken", id_col: str = "doc_id", text_col: str = "text",
-                    train_every: int = 256, span: int = 16, rounds: int = 2, least_windows: int = 150_000, per_shard: int = 20_000, max_shards: int = 256,
+                    train_every: int = 448, span: int = 16, rounds: int = 2, least_windows: int = 150_000, per_shard: int = 20_000, max_shards: int = 256,
                     rate: float = 0.01, frequent: int = 1 << 18) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score."""
     spark = docs.sparkSession
