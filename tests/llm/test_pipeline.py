@@ -39,8 +39,9 @@ def folder(spark, tmp_path_factory):
 def test_stages_take_effect_and_keep_clean_documents(spark, folder):
     d, rows, quality, items, passage = folder
     docs = spark.read.parquet(f"{d}/documents.parquet")
-    ids = [set(range(240))]
+    ids, before = [set(range(240))], {}
     for name, stage in corpus_pipeline.STAGES[:-1]:
+        before = {r["doc_id"]: r["text"] for r in docs.collect()}  # what the last of these stages is given
         docs = corpus_pipeline.written(stage(spark, docs, d), f"test-{name}")
         assert docs.dtypes == spark.read.parquet(f"{d}/documents.parquet").dtypes
         ids.append({r["doc_id"] for r in docs.select("doc_id").collect()})
@@ -48,12 +49,13 @@ def test_stages_take_effect_and_keep_clean_documents(spark, folder):
     assert sum(quality[i] for i in ids[0] - accepted) == 0 and len(accepted - {i for i, q in quality.items() if q}) <= 2
     assert accepted - single == {i for i in accepted if i % 24 == 3}
     assert cut == single
-    leaked = {i for i in cut if any(normal(t) in normal(rows[i][1]) for _, t in items)}
-    assert leaked and cut - clean == leaked
+    # an item that two documents hold is a short repeated passage, which the stage before may have cut from the second
+    leaked = {i for i in cut if any(normal(t) in normal(before[i]) for _, t in items)}
+    assert len(leaked) >= 8 and cut - clean == leaked
     texts = {r["doc_id"]: r["text"] for r in docs.collect()}
     holders = [i for i in sorted(clean) if " ".join(passage.split()[:60]) in " ".join(texts[i].split())]
     assert len(holders) == 1
-    assert all(texts[i] == rows[i][1] for i in clean if i % 24 != 8)
+    assert all(texts[i] == rows[i][1] for i in clean if i % 24 not in (8, 10))
     assert all(r["n_chars"] == len(r["text"]) for r in docs.collect())
 
 
