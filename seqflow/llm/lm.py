@@ -413,7 +413,7 @@ def across_counts(windows: DataFrame, shared, classes: Classes) -> np.ndarray:
         yield pa.RecordBatch.from_arrays([pa.array(cell), pa.array(total[cell])], names=["cell", "n"])
 
     got = windows.mapInArrow(run, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()  # at most INPUTS ** 2
-    out = np.zeros(INPUTS * INPUTS)
+    out = np.zeros(INPUTS * INPUTS, np.float32)
     out[got["cell"].to_numpy()] = got["n"].to_numpy()
     return out.reshape(INPUTS, INPUTS)
 
@@ -430,7 +430,7 @@ def fit_classes(words: DataFrame, windows: DataFrame, n_docs: int, shared, size:
     joined = pairs.join(maps.select(F.col("id").alias("a"), "row"), "a", "left").join(maps.select(F.col("id").alias("b"), F.col("row").alias("entry")), "b", "left")
     cells = joined.select(F.coalesce("row", F.lit(INPUTS)).alias("row"), F.coalesce("entry", F.lit(INPUTS)).alias("entry"), "n")
     cells = cells.groupBy("row", "entry").agg(F.sum("n").alias("n")).toArrow()  # at most (INPUTS + 1) ** 2
-    count = np.zeros((INPUTS + 1, INPUTS + 1))
+    count = np.zeros((INPUTS + 1, INPUTS + 1), np.float32)
     count[cells["row"].to_numpy(), cells["entry"].to_numpy()] = cells["n"].to_numpy()
     within, first, last = count[:INPUTS, :INPUTS], count[INPUTS, :INPUTS], count[:INPUTS, INPUTS]
     classes.fit_pairs(within, first, last, across_counts(windows, shared, classes), n_docs)
@@ -483,9 +483,15 @@ def fit_network(windows: DataFrame, classes: Classes, rounds: int, least: int, p
 
             new, n = train(now.value, group, slot, parts(), rate * (1 - 0.8 * turn / rounds))
             flat = np.concatenate([new[k].ravel() for k in names]) * np.float32(n)
-            yield pa.RecordBatch.from_arrays([pa.array([n], pa.int64()), pa.array([flat.tobytes()], pa.binary())], names=["n", "w"])
+            part = TaskContext.get().partitionId() % 16
+            yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([n], pa.int64()), pa.array([flat.tobytes()], pa.binary())], names=["part", "n", "w"])
 
-        got = dealt.mapInArrow(run, "n long, w binary").collect()  # at most max_shards rows
+        def add(t: pa.Table) -> pa.Table:
+            total = np.sum([np.frombuffer(w.as_buffer(), np.float32) for w in t["w"]], axis=0)
+            return pa.table([pa.array([sum(t["n"].to_pylist())], pa.int64()), pa.array([total.tobytes()], pa.binary())], names=["n", "w"])
+
+        # the shards' weights are added up before they reach the driver: 16 rows
+        got = dealt.mapInArrow(run, "part int, n long, w binary").groupBy("part").applyInArrow(add, "n long, w binary").collect()
         total = sum(r["n"] for r in got)
         flat, at = np.sum([np.frombuffer(r["w"], np.float32) for r in got if r["n"]], axis=0) / np.float32(total), 0
         for k in names:
@@ -508,8 +514,8 @@ def frequent_words(words: DataFrame, most: int) -> tuple[DataFrame, float]:
 
 
 def score_documents(docs: DataFrame, *, tokenizer: str = "/opt/tokenizers/byte_bpe_50k.tiktoken", id_col: str = "doc_id", text_col: str = "text",
-                    train_every: int = 448, span: int = 16, rounds: int = 2, least_windows: int = 150_000, per_shard: int = 20_000, max_shards: int = 256,
-                    rate: float = 0.01, frequent: int = 1 << 18) -> DataFrame:
+                    train_every: int = 256, span: int = 16, rounds: int = 2, least_windows: int = 150_000, per_shard: int = 20_000, max_shards: int = 256,
+                    rate: float = 0.01, frequent: int = 1 << 17) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score."""
     spark = docs.sparkSession
     ranks = read_ranks(tokenizer)  # a file of fixed size, read on the driver
@@ -527,8 +533,9 @@ def score_documents(docs: DataFrame, *, tokenizer: str = "/opt/tokenizers/byte_b
     weights = fit_network(windows, classes, rounds, least_windows, per_shard, max_shards, rate)
 
     often, least = frequent_words(words, frequent)
-    often = often.toArrow()
+    often = often.toArrow()  # at most `frequent` rows
     model = spark.sparkContext.broadcast((Network(weights, classes), dict(zip(often["word"].cast(pa.binary()).to_pylist(), often["c"].to_pylist()))))
+    del often
     schema = "row long, doc_id long, held_out boolean, n_tokens long, n_known long, known double, score double, words array<string>, times array<int>"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
