@@ -1,10 +1,11 @@
 """Language-model scores of documents: a causal self-attention model over subword ids, trained in numpy.
 
-One pass over the training documents counts their words and takes a span of words every `train_every` words of
-every document; the words' counts give exact counts of subwords and of subword pairs inside words. An outcome
+One pass over the training documents counts their words; the words' counts give exact counts of subwords and of
+subword pairs inside words. A second pass cuts every training document into consecutive windows, the same that
+scoring uses: every subword is a target once in a round, and every pair across a word border is counted. An outcome
 is one of the most frequent subwords, the end, or a rare subword (which then has its share of these); it is
 predicted in two steps, its group and its slot in the group. The model adds one block of self-attention, with a
-bias for each distance, and a feed-forward layer to the log probabilities of the pairs. It is trained on the spans
+bias for each distance, and a feed-forward layer to the log probabilities of the pairs. It is trained on all windows
 in shards: each trains on its own rows, and the shards' weights are averaged after every round.
 
 A text is scored in windows of `WINDOW` inputs of which the last `STEP` are scored, so each subword is scored once,
@@ -13,8 +14,8 @@ with the causal mask. The base score uses the words' counts: frequent words by a
 `frequent` words that travels with the tasks, all others by a join.
 
 Scale: counts are grouped with partial aggregation; the hot words are in the table, so the join has no hot key.
-The model has a fixed size, at most `max_shards` sets of weights reach the driver, and what training reads
-and gathers grows with the corpus.
+The model has a fixed size, at most `max_shards` sets of weights are added up, and what training reads
+grows with the corpus: the windows are written once, dealt over the shards, as rows of the pair model's table.
 
 Defined cases: a null or empty text has the end as its only token; a null doc_id is hashed as an empty text;
 repeated rows are scored alike, and each counts; with no training documents all counts are zero and the
@@ -28,7 +29,7 @@ import uuid
 import zlib
 from collections import Counter
 from collections.abc import Iterator
-from itertools import chain
+from itertools import chain, groupby
 from pathlib import Path
 
 import numpy as np
@@ -46,6 +47,9 @@ BACK = WINDOW - STEP
 DIM, HIDDEN = 16, 32
 GROUPS, SLOTS = 32, 32  # outcomes are predicted in two steps: the group, and the slot in it
 INPUTS = GROUPS * SLOTS  # input rows (start, rare, frequent subwords); as many outcomes (end, rare, frequent subwords)
+PIECE_WINDOWS = 32  # windows of a text that are kept in one row
+BATCH_WINDOWS = 48  # that a step of training takes
+LEAD = 1 << 10  # added to the row of what starts a word or ends a text
 PIECE = 256  # longer words are encoded in pieces of so many characters
 WORDS_KEPT = 300_000  # words whose subwords a worker remembers
 PATTERN = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"  # fixed: the tokenizer's own split
@@ -103,47 +107,88 @@ def _words(text: str | None) -> list[bytes]:
     return (text or "").encode().lower().split()
 
 
-# ---------------------------------------------------------------- counts and spans of the training documents
+# ---------------------------------------------------------------- counts and windows of the training documents
 
 
-def gather(docs: DataFrame, train_every: int, span: int) -> DataFrame:
-    """Rows (kind, s, n, key) of the training documents: kind 0 a word and its count in a task, 1 a span of words with its
-    place, 2 a number of documents."""
+def gather(docs: DataFrame) -> DataFrame:
+    """Rows (kind, s, n) of the training documents: kind 0 a word and its count in a task, 2 a number of documents."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: Counter[bytes] = Counter()
         n_docs = 0
-        names = ["kind", "s", "n", "key"]
 
-        def batch(kind: int, s: list[bytes], n: list[int], key: list[int]) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(np.full(len(s), kind, np.int8)), pa.array(s, pa.binary()).cast(pa.string()), pa.array(n, pa.int64()), pa.array(key, pa.int64())], names=names)
+        def batch(kind: int, s: list[bytes], n: list[int]) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(np.full(len(s), kind, np.int8)), pa.array(s, pa.binary()).cast(pa.string()), pa.array(n, pa.int64())], names=["kind", "s", "n"])
 
         for b in batches:
-            spans, places, keys = [], [], []
             for doc_id, text in zip(b.column("doc_id").to_pylist(), b.column("t")):
                 if is_held_out(doc_id):
                     continue
-                words = _words(text.as_py())
-                counts.update(words)
+                counts.update(_words(text.as_py()))
                 n_docs += 1
-                seed = zlib.crc32(b"span%d" % (doc_id or 0))
-                for at in range(seed % train_every, len(words) + 1, train_every):
-                    at = 0 if at < BACK else at
-                    part = words[at:at + span]
-                    # the place tells whether the text starts (1) or ends (2) with the span
-                    spans.append(b" ".join(part))
-                    places.append((at == 0) + 2 * (at + span >= len(words)))
-                    keys.append(seed * 4096 + at % 4096)
-            if spans:
-                yield batch(1, spans, places, keys)
             if len(counts) > 400_000:
-                yield batch(0, list(counts), list(counts.values()), [0] * len(counts))
+                yield batch(0, list(counts), list(counts.values()))
                 counts.clear()
         if counts:
-            yield batch(0, list(counts), list(counts.values()), [0] * len(counts))
-        yield batch(2, [b""], [n_docs], [0])
+            yield batch(0, list(counts), list(counts.values()))
+        yield batch(2, [b""], [n_docs])
 
-    return written(docs.mapInArrow(run, "kind tinyint, s string, n long, key long"), "lm-gathered", batch_rows=1000)
+    return written(docs.mapInArrow(run, "kind tinyint, s string, n long"), "lm-gathered", batch_rows=1000)
+
+
+def cut_pieces(size: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(text, number in the text, length) of the pieces of texts of so many subwords. A piece holds BACK + 1 codes and then its targets, at most
+    PIECE_WINDOWS windows of them; the next piece repeats the last BACK + 1 codes."""
+    span = PIECE_WINDOWS * STEP
+    pieces = (size + span) // span  # of size + 1 targets
+    text = np.repeat(np.arange(len(size)), pieces)
+    number = np.arange(len(text)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+    return text, number, np.minimum(span, size[text] + 1 - number * span) + BACK + 1
+
+
+def training_pieces(docs: DataFrame, shared, classes: Classes) -> DataFrame:
+    """(key, codes) of all training documents: `cut_pieces` of their codes, row + LEAD if it starts a word or ends the text."""
+    n = len(classes.row) - 2
+    code = classes.row.astype(np.int16)
+    code[[i for t, i in shared.value[1].items() if t[:1] == b" "]] += LEAD
+    code[n + 1] = LEAD  # the end: row 0, as the start
+    table = docs.sparkSession.sparkContext.broadcast(code)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        code, lex = table.value, _Lexicon(_subwords(shared), {})
+        for part in _megabytes(batches):
+            ids = part.column("doc_id").to_pylist()
+            mine = [i for i, d in enumerate(ids) if not is_held_out(d)]
+            texts = [_words(part.column("t")[i].as_py()) for i in mine]
+            _, _, _, each, subs = _encoded(texts, lex)
+            size = np.bincount(np.repeat(np.arange(len(mine)), [len(x) for x in texts]), each, len(mine)).astype(np.int64)
+            length = size + BACK + 2
+            at = np.cumsum(length) - length
+            stream = np.zeros(int(length.sum()), np.int16)  # the start
+            stream[at + length - 1] = code[n + 1]
+            stream[np.repeat(at + BACK + 1 - (np.cumsum(size) - size), size) + np.arange(len(subs))] = code[subs]
+            text, number, long = cut_pieces(size)
+            first = at[text] + number * (PIECE_WINDOWS * STEP)
+            ends = np.cumsum(long)
+            flat = stream[np.repeat(first - (ends - long), long) + np.arange(long.sum())]
+            keys = [zlib.crc32(b"%d-%d" % (ids[mine[t]] or 0, k)) for t, k in zip(text.tolist(), number.tolist())]
+            codes = pa.ListArray.from_arrays(pa.array(np.append(0, ends).astype(np.int32)), pa.array(flat))
+            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), codes], names=["key", "codes"])
+
+    return docs.mapInArrow(run, "key long, codes array<smallint>")
+
+
+def cut_windows(b: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    """Windows of some pieces: (input rows (n, WINDOW), rows of the targets (n, STEP), -1 where there is none)."""
+    codes = b.column("codes")
+    size = pc.list_value_length(codes).to_numpy(zero_copy_only=False).astype(np.int64)
+    flat = np.append(codes.flatten().to_numpy(zero_copy_only=False), np.zeros(WINDOW, np.int16)) % LEAD
+    wins = -(-(size - BACK - 1) // STEP)
+    end, k = np.cumsum(size), np.arange(wins.sum()) - np.repeat(np.cumsum(wins) - wins, wins)
+    first = np.repeat(end - size, wins) + STEP * k
+    at = first[:, None] + np.arange(WINDOW + 1)
+    y = np.where(at[:, BACK + 1:] < np.repeat(end, wins)[:, None], flat[at[:, BACK + 1:]], np.int16(-1))
+    return flat[at[:, :WINDOW]], y
 
 
 def pair_counts(words: DataFrame, shared) -> DataFrame:
@@ -392,33 +437,30 @@ class Network:
 # ---------------------------------------------------------------- jobs
 
 
-def across_counts(windows: DataFrame, shared, classes: Classes) -> np.ndarray:
-    """Counts of (row, entry) where the entry starts a word or ends the text, in all spans."""
-    lead = np.zeros(len(classes.row), bool)
-    lead[[i for t, i in shared.value[1].items() if t[:1] == b" "]] = True
-    lead[-1] = True
-    entry = classes.row.copy()
-    entry[-1] = 0  # the end
-    table = windows.sparkSession.sparkContext.broadcast((classes.row, entry, lead))
+def across_counts(pieces: DataFrame) -> np.ndarray:
+    """Counts of (row, row of the next) where the next starts a word or ends the text, in all pieces."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        row, entry, lead = table.value
         total = np.zeros(INPUTS * INPUTS, np.int64)
         for b in batches:
-            ids = b.column("ids").flatten().to_numpy().reshape(b.num_rows, -1)
-            a, n = ids[:, :-1], ids[:, 1:]
-            ok = (n >= 0) & lead[n]
-            total += np.bincount(row[a[ok]] * INPUTS + entry[n[ok]], minlength=INPUTS * INPUTS)
+            codes = b.column("codes")
+            size = pc.list_value_length(codes).to_numpy(zero_copy_only=False).astype(np.int64)
+            flat = codes.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+            place = np.arange(len(flat)) - np.repeat(np.cumsum(size) - size, size)
+            n = np.flatnonzero((place > BACK) & (flat >= LEAD))  # the targets: each once
+            cell, times = np.unique(flat[n - 1] % LEAD * INPUTS + flat[n] % LEAD, return_counts=True)
+            total[cell] += times
         cell = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(cell), pa.array(total[cell])], names=["cell", "n"])
 
-    got = windows.mapInArrow(run, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()  # at most INPUTS ** 2
+    got = pieces.select("codes").mapInArrow(run, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()  # at most INPUTS ** 2
     out = np.zeros(INPUTS * INPUTS, np.float32)
     out[got["cell"].to_numpy()] = got["n"].to_numpy()
     return out.reshape(INPUTS, INPUTS)
 
 
-def fit_classes(words: DataFrame, windows: DataFrame, n_docs: int, shared, size: int) -> Classes:
+def fit_classes(words: DataFrame, docs: DataFrame, n_docs: int, shared, size: int, per_shard: int, max_shards: int) -> tuple[Classes, DataFrame, int]:
+    """The classes, the pieces of all training documents, dealt in shards, and the number of their targets."""
     spark = words.sparkSession
     pairs = written(pair_counts(words, shared), "lm-pairs")
     got = pairs.where("b >= 0").groupBy("b").agg(F.sum("n").alias("n")).toArrow()  # at most one row for each subword of the tokenizer
@@ -433,65 +475,73 @@ def fit_classes(words: DataFrame, windows: DataFrame, n_docs: int, shared, size:
     count = np.zeros((INPUTS + 1, INPUTS + 1), np.float32)
     count[cells["row"].to_numpy(), cells["entry"].to_numpy()] = cells["n"].to_numpy()
     within, first, last = count[:INPUTS, :INPUTS], count[INPUTS, :INPUTS], count[:INPUTS, INPUTS]
-    classes.fit_pairs(within, first, last, across_counts(windows, shared, classes), n_docs)
-    return classes
+    targets = int(unigram.sum()) + n_docs
+    shards = max(1, min(max_shards, -(-targets // (STEP * per_shard))))
+    pieces = training_pieces(docs, shared, classes).withColumn("shard", F.pmod("key", F.lit(shards)).cast("int"))
+    pieces = written(pieces.repartition(shards, "shard").sortWithinPartitions("shard", "key", "codes"), "lm-pieces", batch_rows=1000)
+    classes.fit_pairs(within, first, last, across_counts(pieces), n_docs)
+    return classes, pieces, targets
 
 
-def span_windows(spans: DataFrame, shared, size: int) -> DataFrame:
-    """(key, ids): WINDOW + 1 stream ids of each span that fills a window or ends its text."""
+def _blocks(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[tuple[int, Iterator[pa.RecordBatch]]]:
+    """(shard, its rows in blocks), for rows in which a shard's stand together, however they are cut into batches."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = _subwords(shared)
+    def runs() -> Iterator[tuple[int, pa.RecordBatch]]:
         for b in batches:
-            keys, rows = [], []
-            words = [s.encode().split() for s in b.column("s").to_pylist()]
-            coded = iter(coder.encode_all(list(chain.from_iterable(words))))
-            for own, place, key in zip(words, b.column("n").to_pylist(), b.column("key").to_pylist()):
-                ids = [i for _ in own for i in next(coded)]
-                ids = ([size] * (BACK + 1) if place & 1 else []) + ids + ([size + 1] if place & 2 else [])
-                if len(ids) > BACK + 1 and (len(ids) > WINDOW or place & 2):
-                    ids = ids[:WINDOW + 1]
-                    rows.append(ids + [-1] * (WINDOW + 1 - len(ids)))
-                    keys.append(key)
-            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(rows, pa.list_(pa.int32()))], names=["key", "ids"])
-
-    return written(spans.mapInArrow(run, "key long, ids array<int>"), "lm-windows")
-
-
-def fit_network(windows: DataFrame, classes: Classes, rounds: int, least: int, per_shard: int, max_shards: int, rate: float) -> dict[str, np.ndarray]:
-    spark = windows.sparkSession
+            shard = b.column("shard").to_numpy()
+            cuts = [0, *(np.flatnonzero(np.diff(shard)) + 1).tolist(), len(shard)]
+            yield from ((int(shard[a]), b.slice(a, e - a)) for a, e in zip(cuts, cuts[1:]) if e > a)
+
+    def blocks(own: Iterator[tuple[int, pa.RecordBatch]]) -> Iterator[pa.RecordBatch]:
+        held, n = [], 0
+        for _, b in own:
+            while b.num_rows:
+                held.append(b.slice(0, rows - n))
+                n, b = n + held[-1].num_rows, b.slice(held[-1].num_rows)
+                if n == rows:
+                    yield pa.concat_batches(held)
+                    held, n = [], 0
+        if held:
+            yield pa.concat_batches(held)
+
+    for shard, own in groupby(runs(), key=lambda x: x[0]):
+        yield shard, blocks(own)
+
+
+def fit_network(pieces: DataFrame, n: int, classes: Classes, rounds: int, least: int, rate: float) -> dict[str, np.ndarray]:
+    """pieces: of a written table, in which the rows of a shard stand together; n: about how many windows they hold."""
+    spark = pieces.sparkSession
     w = new_weights()
-    n = windows.count()
-    shards = max(1, min(max_shards, -(-n // per_shard)))
-    dealt = windows.repartition(shards, "key").sortWithinPartitions("key", "ids")
     names = list(w)
-    table = spark.sparkContext.broadcast((classes.row, classes.outcome, classes.group, classes.slot))
+    table = spark.sparkContext.broadcast((classes.number, classes.group, classes.slot))
     rounds = max(rounds, min(4 * rounds, -(-least // max(n, 1))))  # a small corpus is gone through more often
     for turn in range(rounds if n else 0):
         now = spark.sparkContext.broadcast(w)
 
         def run(batches: Iterator[pa.RecordBatch], now=now, turn=turn, rounds=rounds) -> Iterator[pa.RecordBatch]:
-            row, outcome, group, slot = table.value
-
-            def parts() -> Iterator[tuple[np.ndarray, np.ndarray]]:
-                for b in batches:
-                    ids = b.column("ids").flatten().to_numpy().reshape(b.num_rows, -1)
-                    for a in range(0, len(ids), 48):
-                        part = ids[a:a + 48]
-                        goal = part[:, BACK + 1:]
-                        yield row[part[:, :WINDOW]], np.where(goal >= 0, outcome[goal], -1)
-
-            new, n = train(now.value, group, slot, parts(), rate * (1 - 0.8 * turn / rounds))
-            flat = np.concatenate([new[k].ravel() for k in names]) * np.float32(n)
-            part = TaskContext.get().partitionId() % 16
-            yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([n], pa.int64()), pa.array([flat.tobytes()], pa.binary())], names=["part", "n", "w"])
+            number, group, slot = table.value
+
+            def parts(shard: int, blocks: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+                for i, b in enumerate(blocks):
+                    x, y = cut_windows(b)
+                    y = np.where(y >= 0, number[y], -1)
+                    order = np.random.default_rng((turn, shard, i)).permutation(len(x))  # windows of a text lie apart
+                    for a in range(0, len(x), BATCH_WINDOWS):
+                        own = order[a:a + BATCH_WINDOWS]
+                        yield x[own], y[own]
+
+            for shard, blocks in _blocks(batches):
+                new, n = train(now.value, group, slot, parts(shard, blocks), rate * (1 - 0.8 * turn / rounds))
+                flat = np.concatenate([new[k].ravel() for k in names]) * np.float32(n)
+                yield pa.RecordBatch.from_arrays([pa.array([shard % 16], pa.int32()), pa.array([shard], pa.int32()), pa.array([n], pa.int64()), pa.array([flat.tobytes()], pa.binary())], names=["part", "shard", "n", "w"])
 
         def add(t: pa.Table) -> pa.Table:
+            t = t.sort_by("shard")
             total = np.sum([np.frombuffer(w.as_buffer(), np.float32) for w in t["w"]], axis=0)
             return pa.table([pa.array([sum(t["n"].to_pylist())], pa.int64()), pa.array([total.tobytes()], pa.binary())], names=["n", "w"])
 
         # the shards' weights are added up before they reach the driver: 16 rows
-        got = dealt.mapInArrow(run, "part int, n long, w binary").groupBy("part").applyInArrow(add, "n long, w binary").collect()
+        got = pieces.mapInArrow(run, "part int, shard int, n long, w binary").groupBy("part").applyInArrow(add, "n long, w binary").collect()
         total = sum(r["n"] for r in got)
         flat, at = np.sum([np.frombuffer(r["w"], np.float32) for r in got if r["n"]], axis=0) / np.float32(total), 0
         for k in names:
@@ -514,7 +564,7 @@ def frequent_words(words: DataFrame, most: int) -> tuple[DataFrame, float]:
 
 
 def score_documents(docs: DataFrame, *, tokenizer: str = "/opt/tokenizers/byte_bpe_50k.tiktoken", id_col: str = "doc_id", text_col: str = "text",
-                    train_every: int = 256, span: int = 16, rounds: int = 2, least_windows: int = 150_000, per_shard: int = 20_000, max_shards: int = 256,
+                    rounds: int = 2, least_windows: int = 150_000, per_shard: int = 20_000, max_shards: int = 256,
                     rate: float = 0.01, frequent: int = 1 << 17) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score."""
     spark = docs.sparkSession
@@ -523,14 +573,13 @@ def score_documents(docs: DataFrame, *, tokenizer: str = "/opt/tokenizers/byte_b
     size = max(ranks.values()) + 1
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("t"))
 
-    found = gather(rows, train_every, span)
+    found = gather(rows)
     words = written(found.where("kind = 0").groupBy(F.col("s").alias("word")).agg(F.sum("n").alias("c")), "lm-words")
     n_docs = int(found.where("kind = 2").agg(F.sum("n")).first()[0] or 0)
     n_words, kinds = words.agg(F.sum("c"), F.count(F.lit(1))).first()
     total, kinds = int(n_words or 0) + n_docs, int(kinds) + (n_docs > 0)
-    windows = span_windows(found.where("kind = 1"), shared, size)
-    classes = fit_classes(words, windows, n_docs, shared, size)
-    weights = fit_network(windows, classes, rounds, least_windows, per_shard, max_shards, rate)
+    classes, pieces, n_targets = fit_classes(words, rows, n_docs, shared, size, per_shard, max_shards)
+    weights = fit_network(pieces, -(-n_targets // STEP), classes, rounds, least_windows, rate)
 
     often, least = frequent_words(words, frequent)
     often = often.toArrow()  # at most `frequent` rows
@@ -542,13 +591,9 @@ def score_documents(docs: DataFrame, *, tokenizer: str = "/opt/tokenizers/byte_b
         net, counts = model.value
         lexicon = _Lexicon(_subwords(shared), counts)
         row = TaskContext.get().partitionId() << 36
-        for b in batches:
-            a, size = 0, 0
-            for i, n in enumerate(pc.binary_length(pc.fill_null(b.column("t"), "")).to_pylist()):
-                size += n
-                if size >= 1 << 20 or i == b.num_rows - 1:  # about a megabyte of text at a time
-                    yield _score_batch(b.slice(a, i + 1 - a), net, lexicon, row, n_docs)
-                    row, a, size = row + i + 1 - a, i + 1, 0
+        for b in _megabytes(batches):
+            yield _score_batch(b, net, lexicon, row, n_docs)
+            row += b.num_rows
 
     scored = written(rows.mapInArrow(run, schema), "lm-scored", batch_rows=1000)
     rare = scored.select("row", F.explode(F.arrays_zip("words", "times")).alias("x")).select("row", F.col("x.words").alias("word"), F.col("x.times").alias("times"))
@@ -588,13 +633,22 @@ class _Lexicon:
         return np.fromiter(map(number.__getitem__, words), np.int32, len(words))
 
 
-def _score_batch(b: pa.RecordBatch, net: Network, lex: _Lexicon, row: int, n_docs: int) -> pa.RecordBatch:
-    ids = b.column("doc_id").to_pylist()
-    each_doc = [_words(t.as_py()) for t in b.column("t")]
-    n_words = np.array([len(x) for x in each_doc])
+def _megabytes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows with about a megabyte of text at a time."""
+    for b in batches:
+        a, size = 0, 0
+        for i, n in enumerate(pc.binary_length(pc.fill_null(b.column("t"), "")).to_pylist()):
+            size += n
+            if size >= 1 << 20 or i == b.num_rows - 1:
+                yield b.slice(a, i + 1 - a)
+                a, size = i + 1, 0
+
+
+def _encoded(each_doc: list[list[bytes]], lex: _Lexicon) -> tuple[np.ndarray, ...]:
+    """Of some texts' words: their numbers, the numbers in use, where each word's is among these, how many subwords
+    each has; and all texts' subwords in a row."""
     flat = lex.numbers(list(chain.from_iterable(each_doc)))
-    of = np.repeat(np.arange(len(ids)), n_words)
-    used = np.flatnonzero(np.bincount(flat, minlength=len(lex.words)))  # the words of this batch
+    used = np.flatnonzero(np.bincount(flat, minlength=len(lex.words)))
     place = np.empty(len(lex.words), np.int32)
     place[used] = np.arange(len(used))
     at = place[flat]
@@ -602,7 +656,15 @@ def _score_batch(b: pa.RecordBatch, net: Network, lex: _Lexicon, row: int, n_doc
     size = np.array([len(x) for x in own], np.int32)
     subs = np.fromiter(chain.from_iterable(own), np.int32, int(size.sum()))
     start, each = np.cumsum(size) - size, size[at]
-    stream = subs[np.repeat(start[at] - (np.cumsum(each) - each), each) + np.arange(each.sum())]
+    return flat, used, at, each, subs[np.repeat(start[at] - (np.cumsum(each) - each), each) + np.arange(each.sum())]
+
+
+def _score_batch(b: pa.RecordBatch, net: Network, lex: _Lexicon, row: int, n_docs: int) -> pa.RecordBatch:
+    ids = b.column("doc_id").to_pylist()
+    each_doc = [_words(t.as_py()) for t in b.column("t")]
+    n_words = np.array([len(x) for x in each_doc])
+    flat, used, at, each, stream = _encoded(each_doc, lex)
+    of = np.repeat(np.arange(len(ids)), n_words)
     score = net.log_probs(stream, np.bincount(of, each, len(ids)).astype(np.int64)) / LN10
     count = np.array([lex.count[k] for k in used.tolist()], np.int64)
     known = np.bincount(of, np.log10(count + 1.0)[at], len(ids)) + np.log10(n_docs + 1.0)

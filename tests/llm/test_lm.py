@@ -136,3 +136,45 @@ def test_empty_and_untrained(spark):
     got = lm.score_documents(documents(spark, [(i, "some text", "en", "s", 0) for i in held])).collect()
     assert [(r["n_tokens"], r["n_known"], r["train_tokens"], r["base_score"]) for r in got] == [(3, 0, 0, 0.0)] * 3
     assert all(np.isfinite(r["score"]) for r in got)
+
+
+def test_every_training_subword_is_a_target_once(spark):
+    """Short texts, texts of common words and long ones: each gives as many targets as it has subwords, and its end."""
+    rng = random.Random(4)
+    rows = edge_rows() + [(i, prose(rng, n), "en", "s", 0) for i, n in enumerate((0, 1, 2, 3, 14, 15, 16, 60, 400, 3000))] + [(50, "the of and to in", "en", "s", 0)]
+    ranks = lm.read_ranks(TOKENIZER)
+    size = max(ranks.values()) + 1
+    shared = spark.sparkContext.broadcast(("all-targets", ranks))
+    classes = lm.Classes(size, np.random.default_rng(3).integers(0, 900, size).astype(float))
+    docs = documents(spark, rows, extra=False).selectExpr("doc_id", "text AS t")
+    got = Counter()
+    pieces = lm.training_pieces(docs, shared, classes).withColumn("shard", lm.F.pmod("key", lm.F.lit(3)).cast("int"))
+    pieces = lm.written(pieces.repartition(3, "shard").sortWithinPartitions("shard", "key"), "test-pieces")
+    for b in pieces.toArrow().to_batches():
+        x, y = lm.cut_windows(b)
+        for i, j in zip(*np.nonzero(y >= 0)):
+            got[tuple(x[i, :lm.BACK + 1 + j].tolist()), int(y[i, j])] += 1
+    coder, expected, across = lm.Subwords(ranks), Counter(), Counter()
+    lead = {i for t, i in ranks.items() if t[:1] == b" "}
+    for i, t, *_ in rows:
+        if not lm.is_held_out(i):
+            ids = [s for w in words(t) for s in coder.encode(w)]
+            stream = [0] * (lm.BACK + 1) + [int(classes.row[s]) for s in ids] + [0]
+            starts = [s in lead for s in ids] + [True]
+            for k in range(len(ids) + 1):
+                at = k // lm.STEP * lm.STEP
+                expected[tuple(stream[at:k + lm.BACK + 1]), stream[k + lm.BACK + 1]] += 1
+                if starts[k]:
+                    across[stream[k + lm.BACK], stream[k + lm.BACK + 1]] += 1
+    assert got == expected
+    table = lm.across_counts(pieces)
+    assert {(int(a), int(b)): int(table[a, b]) for a, b in zip(*np.nonzero(table))} == across
+
+
+def test_shards_do_not_depend_on_batches():
+    import pyarrow as pa
+
+    b = pa.RecordBatch.from_pydict({"shard": pa.array([0] * 7 + [2] * 3 + [5] * 9, pa.int32()), "v": list(range(19))})
+    cuts = ([b], [b.slice(0, 4), b.slice(4, 1), b.slice(5, 5), b.slice(10)])
+    a, c = ([(s, [x.column("v").to_pylist() for x in own]) for s, own in lm._blocks(iter(i), 4)] for i in cuts)
+    assert a == c == [(0, [[0, 1, 2, 3], [4, 5, 6]]), (2, [[7, 8, 9]]), (5, [[10, 11, 12, 13], [14, 15, 16, 17], [18]])]
