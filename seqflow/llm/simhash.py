@@ -50,16 +50,17 @@ def fingerprint(text: str | None, shingle: int, seed: int = 42) -> int:
     return int.from_bytes(np.packbits(set_bits).tobytes(), "big")
 
 
-def fingerprints(docs: DataFrame, id_col: str, text_col: str, shingle: int) -> DataFrame:
-    """(doc_id, fp) with fp as signed long."""
+def fingerprints(docs: DataFrame, id_col: str, text_col: str, shingle: int, key_col: str | None = None) -> DataFrame:
+    """(doc_id, fp) with fp as signed long; with `key_col`, a long that isn't null, as a third column."""
+    keys = [key_col] if key_col else []
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             fp = np.array([fingerprint(t.as_py(), shingle) for t in b.column("t")], np.uint64)
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(fp.view(np.int64))], names=["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(fp.view(np.int64)), *map(b.column, keys)], names=["doc_id", "fp", *keys])
 
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("t"))
-    return rows.mapInArrow(run, "doc_id long, fp long")
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("t"), *keys)
+    return rows.mapInArrow(run, ", ".join(["doc_id long, fp long", *(f"{k} long" for k in keys)]))
 
 
 def bit_statistics(fps: DataFrame) -> tuple[int, np.ndarray]:
@@ -214,10 +215,17 @@ def near_duplicates(docs: DataFrame, *, shingle: int = 3, distance: int = 2, id_
     return out.select("doc_id", "fp", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def keep_one(docs: DataFrame, *, shingle: int = 3, distance: int = 2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The documents, without those whose component holds a smaller doc_id; one of repeated rows stays.
-    Rows with a null id stay if nothing in their component has an id."""
-    ids = near_duplicates(docs, shingle=shingle, distance=distance, id_col=id_col, text_col=text_col)
-    gone = ids.where((F.col("doc_id") != F.col("component_id")) | F.col("doc_id").isNull() & F.col("component_id").isNotNull())
-    gone = written(gone.select(F.col("doc_id").alias("_seqflow_gone")).distinct(), "simhash-gone")
-    return docs.join(gone, F.col(id_col).cast("long").eqNullSafe(F.col("_seqflow_gone")), "left_anti")
+def keep_one(docs: DataFrame, *, shingle: int = 3, distance: int = 2, id_col: str = "doc_id", text_col: str = "text",
+             bucket: int = 64) -> DataFrame:
+    """One document of each component: that with the smallest doc_id, null ids last, and any one of rows that share it.
+    A key of the written rows tells them apart, so a row goes or stays for itself, whatever id it has."""
+    key = "_seqflow_row"
+    rows = written(docs.withColumn(key, F.monotonically_increasing_id()), "simhash-rows")
+    marked = written(fingerprints(rows, id_col, text_col, shingle, key), "simhash-docs", batch_rows=1000)
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", key))
+    fps = written(marked.groupBy("fp").agg(first.alias("first")), "simhash-fps")
+    roots = written(connected_components(links(fps.select("fp"), distance, bucket)), "simhash-roots")
+    own = fps.join(roots, F.col("fp") == F.col("node"), "left").select(F.coalesce("root", "fp").alias("root"), "first")
+    kept = own.groupBy("root").agg(F.min("first").alias("first")).select(F.col(f"first.{key}").alias(key))
+    gone = written(marked.select(key).join(kept, key, "left_anti"), "simhash-gone")
+    return rows.join(gone, key, "left_anti").select(docs.columns)

@@ -94,3 +94,26 @@ def test_keep_one_and_empty(spark):
     left = [i for i in ids if i is not None and fps[i]]
     assert all((fps[a] ^ fps[b]).bit_count() > 2 for a in left for b in left if a < b)
     assert simhash.near_duplicates(documents(spark, [])).count() == 0
+
+
+def test_keep_one_keeps_a_row_of_each_component(spark):
+    """Null ids and repeated ids: near rows with ids, near each other, and alone."""
+    rng = random.Random(6)
+    one, two, three, four, five, six = (prose(rng, 120) for _ in range(6))
+    rows = [(10, one), (None, one), (None, two), (None, three), (None, three), (None, three), (20, four), (20, four),
+            (30, five), (5, five), (30, six), (None, six), (40, None), (None, "")]
+    rows = [(i, t, "en", "s", 0) for i, t in rows]
+    kept = simhash.keep_one(documents(spark, rows, extra=False)).collect()
+    got = [(r["doc_id"], r["text"]) for r in kept]
+    assert sorted(got, key=repr) == sorted([(10, one), (None, two), (None, three), (20, four), (5, five), (30, six), (40, None)], key=repr)
+
+    rows = sample() + [(None, r[1], "en", "s", 0) for r in sample()[9:60]] + [(10, r[1], "en", "s", 0) for r in sample()[60:90]]
+    fps = [plain_fingerprint(r[1]) for r in rows]
+    comp = components(fps, 2)
+    kept = simhash.keep_one(documents(spark, rows)).collect()
+    assert len(kept) == len(set(comp))
+    least = {}
+    for c, r in zip(comp, rows):
+        least[c] = min(least.get(c, (True, 0)), (r[0] is None, r[0] or 0))
+    mine = {f: c for f, c in zip(fps, comp)}
+    assert {mine[plain_fingerprint(r["text"])]: (r["doc_id"] is None, r["doc_id"] or 0) for r in kept} == least
