@@ -2,9 +2,11 @@
 
 Centroids are fitted by balanced bisection on a bounded sample and linked in a neighbour graph that fits in
 memory. Every vector goes to the list of its nearest centroid and, near a boundary, to those of further
-centroids within (1 + `closure`) times that distance. A query walks the graph to its nearest centroids, keeps
-those within (1 + `ratio`) times the least distance, at most `probes` but always enough for k results, and is
-compared with their lists.
+centroids within (1 + `closure`) times that distance. A query goes to its nearest centroids, by a walk of the
+graph where these are few, and is compared with their lists. How many lists that are is measured for each input: a
+seeded set of `trials` queries is compared with all rows, and the least number is taken that holds the share
+`recall` of their true neighbours. It grows with the index as the vectors need. A caller may set `probes` instead: then
+lists within (1 + `ratio`) times the least distance count, at most so many. Both look in enough lists for k results.
 Nearness is the inner product: vectors get one more coordinate that makes all norms equal, in which the
 largest inner product is the least distance; the scores are those of the original vectors, in doubles.
 
@@ -137,13 +139,21 @@ def _matrix(c: pa.Array | pa.ChunkedArray, dtype) -> np.ndarray:
     return c.flatten().to_numpy(zero_copy_only=False).astype(dtype).reshape(len(c), -1)
 
 
+def lists_needed(order: np.ndarray, held_in: np.ndarray, recall: float) -> int:
+    """Least number of lists that holds the share `recall` of neighbours. order: per neighbour, the lists, its query's
+    nearest first; held_in: (neighbours, lists), whether the neighbour is in a list."""
+    need = np.sort(np.argmax(np.take_along_axis(held_in, order, 1), axis=1) + 1)
+    return int(need[min(len(need) - 1, max(0, int(np.ceil(recall * len(need))) - 1))])
+
+
 def _usable(v: Column) -> Column:
     return F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists(v, lambda x: x != 0)
 
 
 def search(vectors: DataFrame, is_query: Column, *, k: int = 20, id_col: str = "vec_id", vec_col: str = "embedding",
            list_size: int = 128, max_lists: int = 4096, sample: int = 32768, degree: int = 24, replicas: int = 6,
-           closure: float = 0.1, probes: int = 64, ratio: float = 0.15, chunk: int = 512) -> DataFrame:
+           closure: float = 0.1, probes: int | None = None, ratio: float | None = 0.15, chunk: int = 512, recall: float = 0.99,
+           trials: int = 128) -> DataFrame:
     """query_id, rank, vec_id, score: the k nearest found of each row that `is_query` (a condition on `vec_id`) selects,
     against every row but itself."""
     spark = vectors.sparkSession
@@ -173,7 +183,7 @@ def search(vectors: DataFrame, is_query: Column, *, k: int = 20, id_col: str = "
     centroids = balanced_centroids(lifted(_matrix(got["v"], np.float64)), lists)
     index = spark.sparkContext.broadcast((centroids, *neighbour_graph(centroids, degree)))
 
-    def choose(batches: Iterator[pa.RecordBatch], width: int, keep: int, slack: float, sizes=None) -> Iterator[pa.RecordBatch]:
+    def choose(batches: Iterator[pa.RecordBatch], width: int, keep: int, slack: float | None, sizes=None) -> Iterator[pa.RecordBatch]:
         """Rows with each list they are put in, or, given the lists' sizes, are looked for in."""
         c, near, entry = index.value
         query = sizes is not None
@@ -186,9 +196,12 @@ def search(vectors: DataFrame, is_query: Column, *, k: int = 20, id_col: str = "
                     x = np.hstack([x, np.zeros((len(x), 1))]).astype(np.float32)
                 else:
                     x = lifted(x)
-                ids, d = graph_search(x, c, near, entry, width) if len(c) > width else nearest(x, c)
+                # a walk that takes in much of the index costs more than all distances
+                ids, d = graph_search(x, c, near, entry, width) if len(c) > 4 * width else nearest(x, c)
                 d = np.sqrt(d)
-                ok = (ids >= 0) & (d <= (1 + slack) * d[:, :1] + 1e-6)
+                ok = ids >= 0
+                if slack is not None:
+                    ok &= d <= (1 + slack) * d[:, :1] + 1e-6
                 ok[:, keep:] = False
                 if query:  # an entry is in at most `replicas` lists, so this many postings hold k + 1 entries
                     held = np.where(ids >= 0, sizes.value[ids], 0)
@@ -196,6 +209,38 @@ def search(vectors: DataFrame, is_query: Column, *, k: int = 20, id_col: str = "
                 r, p = np.nonzero(ok)
                 yield pa.RecordBatch.from_arrays([pa.array(ids[r, p].astype(np.int32)), part.column("rep").take(pa.array(r)), part.column("v").take(pa.array(r))], names=["list", "rep", "v"])
 
+    def measured_probes(asked: DataFrame) -> int:
+        """The number of lists that the trial queries need, from their k nearest by comparison with all entries."""
+        t = hash_sample(asked, ["rep"], trials, asked.count(), "ann-trials").toArrow()
+        if not t.num_rows:
+            return 1
+        own, q = t["rep"].to_numpy(), _matrix(t["v"], np.float64)
+        trial = spark.sparkContext.broadcast((own, q))
+
+        def compare_all(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            own, q = trial.value
+            for b in batches:
+                reps = b.column("rep").to_numpy()
+                s = q @ _matrix(b.column("v"), np.float64).T
+                s[own[:, None] == reps] = -np.inf
+                best = np.argsort(-s, axis=1, kind="stable")[:, :k]
+                n = best.shape[1]
+                yield pa.RecordBatch.from_arrays([pa.array(np.repeat(np.arange(len(own)), n)), pa.array(reps[best].ravel()), pa.array(np.take_along_axis(s, best, 1).ravel())], names=["trial", "rep", "score"])
+
+        best = reps.select("rep", "v").mapInArrow(compare_all, "trial long, rep long, score double").where(F.col("score") > float("-inf"))
+        place = F.row_number().over(Window.partitionBy("trial").orderBy(F.desc("score"), "rep"))
+        best = written(best.withColumn("n", place).where(F.col("n") <= k).select("trial", "rep"), "ann-truth")
+        pairs = F.broadcast(best)  # at most trials * k rows
+        got = posted.join(pairs, "rep").groupBy("trial", "rep").agg(F.collect_list("list").alias("lists")).collect()
+        if not got:
+            return 1
+        x = np.hstack([q / np.linalg.norm(q, axis=1, keepdims=True), np.zeros((len(q), 1))]).astype(np.float32)
+        order = nearest(x, centroids)[0][[r["trial"] for r in got]]
+        held_in = np.zeros((len(got), lists), bool)
+        for i, r in enumerate(got):
+            held_in[i, r["lists"]] = True
+        return lists_needed(order, held_in, recall)
+
     kind = "list int, rep long, v array<double>"
     posted = written(reps.select("rep", "v").mapInArrow(lambda it: choose(it, max(24, 2 * replicas), replicas, closure), kind), "ann-lists", batch_rows=4096)
     count = np.zeros(lists, np.int64)
@@ -205,6 +250,9 @@ def search(vectors: DataFrame, is_query: Column, *, k: int = 20, id_col: str = "
     wanted = rows.where(is_query).join(reps.select("rep", F.col("v").alias("_v")), F.col("v") == F.col("_v")).select("vec_id", "rep")
     wanted = written(wanted, "ann-queries")
     asked = reps.select("rep", "v").join(wanted.select("rep").distinct(), "rep", "left_semi")
+    asked = written(asked, "ann-asked")
+    if probes is None:
+        probes, ratio = measured_probes(asked), None
     asked = written(asked.mapInArrow(lambda it: choose(it, probes + probes // 2, probes, ratio, held), kind), "ann-probes", batch_rows=4096)
 
     # chunks of a list times chunks of the queries at it

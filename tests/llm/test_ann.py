@@ -67,3 +67,23 @@ def test_graph_search_finds_the_nearest_centroids():
     assert all(len(set(r)) == len(r) for r in ids.tolist() if -1 not in r)
     sizes = np.bincount(np.argmin(ann.squared(c, ann.balanced_centroids(c, 20)), axis=1), minlength=20)
     assert sizes.max() <= 4 * sizes.mean()
+
+
+def test_lists_grow_with_what_the_vectors_need(spark):
+    """Random unit vectors in more lists than a fixed number of probes could hold."""
+    rng = np.random.default_rng(8)
+    x = rng.standard_normal((4000, 48))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    x = x.astype(np.float32).astype(float)
+    rows = {i: x[i].tolist() for i in range(4000)}
+    exp = brute(rows, [i for i in rows if i % 20 == 0], 20)
+    got = search(spark, list(rows.items()), list_size=8)
+    hits = sum(len({v for _, v, _ in got[q]} & {v for v, _ in e}) for q, e in exp.items())
+    assert hits >= 0.98 * 20 * len(exp)
+
+
+def test_lists_needed():
+    order = np.array([[0, 1, 2, 3], [3, 2, 1, 0], [1, 0, 3, 2], [2, 3, 0, 1]])
+    held = np.zeros((4, 4), bool)
+    held[0, [0, 3]] = held[1, 1] = held[2, 0] = held[3, 1] = True  # at places 1, 3, 2, 4
+    assert [ann.lists_needed(order, held, r) for r in (0.25, 0.5, 0.75, 0.99, 1.0)] == [1, 2, 3, 4, 4]
