@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seqflow.llm import ann, cotrain, decontaminate, html_text, lm, mixing, simhash, substring, url_filter, warc
+from seqflow.llm import ann, cotrain, decontaminate, html_text, lm, mixing, packing, simhash, substring, url_filter, warc
 from seqflow.llm.common import table
 
 
@@ -55,6 +55,17 @@ def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract_text(table(spark, sf_dir, "pages"))
 
 
+#: a public tokenizer file; a path is a parameter of the operator
+WORD_BPE = "word_bpe_49k.json"
+
+
+def op11_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    out = packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_BPE))
+    return out.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+
+
 LLM_QUERIES = {
     "op1_quality": op1_quality,
     "op2_warc": op2_warc,
@@ -66,6 +77,7 @@ LLM_QUERIES = {
     "op8_lm_score": op8_lm_score,
     "op9_mix_sources": op9_mix_sources,
     "op10_html_text": op10_html_text,
+    "op11_packing": op11_packing,
 }
 
 LLM_ORACLE = {
