@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seqflow.llm import ann, cotrain, decontaminate, html_text, lm, mixing, packing, simhash, substring, url_filter, warc
+from seqflow.llm import ann, collocations, cotrain, decontaminate, hard_negatives, html_text, lm, mixing, packing, simhash, substring, url_filter, warc
 from seqflow.llm.common import table
 
 
@@ -66,6 +66,16 @@ def op11_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
 
 
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(rows.withColumn("label", moved), F.col("vec_id") % 50 == 0, positives=5, negatives=3, low=50, high=95, scale=256)
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"), least=30, top=2000, scale=2_000_000, cover=80)
+
+
 LLM_QUERIES = {
     "op1_quality": op1_quality,
     "op2_warc": op2_warc,
@@ -78,9 +88,13 @@ LLM_QUERIES = {
     "op9_mix_sources": op9_mix_sources,
     "op10_html_text": op10_html_text,
     "op11_packing": op11_packing,
+    "op12_hard_negatives": op12_hard_negatives,
+    "op13_collocations": op13_collocations,
 }
 
 LLM_ORACLE = {
     "op2_warc": warc.ORACLE,
     "op9_mix_sources": mixing.ORACLE,
+    "op12_hard_negatives": hard_negatives.ORACLE,
+    "op13_collocations": collocations.ORACLE,
 }
