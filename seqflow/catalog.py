@@ -926,6 +926,43 @@ def q_grid_search_f2(spark, sf_dir):
     return spark.createDataFrame(rows, "reg_param DOUBLE, mean_f2 DOUBLE")
 
 
+_LOSSES = {"default": {}, "weighted": {"pos_weight": 3.0}, "focal": {"gamma": 2.0, "alpha": 0.25, "by_label": True}}
+_LOSS_REG = 0.001
+
+
+def _loss_slopes(kind: str) -> tuple[str, str]:
+    """SQL derivatives by the logit z of a positive's and a negative's loss."""
+    p, q = "(1 / (1 + exp(-z)))", "(1 / (1 + exp(z)))"
+    if kind == "focal":  # d/dz of a * (1 - p)^2 * -ln(p), and the same for the negative with p and q swapped
+        return f"0.25 * (2 * {q} * {q} * {p} * ln({p}) - {q} * {q} * {q})", f"0.75 * (-2 * {p} * {p} * {q} * ln({q}) + {p} * {p} * {p})"
+    return f"{3.0 if kind == 'weighted' else 1.0!r} * -{q}", p
+
+
+# a coefficient per group: with one feature per group each solves an equation of its own, by halving an interval
+_LOSS_SQL = " UNION ALL ".join(f"""SELECT '{kind}' AS loss, g AS line, round((lo + hi) / 2, 6) AS coefficient FROM (
+  WITH RECURSIVE t AS (SELECT l_linenumber AS g, count(*) FILTER (WHERE l_returnflag = 'R') AS n1, count(*) FILTER (WHERE l_returnflag <> 'R') AS n0,
+      (SELECT count(*) FROM lineitem)::DOUBLE AS n FROM lineitem GROUP BY 1),
+    it AS (SELECT g, n1, n0, n, -9.0::DOUBLE AS lo, 9.0::DOUBLE AS hi, 0 AS step FROM t
+      UNION ALL SELECT g, n1, n0, n, CASE WHEN slope < 0 THEN z ELSE lo END, CASE WHEN slope < 0 THEN hi ELSE z END, step + 1 FROM (
+        SELECT *, (n1 * ({_loss_slopes(kind)[0]}) + n0 * ({_loss_slopes(kind)[1]})) / n + {_LOSS_REG} * z AS slope FROM (SELECT *, (lo + hi) / 2 AS z FROM it WHERE step < 60)))
+  SELECT * FROM it WHERE step = 60)""" for kind in _LOSSES)
+
+
+@register("fit_loss", _LOSS_SQL)
+def q_fit_loss(spark, sf_dir):
+    """Op 69 with each of the losses: whether a line is returned, by a coefficient per line number."""
+    from seqflow.plans.loss_fit import fit_loss
+    lines = FX.table(spark, sf_dir, "lineitem").select("l_linenumber", (F.col("l_returnflag") == "R").cast("int").alias("returned"))
+    numbers = [r[0] for r in lines.select("l_linenumber").distinct().orderBy("l_linenumber").collect()]  # 1 to 7
+    x = F.array(*[(F.col("l_linenumber") == n).cast("double") for n in numbers])
+    rows = lines.select(x.alias("x"), "returned")
+    out = []
+    for kind, options in _LOSSES.items():
+        fit = fit_loss(rows, kind, label="returned", reg=_LOSS_REG, intercept=False, epochs=200, **options)
+        out += [(kind, n, round(c, 6)) for n, c in zip(numbers, fit.model.coefficients.tolist(), strict=True)]
+    return spark.createDataFrame(out, "loss string, line int, coefficient double")
+
+
 def _seq_stats(pdf):
     import pandas as pd
     x = pdf.sort_values("subpart_index")["first_param"]
