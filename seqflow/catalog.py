@@ -33,7 +33,7 @@ from seqflow.sources import fixtures as FX
 from seqflow.sources import json_source as J
 from seqflow.sources import tables as TB
 from seqflow.streaming import ingest as SI
-from seqflow.streaming import score as SS
+from seqflow.streaming import runs as SR
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -831,28 +831,32 @@ _STREAM_COLS = _SUMMARY_SQL_COLS.replace("round(sum(subpart_label), 6) AS ng_row
           + O.all_features(O.part_indexed(O.padded_clean(O.indexed(_STREAM_BASE), _STREAM_T)))
           + ") GROUP BY part_number")
 def q_stream_prepare_features(spark, sf_dir):
-    """Labelled measurement rows stream through foreachBatch: prepare (score mode, stored
-    T) -> features -> per-part summary. Every run is split over two files, which are read one a
-    micro-batch, so runs wait in the pending table until they are whole."""
+    """Labelled measurement rows stream through event-time state to prepare (score mode, stored T) -> features -> per-part
+    summary. Each part is measured within an hour of its own; the rows arrive in three drops, cut inside runs, which are
+    streamed one after the other with one checkpoint. A clock row closes the last runs."""
     import uuid
+    from datetime import timedelta
 
     from seqflow.session import scratch_path
     root = scratch_path(spark, f"score-{uuid.uuid4().hex}")
-    src = labelled(spark, sf_dir)
-    half = F.pmod(F.xxhash64("l_orderkey", "l_partkey"), F.lit(2))
-    for k in (0, 1):
-        src.where(half == k).coalesce(1).write.parquet(f"{root}/source/{k}")
-    stream = spark.readStream.schema(src.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/source/*")
-    # the stored padding length of the train run (one integer through the driver)
+    seconds = F.col("part_number").cast("long") * 3600 + F.datediff("l_shipdate", F.lit("1992-01-01").cast("date"))
+    src = TB.write_table(labelled(spark, sf_dir).withColumn("ts", F.timestamp_seconds(seconds)), path=f"{root}/all")
+    # the stored padding length of the train run (one integer through the driver), and the times where drops are cut
     kept = P.filter_by_length(P.normalize_subparts(src), K_SUBPARTS, STEPS)
     t = spark.range(1).select(P.max_sequence_length(kept)).first()[0]
+    cuts = src.agg(F.percentile_approx("ts", [0.3, 0.6]).alias("c"), F.max("ts").alias("last")).first()
+    drop = F.when(F.col("ts") < F.lit(cuts["c"][0]), 0).when(F.col("ts") < F.lit(cuts["c"][1]), 1).otherwise(2)
+    stream = spark.readStream.schema(src.schema).parquet(f"{root}/source/*")
 
     def summary(feats):
         return _summary(feats.withColumn("subpart_label", (F.col("subpart_label") == "NG").cast("long")))
 
-    job = {"order_by": FX.MEASUREMENT_ORDER, "target_len": t, "steps": STEPS, "scorer": summary, "n_subparts": K_SUBPARTS}
-    SS.start_scoring(stream, f"{root}/sink", f"{root}/checkpoint", **job).awaitTermination()
-    SS.finish_scoring(spark, src.schema, f"{root}/sink", **job)
+    gap, last = timedelta(hours=1), cuts["last"] + timedelta(hours=3)
+    drops = [*[src.where(drop == k) for k in range(3)], SR.clock_row(spark, src.schema, "ts", last)]
+    for k, rows in enumerate(drops):
+        rows.write.parquet(f"{root}/source/{k}")
+        SR.start_scoring_runs(stream, f"{root}/sink", f"{root}/checkpoint", "ts", "10 minutes", gap, order_by=FX.MEASUREMENT_ORDER, target_len=t,
+                              steps=STEPS, scorer=summary, n_subparts=K_SUBPARTS).awaitTermination()
     return spark.read.parquet(f"{root}/sink").drop("batch_id")
 
 

@@ -85,3 +85,85 @@ def test_runs_that_span_micro_batches(spark, tmp_dir):
     SS.finish_scoring(spark, stream.schema, f"{tmp_dir}/sink", **job)
     done = {(r["part_number"], r["n"]) for r in spark.read.parquet(f"{tmp_dir}/sink").collect()}
     assert done == {("a", 20), ("b", 20)}
+
+
+RUN_SCHEMA = ("part_number string, subpart_no double, ts timestamp, first_param double, second_param double, third_param double, "
+              "machine_position double, ng_valve_no string, subpart_label string")
+
+
+def _run_rows(part, start, ids):
+    from datetime import timedelta
+    return [(part, 1.0, start + timedelta(minutes=i), float(i), 1.0, 2.0, 3.0, None, "OK") for i in ids]
+
+
+class _Runs:
+    """Drops of rows that are streamed one after the other with one checkpoint."""
+
+    def __init__(self, spark, root, **job):
+        self.spark, self.root, self.k = spark, root, 0
+        self.job = {"order_by": ["ts"], "target_len": 20, "steps": 20, "n_subparts": 1,
+                    "scorer": lambda f: f.groupBy("part_number").agg(F.count(F.lit(1)).alias("n"), F.min("first_param").alias("least"))} | job
+
+    def drop(self, rows):
+        self.spark.createDataFrame(rows, RUN_SCHEMA).repartition(2).write.parquet(f"{self.root}/src/{self.k}")
+        self.k += 1
+        return self.run()
+
+    def run(self):
+        from datetime import timedelta
+
+        from seqflow.streaming import runs as SR
+        stream = self.spark.readStream.schema(RUN_SCHEMA).parquet(f"{self.root}/src/*")
+        q = SR.start_scoring_runs(stream, f"{self.root}/sink", f"{self.root}/ckpt", "ts", "30 minutes", timedelta(hours=2), **self.job)
+        q.awaitTermination()
+        return q
+
+    def done(self):
+        if not os.path.isdir(f"{self.root}/sink"):
+            return []
+        return sorted((r["part_number"], r["n"], r["least"]) for r in self.spark.read.parquet(f"{self.root}/sink").collect())
+
+
+def test_runs_close_by_event_time(spark, tmp_dir):
+    """State only for open runs; a late row is dropped; a restart adds nothing; a clock row closes the rest."""
+    from datetime import datetime, timedelta
+
+    from seqflow.streaming import runs as SR
+    t0 = datetime(2024, 1, 1)
+    r = _Runs(spark, tmp_dir)
+    r.drop(_run_rows("a", t0, range(10)))
+    r.drop(_run_rows("a", t0, range(15, 20)) + _run_rows("b", t0 + timedelta(minutes=35), range(4)))
+    assert r.done() == []
+    r.drop(_run_rows("a", t0, range(10, 15)))  # out of order, but not later than the watermark of 00:08
+    assert r.done() == []
+    q = r.drop(_run_rows("c", t0 + timedelta(days=1), range(7)))  # far later: closes a, and b as incomplete
+    assert r.done() == [("a", 20, 0.0)]
+    states = [p["stateOperators"][0] for p in q.recentProgress if p["stateOperators"]]
+    assert states[-1]["numRowsTotal"] == 1  # c alone
+    q = r.drop(_run_rows("a", t0, range(20, 40)))  # a whole run, later than the watermark: dropped
+    assert sum(p["stateOperators"][0]["numRowsDroppedByWatermark"] for p in q.recentProgress if p["stateOperators"]) >= 20
+    r.run()  # restart without new rows
+    assert r.done() == [("a", 20, 0.0)]
+    r.drop(_run_rows("c", t0 + timedelta(days=1), range(7, 20)))
+    SR.clock_row(spark, spark.createDataFrame([], RUN_SCHEMA).schema, "ts", t0 + timedelta(days=2)).write.parquet(f"{tmp_dir}/src/clock")
+    q = r.run()
+    assert r.done() == [("a", 20, 0.0), ("c", 20, 0.0)]
+    assert [p["stateOperators"][0]["numRowsTotal"] for p in q.recentProgress if p["stateOperators"]][-1] == 0
+
+
+def test_two_runs_of_a_part_and_overlong_runs(spark, tmp_dir):
+    from datetime import datetime, timedelta
+    t0 = datetime(2024, 1, 1)
+    r = _Runs(spark, tmp_dir)
+    r.drop(_run_rows("a", t0, range(20)) + _run_rows("a", t0 + timedelta(hours=9), range(100, 119)) + _run_rows("long", t0, range(500)))
+    r.drop(_run_rows("long", t0, range(500, 501)) + _run_rows("z", t0 + timedelta(days=3), range(20)))
+    assert r.done() == [("a", 20, 0.0), ("a", 20, 100.0)]  # the second padded to 20; the overlong run is no run
+
+
+def test_merge_runs():
+    from seqflow.streaming.runs import merge_runs
+    x, y, z = (0, 10, 2, [b"x"]), (30, 40, 3, [b"y"]), (15, 25, 1, [b"z"])
+    assert merge_runs([y, x], 5, None) == [x, y]
+    assert merge_runs([x, y, z], 5, None) == [(0, 40, 6, [b"x", b"z", b"y"])]
+    assert merge_runs([x, y, z], 5, 4) == [(0, 40, 6, [])]
+    assert merge_runs([x, (10, 10, 1, [b"t"])], 0, None) == [(0, 10, 3, [b"x", b"t"])]
