@@ -182,8 +182,8 @@ _T_SQL = f"SELECT CAST(coalesce(max(subpart_index), 0) AS INTEGER) FROM ({O.inde
           f"SELECT part_number, subpart_no, subpart_index, l_orderkey, round(first_param, 6) AS first_param "
           f"FROM ({O.padded_clean(O.indexed(O.measure()), _T_SQL)})")
 def q_pad_last(spark, sf_dir):
-    df = P.add_subpart_index(FX.measurements(spark, sf_dir), FX.MEASUREMENT_ORDER)
-    out = P.pad_to_length(df, P.max_sequence_length(FX.measurements(spark, sf_dir)))
+    df = P.add_subpart_index(FX.measurements(spark, sf_dir), FX.MEASUREMENT_ORDER, skew_safe=True)
+    out = P.pad_to_length(df, P.max_sequence_length(FX.measurements(spark, sf_dir)), skew_safe=True)
     return rounded(out.select("part_number", "subpart_no", "subpart_index", "l_orderkey", "first_param"))
 
 
@@ -200,8 +200,8 @@ def q_pad_last(spark, sf_dir):
           "FROM j WINDOW w AS (PARTITION BY part_number, subpart_no ORDER BY subpart_index "
           "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)")
 def q_align_ffill(spark, sf_dir):
-    df = P.add_subpart_index(FX.measurements(spark, sf_dir), FX.MEASUREMENT_ORDER)
-    out = P.align_to_grid(df, P.max_sequence_length(df), ["first_param", "machine_position"])
+    df = P.add_subpart_index(FX.measurements(spark, sf_dir), FX.MEASUREMENT_ORDER, skew_safe=True)
+    out = P.align_to_grid(df, P.max_sequence_length(df), ["first_param", "machine_position"], skew_safe=True)
     return rounded(out)
 
 
@@ -209,8 +209,9 @@ def q_align_ffill(spark, sf_dir):
           f"SELECT part_number, subpart_no, subpart_index, part_index FROM "
           f"({O.part_indexed(O.padded_clean(O.indexed(O.measure()), _T_SQL))})")
 def q_part_index(spark, sf_dir):
-    df = P.add_subpart_index(FX.measurements(spark, sf_dir), FX.MEASUREMENT_ORDER)
-    out = P.add_part_index(P.pad_to_length(df, P.max_sequence_length(FX.measurements(spark, sf_dir))))
+    df = P.add_subpart_index(FX.measurements(spark, sf_dir), FX.MEASUREMENT_ORDER, skew_safe=True)
+    padded = P.pad_to_length(df, P.max_sequence_length(FX.measurements(spark, sf_dir)), skew_safe=True)
+    out = P.add_part_index(padded, skew_safe=True)
     return out.select("part_number", "subpart_no", "subpart_index", "part_index")
 
 
@@ -271,8 +272,8 @@ def q_event_features(spark, sf_dir):
               f"OVER (PARTITION BY part_number) + 1e-9), 6) AS relative_{s}" for s in O.SIGNALS)
           + f" FROM ({O.indexed(O.measure())})")
 def q_relative(spark, sf_dir):
-    df = P.add_subpart_index(FX.measurements(spark, sf_dir), FX.MEASUREMENT_ORDER)
-    df = FE.add_relative_features(df, 75, 125)
+    df = P.add_subpart_index(FX.measurements(spark, sf_dir), FX.MEASUREMENT_ORDER, skew_safe=True)
+    df = FE.add_relative_features(df, 75, 125, skew_safe=True)
     return rounded(df.select("part_number", "l_orderkey", "l_partkey", *[f"relative_{s}" for s in O.SIGNALS]))
 
 
@@ -487,6 +488,20 @@ def q_resample(spark, sf_dir):
     return out.select("part_number", "subpart_no", "subpart_label", F.col("copy").cast("long").alias("copy"))
 
 
+_DRAWS = 1001
+
+
+@register("resample_exact", f"""WITH g AS ({O.groups_of(_PREP)}), w AS (SELECT *, 1.0::DOUBLE / count(*) OVER (PARTITION BY subpart_label) AS w FROM g),
+u AS (SELECT *, CAST(floor(w / (SELECT max(w) FROM w) * {1 << 44}.0::DOUBLE) AS HUGEINT) AS u FROM w),
+c AS (SELECT *, CAST(sum(u) OVER (ORDER BY subpart_label NULLS FIRST, {O.md5_key()}, part_number, subpart_no) AS HUGEINT) AS c, CAST(sum(u) OVER () AS HUGEINT) AS t FROM u)
+SELECT part_number, subpart_no, subpart_label, CAST(copies AS BIGINT) AS copies FROM (
+  SELECT *, (2 * {_DRAWS} * c + t) // (2 * t) - (2 * {_DRAWS} * (c - u) + t) // (2 * t) AS copies FROM c) WHERE copies > 0""")
+def q_resample_exact(spark, sf_dir):
+    """Exactly 1,001 class-balanced draws with replacement: how often each group is drawn."""
+    out = SQ.resample_exact(_prepared_groups(spark, sf_dir), ["part_number", "subpart_no"], _DRAWS)
+    return out.groupBy("part_number", "subpart_no", "subpart_label").agg(F.count(F.lit(1)).alias("copies"))
+
+
 # ---------------------------------------------------------------- scaling
 
 def _scaler_sql(src: str, feats) -> str:

@@ -223,15 +223,17 @@ def add_relative_features(
     feature_list: Sequence[str] = SIGNALS,
     part: str = PART,
     index: str = INDEX,
+    skew_safe: bool = False,
 ) -> DataFrame:
     """Ops 33 + 34 + 55: relative_f = f / (median setpoint of f in the part + 1e-9).
 
     The setpoint is the exact median of f over rows with start <= index <= end in the
     part: an aggregate over these rows only, joined back (AQE broadcasts it or splits a hot
-    part); parts without rows in range get NULL.
+    part); parts without rows in range get NULL. `skew_safe=True` selects the medians by rank, for parts of any size.
     """
     require(df, part, index, *feature_list)
-    points = median_setpoints(df, start_index, end_index, feature_list, part, index)
+    medians = median_setpoints_by_rank if skew_safe else median_setpoints
+    points = medians(df, start_index, end_index, feature_list, part, index)
     points = points.select(F.col(part).alias("__sf_part"), *[F.col(f"{f}_setpoint").alias(f"__sf_{f}_setpoint") for f in feature_list])
     out = df.join(points, F.col(part).eqNullSafe(F.col("__sf_part")), "left")
     rel = [(F.col(f) / (F.col(f"__sf_{f}_setpoint") + F.lit(1e-9))).alias(f"relative_{f}") for f in feature_list]
@@ -252,6 +254,32 @@ def median_setpoints(
         *[F.median(F.col(f).cast("double")).alias(f"{f}_setpoint") for f in feature_list])
 
 
+def median_setpoints_by_rank(
+    df: DataFrame,
+    start_index: int = 75,
+    end_index: int = 125,
+    feature_list: Sequence[str] = SIGNALS,
+    part: str = PART,
+    index: str = INDEX,
+) -> DataFrame:
+    """`median_setpoints` for parts of any size. The values of all features are sorted into ranges and numbered per
+    (part, feature) by `ordered_index`; the one or two in the middle are picked. A median aggregate keeps all
+    distinct values of a part in one buffer."""
+    from seqflow.operators.ordering import ordered_index
+    require(df, part, index, *feature_list)
+    pairs = F.array(*[F.struct(F.lit(f).alias("f"), F.col(f).cast("double").alias("v")) for f in feature_list])
+    inside = df.where(F.col(index).between(start_index, end_index))
+    values = inside.select(F.col(part), F.explode(pairs).alias("x")).select(part, F.col("x.f").alias("__sf_f"), F.col("x.v").alias("__sf_v"))
+    ranked = ordered_index(values.where(F.col("__sf_v").isNotNull()), ["__sf_v"], [part, "__sf_f"], name="__sf_r")
+    sizes = ranked.groupBy(F.col(part).alias("__sf_p"), F.col("__sf_f").alias("__sf_g")).agg(F.max("__sf_r").alias("__sf_n"))
+    n, r = F.col("__sf_n"), F.col("__sf_r")
+    middle = ranked.join(sizes, F.col(part).eqNullSafe(F.col("__sf_p")) & (F.col("__sf_f") == F.col("__sf_g")))
+    middle = middle.where((r == F.floor((n + 1) / 2)) | (r == F.floor((n + 2) / 2)))
+    parts = inside.select(part).distinct()  # also those whose values are all NULL
+    found = middle.groupBy(F.col(part).alias("__sf_p")).agg(*[F.avg(F.when(F.col("__sf_f") == f, F.col("__sf_v"))).alias(f"{f}_setpoint") for f in feature_list])
+    return parts.join(found, F.col(part).eqNullSafe(F.col("__sf_p")), "left").select(part, *[f"{f}_setpoint" for f in feature_list])
+
+
 # Column types of the engineered schema; other names default to DOUBLE.
 TYPE_OVERRIDES = {
     "row_index": T.DoubleType(),

@@ -41,6 +41,20 @@ def ordered_index(
     (partition id, key), which still spreads a hot key over all its partitions.
     """
     keys = list(partition_by)
+    ranged = _ranged(df, order_by, keys, num_partitions)
+    stats = ranged.groupBy(_PID, *keys).agg(F.count(F.lit(1)).alias(_CNT), F.min(_POS).alias(_FIRST))
+    w = Window.partitionBy(*keys).orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = stats.select(_PID, *keys, _FIRST, F.coalesce(F.sum(_CNT).over(w), F.lit(0)).alias(_OFF))
+    if bounded_keys or not keys:
+        offsets = F.broadcast(offsets)
+    joined = _with_block(ranged, offsets, keys)
+    idx = F.col(f"__sf_o.{_OFF}") + F.col(f"__sf_r.{_POS}") - F.col(f"__sf_o.{_FIRST}") + 1
+    cols = [F.col(f"__sf_r.`{c}`") for c in df.columns]
+    return joined.select(*cols, idx.cast("long").alias(name))
+
+
+def _ranged(df: DataFrame, order_by: Sequence[str | Column], keys: Sequence[str], num_partitions: int | None = None) -> DataFrame:
+    """Rows sorted by (keys, order) and cut into ranges, with the range's number and the position in it."""
     # Without an explicit count the range exchange uses spark.sql.shuffle.partitions and AQE
     # may coalesce neighbouring ranges (still contiguous and ordered); size the shuffle
     # partitions to the data, or pass num_partitions.
@@ -52,26 +66,61 @@ def ordered_index(
         # monotonically_increasing_id = (partition << 33) + position in partition
         .withColumn(_POS, F.monotonically_increasing_id() - F.shiftleft(F.col(_PID).cast("long"), 33))
     )
-    # The partition id and position must be the same values in both branches below.
-    # Two executions of a range exchange may cut ranges differently (column pruning can
-    # stop exchange reuse), so the numbered rows are written once (reliable checkpoint in
-    # the shared `spark.checkpoint.dir`) and both branches read them.
+    # The partition id and position must be the same values in all uses. Two executions of a
+    # range exchange may cut ranges differently (column pruning can stop exchange reuse), so the
+    # numbered rows are written once (reliable checkpoint in the shared `spark.checkpoint.dir`).
     checkpoint_dir(df.sparkSession)
-    ranged = ranged.checkpoint(eager=True)
-    stats = ranged.groupBy(_PID, *keys).agg(F.count(F.lit(1)).alias(_CNT), F.min(_POS).alias(_FIRST))
-    w = Window.partitionBy(*keys).orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = stats.select(_PID, *keys, _FIRST, F.coalesce(F.sum(_CNT).over(w), F.lit(0)).alias(_OFF))
-    if bounded_keys or not keys:
-        offsets = F.broadcast(offsets)
-    o = offsets.alias("__sf_o")
-    r = ranged.alias("__sf_r")
+    return ranged.checkpoint(eager=True)
+
+
+def _with_block(ranged: DataFrame, blocks: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows (`__sf_r`) joined with the row of their (range, keys) in `blocks` (`__sf_o`)."""
+    r, o = ranged.alias("__sf_r"), blocks.alias("__sf_o")
     cond = F.col(f"__sf_r.{_PID}") == F.col(f"__sf_o.{_PID}")
     for k in keys:
         cond = cond & F.col(f"__sf_r.`{k}`").eqNullSafe(F.col(f"__sf_o.`{k}`"))
-    joined = r.join(o, cond, "inner")
-    idx = F.col(f"__sf_o.{_OFF}") + F.col(f"__sf_r.{_POS}") - F.col(f"__sf_o.{_FIRST}") + 1
-    cols = [F.col(f"__sf_r.`{c}`") for c in df.columns]
-    return joined.select(*cols, idx.cast("long").alias(name))
+    return r.join(o, cond, "inner")
+
+
+def ordered_sum(df: DataFrame, value: str, order_by: Sequence[str | Column], name: str = "prefix_sum", num_partitions: int | None = None) -> DataFrame:
+    """Add `name`: the sum of `value` over all rows up to and including this one, in the given order (unique).
+
+    Running sums inside the ranges, and one offset per range from the ranges' totals. With a decimal `value` the sums
+    are exact, so neighbouring rows' sums differ by exactly the row's value."""
+    ranged = _ranged(df, order_by, [], num_partitions)
+    local = F.sum(value).over(Window.partitionBy(_PID).orderBy(_POS))
+    before = Window.orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
+    totals = ranged.groupBy(_PID).agg(F.sum(value).alias(_CNT))
+    offsets = F.broadcast(totals.select(_PID, F.coalesce(F.sum(_CNT).over(before), F.lit(0)).alias(_OFF)))  # a row per range
+    kind = df.schema[value].dataType
+    joined = _with_block(ranged.withColumn("__sf_local", local), offsets, [])
+    return joined.select(*[F.col(f"__sf_r.`{c}`") for c in df.columns], (F.col("__sf_r.__sf_local") + F.col(f"__sf_o.{_OFF}")).cast(
+        "decimal(38,0)" if kind.typeName() == "decimal" else kind).alias(name))
+
+
+def carried_fill(df: DataFrame, keys: Sequence[str], order: str, value_cols: Sequence[str], next_name: str, first_name: str) -> DataFrame:
+    """`value_cols` filled with the last value that is not NULL up to the row, in `order` inside each `keys` group of any
+    size; `next_name`: the order value of the group's next row, `first_name`: of its first.
+
+    Fill and successor are found inside (range, keys) blocks; what a block takes over from those before it (its carry)
+    and the first order value after it come from a table of one row per block."""
+    keys = list(keys)
+    ranged = _ranged(df, [order, *[c for c in value_cols if c != order]], keys)
+    w = Window.partitionBy(_PID, *keys).orderBy(_POS)
+    upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    local = ranged.select("*", F.lead(order).over(w).alias("__sf_local_next"),
+                          *[F.last(F.col(c), ignorenulls=True).over(upto).alias(f"__sf_fill_{i}") for i, c in enumerate(value_cols)])
+    blocks = ranged.groupBy(_PID, *keys).agg(F.min(order).alias("__sf_lo"), *[
+        F.max_by(F.col(c), F.when(F.col(c).isNotNull(), F.col(_POS))).alias(f"__sf_last_{i}") for i, c in enumerate(value_cols)])
+    g = Window.partitionBy(*keys).orderBy(_PID)
+    earlier, whole = g.rowsBetween(Window.unboundedPreceding, -1), g.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    blocks = blocks.select(_PID, *keys, F.lead("__sf_lo").over(g).alias("__sf_after"), F.min("__sf_lo").over(whole).alias("__sf_begin"),
+                           *[F.last(F.col(f"__sf_last_{i}"), ignorenulls=True).over(earlier).alias(f"__sf_carry_{i}") for i in range(len(value_cols))])
+    joined = _with_block(local, blocks, keys)
+    cols = [F.coalesce(F.col(f"__sf_r.__sf_fill_{value_cols.index(c)}"), F.col(f"__sf_o.__sf_carry_{value_cols.index(c)}")).alias(c)
+            if c in value_cols else F.col(f"__sf_r.`{c}`") for c in df.columns]
+    return joined.select(*cols, F.coalesce(F.col("__sf_r.__sf_local_next"), F.col("__sf_o.__sf_after")).alias(next_name),
+                         F.col("__sf_o.__sf_begin").alias(first_name))
 
 
 def add_row_index(

@@ -152,12 +152,14 @@ def pad_to_length(
     target_len: int | Column,
     keys: Sequence[str] = (PART, SUBPART),
     index: str = INDEX,
+    skew_safe: bool = False,
 ) -> DataFrame:
     """Op 61: sequences shorter than T get rows max_idx+1..T copying the last row.
 
     One pass: the last row of a short group explodes into sequence(idx, T); every other
     column is copied as is (NULLs too). Longer groups are untouched; NULL keys dropped.
-    `target_len` may be a literal or a scalar-subquery column (see `column_max`).
+    `target_len` may be a literal or a scalar-subquery column (see `column_max`). `skew_safe=True`, for groups of
+    any size: count and last index come from a pre-aggregated table that is joined back, not from a window.
     """
     keys = list(keys)
     require(df, index, *keys)
@@ -173,7 +175,12 @@ def pad_to_length(
         cond = F.col(k).isNotNull()
         not_null = cond if not_null is None else not_null & cond
     # T is referenced through one column, so a scalar subquery runs once
-    staged = df.where(not_null).select(*cols, n.alias("__sf_n"), last.alias("__sf_last"), t.cast("int").alias("__sf_t"))
+    kept = df.where(not_null)
+    if skew_safe:
+        counts = kept.groupBy(*keys).agg(F.count(F.lit(1)).alias("__sf_n"), F.max(idx).alias("__sf_last"))
+        staged = kept.join(counts, keys).select(*cols, "__sf_n", "__sf_last", t.cast("int").alias("__sf_t"))
+    else:
+        staged = kept.select(*cols, n.alias("__sf_n"), last.alias("__sf_last"), t.cast("int").alias("__sf_t"))
     i, tc = idx.cast("int"), F.col("__sf_t")
     grow = (idx == F.col("__sf_last")) & (F.col("__sf_n") < tc) & (i < tc)
     steps = F.when(grow, F.sequence(i, tc)).otherwise(F.array(i))
@@ -188,12 +195,14 @@ def align_to_grid(
     value_cols: Sequence[str],
     keys: Sequence[str] = (PART, SUBPART),
     index: str = INDEX,
+    skew_safe: bool = False,
 ) -> DataFrame:
     """Op 62: reindex each observed group onto 1..T (truncating longer groups),
     forward-fill the last non-missing value, numeric columns still missing -> 0.
 
     Built per group without a join: every row explodes to the grid slots it owns
-    (its index up to the next observed index, or T), carrying its values.
+    (its index up to the next observed index, or T), carrying its values. `skew_safe=True`, for groups of any size: no
+    window holds a whole group, the last values are carried from block to block (`ordering.carried_fill`).
     """
     keys = list(keys)
     require(df, index, *keys, *value_cols)
@@ -204,8 +213,13 @@ def align_to_grid(
     nxt = F.lead(i).over(w)
     first = F.min(i).over(w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
     filled = [F.last(F.col(c), ignorenulls=True).over(wf).alias(c) for c in value_cols]
-    staged = df.where(F.col(index).isNotNull()).select(
-        *keys, i.alias("__sf_i"), nxt.alias("__sf_next"), first.alias("__sf_first"), *filled)
+    if skew_safe:
+        from seqflow.operators.ordering import carried_fill
+        rows = df.where(F.col(index).isNotNull()).select(*keys, i.alias("__sf_i"), *value_cols)
+        staged = carried_fill(rows, keys, "__sf_i", list(value_cols), "__sf_next", "__sf_first")
+    else:
+        staged = df.where(F.col(index).isNotNull()).select(
+            *keys, i.alias("__sf_i"), nxt.alias("__sf_next"), first.alias("__sf_first"), *filled)
     # slots before the first observed index stay empty (-> 0); slots >= next belong to the next row
     start = F.when(F.col("__sf_i") == F.col("__sf_first"), F.least(F.lit(1), F.col("__sf_i"))).otherwise(
         F.col("__sf_i"))

@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from seqflow.operators.ordering import ordered_index
+from seqflow.operators.ordering import ordered_index, ordered_sum
 from seqflow.operators.prepare import LABEL, PART, PART_INDEX, SUBPART, require
 
 CHUNK, STEP, GROUP_ID = "chunk", "step", "group_id"
@@ -184,3 +184,50 @@ def resample_balanced(
     copies = (F.floor(e) + F.when(uniform(keys, seed) < (e - F.floor(e)), 1).otherwise(0)).cast("int")
     out = w.withColumn("__sf_copies", copies).where(F.col("__sf_copies") > 0).drop("__sf_cnt")
     return out.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("__sf_copies")))).drop("__sf_copies")
+
+
+WEIGHT_UNITS = 1 << 44  # units of the largest weight; rows * draws may be up to 10**38 / 2**45
+
+
+def resample_exact(
+    df: DataFrame,
+    keys: Sequence[str],
+    num_samples: int,
+    label: str | None = LABEL,
+    weight: str | None = None,
+    seed: int = 42,
+) -> DataFrame:
+    """Op 66 with exactly `num_samples` draws: systematic sampling with replacement.
+
+    The rows, in the order of their label and then of a seeded hash of their unique `keys`, lie on a line, each as long as its
+    weight (default: one over its class's rows); draws are N equally spaced points, and a row is copied once for each
+    point that falls on it. Copies sum to N for any N, a row gets its expected number up to one more or less, and so does a
+    class. The line is a distributed prefix sum in whole units (`ordered_sum`), so no point is lost or counted twice
+    between tasks. Weights that are NULL, NaN or not positive give no copies; adds `copy` = 1..copies.
+    """
+    keys = list(keys)
+    n = int(num_samples)
+    require(df, *keys, *([label] if label else []), *([weight] if weight else []))
+    if n < 0:
+        raise ValueError("num_samples must not be negative")
+    if weight is None:
+        if label is None:
+            raise ValueError("a label or a weight is needed")
+        df_w = class_weights(df, label, "__sf_w")
+    else:
+        df_w = df.withColumn("__sf_w", F.col(weight).cast("double"))
+    w = F.col("__sf_w")
+    df_w = df_w.withColumn("__sf_w", F.when(~F.isnan(w) & (w > 0), w).otherwise(F.lit(0.0)))
+    top = df_w.select(F.max("__sf_w")).scalar()
+    units = F.coalesce(F.floor(w / F.when(top > 0, top) * F.lit(float(WEIGHT_UNITS))), F.lit(0)).cast("decimal(38,0)")
+    line = df_w.withColumn("__sf_u", units).withColumn("__sf_h", group_hash(keys, seed))
+    summed = ordered_sum(line, "__sf_u", [*([label] if label else []), "__sf_h", *keys], "__sf_c")
+    total = summed.select(F.max("__sf_c")).scalar()
+    # points lie at (k + 1/2) * total / N; (2 * N * x + total) div (2 * total) of them lie before x
+    c, u, t = F.col("__sf_c"), F.col("__sf_u"), F.col("__sf_t")
+    two_n = F.lit(2 * n).cast("decimal(38,0)")
+    staged = summed.withColumn("__sf_t", total)
+    staged = staged.withColumn("__sf_a", (two_n * (c - u) + t).cast("decimal(38,0)")).withColumn("__sf_b", (two_n * c + t).cast("decimal(38,0)"))
+    copies = F.when(t > 0, F.expr("(__sf_b div (2 * __sf_t)) - (__sf_a div (2 * __sf_t))")).otherwise(F.lit(0))
+    out = staged.withColumn("copy", F.explode(F.when(copies > 0, F.sequence(F.lit(1), copies.cast("int"))).otherwise(F.array().cast("array<int>"))))
+    return out.select(*df.columns, "copy")
