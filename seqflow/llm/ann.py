@@ -2,18 +2,20 @@
 
 Centroids are fitted by balanced bisection on a bounded sample and linked in a neighbour graph that fits in
 memory. Every vector goes to the list of its nearest centroid and, near a boundary, to those of further
-centroids within (1 + `closure`) times that distance. A query goes to its nearest centroids, by a walk of the
-graph where these are few, and is compared with their lists. How many lists that are is measured for each input: a
-seeded set of `trials` queries is compared with all rows, and the least number is taken that holds the share
-`recall` of their true neighbours. It grows with the index as the vectors need. A caller may set `probes` instead: then
-lists within (1 + `ratio`) times the least distance count, at most so many. Both look in enough lists for k results.
+centroids within (1 + `closure`) times that distance. A query walks the graph to its nearest centroids and is compared with the lists of those whose
+distance is at most (1 + ratio) times the least one, `probes` lists at most; a walk that ends inside that distance is taken up
+again with twice the width. Both limits are measured for each input: a seeded set of `trials` queries is compared with all
+rows, and the least ratio and the least number of lists are taken that together hold the share `recall` of their true
+neighbours; they grow with the index as the vectors need. A caller may set either instead. A query always looks in
+enough lists for k results.
 Nearness is the inner product: vectors get one more coordinate that makes all norms equal, in which the
 largest inner product is the least distance; the scores are those of the original vectors, in doubles.
 
 Scale: the index has at most `max_lists` centroids, whatever the input; all rows are indexed. Equal vectors
 are one entry with its k + 1 smallest ids, which is all that a result can need. Lists, and the queries at a
-list, are cut into chunks of `chunk` rows that meet pairwise, so a crowded list is spread over tasks. The best
-k are taken per chunk before they are shuffled.
+list, are cut into chunks of `chunk` rows that meet pairwise, so a crowded list is spread over tasks. First a query
+meets the nearest lists that hold k results; in the others only scores not below its k-th one so far count. A
+pair of chunks gives one row for each query with such scores, holding the best k.
 
 Defined cases: vectors that are null, zero, hold null or non-finite parts or are of another length than most
 take no part, nor do null ids; of rows that share an id, the least vector counts; ties go to the smaller id;
@@ -146,13 +148,35 @@ def lists_needed(order: np.ndarray, held_in: np.ndarray, recall: float) -> int:
     return int(need[min(len(need) - 1, max(0, int(np.ceil(recall * len(need))) - 1))])
 
 
+def ratio_needed(d: np.ndarray, held_in: np.ndarray, recall: float) -> float:
+    """Least ratio that holds the share `recall` of neighbours. d: for each neighbour, its query's distances from all
+    lists; held_in: whether the neighbour is in a list."""
+    need = np.sort((np.where(held_in, d, np.inf).min(axis=1) / d.min(axis=1)) - 1)
+    return float(need[min(len(need) - 1, max(0, int(np.ceil(recall * len(need))) - 1))]) + 1e-6
+
+
+def lists_within(q: np.ndarray, c: np.ndarray, near: np.ndarray, entry: np.ndarray, ratio: float, width: int,
+                 most: int) -> tuple[np.ndarray, np.ndarray]:
+    """(centroids, distances) as `graph_search`, wide enough for `most` that it finds within (1 + ratio) of the least distance."""
+    ids, d = graph_search(q, c, near, entry, width) if len(c) > width else nearest(q, c)
+    d = np.sqrt(d)
+    more = np.flatnonzero(d[:, -1] <= (1 + ratio) * d[:, 0]) if ids.shape[1] < min(len(c), most) else []
+    if len(more):
+        wide_ids, wide_d = lists_within(q[more], c, near, entry, ratio, 2 * width, most)
+        out_ids, out_d = np.full((len(q), wide_ids.shape[1]), -1, ids.dtype), np.full((len(q), wide_ids.shape[1]), np.inf)
+        out_ids[:, :ids.shape[1]], out_d[:, :ids.shape[1]] = ids, d
+        out_ids[more], out_d[more] = wide_ids, wide_d
+        return out_ids, out_d
+    return ids, d
+
+
 def _usable(v: Column) -> Column:
     return F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists(v, lambda x: x != 0)
 
 
 def search(vectors: DataFrame, is_query: Column, *, k: int = 20, id_col: str = "vec_id", vec_col: str = "embedding",
            list_size: int = 128, max_lists: int = 4096, sample: int = 32768, degree: int = 24, replicas: int = 6,
-           closure: float = 0.1, probes: int | None = None, ratio: float | None = 0.15, chunk: int = 512, recall: float = 0.99,
+           closure: float = 0.1, probes: int | None = None, ratio: float | None = None, chunk: int = 512, recall: float = 0.99,
            trials: int = 128) -> DataFrame:
     """query_id, rank, vec_id, score: the k nearest found of each row that `is_query` (a condition on `vec_id`) selects,
     against every row but itself."""
@@ -183,8 +207,9 @@ def search(vectors: DataFrame, is_query: Column, *, k: int = 20, id_col: str = "
     centroids = balanced_centroids(lifted(_matrix(got["v"], np.float64)), lists)
     index = spark.sparkContext.broadcast((centroids, *neighbour_graph(centroids, degree)))
 
-    def choose(batches: Iterator[pa.RecordBatch], width: int, keep: int, slack: float | None, sizes=None) -> Iterator[pa.RecordBatch]:
-        """Rows with each list they are put in, or, given the lists' sizes, are looked for in."""
+    def choose(batches: Iterator[pa.RecordBatch], width: int, keep: int, slack: float, sizes=None) -> Iterator[pa.RecordBatch]:
+        """Rows with each list they are put in, or, given the lists' sizes, are looked for in; `first`: the nearest
+        lists that hold k results."""
         c, near, entry = index.value
         query = sizes is not None
         for b in batches:
@@ -194,26 +219,38 @@ def search(vectors: DataFrame, is_query: Column, *, k: int = 20, id_col: str = "
                 if query:  # only the direction of a query counts
                     x = x / np.linalg.norm(x, axis=1, keepdims=True)
                     x = np.hstack([x, np.zeros((len(x), 1))]).astype(np.float32)
+                    ids, d = lists_within(x, c, near, entry, slack, width, keep + keep // 2)
                 else:
                     x = lifted(x)
-                # a walk that takes in much of the index costs more than all distances
-                ids, d = graph_search(x, c, near, entry, width) if len(c) > 4 * width else nearest(x, c)
-                d = np.sqrt(d)
-                ok = ids >= 0
-                if slack is not None:
-                    ok &= d <= (1 + slack) * d[:, :1] + 1e-6
+                    ids, d = graph_search(x, c, near, entry, width) if len(c) > width else nearest(x, c)
+                    d = np.sqrt(d)
+                ok = (ids >= 0) & (d <= (1 + slack) * d[:, :1] + 1e-6)
                 ok[:, keep:] = False
+                first = np.zeros_like(ok)
                 if query:  # an entry is in at most `replicas` lists, so this many postings hold k + 1 entries
                     held = np.where(ids >= 0, sizes.value[ids], 0)
-                    ok |= (ids >= 0) & (np.cumsum(held, axis=1) - held < (k + 1) * replicas)
+                    first = (ids >= 0) & (np.cumsum(held, axis=1) - held < (k + 1) * replicas)
+                    short = held.sum(axis=1) < (k + 1) * replicas
+                    if short.any() and ids.shape[1] < len(c):  # the walk found too few
+                        all_ids, far = nearest(x[short], c)
+                        own = np.cumsum(sizes.value[all_ids], axis=1) - sizes.value[all_ids] < (k + 1) * replicas
+                        r, p = np.nonzero(own | (far <= (1 + slack) ** 2 * far[:, :1]))
+                        yield named(all_ids[r, p], np.flatnonzero(short)[r], own[r, p], part)
+                        ok[short], first[short] = False, False
+                    ok |= first
                 r, p = np.nonzero(ok)
-                yield pa.RecordBatch.from_arrays([pa.array(ids[r, p].astype(np.int32)), part.column("rep").take(pa.array(r)), part.column("v").take(pa.array(r))], names=["list", "rep", "v"])
+                yield named(ids[r, p], r, first[r, p], part)
+
+    def named(lists: np.ndarray, r: np.ndarray, first: np.ndarray, part: pa.RecordBatch) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(lists.astype(np.int32)), part.column("rep").take(pa.array(r)), part.column("v").take(pa.array(r)), pa.array(first)],
+                                          names=["list", "rep", "v", "first"])
 
-    def measured_probes(asked: DataFrame) -> int:
-        """The number of lists that the trial queries need, from their k nearest by comparison with all entries."""
+    def measured(asked: DataFrame) -> tuple[int, float]:
+        """The number of lists and the ratio that the trial queries need, from their k nearest by comparison with all
+        entries. Each may lose half of what `recall` leaves."""
         t = hash_sample(asked, ["rep"], trials, asked.count(), "ann-trials").toArrow()
         if not t.num_rows:
-            return 1
+            return 1, 0.0
         own, q = t["rep"].to_numpy(), _matrix(t["v"], np.float64)
         trial = spark.sparkContext.broadcast((own, q))
 
@@ -233,16 +270,17 @@ def search(vectors: DataFrame, is_query: Column, *, k: int = 20, id_col: str = "
         pairs = F.broadcast(best)  # at most trials * k rows
         got = posted.join(pairs, "rep").groupBy("trial", "rep").agg(F.collect_list("list").alias("lists")).collect()
         if not got:
-            return 1
+            return 1, 0.0
         x = np.hstack([q / np.linalg.norm(q, axis=1, keepdims=True), np.zeros((len(q), 1))]).astype(np.float32)
-        order = nearest(x, centroids)[0][[r["trial"] for r in got]]
+        d = np.sqrt(squared(x, centroids))[[r["trial"] for r in got]]
         held_in = np.zeros((len(got), lists), bool)
         for i, r in enumerate(got):
             held_in[i, r["lists"]] = True
-        return lists_needed(order, held_in, recall)
+        each = (1 + recall) / 2
+        return lists_needed(np.argsort(d, axis=1, kind="stable"), held_in, each), ratio_needed(d, held_in, each)
 
-    kind = "list int, rep long, v array<double>"
-    posted = written(reps.select("rep", "v").mapInArrow(lambda it: choose(it, max(24, 2 * replicas), replicas, closure), kind), "ann-lists", batch_rows=4096)
+    kind = "list int, rep long, v array<double>, first boolean"
+    posted = written(reps.select("rep", "v").mapInArrow(lambda it: choose(it, max(24, 2 * replicas), replicas, closure), kind).drop("first"), "ann-lists", batch_rows=4096)
     count = np.zeros(lists, np.int64)
     for r in posted.groupBy("list").count().collect():  # at most max_lists rows
         count[r["list"]] = r["count"]
@@ -251,33 +289,49 @@ def search(vectors: DataFrame, is_query: Column, *, k: int = 20, id_col: str = "
     wanted = written(wanted, "ann-queries")
     asked = reps.select("rep", "v").join(wanted.select("rep").distinct(), "rep", "left_semi")
     asked = written(asked, "ann-asked")
-    if probes is None:
-        probes, ratio = measured_probes(asked), None
-    asked = written(asked.mapInArrow(lambda it: choose(it, probes + probes // 2, probes, ratio, held), kind), "ann-probes", batch_rows=4096)
-
-    # chunks of a list times chunks of the queries at it
-    sizes = posted.groupBy("list").agg(F.ceil(F.count(F.lit(1)) / chunk).cast("int").alias("np"))
-    calls = asked.groupBy("list").agg(F.ceil(F.count(F.lit(1)) / chunk).cast("int").alias("nq"))
-    grid = F.broadcast(written(sizes.join(calls, "list"), "ann-grid"))  # a row per list: at most max_lists
-    left = posted.join(grid, "list").withColumn("p", F.pmod(F.xxhash64("rep"), "np").cast("int"))
-    left = left.select("list", "p", F.explode(F.sequence(F.lit(0), F.col("nq") - 1)).alias("q"), "rep", "v")
-    right = asked.join(grid, "list").withColumn("q", F.pmod(F.xxhash64("rep"), "nq").cast("int"))
-    right = right.select("list", F.explode(F.sequence(F.lit(0), F.col("np") - 1)).alias("p"), "q", "rep", "v")
+    if probes is None or ratio is None:
+        most, slack = measured(asked)
+        probes, ratio = most if probes is None else probes, slack if ratio is None else ratio
+    asked = written(asked.mapInArrow(lambda it: choose(it, 32, probes, ratio, held), kind), "ann-probes", batch_rows=4096)
 
     def compare(a: pa.Table, b: pa.Table) -> pa.Table:
-        names = ["query", "rep", "score"]
+        """A row for each query with scores not below its bound: the best k + 1, highest first."""
         if not a.num_rows or not b.num_rows:
-            return pa.table([pa.array([], pa.int64()), pa.array([], pa.int64()), pa.array([], pa.float64())], names=names)
-        a = a.sort_by("rep")
+            return best_schema.empty_table()
         x, q, ids = _matrix(a["v"], np.float64), _matrix(b["v"], np.float64), a["rep"].to_numpy()
         s = np.einsum("qd,nd->qn", q, x, optimize=False)
-        best = np.argsort(-s, axis=1, kind="stable")[:, :k + 1]
-        return pa.table([np.repeat(b["rep"].to_numpy(), best.shape[1]), ids[best].ravel(), np.take_along_axis(s, best, 1).ravel()], names=names)
-
-    found = left.groupBy("list", "p", "q").cogroup(right.groupBy("list", "p", "q")).applyInArrow(compare, "query long, rep long, score double")
-    found = found.groupBy("query", "rep").agg(F.max("score").alias("score"))
-    first = F.row_number().over(Window.partitionBy("query").orderBy(F.desc("score"), "rep"))
-    found = found.withColumn("n", first).where(F.col("n") <= k + 1).drop("n")
+        bound = b["bound"].to_numpy()
+        on = np.flatnonzero((s >= bound[:, None]).any(axis=1))
+        tops = []
+        for i in on.tolist():
+            j = np.flatnonzero(s[i] >= bound[i])
+            j = j[np.lexsort((ids[j], -s[i, j]))[:k + 1]]
+            tops.append([{"s": -v, "rep": r} for v, r in zip(s[i, j].tolist(), ids[j].tolist(), strict=True)])
+        return pa.table([b["rep"].take(pa.array(on)).combine_chunks(), pa.array(tops, best_schema.field(1).type)], schema=best_schema)
+
+    best_schema = pa.schema([("query", pa.int64()), ("top", pa.list_(pa.struct([("s", pa.float64()), ("rep", pa.int64())])))])
+
+    def met(asked: DataFrame) -> DataFrame:
+        """Chunks of a list times chunks of the queries at it."""
+        sizes = posted.groupBy("list").agg(F.ceil(F.count(F.lit(1)) / chunk).cast("int").alias("np"))
+        calls = asked.groupBy("list").agg(F.ceil(F.count(F.lit(1)) / chunk).cast("int").alias("nq"))
+        grid = F.broadcast(written(sizes.join(calls, "list"), "ann-grid"))  # a row per list: at most max_lists
+        left = posted.join(grid, "list").withColumn("p", F.pmod(F.xxhash64("rep"), "np").cast("int"))
+        left = left.select("list", "p", F.explode(F.sequence(F.lit(0), F.col("nq") - 1)).alias("q"), "rep", "v")
+        right = asked.join(grid, "list").withColumn("q", F.pmod(F.xxhash64("rep"), "nq").cast("int"))
+        right = right.select("list", F.explode(F.sequence(F.lit(0), F.col("np") - 1)).alias("p"), "q", "rep", "v", "bound")
+        return left.groupBy("list", "p", "q").cogroup(right.groupBy("list", "p", "q")).applyInArrow(compare, "query long, top array<struct<s:double,rep:long>>")
+
+    def merged(found: DataFrame) -> DataFrame:
+        """The best k + 1 of each query; an entry of several lists has the same score in each."""
+        return found.groupBy("query").agg(F.slice(F.array_distinct(F.array_sort(F.flatten(F.collect_list("top")))), 1, k + 1).alias("top"))
+
+    low = F.lit(float("-inf"))
+    near = written(merged(met(asked.where("first").withColumn("bound", low))), "ann-near")
+    bounds = near.select(F.col("query").alias("rep"), F.when(F.size("top") > k, -F.col("top")[k]["s"]).otherwise(low).alias("bound"))
+    rest = asked.where("not first").join(bounds, "rep")
+    found = merged(near.unionByName(met(written(rest, "ann-rest"))))
+    found = found.select("query", F.explode("top").alias("t")).select("query", (-F.col("t.s")).alias("score"), F.col("t.rep").alias("rep"))
     found = found.join(reps.select("rep", "members"), "rep").select("query", "score", F.explode("members").alias("vec_id"))
     found = found.groupBy("query").agg(F.slice(F.sort_array(F.collect_list(F.struct((-F.col("score")).alias("s"), "vec_id"))), 1, k + 1).alias("best"))
     out = wanted.withColumnRenamed("vec_id", "query_id").join(found, F.col("rep") == F.col("query"))

@@ -82,6 +82,44 @@ def test_lists_grow_with_what_the_vectors_need(spark):
     assert hits >= 0.98 * 20 * len(exp)
 
 
+def test_ratio_needed():
+    d = np.array([[1.0, 2, 3, 4], [4, 3, 2, 1], [2, 1, 4, 3], [3, 4, 1, 2]])
+    held = np.zeros((4, 4), bool)
+    held[0, [0, 3]] = held[1, 1] = held[2, 0] = held[3, 1] = True  # at 1, 3, 2 and 4 times the least distance
+    assert [round(ann.ratio_needed(d, held, r), 3) for r in (0.25, 0.5, 0.75, 0.99, 1.0)] == [0, 1, 2, 3, 3]
+
+
+def test_walk_widens_to_all_lists_within_the_ratio():
+    rng = np.random.default_rng(3)
+    c = rng.standard_normal((600, 8)).astype(np.float32)
+    q = rng.standard_normal((40, 8)).astype(np.float32)
+    ids, d = ann.lists_within(q, c, *ann.neighbour_graph(c, 24), 0.5, 8, 600)
+    exact = np.sqrt(ann.squared(q, c))
+    found = total = 0
+    for i in range(len(q)):
+        own = set(np.flatnonzero(exact[i] <= 1.5 * exact[i].min()).tolist())
+        got = ids[i][(ids[i] >= 0) & (d[i] <= 1.5 * d[i, 0])].tolist()
+        assert len(set(got)) == len(got) and set(got) <= own | set(got)
+        found, total = found + len(own & set(got)), total + len(own)
+    assert total > 40 * 8 and found >= 0.97 * total
+
+
+def test_default_walks_the_graph_and_prunes_by_a_ratio(spark, monkeypatch):
+    rng = np.random.default_rng(4)
+    centres = rng.standard_normal((60, 16))
+    x = (centres[rng.integers(0, 60, 3000)] + 0.3 * rng.standard_normal((3000, 16))).astype(np.float32).astype(float)
+    rows, ratios = {i: x[i].tolist() for i in range(3000)}, []
+    real = ann.ratio_needed
+    monkeypatch.setattr(ann, "ratio_needed", lambda d, held, recall: ratios.append((real(d, held, recall), d)) or ratios[-1][0])
+    exp = brute(rows, [i for i in rows if i % 20 == 0], 20)
+    got = search(spark, list(rows.items()), list_size=8)
+    hits = sum(len({v for _, v, _ in got[q]} & {v for v, _ in e}) for q, e in exp.items())
+    assert hits >= 0.97 * 20 * len(exp)
+    (ratio, d), = ratios
+    within = (d <= (1 + ratio) * d.min(axis=1, keepdims=True)).sum(axis=1)
+    assert d.shape[1] > 256 and within.mean() < 0.5 * d.shape[1]  # more lists than the walk is wide, and most are left out
+
+
 def test_lists_needed():
     order = np.array([[0, 1, 2, 3], [3, 2, 1, 0], [1, 0, 3, 2], [2, 3, 0, 1]])
     held = np.zeros((4, 4), bool)
