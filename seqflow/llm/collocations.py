@@ -36,10 +36,10 @@ from pyspark.sql import functions as F
 from seqflow.llm.common import short_batches, written
 
 DEPTH = 4  # words of the longest phrase
-CHUNK_BYTES, HELD_CHUNKS = 6 << 20, 4
+CHUNK_BYTES, HELD_CHUNKS = 6 << 20, 3
 BITS = 1 << 22
 CHUNK = "lang string, words array<string>, counts array<long>, codes binary, n long"
-PART = "group int, lang string, words binary, data binary"
+PART = "group int, lang string, size int, data binary"
 NODE = "lang string, phrase string, size int, f long"
 STOP = "."  # stands for every sign that ends a piece, so no word holds it
 LISTS = pa.schema([("lang", pa.string()), ("words", pa.list_(pa.string())), ("counts", pa.list_(pa.int64())), ("codes", pa.binary()), ("n", pa.int64())])
@@ -79,6 +79,7 @@ def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     most = max(size, key=size.get)
                     del size[most]
                     yield _coded(most, held.pop(most))
+                    pa.default_memory_pool().release_unused()
     for lang in held:
         yield _coded(lang, held[lang])
 
@@ -120,10 +121,11 @@ class Suffixes:
         self.lang, tag = lang, lang.encode() + b"\0"
         at = np.fromiter((zlib.crc32(tag + w.encode()) for w in words), np.int64, len(words)) % BITS
         kept = np.flatnonzero(bits[at // 32] >> (at % 32).astype(np.uint32) & 1)
+        kept = np.array(sorted(kept.tolist(), key=words.__getitem__), np.int64)  # neighbours share beginnings and compress well
         self.words = [STOP] + [words[i] for i in kept.tolist()]
-        number = np.zeros(len(words) + 1, np.int64)
+        number = np.zeros(len(words) + 1, np.int32)
         number[kept + 1] = np.arange(1, len(kept) + 1)
-        codes = np.concatenate((number[np.frombuffer(codes, "<u4")], np.zeros(DEPTH, np.int64)))
+        codes = np.concatenate((number[np.frombuffer(codes, "<u4")], np.zeros(DEPTH, np.int32)))
         n = len(codes) - DEPTH
         levels = [codes[:n]]
         for d in range(1, DEPTH):
@@ -136,17 +138,19 @@ class Suffixes:
     def count(self) -> tuple[list[np.ndarray], np.ndarray]:
         """Distinct suffixes, sorted, and how often each occurs."""
         b = self.base
-        first, rest = self.at[0] * b + self.at[1], self.at[2] * b + self.at[3]
+        first, rest = (self.at[d].astype(np.int64) * b + self.at[d + 1] for d in (0, 2))
         known = None
         if b ** DEPTH >= 1 << 63:
             known, first = np.unique(first, return_inverse=True)
-        keys = np.sort(first * (b * b) + rest)
+        keys = first * (b * b) + rest
+        del first, rest
+        keys.sort()
         ends = np.flatnonzero(np.concatenate((keys[1:] != keys[:-1], [True]))) if len(keys) else np.zeros(0, np.int64)
         keys, counts = keys[ends], np.diff(np.concatenate(([-1], ends)))
         first, rest = keys // (b * b), keys % (b * b)
         if known is not None:
             first = known[first]
-        return [first // b, first % b, rest // b, rest % b], counts
+        return [w.astype(np.int32) for w in (first // b, first % b, rest // b, rest % b)], counts.astype(np.int32)
 
     def matched(self, at: list[np.ndarray]) -> Iterator[np.ndarray]:
         """For depth 1, 2, ...: the number of each suffix's listed prefix of so many words, -1 without."""
@@ -195,8 +199,8 @@ def _planes(a: np.ndarray) -> bytes:
 
 def _parts(batches: Iterator[pa.RecordBatch], bits: bytes, listed: Listed, groups: int) -> Iterator[pa.RecordBatch]:
     """A row per group and chunk: the chunk's suffixes whose prefix belongs to the group, with their counts."""
-    table, pack = np.frombuffer(bits, "<u4"), zstandard.ZstdCompressor(level=1)
-    schema = pa.schema([("group", pa.int32()), ("lang", pa.string()), ("words", pa.binary()), ("data", pa.binary())])
+    table, pack = np.frombuffer(bits, "<u4"), zstandard.ZstdCompressor(level=3)
+    schema = pa.schema([("group", pa.int32()), ("lang", pa.string()), ("size", pa.int32()), ("data", pa.binary())])
     for batch in batches:
         for s in _suffixes(batch, table, listed):
             at, counts = s.count()
@@ -223,9 +227,9 @@ def _parts(batches: Iterator[pa.RecordBatch], bits: bytes, listed: Listed, group
                     used[w[a:b]] = True
                 used[0] = False
                 number = np.cumsum(used) * used
-                data = b"".join([_planes(number[w[a:b]]) for w in at] + [_planes(counts[a:b]), depth[a:b].tobytes()])
                 words = STOP.join([s.words[i] for i in np.flatnonzero(used).tolist()]).encode()
-                for column, x in zip(rows, (int(group[a]), s.lang, words, pack.compress(data)), strict=True):
+                data = b"".join([_planes(number[w[a:b]]) for w in at] + [_planes(counts[a:b]), depth[a:b].tobytes(), words])
+                for column, x in zip(rows, (int(group[a]), s.lang, b - a, pack.compress(data)), strict=True):
                     column.append(x)
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(rows, schema, strict=True)], schema=schema)
 
@@ -234,18 +238,18 @@ def _subtrees(parts: pa.Table, least: int) -> pa.Table:
     """The nodes of a group's subtrees with at least `least` occurrences."""
     unpack, number, langs = zstandard.ZstdDecompressor(), {STOP: 0}, {}
     columns: list[list[np.ndarray]] = [[] for _ in range(DEPTH + 3)]
-    for lang, words, data in zip(*(parts.column(c).to_pylist() for c in ("lang", "words", "data")), strict=True):
-        own = np.array([0] + [number.setdefault(w, len(number)) for w in words.decode().split(STOP)], np.int64)
-        raw = np.frombuffer(unpack.decompress(data), np.uint8)
-        n = len(raw) // (4 * (DEPTH + 1) + 1)
+    for lang, n, data in zip(*(parts.column(c).to_pylist() for c in ("lang", "size", "data")), strict=True):
+        data = unpack.decompress(data)
+        raw, words = np.frombuffer(data, np.uint8, n * (4 * (DEPTH + 1) + 1)), data[n * (4 * (DEPTH + 1) + 1):]
+        own = np.array([0] + [number.setdefault(w, len(number)) for w in words.decode().split(STOP)], np.int32)
         for d in range(DEPTH + 1):
             numbers = np.ascontiguousarray(raw[4 * n * d:4 * n * (d + 1)].reshape(4, n).T).view("<u4").ravel()
-            columns[d].append(own[numbers] if d < DEPTH else numbers.astype(np.int64))
-        columns[DEPTH + 1].append(raw[-n:] if n else raw[:0])
-        columns[DEPTH + 2].append(np.full(n, langs.setdefault(lang, len(langs)), np.int64))
-    *at, counts, depth, lang = (np.concatenate(c) for c in columns)
+            columns[d].append(own[numbers] if d < DEPTH else numbers)
+        columns[DEPTH + 1].append(raw[-n:])
+        columns[DEPTH + 2].append(np.full(n, langs.setdefault(lang, len(langs)), np.int32))
+    *at, counts, depth, lang = (np.concatenate(columns.pop(0)) for _ in range(DEPTH + 3))
     base, names, words = len(number), list(langs), list(number)
-    order = np.lexsort((at[2] * base + at[3], (lang * base + at[0]) * base + at[1]))
+    order = np.lexsort((at[2].astype(np.int64) * base + at[3], (lang.astype(np.int64) * base + at[0]) * base + at[1]))
     at, counts, depth, lang = [w[order] for w in at], counts[order], depth[order], lang[order]
     out: list[list] = [[], [], [], []]
     new = np.concatenate(([True], (lang[1:] != lang[:-1]) | (at[0][1:] != at[0][:-1]))) if len(lang) else np.zeros(0, bool)
@@ -254,7 +258,7 @@ def _subtrees(parts: pa.Table, least: int) -> pa.Table:
         begin = np.flatnonzero(new)
         if not len(begin):
             break
-        totals = np.add.reduceat(counts, begin)
+        totals = np.add.reduceat(counts, begin, dtype=np.int64)
         on = (totals >= least) & (at[size - 1][begin] > 0) & (depth[begin] <= size)
         begin, totals = begin[on], totals[on]
         out[0] += [names[i] for i in lang[begin].tolist()]
@@ -287,7 +291,7 @@ def phrase_counts(docs: DataFrame, least: int, budget: int = 1 << 22, listed: in
             plan.add(*r)
         if not most:
             break
-    groups = max(1, -(-2 * n // budget))
+    groups = max(1, -(-2 * (words.agg(F.sum("f")).first()[0] or 0) // budget))  # a suffix begins with a frequent word
     parts = chunks.select("lang", "words", "codes").mapInArrow(lambda b: _parts(b, bits, plan, groups), PART)
     nodes = parts.groupBy("group").applyInArrow(lambda t: _subtrees(t, least), NODE)
     known = [(a, p, p.count(" ") + 1, f) for (a, p), f in plan.counts.items() if " " in p and f >= least]
