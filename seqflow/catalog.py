@@ -32,6 +32,7 @@ from seqflow.sources import csv_folder as CSV
 from seqflow.sources import fixtures as FX
 from seqflow.sources import json_source as J
 from seqflow.sources import tables as TB
+from seqflow.streaming import csv_ingest as SC_IN
 from seqflow.streaming import ingest as SI
 from seqflow.streaming import runs as SR
 
@@ -818,6 +819,26 @@ def q_csv_folder_ingest(spark, sf_dir):
 # ---------------------------------------------------------------- streaming
 
 
+@register("stream_csv_ingest", ORACLE["csv_folder_ingest"])
+def q_stream_csv_ingest(spark, sf_dir):
+    """The CSV folders as a stream: a first drop, then a second one together with the first sent again."""
+    import uuid
+
+    from seqflow.session import scratch_path
+    root = scratch_path(spark, f"csv-stream-{uuid.uuid4().hex}")
+    first = F.pmod(F.xxhash64("part_number"), F.lit(2)) == 0
+    for drops in ([("a", first)], [("b", ~first), ("c", first)]):
+        for name, rows in drops:
+            FX.write_csv_folders(spark, sf_dir, f"{root}/in/{name}", rows)
+        for kind, rank in (("OK", 0), ("NG", 1)):
+            SC_IN.start_folder_ingest(spark, f"{root}/in/*/{kind}", kind, "M1", f"{root}/sink/{kind}", f"{root}/checkpoint/{kind}",
+                                      source_rank=rank).awaitTermination()
+    rows = spark.read.parquet(f"{root}/sink/OK").unionByName(spark.read.parquet(f"{root}/sink/NG"))
+    return rounded(rows.groupBy("source_rank", "part_number", "subpart_no", "ng_valve_no", "subpart_label").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.sum("first_param").alias("sum_first"),
+        F.sum("temp_b").alias("sum_temp_b")))
+
+
 
 @register("stream_ingest", ORACLE["json_extract"])
 def q_stream_ingest(spark, sf_dir):

@@ -1,7 +1,7 @@
 """Positional CSV folder source (ops 7-10, 16).
 
 Files are read whole with the `binaryFile` source (one file = one run, so a file is the
-unit of work), decoded as Latin-1 and split into lines; the line number is the order
+unit of work), decoded as Latin-1 and cut into records; the record number is the order
 key. Columns are bound by position: the i-th non-temperature feature at position i,
 `temp*` columns from position 10. Names carry metadata:
 `<kind>_<a>_<b>_<part>_..._<valves>.csv`; an NG folder keeps only kind `A`.
@@ -19,6 +19,9 @@ from seqflow.functions.scalar import coerce_double, subpart_status, valid_valve
 # The first temperature column position and the NG file-name kind.
 TEMP_START = 10
 NG_KIND = "A"
+#: a cell: quoted text and what follows it, or text up to a comma or line break; possessive, so long cells need no stack
+CELL = r'(?:"[^"]*+(?:""[^"]*+)*+"[^,\n]*+|[^,\n]*+)'
+RECORD = rf"({CELL}(?:,{CELL})*+)(?:\n|\z)"
 DEFAULT_SCHEMA = ("device", "part_number", "subpart_no", "machine_position", "third_param", "second_param",
                   "first_param", "temp_a", "temp_b")
 
@@ -58,12 +61,14 @@ def file_metadata(files: DataFrame, files_type: str) -> DataFrame:
 
 
 def read_positional(files: DataFrame, schema: Sequence[str] = DEFAULT_SCHEMA, header_rows: int = 1) -> DataFrame:
-    """Op 8: Latin-1 text, skip `header_rows + 1` lines and blank lines, bind by position.
-    Adds `line_no` (0-based) as the order key within a file; cells stay text (see op 10). Quoted
-    cells may hold commas and doubled quotes, but no line breaks."""
+    """Op 8: Latin-1 text, skip `header_rows + 1` records and blank lines, bind by position.
+    Adds `line_no` (0-based number of the record) as the order key within a file; cells stay text (see op 10). Quoted
+    cells may hold commas, doubled quotes and line breaks; a quote inside an unquoted cell, or one that is never closed,
+    is text."""
     text = F.decode(F.col("content"), "ISO-8859-1")
     keep = [c for c in files.columns if c != "content"]
-    lines = files.select(*keep, F.posexplode(F.split(text, "\r?\n")).alias("line_no", "line"))
+    records = F.transform(F.regexp_extract_all(text, F.lit(RECORD), 1), lambda r: F.regexp_replace(r, "\r$", ""))
+    lines = files.select(*keep, F.posexplode(records).alias("line_no", "line"))
     lines = lines.where((F.col("line_no") > header_rows) & (F.trim(F.col("line")) != ""))
     places = column_positions(schema)
     width = max(pos for pos, _ in places) + 1
@@ -90,11 +95,22 @@ def folder_ingest(
 
     One distributed read of the folder. Output: source_rank, path, line_no (order key),
     device, part_number, features..., ng_valve_no, subpart_label."""
+    return ingest_files(list_csv(spark, folder, files_type), files_type, device, schema, header_rows, source_rank)
+
+
+def ingest_files(
+    listed: DataFrame,
+    files_type: str,
+    device: str,
+    schema: Sequence[str] = DEFAULT_SCHEMA,
+    header_rows: int = 1,
+    source_rank: int = 0,
+) -> DataFrame:
+    """Op 16 on files (path, name, content) from any listing, batch or stream."""
     if files_type not in ("OK", "NG"):
         raise ValueError("files_type must be 'OK' or 'NG'")
     feats = [name for _, name in column_positions(schema)]
-    files = file_metadata(list_csv(spark, folder, files_type), files_type)
-    rows = read_positional(files, schema, header_rows)
+    rows = read_positional(file_metadata(listed, files_type), schema, header_rows)
     rows = coerce_numeric(rows, feats)
     valve = valid_valve("valve_raw")
     label = subpart_status(F.lit(files_type), valve, "subpart_no")

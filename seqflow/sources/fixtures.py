@@ -7,7 +7,7 @@ These are plain projections, so Catalyst prunes the Parquet scan to the used col
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # The order key that is unique within (part, subpart) on lineitem.
@@ -96,8 +96,8 @@ CSV_TITLE = "Messprotokoll Anlage"
 CSV_HEADER = "Teil-Nr,C-Achse,Leistung,Förderung,Druck,r1,r2,r3,r4,r5,Temperatur A,Temperatur B"
 
 
-def write_csv_folders(spark: SparkSession, sf_dir: str, root: str) -> tuple[str, str]:
-    """Write lineitem as positional CSV files, one file per (supplier, line number) and
+def write_csv_folders(spark: SparkSession, sf_dir: str, root: str, only: Column | None = None) -> tuple[str, str]:
+    """Write lineitem (or the measurements that `only` selects) as positional CSV files, one file per (supplier, line number) and
     task: `<root>/OK/B_<task>_<line>_<supplier>_z.csv` and
     `<root>/NG/A_<task>_<line>_<supplier>_<valves>.csv` (header line + column line).
 
@@ -106,10 +106,12 @@ def write_csv_folders(spark: SparkSession, sf_dir: str, root: str) -> tuple[str,
     group is buffered, and a task that re-runs rewrites its own files.
     Returns (ok_folder, ng_folder)."""
     m = measurements(spark, sf_dir)
+    if only is not None:
+        m = m.where(only)
     number = lambda c: F.col(c).cast("double").cast("string")
-    # one reserved cell is quoted text with a comma
+    # one reserved cell is quoted text with a comma, doubled quotes and a line break
     line = F.concat_ws(",", *map(number, ("subpart_no", "machine_position", "third_param", "second_param", "first_param")),
-                       F.lit('"1,5",,,,'), number("l_partkey"), number("l_orderkey"))
+                       F.lit('"1,5 ""a""\r\nb",,,,'), number("l_partkey"), number("l_orderkey"))
     name = F.when(F.col("files_type") == "NG", F.concat_ws("_", F.col("subpart_no").cast("int"), "part_number", F.concat("valve_raw", F.lit(".csv"))))
     name = F.coalesce(name, F.concat_ws("_", F.col("subpart_no").cast("int"), "part_number", F.lit("z.csv")))
     src = (m.repartition("part_number", "subpart_no")
