@@ -521,6 +521,17 @@ def q_scaler_fit(spark, sf_dir):
     return rounded(SC.fit_scaler(prepared_train(spark, sf_dir), _SCALE_FEATS, "train"))
 
 
+@register("scaler_merge", ORACLE["scaler_fit"])
+def q_scaler_merge(spark, sf_dir):
+    """The moments of three batches, stored one after the other, merged into the scaler of all rows."""
+    path, rows = _scratch(spark, "moments"), prepared_train(spark, sf_dir)
+    batch = F.pmod(F.xxhash64("part_number"), F.lit(3))
+    for k in range(3):
+        SC.fit_moments(rows.where(batch == k), _SCALE_FEATS).write.mode("append").parquet(path)
+    stored = spark.read.schema(SC.MOMENT_SCHEMA).parquet(path)
+    return rounded(SC.scaler_from_moments(SC.merge_moments(stored, "train")))
+
+
 @register("scaler_persist",
           f"SELECT feature, round(mean, 6) AS mean, round(scale, 6) AS scale FROM ({_scaler_sql(_PREP, _SCALE_FEATS)})")
 def q_scaler_persist(spark, sf_dir):
@@ -1003,6 +1014,31 @@ def q_fit_loss(spark, sf_dir):
     return spark.createDataFrame(out, "loss string, line int, coefficient double")
 
 
+_FOLDS = 3
+
+
+@register("grid_search_folds", f"""WITH g AS (SELECT part_number, chunk, max(subpart_label) AS y FROM ({O.chunked(_PREP, _T_PREP)}) GROUP BY 1, 2)
+SELECT CAST(('0x' || substr(md5('42#' || part_number), 1, 8))::BIGINT % {_FOLDS} AS INTEGER) AS fold, count(DISTINCT part_number) AS n_parts,
+  count(*) AS n_sequences, CAST(sum(y) AS BIGINT) AS n_ng, true AS f2_recomputed FROM g GROUP BY 1""")
+def q_grid_search_folds(spark, sf_dir):
+    """Op 70 with folds by part: per fold its parts and sequences, and whether the search's mean F2 equals, for every grid
+    point, the one recomputed from the scores of the sequences that the fold's models have not seen."""
+    nested = TB.write_table(SQ.nest_sequences(_chunked(spark, sf_dir), _SEQ_FEATURES, by=("part_number",)), path=_scratch(spark, "nested"))
+    train = SQ.class_weights(nested)
+    cv = MD.grid_search(train, {"regParam": [0.01, 0.1]}, folds=_FOLDS, fold_by=("part_number",), keep_models=True)
+    rows = MD.materialize(train.withColumn(MD.FOLD, MD.fold_number(("part_number",), _FOLDS)))
+    means = []
+    for i in range(len(cv.avgMetrics)):
+        scores = []
+        for k in range(_FOLDS):
+            scored = MD.score_sequences(cv.subModels[k][i], rows.where(F.col(MD.FOLD) == k), keys=("part_number", "chunk"), real_label="subpart_label")
+            scores.append(ME.fbeta(scored, "real_label", "label").first()["fbeta"])
+        means.append(sum(scores) / _FOLDS)
+    same = all(abs(a - b) < 1e-9 for a, b in zip(cv.avgMetrics, means, strict=True))
+    return rows.groupBy(MD.FOLD).agg(F.count_distinct("part_number").alias("n_parts"), F.count(F.lit(1)).alias("n_sequences"),
+                                     F.sum("subpart_label").cast("long").alias("n_ng"), F.lit(same).alias("f2_recomputed"))
+
+
 def _seq_stats(pdf):
     import pandas as pd
     x = pdf.sort_values("subpart_index")["first_param"]

@@ -30,6 +30,46 @@ def fit_scaler(df: DataFrame, features: Sequence[str], scaler_id: str = "default
                        F.when(F.col("std") == 0, F.lit(1.0)).otherwise(F.col("std")).alias("scale"))
 
 
+MOMENT_SCHEMA = "scaler_id STRING, feature STRING, n BIGINT, mean DOUBLE, m2 DOUBLE"
+
+
+def fit_moments(df: DataFrame, features: Sequence[str], scaler_id: str = "default") -> DataFrame:
+    """Op 36, mergeable: count, mean and sum of squared deviations per feature, in one pass; NULLs ignored."""
+    aggs = []
+    for i, f in enumerate(features):
+        x = F.col(f).cast("double")
+        aggs += [F.count(x).alias(f"n{i}"), F.avg(x).alias(f"m{i}"), F.var_pop(x).alias(f"v{i}")]
+    rows = F.array(*[F.struct(F.lit(f).alias("feature"), F.col(f"n{i}").alias("n"), F.coalesce(F.col(f"m{i}"), F.lit(0.0)).alias("mean"),
+                              F.coalesce(F.col(f"v{i}") * F.col(f"n{i}"), F.lit(0.0)).alias("m2")) for i, f in enumerate(features)])
+    return df.agg(*aggs).select(F.explode(rows).alias("p")).select(F.lit(scaler_id).alias("scaler_id"), "p.*")
+
+
+def merge_moments(moments: DataFrame, scaler_id: str = "default") -> DataFrame:
+    """The moments of all rows from those of their parts, by the parallel variance rule: two parts of a and b rows whose
+    means are d apart have the sum of their squared deviations plus d * d * a * b / (a + b). The parts of a feature, one
+    row per stored batch, are folded in the order of their mean and count, so the result doesn't depend on
+    the order of arrival."""
+    part = F.struct("mean", "n", "m2")
+    start = F.struct(F.lit(0.0).alias("mean"), F.lit(0).cast("long").alias("n"), F.lit(0.0).alias("m2"))
+
+    def add(a: Column, b: Column) -> Column:
+        n, d = a["n"] + b["n"], b["mean"] - a["mean"]
+        share = F.when(n > 0, b["n"] / n).otherwise(F.lit(0.0))
+        return F.struct((a["mean"] + d * share).alias("mean"), n.alias("n"), (a["m2"] + b["m2"] + d * d * a["n"] * share).alias("m2"))
+
+    whole = moments.where("n > 0").groupBy("feature").agg(F.aggregate(F.array_sort(F.collect_list(part)), start, add).alias("p"))
+    empty = moments.select("feature").distinct()
+    out = empty.join(whole, "feature", "left").select("feature", F.coalesce("p", start).alias("p"))
+    return out.select(F.lit(scaler_id).alias("scaler_id"), "feature", "p.n", "p.mean", "p.m2")
+
+
+def scaler_from_moments(moments: DataFrame) -> DataFrame:
+    """The parameters that `fit_scaler` gives on the rows behind the moments (features without values: NULL)."""
+    std = F.sqrt(F.col("m2") / F.col("n"))
+    return moments.select("scaler_id", "feature", F.when(F.col("n") > 0, F.col("mean")).alias("mean"),
+                          F.when(F.col("n") > 0, F.when(F.col("m2") == 0, F.lit(1.0)).otherwise(std)).alias("scale"))
+
+
 def param_map(params: DataFrame, scaler_id: str | None = None) -> Column:
     """All parameters of a fit as one scalar subquery: MAP<feature, STRUCT<mean, scale>>.
     One small job serves every feature reference (identical subqueries are reused)."""

@@ -7,6 +7,7 @@ is one such key.
 
 from __future__ import annotations
 
+import hashlib
 import json
 
 from pyspark.sql import DataFrame, SparkSession
@@ -35,16 +36,52 @@ def table_exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
 
 
+def _create_if_absent(spark: SparkSession, path: str) -> bool:
+    """Makes an empty file; False if there is one. Only one of several callers can make it."""
+    from py4j.protocol import Py4JJavaError
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.mkdirs(p.getParent())
+    try:
+        if fs.getUri().getScheme() == "file":  # Hadoop's local file system looks first and creates then
+            local = spark._jvm.java.io.File(p.toUri().getPath()).toPath()
+            spark._jvm.java.nio.file.Files.createFile(local, spark.sparkContext._gateway.new_array(spark._jvm.java.nio.file.attribute.FileAttribute, 0))
+        else:
+            fs.create(p, False).close()
+    except Py4JJavaError as e:
+        if "FileAlreadyExists" in e.java_exception.getClass().getName():
+            return False
+        raise
+    return True
+
+
+def _claimed(spark: SparkSession, folder: str) -> int:
+    """The highest version that a writer has claimed; 0 without any."""
+    if not table_exists(spark, folder):
+        return 0
+    p = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    names = [f.getPath().getName() for f in p.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(p)]
+    return max((int(n) for n in names if n.isdigit()), default=0)
+
+
 def set_value(spark: SparkSession, path: str, key: str, value) -> bool:
     """Op 14 (set): append a new version unless the JSON text equals the latest; returns
-    whether a row was written."""
+    whether a row was written.
+
+    Safe with several writers: a version is first claimed by a file that only one of them can create, next to the table,
+    and a writer that loses the claim looks again and takes a later one. A writer that dies between claim and append
+    leaves a gap in the versions, nothing else."""
     text = json.dumps(value, sort_keys=True)
-    cur = []
-    if table_exists(spark, path):  # any other failure to read is an error: a new version 1 would be lost
-        cur = latest_state(spark.read.schema(STATE_SCHEMA).parquet(path).where(F.col("key") == key)).take(1)
-    if cur and cur[0]["value"] == text:
-        return False
-    version = (cur[0]["version"] + 1) if cur else 1
+    claims = f"{path.rstrip('/')}_claims/{hashlib.sha256(key.encode()).hexdigest()}"
+    while True:
+        cur = []
+        if table_exists(spark, path):  # any other failure to read is an error: a new version 1 would be lost
+            cur = latest_state(spark.read.schema(STATE_SCHEMA).parquet(path).where(F.col("key") == key)).take(1)
+        if cur and cur[0]["value"] == text:
+            return False
+        version = max(cur[0]["version"] if cur else 0, _claimed(spark, claims)) + 1
+        if _create_if_absent(spark, f"{claims}/{version}"):
+            break
     spark.createDataFrame([(key, text, version)], STATE_SCHEMA).write.mode("append").parquet(path)
     return True
 
