@@ -1,11 +1,11 @@
 """Phrases whose words occur together, by vertical partitioning of the suffix tree over words (the way of ERA).
 
 A suffix is a word and up to three that follow it in its piece. Suffixes are grouped by word prefixes that fit a memory
-budget: a prefix with more than `budget` / 4 occurrences is listed and extended by one more word; all others are dealt by a
-hash to as many groups as keep a group's expected load at half the budget. Each group gets its suffixes from
+budget: a prefix with more than `budget` / 4 occurrences is listed and extended by one more word (one with half as many may
+be); all others are dealt by a hash to as many groups as keep a group's expected load at half the budget. Each group gets its suffixes from
 every chunk of the corpus, builds its subtrees, cut at the greatest phrase length, from the sorted suffixes and reads each
-node's count off the totals of the leaves below it. Counts of listed prefixes come from the listing, those of single words
-from the word counts. Scores, cuts and the rule on longer phrases are joins over the nodes.
+node's count off the totals of the leaves below it. A listed prefix has leaves in several groups, whose totals are
+added; counts of single words are the word counts. Scores, cuts and the rule on longer phrases are joins over the nodes.
 
 Scale: the corpus is split and coded once, into chunks of numbers with a word list of their own; suffixes end at words
 that are too rare to be in a phrase, as told by a table of `BITS` hashed bits (a rare word that it lets through costs
@@ -40,7 +40,7 @@ CHUNK_BYTES, HELD_CHUNKS = 6 << 20, 3
 BITS = 1 << 22
 CHUNK = "lang string, words array<string>, counts array<long>, codes binary, n long"
 PART = "group int, lang string, size int, data binary"
-NODE = "lang string, phrase string, size int, f long"
+NODE = "lang string, phrase string, size int, f long, shared boolean"
 STOP = "."  # stands for every sign that ends a piece, so no word holds it
 LISTS = pa.schema([("lang", pa.string()), ("words", pa.list_(pa.string())), ("counts", pa.list_(pa.int64())), ("codes", pa.binary()), ("n", pa.int64())])
 
@@ -103,15 +103,13 @@ class Listed:
 
     def __init__(self) -> None:
         self.langs: dict[str, list[dict[tuple[int, str], int]]] = {}
-        self.counts: dict[tuple[str, str], int] = {}
 
-    def add(self, lang: str, phrase: str, f: int) -> None:
+    def add(self, lang: str, phrase: str) -> None:
         words, parent = phrase.split(" "), 0
         levels = self.langs.setdefault(lang, [{} for _ in range(DEPTH)])
         for d, word in enumerate(words[:-1]):
             parent = levels[d][parent, word]
         levels[len(words) - 1][parent, words[-1]] = len(levels[len(words) - 1])
-        self.counts[lang, phrase] = f
 
 
 class Suffixes:
@@ -171,24 +169,27 @@ def _suffixes(batch: pa.RecordBatch, bits: np.ndarray, listed: Listed) -> Iterat
         yield Suffixes(batch.column(0)[i].as_py(), batch.column(1)[i].values.to_numpy(zero_copy_only=False).tolist(), batch.column(2)[i].as_py(), bits, listed)
 
 
-def _extended(chunks: DataFrame, bits: bytes, listed: Listed, depth: int) -> DataFrame:
-    """How often each prefix of `depth` words occurs that extends a listed one by a word."""
+def _extended(chunks: DataFrame, bits: bytes, listed: Listed, depth: int, share: float) -> DataFrame:
+    """Prefixes of `depth` words that extend a listed one by a word, with their occurrences in chunks where they are more
+    than `share` of the words. What the other chunks hold of a prefix is at most that share of all words."""
     schema = pa.schema([("lang", pa.string()), ("phrase", pa.string()), ("f", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = np.frombuffer(bits, "<u4")
         for batch in batches:
-            for s in _suffixes(batch, table, listed):
+            for s, n in zip(_suffixes(batch, table, listed), batch.column("n").to_pylist(), strict=True):
                 numbers = list(s.matched(s.at))[:depth - 1]
                 if len(numbers) < depth - 1:
                     continue
                 on = np.flatnonzero((numbers[-1] >= 0) & (s.at[depth - 1] > 0))
                 keys, first, counts = np.unique(numbers[-1][on] * s.base + s.at[depth - 1][on], return_index=True, return_counts=True)
+                often = counts > share * n
+                keys, first, counts = keys[often], first[often], counts[often]
                 at = [w[on[first]].tolist() for w in s.at[:depth]]
                 phrases = [" ".join([s.words[c] for c in row]) for row in zip(*at, strict=True)]
                 yield pa.RecordBatch.from_arrays([pa.array([s.lang] * len(keys), pa.string()), pa.array(phrases, pa.string()), pa.array(counts)], schema=schema)
 
-    out = chunks.select("lang", "words", "codes").mapInArrow(run, "lang string, phrase string, f long")
+    out = chunks.select("lang", "words", "codes", "n").mapInArrow(run, "lang string, phrase string, f long")
     return out.groupBy("lang", "phrase").agg(F.sum("f").alias("f"))
 
 
@@ -208,9 +209,6 @@ def _parts(batches: Iterator[pa.RecordBatch], bits: bytes, listed: Listed, group
             for number in s.matched(at):
                 depth += number >= 0
             depth = np.minimum(depth, DEPTH)
-            # a suffix that ends with a listed prefix counts for listed nodes only
-            open_ = np.take_along_axis(np.stack(at), (depth - 1)[None, :].astype(np.int64), 0)[0] > 0
-            at, counts, depth = [w[open_] for w in at], counts[open_], depth[open_]
             hashes = np.fromiter((xxhash.xxh64_intdigest(w, 13) for w in s.words), np.uint64, s.base)
             h = np.full(len(counts), xxhash.xxh64_intdigest(s.lang, 13), np.uint64)
             for d, w in enumerate(at):
@@ -235,7 +233,7 @@ def _parts(batches: Iterator[pa.RecordBatch], bits: bytes, listed: Listed, group
 
 
 def _subtrees(parts: pa.Table, least: int) -> pa.Table:
-    """The nodes of a group's subtrees with at least `least` occurrences."""
+    """The nodes of a group's subtrees with at least `least` occurrences, and this group's share of listed prefixes."""
     unpack, number, langs = zstandard.ZstdDecompressor(), {STOP: 0}, {}
     columns: list[list[np.ndarray]] = [[] for _ in range(DEPTH + 3)]
     for lang, n, data in zip(*(parts.column(c).to_pylist() for c in ("lang", "size", "data")), strict=True):
@@ -251,7 +249,7 @@ def _subtrees(parts: pa.Table, least: int) -> pa.Table:
     base, names, words = len(number), list(langs), list(number)
     order = np.lexsort((at[2].astype(np.int64) * base + at[3], (lang.astype(np.int64) * base + at[0]) * base + at[1]))
     at, counts, depth, lang = [w[order] for w in at], counts[order], depth[order], lang[order]
-    out: list[list] = [[], [], [], []]
+    out: list[list] = [[], [], [], [], []]
     new = np.concatenate(([True], (lang[1:] != lang[:-1]) | (at[0][1:] != at[0][:-1]))) if len(lang) else np.zeros(0, bool)
     for size in range(2, DEPTH + 1):
         new[1:] |= at[size - 1][1:] != at[size - 1][:-1]
@@ -259,16 +257,19 @@ def _subtrees(parts: pa.Table, least: int) -> pa.Table:
         if not len(begin):
             break
         totals = np.add.reduceat(counts, begin, dtype=np.int64)
-        on = (totals >= least) & (at[size - 1][begin] > 0) & (depth[begin] <= size)
-        begin, totals = begin[on], totals[on]
+        shared = depth[begin] > size
+        on = (shared | (totals >= least)) & (at[size - 1][begin] > 0)
+        begin, totals, shared = begin[on], totals[on], shared[on]
         out[0] += [names[i] for i in lang[begin].tolist()]
         out[1] += [" ".join([words[c] for c in row]) for row in zip(*(w[begin].tolist() for w in at[:size]), strict=True)]
         out[2] += [size] * len(begin)
         out[3] += totals.tolist()
-    return pa.table([pa.array(c, t) for c, t in zip(out, (pa.string(), pa.string(), pa.int32(), pa.int64()), strict=True)], names=["lang", "phrase", "size", "f"])
+        out[4] += shared.tolist()
+    kinds = (pa.string(), pa.string(), pa.int32(), pa.int64(), pa.bool_())
+    return pa.table([pa.array(c, t) for c, t in zip(out, kinds, strict=True)], names=["lang", "phrase", "size", "f", "shared"])
 
 
-def phrase_counts(docs: DataFrame, least: int, budget: int = 1 << 22, listed: int = 1 << 18, text: str = "text",
+def phrase_counts(docs: DataFrame, least: int, budget: int = 1 << 21, listed: int = 1 << 18, text: str = "text",
                   lang: str = "lang") -> tuple[DataFrame, DataFrame]:
     """((lang, phrase, size, f) of all phrases of 1 to 4 words with at least `least` occurrences, (lang, n))."""
     spark = docs.sparkSession
@@ -281,12 +282,12 @@ def phrase_counts(docs: DataFrame, least: int, budget: int = 1 << 22, listed: in
     words = written(words.select("lang", "phrase", F.lit(1).alias("size"), "f"), "phrases-words")
 
     n = totals.agg(F.sum("n")).first()[0] or 0
-    limit = max(budget // 4, DEPTH * n // listed, 1)
-    bits, plan, found = _bits(words), Listed(), words
+    limit = max(budget // 4, DEPTH * n // listed, 2)
+    bits, plan, found = _bits(words), Listed(), words.where(F.col("f") > limit)
     for depth in range(1, DEPTH):
-        if depth > 1:
-            found = _extended(chunks, bits, plan, depth)
-        most = found.where(F.col("f") > limit).select("lang", "phrase", "f").collect()  # at most n / limit rows
+        if depth > 1:  # of a prefix above the limit, more than half of it is found
+            found = _extended(chunks, bits, plan, depth, limit / 2 / n).where(F.col("f") > limit / 2)
+        most = found.select("lang", "phrase").collect()  # at most 2 * n / limit rows
         for r in most:
             plan.add(*r)
         if not most:
@@ -294,13 +295,14 @@ def phrase_counts(docs: DataFrame, least: int, budget: int = 1 << 22, listed: in
     groups = max(1, -(-2 * (words.agg(F.sum("f")).first()[0] or 0) // budget))  # a suffix begins with a frequent word
     parts = chunks.select("lang", "words", "codes").mapInArrow(lambda b: _parts(b, bits, plan, groups), PART)
     nodes = parts.groupBy("group").applyInArrow(lambda t: _subtrees(t, least), NODE)
-    known = [(a, p, p.count(" ") + 1, f) for (a, p), f in plan.counts.items() if " " in p and f >= least]
-    nodes = words.unionByName(nodes).unionByName(spark.createDataFrame(known, NODE))
+    nodes = written(nodes, "phrases-subtrees")
+    whole = nodes.where("shared").groupBy("lang", "phrase", "size").agg(F.sum("f").alias("f")).where(F.col("f") >= least)
+    nodes = words.unionByName(nodes.where("not shared").drop("shared")).unionByName(whole)
     return written(nodes, "phrases-nodes"), totals
 
 
 def collocations(docs: DataFrame, least: int = 30, top: int = 2000, scale: int = 2_000_000, cover: int = 80,
-                 budget: int = 1 << 22, text: str = "text", lang: str = "lang") -> DataFrame:
+                 budget: int = 1 << 21, text: str = "text", lang: str = "lang") -> DataFrame:
     """(lang, rank, phrase, a, l, r, n, score): each language's first `top` phrases. `cover`: a phrase goes if a longer
     candidate that holds it has at least so many percent of its occurrences."""
     nodes, totals = phrase_counts(docs, least, budget, text=text, lang=lang)
