@@ -63,3 +63,82 @@ def test_matches_the_article_element_of_the_pages(spark):
         a = re.search(r"<article>(.*?)</article>", r["html"], re.S).group(1)
         a = re.sub(r"<[^>]*>", "", re.sub(r"</?(p|h\d|br|div|li|ul)\b[^>]*>", " ", a))
         assert texts[r["page_id"]] == " ".join(html.unescape(a).split())
+
+
+TEXT = "Some long prose text of the article is here, with a fair number of words in it. " * 4
+
+
+@pytest.mark.parametrize("open_, close", [
+    ('<div class="content has-sidebar">', "</div>"), ('<div id="page" class="menu-open">', "</div>"), ('<form id="aspnetForm"><div>', "</div></form>"),
+    ('<h1>Title</h1><div class="wrapper sidebar">', "</div>"), ('<article><h1>Title</h1><p class="notice-board">', "</article>"),
+])
+def test_names_of_wrappers_do_not_drop_the_article(open_, close):
+    page = f"{HEAD}{NAV}{open_}<p>{TEXT}</p><p>{TEXT}</p>{close}{FOOT}"
+    title = "Title " if "<article>" in open_ else ""  # a heading beside the content is below the threshold
+    assert extract(page) == title + " ".join([TEXT.strip()] * 2)
+
+
+@pytest.mark.parametrize("name", ["sidebar", "site-footer", "ad-slot-300x250", "cookieNotice", "comment-list", "related-posts", "share_buttons", "page__sidebar--left"])
+def test_names_of_boilerplate_drop_it(name):
+    page = f'{HEAD}<div class="text"><p>{TEXT}</p><p>{TEXT}</p></div><div class="{name}"><p>{TEXT}</p></div>{FOOT}'
+    assert extract(page) == " ".join([TEXT.strip()] * 2)
+
+
+def test_many_comments_under_a_short_article():
+    assert extract(f'<article><h1>T</h1><p>{TEXT}</p></article><section id="comments"><p>{TEXT * 40}</p></section>') == "T " + TEXT.strip()
+
+
+def test_teaser_article_beside_the_content():
+    page = f"<div><div>{''.join(f'<p>{TEXT}</p>' for _ in range(9))}</div><article><p>A short teaser.</p></article></div>"
+    assert extract(page).startswith(" ".join([TEXT.strip()] * 9))
+
+
+@pytest.mark.parametrize("page", ["<div>" * 8000 + "x", "<article>" * 4000 + "x", "<table><tr><td>" * 3000 + "x", "<header>" * 4000 + "<article>x</article>", "<body>" * 8000 + "x"])
+def test_deep_pages_take_linear_time(page):
+    import time
+
+    start = time.process_time()
+    assert extract(page) == "x"
+    assert time.process_time() - start < 2
+
+
+def test_densities_against_the_definition():
+    import math
+
+    from seqflow.llm.html_text import _Page, densities
+
+    rng = random.Random(8)
+
+    def tree(depth):
+        """(tag, children: trees or texts)"""
+        kids = [tree(depth - 1) if depth and rng.random() < 0.6 else "w" * rng.randint(1, 40) for _ in range(rng.randint(1, 4))]
+        return rng.choice(["div", "section", "a", "b"]), kids
+
+    def write(t):
+        return t if isinstance(t, str) else f"<{t[0]}>{''.join(map(write, t[1]))}</{t[0]}>"
+
+    def counts(t, linked):
+        """characters, link characters, tags below, link tags below"""
+        if isinstance(t, str):
+            return len(t), len(t) * linked, 0, 0
+        parts = [counts(k, linked or t[0] == "a") for k in t[1]]
+        inner = [k for k in t[1] if not isinstance(k, str)]
+        c, lc, n, ln = (sum(x) for x in zip(*parts))
+        return c, lc, n + len(inner), ln + sum(k[0] == "a" for k in inner)
+
+    def walk(t, linked, share):
+        c, lc, n, ln = counts(t, linked)
+        n, rest = max(n, 1), max(c - lc, 1)
+        base = math.log(c / rest * lc + share * c + math.e)
+        own = c / n * max(math.log(c / max(lc, 1) * n / max(ln, 1)), 1e-6) / math.log(max(base, math.e))
+        below = [walk(k, linked or t[0] == "a", share) for k in t[1] if not isinstance(k, str)]
+        return [(own, sum(b[0][0] for b in below) if below else own)] + [x for b in below for x in b]
+
+    for _ in range(30):
+        body = ("body", [("div", [tree(4) for _ in range(3)])])
+        c, lc, *_ = counts(body, False)
+        exp = walk(body, False, lc / c)
+        p = _Page(write(body))
+        got = densities(p, [False] * len(p.tag), [(n, t) for n, t in p.items if t], 1)
+        assert len(exp) == len(p.tag) - 1
+        assert list(zip(*got))[1:] == [pytest.approx(x) for x in exp]
