@@ -8,7 +8,8 @@ the block numbers, once more.
 
 Scale: one row per source and one per shard go through windows (at most 2**16 + number of sources
 shards); documents meet in one shuffle by (source, shard), so a source with a third of all rows is
-spread over as many shards as its words fill. Texts are not shuffled.
+spread over as many shards as its words fill. Texts are not shuffled. Documents of equal id, source and size
+are counted first and then numbered, so that a null or often repeated id is spread over the shards like others.
 
 Defined cases: a null text has size 0; a null source is a source of its own, ordered last; a null
 doc_id is a document like any other; repeated rows are separate documents; an empty table gives no
@@ -31,6 +32,13 @@ def _digest60(text: Column, at: int) -> Column:
     return F.conv(F.substring(F.md5(text), at, 15), 16, 10).cast("long")
 
 
+def numbered_copies(df: DataFrame, keys: Sequence[str], step: int = 4096) -> DataFrame:
+    """The rows of `keys` with `copy`, 1, 2, ... among equal rows: counted, then dealt out again in pieces of `step`."""
+    counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    pieces = counted.select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_n") - 1, F.lit(step).cast("long"))).alias("_from"))
+    return pieces.select(*keys, F.explode(F.sequence(F.col("_from") + 1, F.least(F.col("_from") + step, F.col("_n")))).alias("copy"))
+
+
 def sainte_lague(df: DataFrame, parts: Sequence[str], order: Sequence[Column], keys: Sequence[str], weight: str,
                  seats: str, limit: Column | None = None) -> DataFrame:
     """Adds `quota`: within each value of `parts`, `seats` seats by highest quotients weight / (2k - 1).
@@ -82,8 +90,9 @@ def mix_sources(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
                 weights: Sequence[int] = (5, 2, 1), share: float = 1.5, cap: int = 2, block: int = 32,
                 shard_words: int = 1 << 18, max_shards: int = 1 << 16, seed: str = "mix") -> DataFrame:
     """doc_id, size, source, source_size, target, quota (blocks of its shard), taken (words, repeats counted)."""
-    slim = written(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(source_col).alias("source"),
-                               word_count(F.col(text_col)).alias("size")), "mix-sizes")
+    slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(source_col).alias("source"),
+                       word_count(F.col(text_col)).alias("size"))
+    slim = written(numbered_copies(slim, ["doc_id", "source", "size"]), "mix-sizes")
     sources = source_targets(slim.groupBy("source").agg(F.sum("size").alias("source_size")), weights, share, cap)
     one = Window.partitionBy(F.lit(0))
     sources = sources.withColumn("seats", F.floor(F.sum("target").over(one) / block + 0.5).cast("long"))
@@ -94,7 +103,7 @@ def mix_sources(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
     sources = written(sources.select(F.col("source").alias("_source"), "rn", "source_size", "target", "source_seats", "n_shards"),
                       "mix-sources")
 
-    key = F.concat(F.lit(f"{seed}|"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
+    key = F.concat(F.lit(f"{seed}|"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit("|"), F.col("size"), F.lit("|"), F.col("copy"))
     rows = join_checked(slim, sources, F.col("source").eqNullSafe(F.col("_source")), "inner").drop("_source")
     rows = rows.withColumn("place", _digest60(key, 1)).withColumn("shard", _digest60(key, 17) % F.col("n_shards"))
 
@@ -105,7 +114,7 @@ def mix_sources(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
     shards = written(shards.select(F.col("rn").alias("_rn"), F.col("shard").alias("_shard"), "n_blocks", "quota",
                                    F.when(F.col("n_blocks") > 0, shift % F.col("n_blocks")).otherwise(0).alias("shift")), "mix-shards")
 
-    order = Window.partitionBy("rn", "shard").orderBy("place", "doc_id", "size").rowsBetween(Window.unboundedPreceding, 0)
+    order = Window.partitionBy("rn", "shard").orderBy("place", "doc_id", "size", "copy").rowsBetween(Window.unboundedPreceding, 0)
     rows = rows.withColumn("end", F.sum("size").over(order))
     rows = join_checked(rows, shards, (F.col("rn") == F.col("_rn")) & (F.col("shard") == F.col("_shard")), "inner",
                         max_rows=2 * max_shards)
@@ -125,6 +134,9 @@ def mix_sources(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
 ORACLE = """
 WITH RECURSIVE sized AS (
   SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0)::BIGINT AS size FROM documents),
+-- equal rows are numbered: a document's place is that of its id, size and number
+named AS (SELECT *, 'mix|' || coalesce(doc_id::VARCHAR, '') || '|' || size || '|' || row_number() OVER (PARTITION BY doc_id, source, size) AS name,
+            row_number() OVER (PARTITION BY doc_id, source, size) AS copy FROM sized),
 src AS (SELECT source, sum(size)::BIGINT AS source_size FROM sized GROUP BY source),
 s1 AS (SELECT *, row_number() OVER (ORDER BY source ASC NULLS LAST) AS rn FROM src),
 s2 AS (SELECT *, CASE (rn - 1) % 3 WHEN 0 THEN 5 WHEN 1 THEN 2 ELSE 1 END AS w, 2 * source_size AS top FROM s1),
@@ -151,10 +163,10 @@ seat1 AS (SELECT rn, count(*) AS n FROM (
     SELECT rn, seats, row_number() OVER (ORDER BY target / (2 * k - 1) DESC, rn, k) AS r
     FROM (SELECT rn, target, seats, unnest(range(1, (2 * target / 32)::BIGINT + 3)) AS k FROM s4 WHERE target > 0)) WHERE r <= seats GROUP BY rn),
 s5 AS (SELECT s4.*, coalesce(n, 0) AS source_seats FROM s4 LEFT JOIN seat1 USING (rn)),
-r1 AS (SELECT d.doc_id, d.size, s5.source_size, s5.target, s5.rn, s5.source_seats,
-         ('0x' || substr(md5('mix|' || coalesce(d.doc_id::VARCHAR, '')), 1, 15))::BIGINT AS place,
-         ('0x' || substr(md5('mix|' || coalesce(d.doc_id::VARCHAR, '')), 17, 15))::BIGINT % n_shards AS shard
-       FROM sized d JOIN s5 ON d.source IS NOT DISTINCT FROM s5.source),
+r1 AS (SELECT d.doc_id, d.size, d.copy, s5.source_size, s5.target, s5.rn, s5.source_seats,
+         ('0x' || substr(md5(d.name), 1, 15))::BIGINT AS place,
+         ('0x' || substr(md5(d.name), 17, 15))::BIGINT % n_shards AS shard
+       FROM named d JOIN s5 ON d.source IS NOT DISTINCT FROM s5.source),
 sh AS (SELECT rn, shard, sum(size)::BIGINT AS words, any_value(source_seats) AS source_seats, ceil(sum(size) / 32)::BIGINT AS n_blocks
        FROM r1 GROUP BY rn, shard),
 seat2 AS (SELECT rn, shard, count(*) AS n FROM (
@@ -163,7 +175,7 @@ seat2 AS (SELECT rn, shard, count(*) AS n FROM (
 sh2 AS (SELECT sh.*, coalesce(n, 0) AS quota,
           CASE WHEN n_blocks > 0 THEN ('0x' || substr(md5('mix|' || rn || '|' || shard), 1, 15))::BIGINT % n_blocks ELSE 0 END AS shift
         FROM sh LEFT JOIN seat2 USING (rn, shard)),
-r2 AS (SELECT *, sum(size) OVER (PARTITION BY rn, shard ORDER BY place, doc_id, size ROWS UNBOUNDED PRECEDING)::BIGINT AS e FROM r1),
+r2 AS (SELECT *, sum(size) OVER (PARTITION BY rn, shard ORDER BY place, doc_id, size, copy ROWS UNBOUNDED PRECEDING)::BIGINT AS e FROM r1),
 bl AS (SELECT doc_id, place, size, e, rn, shard, unnest(range((e - size) // 32, (e - 1) // 32 + 1)) AS i FROM r2 WHERE size > 0),
 got AS (SELECT bl.doc_id, bl.rn, bl.shard, bl.e, sum((least(e, (i + 1) * 32) - greatest(e - size, i * 32)) *
           (quota // n_blocks + CASE WHEN (i * 2654435761 + shift) % n_blocks < quota % n_blocks THEN 1 ELSE 0 END))::BIGINT AS taken

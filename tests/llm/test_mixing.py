@@ -55,3 +55,27 @@ def test_empty_table(spark):
 def test_plan_is_native(spark, rows):
     plan = mixing.mix_sources(documents(spark, rows))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Pandas" not in plan and "Arrow" not in plan and "Cartesian" not in plan
+
+
+@pytest.mark.parametrize("same", [None, 7])
+def test_null_or_repeated_ids_are_spread(spark, same):
+    """Thousands of rows under one id, many of them equal, fill many shards evenly and agree with the SQL."""
+    rng = random.Random(6)
+    text = prose(rng, 40)
+    rows = [(same, text if i % 2 else prose(rng, rng.randint(1, 80)), "en", "hot", 0) for i in range(3000)] + [(i, prose(rng, 30), "en", "other", 0) for i in range(300)]
+    docs = documents(spark, rows).repartition(5)
+    got = mixing.mix_sources(docs, shard_words=4000)
+    loads = got.where("source = 'hot'").groupBy("quota").count().collect()  # a quota belongs to a shard or a few
+    assert len(loads) > 3 and max(r["count"] for r in loads) < 1500
+    con = duckdb.connect()
+    con.register("documents", docs.select("doc_id", "text", "source").toArrow())
+    exp = con.execute(mixing.ORACLE.replace("262144.0", "4000.0")).df()
+    cols = ["doc_id", "size", "source_size", "target", "taken"]
+    key = lambda df: sorted(map(repr, df[cols].astype(float).round(6).itertuples(index=False, name=None)))
+    assert key(got.toPandas()) == key(exp) and len(exp) == len(rows)
+
+
+def test_numbered_copies(spark):
+    df = spark.createDataFrame([(1, "a")] * 25 + [(None, "a")] * 10 + [(1, None)], "k int, s string").repartition(4)
+    got = sorted(map(repr, map(tuple, mixing.numbered_copies(df, ["k", "s"], step=7).collect())))
+    assert got == sorted(map(repr, [(1, "a", i) for i in range(1, 26)] + [(None, "a", i) for i in range(1, 11)] + [(1, None, 1)]))
