@@ -12,7 +12,7 @@ texts are shuffled only if the table of places is too large to broadcast.
 
 Defined cases: null and empty texts have no chunks and stay as they are; rows with a null doc_id are passed on
 unchanged; rows with the same doc_id count as one document; stretches of `MAX` bytes
-without a cut are cut at their last white space, or else at a character; an empty table gives no rows; other columns are passed on, whatever their names.
+without a cut are cut at the white space, or else the character border, with the least hash; an empty table gives no rows; other columns are passed on, whatever their names.
 """
 
 from __future__ import annotations
@@ -49,31 +49,28 @@ def cut_points(texts: list[bytes]) -> list[list[int]]:
         ends, last = [], 0
         for c in (places[a:b] - at).tolist():
             if c - last >= MIN:
-                if c - last > MAX:
-                    last = _forced(t, last, c, ends)
+                last = _forced(data, h, at, last, c, ends)
                 ends.append(c)
                 last = c
         if last < len(t):
-            _forced(t, last, len(t), ends)
+            _forced(data, h, at, last, len(t), ends)
             ends.append(len(t))
         out.append(ends)
         at += len(t) + GAP
     return out
 
 
-def _forced(t: bytes, last: int, until: int, ends: list[int]) -> int:
-    """Cuts after the last white space within MAX bytes, so that a repeated word gives equal chunks; without
-    any, at a character border."""
+def _forced(data: np.ndarray, h: np.ndarray, at: int, last: int, until: int, ends: list[int]) -> int:
+    """Cuts in a stretch of more than MAX bytes without a cut: after the white space, or else at the character border, with
+    the least hash among the next MIN to MAX bytes, the first of equals. So the place depends on what is near,
+    and a word or line repeated over and over gives equal chunks. Returns the last cut."""
     while until - last > MAX:
-        cut = last + MAX
-        while cut > last and t[cut - 1] not in b" \t\n\r\x0b\x0c":
-            cut -= 1
-        if cut == last:
-            cut = last + MAX
-            while t[cut] & 0xC0 == 0x80:
-                cut -= 1
-        ends.append(cut)
-        last = cut
+        a, b = at + last + MIN, at + last + MAX + 1  # the bytes behind a possible cut
+        here = SPACE[data[a - 1:b - 1]]
+        if not here.any():
+            here = data[a:b] & 0xC0 != 0x80
+        last += MIN + int(np.where(here, h[a - 1:b - 1], np.int32(1 << 16)).argmin())
+        ends.append(last)
     return last
 
 
