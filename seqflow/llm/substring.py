@@ -7,7 +7,7 @@ the occurrence in the smallest doc_id, and there the first, stays; the others ar
 duplicates that cover at least `min_words` words are removed from the text.
 
 Scale: texts are chunked where they lie. Digests are grouped with partial aggregation and joined back (a
-hot passage is split by adaptive execution); only the places found duplicate go to their documents, and the
+hot passage is split by adaptive execution, as the shared digests are a written table); only the places found duplicate go to their documents, and the
 texts are shuffled only if the table of places is too large to broadcast.
 
 Defined cases: null and empty texts have no chunks and stay as they are; rows with a null doc_id are passed on
@@ -105,7 +105,7 @@ def duplicate_places(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("t")).where("doc_id IS NOT NULL AND t != ''")
     chunks = written(rows.mapInArrow(_chunks, "doc_id long, digest long, s int, e int"), "cdc-chunks", batch_rows=1000)
     # a document's own first occurrence is told apart later; here one row is dropped only if it is alone
-    shared = chunks.groupBy("digest").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
+    shared = written(chunks.groupBy("digest").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n"), "cdc-shared")
     met = chunks.join(shared, "digest", "inner")
     return met.groupBy("doc_id").agg(F.collect_list(F.struct("s", "e", "digest", "first")).alias("places"))
 
