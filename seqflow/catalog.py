@@ -123,6 +123,23 @@ def q_prepare_features_summary(spark, sf_dir):
     return _summary(FE.add_all_features(prepared_train(spark, sf_dir)))
 
 
+def bucketed_source(spark: SparkSession, sf_dir: str, buckets: int | None = None) -> DataFrame:
+    """The labelled source as a catalog table, bucketed on the part and sorted by part and subpart."""
+    import uuid
+
+    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return TB.write_bucketed(labelled(spark, sf_dir), f"seqflow_source_{uuid.uuid4().hex}", [P.PART], buckets, [P.PART, P.SUBPART])
+
+
+@register("prepare_bucketed",
+          f"SELECT {_SUMMARY_SQL_COLS} FROM ({O.all_features(O.prepared_train())}) GROUP BY part_number")
+def q_prepare_bucketed(spark, sf_dir):
+    """Ops 11 + 31: the flagship on a source bucketed on the part, where no row is exchanged."""
+    prepared = prepare_job(bucketed_source(spark, sf_dir), order_by=FX.MEASUREMENT_ORDER, mode="train",
+                           n_subparts=K_SUBPARTS, steps=STEPS, co_located=True)
+    return _summary(FE.add_all_features(prepared))
+
+
 # ---------------------------------------------------------------- preparation ops
 
 @register("normalize_subpart",

@@ -56,12 +56,14 @@ def filter_by_length_with_target(
     steps: int | None = None,
     part: str = PART,
     subpart: str = SUBPART,
+    co_located: bool = False,
 ) -> tuple[DataFrame, Column]:
     """Op 31 plus the longest kept sequence (the train padding length T).
 
     One partial aggregate of rows per (part, subpart) serves both: summed per part it
     gives the kept part set (semi-joined back), and its maximum over kept parts is T (a
     scalar subquery). Spark reuses the aggregate's exchange, so the counting pass runs once.
+    `co_located=True` (a source bucketed on the part) joins the kept parts bucket by bucket, without an exchange.
     """
     require(df, part, subpart)
     lo, hi = _bounds(df, n_subparts, steps, subpart)
@@ -71,7 +73,7 @@ def filter_by_length_with_target(
     kept = seq_counts.groupBy(part).agg(F.sum("__sf_c").alias("__sf_n")).where((n > lo) & (n < hi)).select(part)
     target = (seq_counts.join(kept, part, "left_semi")
               .select(F.coalesce(F.max("__sf_c"), F.lit(0)).cast("int")).scalar())
-    return df.join(kept, part, "left_semi"), target
+    return df.join(kept.hint("shuffle_hash") if co_located else kept, part, "left_semi"), target
 
 
 def filter_by_length(

@@ -34,22 +34,29 @@ def prepare_job_with_length(
     target_len: int | Column | None = None,
     n_subparts: int = 6,
     steps: int | None = None,
+    co_located: bool = False,
 ) -> tuple[DataFrame, Column]:
     """(prepared rows, T). T is the padding length: the scalar subquery computed here in
-    train mode (store it for val/test/score), else the value passed in."""
+    train mode (store it for val/test/score), else the value passed in.
+
+    `co_located=True` states that `first` is a table bucketed on the part (`write_bucketed`): its rows
+    are then not exchanged at all. A union loses the layout, so it takes no second table."""
     if mode not in MODES:
         raise ValueError(f"unknown mode {mode!r}; expected one of {MODES}")
+    if co_located and second is not None:
+        raise ValueError("a union is not co-located: write both tables into one bucketed table")
     df = P.union_sources(first, second) if second is not None else first
     df = P.normalize_subparts(df)
     if target_len is None and mode != "train":
         raise ValueError("target_len is required outside train mode (read it from the state table)")
     # max(subpart_index) of a dense index == longest kept sequence: counted before any window,
     # from the same per-sequence counts that decide which parts are kept
-    df, longest = P.filter_by_length_with_target(df, n_subparts=n_subparts, steps=steps)
+    df, longest = P.filter_by_length_with_target(df, n_subparts=n_subparts, steps=steps, co_located=co_located)
     if target_len is None:
         target_len = longest
     # one hash exchange on the part serves every later (part) and (part, subpart) window
-    df = df.repartition(P.PART)
+    if not co_located:
+        df = df.repartition(P.PART)
     df = P.add_subpart_index(df, order_by)
     df = P.pad_to_length(df, target_len)
     df = P.add_part_index(df)

@@ -72,3 +72,41 @@ def test_incremental_filter_pushed_to_parquet(spark, tmp_dir):
     raw = spark.read.parquet(f"{tmp_dir}/raw")
     text = plan(J.extract_measurements(J.unnest_json(J.incremental_filter(raw, 896659200000))))
     assert "GreaterThan(ts,896659200000)" in text
+
+
+def test_bucketed_source_needs_no_exchange(spark):
+    from pyspark.sql import functions as F
+
+    from seqflow.plans.prepare import prepare_job
+    source = C.bucketed_source(spark, SF_SMALL, buckets=5)
+    options = dict(order_by=FX.MEASUREMENT_ORDER, mode="score", n_subparts=C.K_SUBPARTS, steps=C.STEPS, target_len=90)
+    df = FE.add_all_features(prepare_job(source, co_located=True, **options))
+    text = plan(df)
+    assert "Exchange" not in text and "SelectedBucketsCount: 5 out of 5" in text
+    # and the summary per part that follows needs none either
+    assert "Exchange" not in plan(df.groupBy("part_number").agg(F.count(F.lit(1)).alias("n")))
+    plain = prepare_job(C.labelled(spark, SF_SMALL), **options)
+    both = [sorted(map(tuple, d.select("part_number", "subpart_no", "subpart_index", "part_index", "first_param").collect()), key=repr)
+            for d in (prepare_job(source, co_located=True, **options), plain)]
+    assert both[0] == both[1] and both[0]
+
+
+def test_bucketed_hot_key_and_defined_cases(spark):
+    import uuid
+
+    import pytest
+
+    from seqflow.plans.prepare import prepare_job
+    from seqflow.sources.tables import write_bucketed
+    rows = [(7, i) for i in range(3000)] + [(None, 1), (None, 2)] + [(i, 0) for i in range(50)]
+    name = f"seqflow_hot_{uuid.uuid4().hex}"
+    df = spark.createDataFrame(rows, "k long, v long")
+    got = write_bucketed(df, name, ["k"], 4, ["k", "v"])
+    assert sorted(map(tuple, got.collect()), key=repr) == sorted(rows, key=repr)
+    assert "Exchange" not in plan(got.groupBy("k").count())
+    assert dict(map(tuple, got.groupBy("k").count().collect()))[7] == 3001
+    assert write_bucketed(df.where("v < 0"), f"{name}_empty", ["k"], 4).count() == 0
+    with pytest.raises(ValueError):
+        write_bucketed(df, name, ["k"], 0)
+    with pytest.raises(ValueError):
+        prepare_job(df, df, order_by=["v"], co_located=True)
