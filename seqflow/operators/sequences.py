@@ -129,8 +129,8 @@ def split_groups(
     groups = df.groupBy(*keys).agg(F.max(label).alias(label)).withColumn("__sf_h", group_hash(keys, seed))
     ranked = ordered_index(groups, ["__sf_h", *keys], [label], name="__sf_rank", bounded_keys=True)
     # per-label totals, read off the numbered (checkpointed) rows instead of re-running the
-    # upstream plan; AQE broadcasts them where they are small
-    totals = ranked.groupBy(label).agg(F.count(F.lit(1)).alias("__sf_total"))
+    # upstream plan
+    totals = _class_counts(ranked, label, "__sf_total")
     j = ranked.join(totals, ranked[label].eqNullSafe(totals[label]), "inner").drop(totals[label])
     n_train = F.floor(F.col("__sf_total") * F.lit(p_train))
     n_val = F.floor((F.col("__sf_total") - n_train) * F.lit(p_val))
@@ -146,11 +146,17 @@ def assign_split(df: DataFrame, groups: DataFrame, which: str, keys: Sequence[st
     return df.join(sel, list(keys), "left_semi")
 
 
+def _class_counts(df: DataFrame, label: str, name: str = "__sf_cnt") -> DataFrame:
+    """Rows per class: a row for each of a label's few values, broadcast by name. Left to AQE, a join on so few keys is
+    not broadcast (most of its partitions are empty), and every row of a class meets in one task."""
+    return F.broadcast(df.groupBy(label).agg(F.count(F.lit(1)).alias(name)))
+
+
 def class_weights(df: DataFrame, label: str = LABEL, name: str = "weight") -> DataFrame:
     """Op 38: weight = 1 / count(rows of the same class). Class counts are a partial
-    aggregate joined back; AQE broadcasts them where the classes are few."""
+    aggregate, broadcast and joined back; the rows stay where they are."""
     require(df, label)
-    counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("__sf_cnt"))
+    counts = _class_counts(df, label)
     j = df.join(counts, df[label].eqNullSafe(counts[label]), "inner").drop(counts[label])
     return j.withColumn(name, 1.0 / F.col("__sf_cnt")).drop("__sf_cnt")
 
@@ -173,7 +179,7 @@ def resample_balanced(
     require(df, label, *keys)
     # one class-count aggregate gives the weights, the number of rows N and the number of
     # classes K; Spark reuses its exchange
-    counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("__sf_cnt"))
+    counts = _class_counts(df, label)
     n_rows = counts.select(F.sum("__sf_cnt")).scalar()
     k = counts.select(F.count(F.lit(1))).scalar()
     n_draws = (num_samples if isinstance(num_samples, Column)

@@ -48,7 +48,7 @@ def _estimator(model: str, params: dict | None, label: str, weight: str | None):
 def fit_classifier(train: DataFrame, model: str = "logistic", params: dict | None = None,
                    label: str = "subpart_label", weight: str | None = "weight") -> PipelineModel:
     """Op 69: fit on vectorised sequences with per-row class weights."""
-    data = materialize(sequence_vectors(train))
+    data = materialize(sequence_vectors(train).drop("features"))
     return Pipeline(stages=[_estimator(model, params, label, weight)]).fit(data)
 
 
@@ -76,7 +76,7 @@ def grid_search(train: DataFrame, grid: dict, model: str = "logistic", label: st
         builder = builder.addGrid(est.getParam(name), list(values))
     cv = CrossValidator(estimator=est, estimatorParamMaps=builder.build(), evaluator=f2_evaluator(label),
                         numFolds=folds, seed=seed, parallelism=2, collectSubModels=keep_models)
-    data = sequence_vectors(train)
+    data = sequence_vectors(train).drop("features")  # a fit reads the vectors only
     if fold_by:
         cv.setFoldCol(FOLD)
         data = data.withColumn(FOLD, fold_number(fold_by, folds, seed))

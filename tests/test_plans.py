@@ -110,3 +110,23 @@ def test_bucketed_hot_key_and_defined_cases(spark):
         write_bucketed(df, name, ["k"], 0)
     with pytest.raises(ValueError):
         prepare_job(df, df, order_by=["v"], co_located=True)
+
+
+def test_no_row_is_dealt_by_its_class(spark):
+    """Wide rows are joined with class counts where they lie, also where sizes are not known (checkpointed rows): dealt
+    by the label, all rows of a class would meet in one task."""
+    from pyspark.sql import functions as F
+
+    from seqflow.operators import sequences as SQ
+    from seqflow.session import materialize
+    rows = spark.range(0, 4000, 1, 8).select("id", F.col("id").cast("string").alias("part_number"), F.lit(1.0).alias("subpart_no"),
+                                             F.when(F.col("id") % 9 > 0, F.col("id") % 2).cast("double").alias("subpart_label"))
+    df = materialize(rows)
+    for out in (SQ.class_weights(df), SQ.resample_balanced(df, ["id"]), SQ.split_groups(df)):
+        text = plan(out)
+        assert "BroadcastHashJoin" in text and "SortMergeJoin" not in text and "ShuffledHashJoin" not in text
+    weights = materialize(SQ.class_weights(df))
+    held = weights.groupBy(F.spark_partition_id()).agg(F.count(F.lit(1)).alias("n")).collect()
+    assert len(held) == 8 and max(r["n"] for r in held) == 500
+    by_class = {r["subpart_label"]: r["s"] for r in weights.groupBy("subpart_label").agg(F.sum("weight").alias("s")).collect()}
+    assert set(by_class) == {0.0, 1.0, None} and all(abs(s - 1) < 1e-9 for s in by_class.values())
