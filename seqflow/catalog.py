@@ -1058,7 +1058,7 @@ def q_grid_search_folds(spark, sf_dir):
 
 def _seq_stats(pdf):
     import pandas as pd
-    x = pdf.sort_values("subpart_index")["first_param"]
+    x = pdf["first_param"].take(pdf["subpart_index"].to_numpy().argsort(kind="stable"))
     return pd.DataFrame({"part_number": [pdf["part_number"].iloc[0]], "subpart_no": [pdf["subpart_no"].iloc[0]],
                          "first_range": [float(x.max() - x.min())], "first_median": [float(x.median())],
                          "n_rows": [len(pdf)]})

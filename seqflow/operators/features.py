@@ -9,7 +9,8 @@ user-supplied per-sequence functions.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+import inspect
+from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -331,7 +332,61 @@ def apply_grouped_pandas(
 ) -> DataFrame:
     """Op 78: user-supplied per-sequence pandas function with a declared output schema.
 
-    Meant for bounded groups (sequences after the length filter); Arrow batches move
-    each group to one Python worker. Built-in features never go through here.
+    Meant for bounded groups (sequences after the length filter). Short groups cost more to send one by one than to
+    work on: the rows of many come in one batch, sorted by the keys, and are cut into groups there, at rows that Spark has
+    numbered 1. Columns whose pandas type depends on whether a group holds a NULL, and functions that take the
+    key, go to `applyInPandas`. Built-in features never go through here.
     """
-    return df.groupBy(*keys).applyInPandas(fn, schema)
+    keys = list(keys)
+    plain = all(f.dataType.typeName() in ("string", "double", "float") for f in df.schema.fields)
+    if not plain or len(inspect.getfullargspec(fn).args) != 1:
+        return df.groupBy(*keys).applyInPandas(fn, schema)
+    first = F.row_number().over(Window.partitionBy(*keys).orderBy(*keys)) == 1
+    return df.withColumn(_FIRST_ROW, first).mapInPandas(lambda batches: _results(fn, _groups(batches)), schema)
+
+
+_FIRST_ROW = "__sf_first_row"
+
+
+def _joined(frames: list[pd.DataFrame]) -> pd.DataFrame:
+    return pd.concat(frames, ignore_index=True) if len(frames) > 1 else frames[0].reset_index(drop=True)
+
+
+def _groups(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The groups of batches in which a group's rows lie one behind the other."""
+    held: list[pd.DataFrame] = []  # of the group that may go on in the next batch
+    for batch in batches:
+        begins = batch[_FIRST_ROW].to_numpy().nonzero()[0].tolist()
+        rows = batch.drop(columns=_FIRST_ROW)
+        for a, b in zip([0, *begins], [*begins, len(rows)], strict=True):
+            if b > a:
+                if held and a in begins[:1]:
+                    yield _joined(held)
+                    held = []
+                if b < len(rows):
+                    yield _joined([*held, rows.iloc[a:b]])
+                    held = []
+                else:
+                    held.append(rows.iloc[a:b])
+    if held:
+        yield _joined(held)
+
+
+def _results(fn: Callable[[pd.DataFrame], pd.DataFrame], groups: Iterator[pd.DataFrame], most: int = 1000) -> Iterator[pd.DataFrame]:
+    """`fn` of each group; results of the same columns and types are put together, up to `most` frames."""
+    held: list[pd.DataFrame] = []
+    kind = None
+    for group in groups:
+        out = fn(group)
+        plain = isinstance(out, pd.DataFrame) and out.columns.is_unique and len(out) > 0
+        now = ([*out.columns], [*out.dtypes]) if plain else None
+        if held and (len(held) == most or now != kind):
+            yield _joined(held)
+            held = []
+        if plain:
+            held.append(out)
+            kind = now
+        else:
+            yield out  # as it is: Spark checks it
+    if held:
+        yield _joined(held)

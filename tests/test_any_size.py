@@ -100,3 +100,34 @@ def test_no_window_over_a_whole_group(hot):
 def test_padding_from_counts(hot):
     for t in (1, 40, 5000):
         assert key(P.pad_to_length(hot, t, skew_safe=True).collect()) == key(P.pad_to_length(hot, t).collect())
+
+
+def test_grouped_pandas_over_many_batches(spark):
+    """Groups shorter and longer than a batch, null, NaN and signed zero keys, results of changing types; each group whole."""
+    import pandas as pd
+
+    rng, nan = random.Random(3), float("nan")
+    keys = [(p, s) for p in ("a", "b", None) for s in (0.0, 1.0, nan, None)] + [("long", 1.0)]
+    rows = [(p, -0.0 if s == 0.0 and i % 2 else s, rng.choice([None, rng.random()])) for p, s in keys for i in range(900 if p == "long" else rng.randint(1, 9))]
+    df = spark.createDataFrame(rows, "part_number string, subpart_no double, x double").repartition(5)
+
+    def stats(pdf):
+        assert list(pdf.index) == list(range(len(pdf))) and list(pdf.columns) == ["part_number", "subpart_no", "x"]
+        out = pd.DataFrame({"p": [pdf["part_number"].iloc[0]], "n": [len(pdf)], "seen": [int(pdf["x"].notna().sum()) if len(pdf) % 2 else None]})
+        return out if len(pdf) != 2 else pd.DataFrame()
+
+    schema = "p string, n long, seen long"
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    try:
+        for batch in ("7", "10000"):
+            spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
+            got = FE.apply_grouped_pandas(df, stats, schema)
+            assert "MapInPandas" in got._jdf.queryExecution().toString()  # not a message to Python per group
+            assert key(got.collect()) == key(df.groupBy("part_number", "subpart_no").applyInPandas(stats, schema).collect())
+        assert FE.apply_grouped_pandas(df.where("x > 2"), stats, schema).count() == 0
+        # whole numbers keep their type per group, and a function may take the key
+        numbers = spark.createDataFrame([("a", 1.0, 2**60 + 1), ("b", 1.0, None)], "part_number string, subpart_no double, x long")
+        with_key = FE.apply_grouped_pandas(numbers, lambda k, pdf: pd.DataFrame({"p": [k[0]], "x": [str(pdf["x"].iloc[0])]}), "p string, x string")
+        assert dict(map(tuple, with_key.collect()))["a"] == str(2**60 + 1)
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
