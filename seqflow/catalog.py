@@ -355,7 +355,8 @@ def q_union_sources(spark, sf_dir):
           "SELECT part_number, l_orderkey, l_partkey, row_number() OVER (ORDER BY part_number, subpart_no, "
           f"l_shipdate, l_orderkey, l_partkey, second_param) - 1 AS row_index FROM ({O.measure()})")
 def q_row_index(spark, sf_dir):
-    df = add_row_index(FX.measurements(spark, sf_dir), ["part_number", "subpart_no", *FX.MEASUREMENT_ORDER])
+    order = ["part_number", "subpart_no", *FX.MEASUREMENT_ORDER]
+    df = add_row_index(FX.measurements(spark, sf_dir).select(*order), order)
     return df.select("part_number", "l_orderkey", "l_partkey", "row_index")
 
 
@@ -372,7 +373,8 @@ def _scratch(spark, name: str) -> str:
 def q_ordered_write_read(spark, sf_dir):
     """Ops 13 + 60: the row order is written, read back and kept by a sort on the index."""
     path = _scratch(spark, "ordered")
-    df = add_row_index(FX.measurements(spark, sf_dir), ["part_number", "subpart_no", *FX.MEASUREMENT_ORDER])
+    order = ["part_number", "subpart_no", *FX.MEASUREMENT_ORDER]
+    df = add_row_index(FX.measurements(spark, sf_dir).select(*order), order)
     ORD.write_ordered(df.select("part_number", "l_orderkey", "row_index"), path)
     return ORD.sort_by_row_index(ORD.read_ordered(spark, path))
 

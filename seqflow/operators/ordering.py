@@ -6,18 +6,19 @@ index, a raw source key before any length filter) we number rows the way a Spark
 numbers a sorted dataset: range-partition on (k, o) so a hot key is cut into many
 partitions, count rows per (partition, key), turn the counts into offsets on that small
 table, and add the local position. Work is two scans of the data and one shuffle; the
-offsets table has at most (partitions + keys) rows. The numbered rows are checkpointed
-once (an eager write to `spark.checkpoint.dir`), so both uses see the same numbering.
+offsets table has at most (partitions + keys) rows. The numbered rows are written once
+(as Parquet, under `spark.checkpoint.dir`), so both uses see the same numbering.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from seqflow.session import checkpoint_dir
+from seqflow.session import scratch_path
 
 _PID, _POS, _CNT, _FIRST, _OFF = "__sf_pid", "__sf_pos", "__sf_cnt", "__sf_first", "__sf_off"
 
@@ -68,9 +69,10 @@ def _ranged(df: DataFrame, order_by: Sequence[str | Column], keys: Sequence[str]
     )
     # The partition id and position must be the same values in all uses. Two executions of a
     # range exchange may cut ranges differently (column pruning can stop exchange reuse), so the
-    # numbered rows are written once (reliable checkpoint in the shared `spark.checkpoint.dir`).
-    checkpoint_dir(df.sparkSession)
-    return ranged.checkpoint(eager=True)
+    # numbered rows are written once; as Parquet, of which the offsets read only the few columns they need.
+    path = scratch_path(df.sparkSession, f"ranged-{uuid.uuid4().hex}")
+    ranged.write.parquet(path)
+    return df.sparkSession.read.schema(ranged.schema).parquet(path)
 
 
 def _with_block(ranged: DataFrame, blocks: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -128,7 +128,7 @@ def split_groups(
     p_train, p_val = split_fractions(train_size, val_size)
     groups = df.groupBy(*keys).agg(F.max(label).alias(label)).withColumn("__sf_h", group_hash(keys, seed))
     ranked = ordered_index(groups, ["__sf_h", *keys], [label], name="__sf_rank", bounded_keys=True)
-    # per-label totals, read off the numbered (checkpointed) rows instead of re-running the
+    # per-label totals, read off the numbered (written) rows instead of re-running the
     # upstream plan
     totals = _class_counts(ranked, label, "__sf_total")
     j = ranked.join(totals, ranked[label].eqNullSafe(totals[label]), "inner").drop(totals[label])

@@ -130,3 +130,22 @@ def test_no_row_is_dealt_by_its_class(spark):
     assert len(held) == 8 and max(r["n"] for r in held) == 500
     by_class = {r["subpart_label"]: r["s"] for r in weights.groupBy("subpart_label").agg(F.sum("weight").alias("s")).collect()}
     assert set(by_class) == {0.0, 1.0, None} and all(abs(s - 1) < 1e-9 for s in by_class.values())
+
+
+def test_numbered_rows_are_read_by_column(spark):
+    """Of the numbered rows, the offsets read the range and the position only, not whole rows as from a checkpoint."""
+    from seqflow.operators.ordering import add_row_index
+    df = add_row_index(spark.range(0, 500).selectExpr("id", "repeat('x', 50) AS wide"), ["id"])
+    scans = [x for x in plan(df).split("\n") if "ReadSchema" in x]
+    assert len(scans) == 2 and sum("wide" not in x.split("ReadSchema")[1] for x in scans) == 1
+    assert [r["row_index"] for r in df.orderBy("id").collect()] == list(range(500))
+
+
+def test_json_source_and_lookups_once(spark, tmp_dir):
+    """Rows are exchanged before they are collected, and an element's value is looked up once."""
+    from seqflow.sources import json_source as J
+    text = plan(FX.json_source(spark, SF_SMALL))
+    assert text.index("Exchange hashpartitioning") > text.rindex("collect_list(")  # below both steps of the aggregate
+    FX.json_source(spark, SF_SMALL).write.parquet(f"{tmp_dir}/raw")
+    text = plan(J.extract_measurements(J.unnest_json(spark.read.parquet(f"{tmp_dir}/raw"))))
+    assert text.count("try_variant_get(") == len(J.KEY_MAP)
