@@ -79,8 +79,10 @@ def json_source(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_orderkey").cast("double").alias("PROCESS_PART_TEMPERATURE_B"),
     )
     ms = epoch_millis(li, "l_shipdate")
+    # a group has few rows, so collecting them before the exchange would save nothing
+    rows = li.select("l_suppkey", "l_orderkey", "l_linenumber", "l_tax", "l_discount", "l_extendedprice", "l_quantity", "l_partkey", "l_shipdate")
     return (
-        li.groupBy("l_suppkey", "l_orderkey")
+        rows.repartition("l_suppkey", "l_orderkey").groupBy("l_suppkey", "l_orderkey")
         .agg(
             F.max(ms).alias("ts"),
             F.to_json(F.transform(

@@ -45,13 +45,10 @@ def extract_measurements(df: DataFrame, value: str = "value", keep=("ts", "devic
     """Op 4: typed columns from each element; missing key, bad cast or NaN -> NULL
     (`strict=True`: bad cast fails). Bracket paths, since keys contain '(' and '.'."""
     get = F.variant_get if strict else F.try_variant_get
-    cols = [F.col(k) for k in keep]
-    if keep_pos and "pos" in df.columns:
-        cols.append(F.col("pos"))
-    for k, name, t in KEY_MAP:
-        v = get(F.col(value), '$["' + k + '"]', t)
-        cols.append((F.when(~F.isnan(v), v) if t == "double" else v).alias(name))  # NaN is a missing value
-    return df.select(*cols)
+    kept = [*keep, *(["pos"] if keep_pos and "pos" in df.columns else [])]
+    rows = df.select(*kept, *[get(F.col(value), '$["' + k + '"]', t).alias(name) for k, name, t in KEY_MAP])
+    # a projection of its own, so that a value used twice is looked up once; NaN is a missing value
+    return rows.select(*kept, *[F.when(~F.isnan(name), F.col(name)).alias(name) if t == "double" else name for _, name, t in KEY_MAP])
 
 
 def newest(df: DataFrame, ts: str = "ts") -> DataFrame:
