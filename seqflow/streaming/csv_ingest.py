@@ -21,11 +21,21 @@ from pyspark.sql.streaming import StreamingQuery
 
 from seqflow.sources import csv_folder as CSV
 
+LISTING, DEFAULT_LISTING, LISTING_TASKS = "spark.sql.sources.parallelPartitionDiscovery.parallelism", "10000", "64"
 FILE_SCHEMA = "path STRING, modificationTime TIMESTAMP, length BIGINT, content BINARY"
 
 
+def few_listing_tasks(spark: SparkSession) -> None:
+    """Unless the session sets a number of its own, a batch's files are looked up by `LISTING_TASKS` tasks (Spark's default
+    is one task a file, each with a result of some KB for the driver). The file source reads the session's setting
+    while the query runs, so it stays."""
+    if spark.conf.get(LISTING, DEFAULT_LISTING) == DEFAULT_LISTING:
+        spark.conf.set(LISTING, LISTING_TASKS)
+
+
 def new_files(spark: SparkSession, folder: str, files_type: str, resend: str = "7 days", max_files_per_trigger: int | None = None) -> DataFrame:
     """A stream of files (path, name, content), each name and content once. `folder` may be a glob of drop folders."""
+    few_listing_tasks(spark)
     glob = f"{CSV.NG_KIND}_*.csv" if files_type == "NG" else "*.csv"
     reader = spark.readStream.format("binaryFile").schema(FILE_SCHEMA).option("pathGlobFilter", glob).option("recursiveFileLookup", "true")
     if max_files_per_trigger:
@@ -39,7 +49,8 @@ def new_files(spark: SparkSession, folder: str, files_type: str, resend: str = "
 def start_folder_ingest(spark: SparkSession, folder: str, files_type: str, device: str, sink_dir: str, checkpoint_dir: str,
                         schema: Sequence[str] = CSV.DEFAULT_SCHEMA, header_rows: int = 1, source_rank: int = 0, resend: str = "7 days",
                         available_now: bool = True, max_files_per_trigger: int | None = None) -> StreamingQuery:
-    """Appends the rows of new files to a Parquet sink; exactly once through the checkpoint."""
+    """Appends the rows of new files to a Parquet sink; exactly once through the checkpoint. The driver holds the names of one
+    batch's files at a time: `max_files_per_trigger` bounds them."""
     files = new_files(spark, folder, files_type, resend, max_files_per_trigger)
     rows = CSV.ingest_files(files, files_type, device, schema, header_rows, source_rank)
     w = rows.writeStream.format("parquet").option("checkpointLocation", checkpoint_dir).outputMode("append")

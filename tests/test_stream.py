@@ -167,3 +167,35 @@ def test_merge_runs():
     assert merge_runs([x, y, z], 5, None) == [(0, 40, 6, [b"x", b"z", b"y"])]
     assert merge_runs([x, y, z], 5, 4) == [(0, 40, 6, [])]
     assert merge_runs([x, (10, 10, 1, [b"t"])], 0, None) == [(0, 10, 3, [b"x", b"t"])]
+
+
+def test_listing_takes_few_tasks(spark, tmp_dir):
+    """A batch's files are looked up by a few tasks, not by one a file, each of which answers the driver; cut into
+    batches, the files give the same rows, and those sent again are dropped in a later batch, too."""
+    from seqflow.streaming import csv_ingest as SC
+
+    folder = os.path.join(tmp_dir, "in", "a", "OK")
+    os.makedirs(folder)
+    for i in range(90):
+        with open(os.path.join(folder, f"B_0_1_{i}_z.csv"), "w") as f:
+            f.write(f"title\r\nheader\r\n1.0,0.0,0.0,0.0,{i}.0,,,,,,1.0,2.0\r\n")
+    own = spark.conf.get(SC.LISTING, SC.DEFAULT_LISTING)
+    spark.conf.set(SC.LISTING, SC.DEFAULT_LISTING)
+    try:
+        def run():
+            query = SC.start_folder_ingest(spark, f"{tmp_dir}/in/*/OK", "OK", "M1", f"{tmp_dir}/sink", f"{tmp_dir}/checkpoint", max_files_per_trigger=50)
+            query.awaitTermination()
+            return sorted(r["first_param"] for r in spark.read.parquet(f"{tmp_dir}/sink").select("first_param").collect())
+
+        assert run() == [float(i) for i in range(90)]
+        assert int(spark.conf.get(SC.LISTING)) <= 64
+        again = os.path.join(tmp_dir, "in", "b", "OK")
+        os.makedirs(again)
+        for name in os.listdir(folder):
+            with open(os.path.join(folder, name), "rb") as f, open(os.path.join(again, name), "wb") as g:
+                g.write(f.read())
+        assert run() == [float(i) for i in range(90)]
+        spark.conf.set(SC.LISTING, "7")
+        assert run() and spark.conf.get(SC.LISTING) == "7"  # a number of the session's own stays
+    finally:
+        spark.conf.set(SC.LISTING, own)
