@@ -930,7 +930,8 @@ def q_stream_prepare_features(spark, sf_dir):
 
 
 def _nested_with_split(spark, sf_dir, engineered: bool = False):
-    """Nested sequences with their split; written first, as the split and the join both read them."""
+    """Nested sequences with their split; written first, as the split and the jobs after it read them. A fit's tasks then
+    hold what a split of the files holds, and not a share of the rows that depends on the shuffle partitions."""
     if engineered:
         df, t = prepare_job_with_length(labelled(spark, sf_dir), order_by=FX.MEASUREMENT_ORDER, mode="train",
                                         n_subparts=K_SUBPARTS, steps=STEPS)
@@ -940,7 +941,7 @@ def _nested_with_split(spark, sf_dir, engineered: bool = False):
         nested = SQ.nest_sequences(_chunked(spark, sf_dir), _SEQ_FEATURES, by=("part_number",))
     nested = TB.write_table(nested, path=_scratch(spark, "nested"))
     groups = SQ.split_groups(nested, keys=("part_number", "chunk"), train_size=0.75, val_size=0.1)
-    return MD.materialize(nested.join(groups.select("part_number", "chunk", "split"), ["part_number", "chunk"]))
+    return SQ.with_split(nested, groups, keys=("part_number", "chunk"))
 
 
 @register("fit_score_report")

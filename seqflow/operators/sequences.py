@@ -146,6 +146,25 @@ def assign_split(df: DataFrame, groups: DataFrame, which: str, keys: Sequence[st
     return df.join(sel, list(keys), "left_semi")
 
 
+def with_split(df: DataFrame, groups: DataFrame, label: str = LABEL, keys: Sequence[str] = (PART, SUBPART), seed: int = 42) -> DataFrame:
+    """Adds `split` to the rows of `df`, one per group, from the `split_groups` of these rows with the same keys and seed;
+    rows with a NULL key are left out, as by a join on the keys.
+
+    Wide rows stay where they are, so a task holds a split of the scan whatever the number of shuffle partitions: a label's
+    groups lie in the order of (hash, keys), train first, then val, so each label's last group of train and of val decide.
+    They are a row per label, broadcast by name."""
+    keys = list(keys)
+    require(df, label, *keys)
+    at = F.struct(group_hash(keys, seed).alias("h"), *[F.col(k) for k in keys])
+    last = groups.groupBy(label).agg(*[F.max(F.when(F.col("split") == s, at)).alias(f"__sf_{s}") for s in ("train", "val")])
+    known = df
+    for k in keys:
+        known = known.where(F.col(k).isNotNull())
+    j = known.join(F.broadcast(last), known[label].eqNullSafe(last[label]), "inner").drop(last[label])
+    split = F.when(at <= F.col("__sf_train"), "train").when(at <= F.col("__sf_val"), "val").otherwise("test")
+    return j.withColumn("split", split).drop("__sf_train", "__sf_val")
+
+
 def _class_counts(df: DataFrame, label: str, name: str = "__sf_cnt") -> DataFrame:
     """Rows per class: a row for each of a label's few values, broadcast by name. Left to AQE, a join on so few keys is
     not broadcast (most of its partitions are empty), and every row of a class meets in one task."""

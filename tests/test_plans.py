@@ -1,5 +1,7 @@
 """Physical plan checks: one exchange for the windowed chain, pushdown, no Python UDFs."""
 
+import pytest
+
 from seqflow import catalog as C
 from seqflow.operators import features as FE
 from seqflow.sources import fixtures as FX
@@ -149,3 +151,47 @@ def test_json_source_and_lookups_once(spark, tmp_dir):
     FX.json_source(spark, SF_SMALL).write.parquet(f"{tmp_dir}/raw")
     text = plan(J.extract_measurements(J.unnest_json(spark.read.parquet(f"{tmp_dir}/raw"))))
     assert text.count("try_variant_get(") == len(J.KEY_MAP)
+
+
+def test_sequences_get_their_split_where_they_lie(spark, tmp_dir):
+    """The wide rows are not shuffled for their split, also where the groups are too many to broadcast: a task of a fit holds
+    a split of the files, and not one of the shuffle partitions."""
+    from pyspark.sql import functions as F
+
+    from seqflow.operators import sequences as SQ
+    n = F.col("id") % 602  # 20 parts of 7 x 86 rows
+    spark.range(20 * 602).select(
+        "id", F.col("id").alias("l_orderkey"), F.col("id").alias("l_partkey"), F.floor(F.col("id") / 602).alias("l_suppkey"), (n % 7 + 1).cast("int").alias("l_linenumber"),
+        *[(F.col("id") * k % 97).cast("double").alias(c) for k, c in enumerate(("l_quantity", "l_extendedprice", "l_discount", "l_tax"), 3)],
+        F.timestamp_seconds(n * 86400).alias("l_shipdate")).write.parquet(f"{tmp_dir}/lineitem.parquet")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    try:
+        data = C._nested_with_split(spark, tmp_dir)
+        text = plan(data.select("part_number", "features", "split"))
+        assert "BroadcastHashJoin" in text and "SortMergeJoin" not in text and "ShuffledHashJoin" not in text
+        wide = [x for x in text.split("FileScan parquet")[1:] if x.split("]")[0].count("features")]
+        assert len(wide) == 1  # read from the files by the consumer itself
+        rows = data.select("part_number", "chunk", "subpart_label", "split").collect()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+    assert len(rows) >= 20
+    groups = SQ.split_groups(data, keys=("part_number", "chunk"), train_size=0.75, val_size=0.1)
+    assert sorted(map(tuple, rows)) == sorted(map(tuple, groups.select("part_number", "chunk", "subpart_label", "split").collect()))
+
+
+@pytest.mark.parametrize("n", [0, 1, 3, 400])
+def test_split_by_the_last_groups_equals_the_join(spark, n):
+    """Labels that are NULL, or with too few groups for a train or val part, and NULL keys."""
+    from pyspark.sql import functions as F
+
+    from seqflow.operators import sequences as SQ
+    df = spark.range(n).select(F.when(F.col("id") % 11 > 0, F.col("id").cast("string")).alias("p"), (F.col("id") % 3).alias("c"),
+                               F.when(F.col("id") % 7 == 0, 1.0).when(F.col("id") % 50 < 40, 0.0).when(F.col("id") == 41, 2.0).alias("l"))
+    df = df.dropDuplicates(["p", "c"]).localCheckpoint()
+    for sizes in ((0.75, 0.1), (0.0, 0.5), (0.4, 0.0)):
+        groups = SQ.split_groups(df, "l", ["p", "c"], *sizes)
+        got = SQ.with_split(df, groups, "l", ["p", "c"]).select("p", "c", "l", "split").collect()
+        want = df.join(groups.select("p", "c", "split"), ["p", "c"]).select("p", "c", "l", "split").collect()
+        assert sorted(map(repr, got)) == sorted(map(repr, want))
