@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -64,6 +65,22 @@ def _claimed(spark: SparkSession, folder: str) -> int:
     return max((int(n) for n in names if n.isdigit()), default=0)
 
 
+def _append(df: DataFrame, path: str) -> None:
+    """Appends rows that are written aside first, by moving their files into the table. Appends that Spark writes into one
+    folder at a time share its `_temporary`, which the first to end removes under the others."""
+    spark = df.sparkSession
+    aside = f"{path.rstrip('/')}_rows/{uuid.uuid4().hex}"
+    df.write.parquet(aside)
+    source, to = (spark._jvm.org.apache.hadoop.fs.Path(p) for p in (aside, path))
+    fs = to.getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.mkdirs(to)
+    for f in fs.listStatus(source):
+        name = f.getPath().getName()
+        if not name.startswith(("_", ".")) and not fs.rename(f.getPath(), spark._jvm.org.apache.hadoop.fs.Path(to, name)):
+            raise OSError(f"{f.getPath()} could not be moved into {path}")
+    fs.delete(source, True)
+
+
 def set_value(spark: SparkSession, path: str, key: str, value) -> bool:
     """Op 14 (set): append a new version unless the JSON text equals the latest; returns
     whether a row was written.
@@ -82,7 +99,7 @@ def set_value(spark: SparkSession, path: str, key: str, value) -> bool:
         version = max(cur[0]["version"] if cur else 0, _claimed(spark, claims)) + 1
         if _create_if_absent(spark, f"{claims}/{version}"):
             break
-    spark.createDataFrame([(key, text, version)], STATE_SCHEMA).write.mode("append").parquet(path)
+    _append(spark.createDataFrame([(key, text, version)], STATE_SCHEMA), path)
     return True
 
 

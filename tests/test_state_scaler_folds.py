@@ -47,6 +47,18 @@ def test_a_claim_without_a_row_leaves_a_gap(spark, tmp_dir):
     assert ST.get_value(spark.read.parquet(path), "k") == 2
 
 
+def test_an_append_leaves_the_files_of_others_alone(spark, tmp_dir):
+    """Another writer's files in work, which Spark's committer would remove when it ends."""
+    import pathlib
+
+    path = f"{tmp_dir}/state"
+    assert ST.set_value(spark, path, "k", 1)
+    work = pathlib.Path(path, "_temporary", "0", "_temporary", "attempt_1")
+    work.mkdir(parents=True)
+    assert ST.set_value(spark, path, "k", 2) and work.exists()
+    assert sorted((r["version"], r["value"]) for r in spark.read.parquet(path).collect()) == [(1, "1"), (2, "2")]
+
+
 @pytest.mark.parametrize("parts", [1, 4])
 def test_merged_moments_equal_one_fit(spark, parts):
     rng = random.Random(parts)
