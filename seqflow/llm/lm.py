@@ -48,6 +48,7 @@ DIM, HIDDEN = 16, 32
 GROUPS, SLOTS = 32, 32  # outcomes are predicted in two steps: the group, and the slot in it
 INPUTS = GROUPS * SLOTS  # input rows (start, rare, frequent subwords); as many outcomes (end, rare, frequent subwords)
 PIECE_WINDOWS = 32  # windows of a text that are kept in one row
+CHUNK = 32  # targets of a group that are multiplied together
 BATCH_WINDOWS = 48  # that a step of training takes
 LEAD = 1 << 10  # added to the row of what starts a word or ends a text
 PIECE = 256  # longer words are encoded in pieces of so many characters
@@ -71,16 +72,18 @@ class Subwords:
             return self.coder.encode_ordinary(text)
         return [i for a in range(0, len(text), PIECE) for i in self.coder.encode_ordinary(text[a:a + PIECE])]
 
-    def encode_all(self, words: list[bytes]) -> list[list[int]]:
-        """`encode` of each word. Short words go as one text, which the coder splits before every space: a subword
-        that starts with a space starts a word. Where that doesn't add up, each is encoded by itself."""
+    def encode_all(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """`encode` of each word: all subwords in a row, and how many each has. Short words go as one text, which the coder
+        splits before every space: a subword that starts with a space starts a word. Where that doesn't add up, each is
+        encoded by itself."""
         if max(map(len, words), default=0) < PIECE:
-            ids = np.array(self.coder.encode_ordinary(" " + b" ".join(words).decode("utf-8", "replace")), np.int64)
+            ids = np.array(self.coder.encode_ordinary(" " + b" ".join(words).decode("utf-8", "replace")), np.int32)
             starts = np.flatnonzero(self.lead[ids])
             if len(starts) == len(words):
-                flat, ends = ids.tolist(), [*starts.tolist()[1:], len(ids)]
-                return [flat[a:b] for a, b in zip(starts.tolist(), ends)]
-        return [self.encode(w) for w in words]
+                return ids, np.diff(starts, append=len(ids))
+        each = [self.encode(w) for w in words]
+        size = np.array([len(x) for x in each], np.int64)
+        return np.fromiter(chain.from_iterable(each), np.int32, size.sum()), size
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -197,10 +200,8 @@ def pair_counts(words: DataFrame, shared) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder, total = _subwords(shared), Counter()
         for b in batches:
-            ids = coder.encode_all(b.column("word").cast(pa.binary()).to_pylist())
-            n = b.column("c").to_numpy(zero_copy_only=False)
-            size = np.array([len(x) for x in ids])
-            flat = np.fromiter(chain.from_iterable(ids), np.int64, size.sum())
+            flat, size = coder.encode_all(b.column("word").cast(pa.binary()).to_pylist())
+            flat, n = flat.astype(np.int64), b.column("c").to_numpy(zero_copy_only=False)
             end = np.cumsum(size)
             code = np.concatenate([flat[:-1] * (1 << 32) + flat[1:] + 1, flat[end - size] + 1 - (1 << 32), flat[end - 1] << 32])
             inner = np.ones(max(len(flat) - 1, 0), bool)
@@ -277,75 +278,128 @@ def new_weights(seed: int = 5) -> dict[str, np.ndarray]:
     return w | {n: np.zeros(s, np.float32) for n, s in zeros.items()}
 
 
+def _softmax(lo: np.ndarray) -> np.ndarray:
+    """Of the last axis. Rows' sums are a product with ones; rows' greatest are only looked for where exponentials could
+    leave the range without."""
+    ones = np.ones(lo.shape[-1], lo.dtype)
+    with np.errstate(over="ignore"):
+        z = np.exp(lo)
+    total = z @ ones
+    if not (total.min(initial=1) > 1e-20 and total.max(initial=1) < 1e20):
+        z = np.exp(lo - lo.max(-1, keepdims=True))
+        total = z @ ones
+    z *= (1 / total)[..., None]
+    return z
+
+
 def gradients(w: dict[str, np.ndarray], group: np.ndarray, slot: np.ndarray, x: np.ndarray, y: np.ndarray) -> tuple[float, dict[str, np.ndarray]]:
     """Mean loss of windows x (B, WINDOW input rows) with outcomes y (B, STEP; -1: not counted), and its gradients.
     group, slot: the pair model's log probabilities."""
-    e = w["E"][x]
-    eq, c = e[:, BACK:], np.float32(DIM ** -0.5)
-    q, k, v = eq @ w["q"] * c, e @ w["k"], e @ w["v"]
-    s = q @ k.transpose(0, 2, 1) + np.where(_FUTURE, np.float32(-1e9), w["age"][_AGE])
-    s -= s.max(-1, keepdims=True)
-    p = np.exp(s)
-    p /= p.sum(-1, keepdims=True)
-    h = (eq + p @ v).reshape(-1, DIM)
-    a = np.maximum(h @ w["w1"] + w["b1"], 0)
+    kind, c = w["E"].dtype, w["E"].dtype.type(DIM ** -0.5)
+    xq, t, flat = x[:, BACK:], y.ravel(), lambda m: m.reshape(-1, m.shape[-1])
+    e, kv = np.take(w["E"], x, axis=0), np.hstack([w["k"], w["v"]])
+    eq = np.ascontiguousarray(e[:, BACK:])
+    q, both = (flat(eq) @ (w["q"] * c)).reshape(eq.shape), (flat(e) @ kv).reshape(len(x), WINDOW, 2 * DIM)
+    k, v = both[:, :, :DIM], both[:, :, DIM:]
+    s = q @ k.transpose(0, 2, 1)
+    s += np.where(_FUTURE, kind.type(-1e9), w["age"][_AGE])
+    p = _softmax(s)
+    # from here on, what counts, in the order of its group
+    tg = np.where(t >= 0, t // SLOTS, GROUPS).astype(np.uint8)
+    order = np.argsort(tg, kind="stable")
+    ends = np.searchsorted(tg[order], np.arange(GROUPS + 1)).tolist()
+    order = order[:ends[-1]]
+    row, tg, ts = np.take(xq.ravel(), order), np.take(tg, order), np.take(t, order) % SLOTS
+    h = np.take(flat(eq + p @ v), order, axis=0)
+    a = h @ w["w1"]
+    a += w["b1"]
+    np.maximum(a, 0, out=a)
     h2 = h + a @ w["w2"]
-    row, t = x[:, BACK:].ravel(), y.ravel()
-    at, live = np.arange(len(t)), (t >= 0).astype(np.float32)
-    n = max(float(live.sum()), 1.0)
-    tg, ts = np.where(t >= 0, t // SLOTS, 0), np.where(t >= 0, t % SLOTS, 0)
-
-    def slope(lo: np.ndarray, goal: np.ndarray, live: np.ndarray) -> tuple[float, np.ndarray]:
-        z = np.exp(lo - lo.max(1, keepdims=True))
-        z /= z.sum(1, keepdims=True)
-        i = np.arange(len(goal))
-        loss = -float((np.log(z[i, goal] + 1e-30) * live).sum()) / n
-        z[i, goal] -= 1
-        z *= (live / n)[:, None]
-        return loss, z
-
-    loss, z = slope(h2 @ w["wg"] + w["bg"] + group[row], tg, live)
-    g = {"wg": h2.T @ z, "bg": z.sum(0), "ws": np.zeros_like(w["ws"]), "bs": np.zeros_like(w["bs"])}
+    n, at, ones = max(len(order), 1), np.arange(len(order)) * SLOTS, np.ones(len(order), kind)
+
+    def slope(lo: np.ndarray, goal: np.ndarray) -> tuple[float, np.ndarray]:
+        z = _softmax(lo)
+        i, cells = at + goal, z.reshape(-1)
+        hit = cells[i]
+        cells[i] = hit - 1
+        z *= kind.type(1 / n)
+        return -float(np.log(hit + 1e-30).sum()) / n, z
+
+    lo = h2 @ w["wg"]
+    lo += np.take(group, row, axis=0)
+    lo += w["bg"]
+    loss, z = slope(lo, tg)
+    g = {"wg": h2.T @ z, "bg": ones @ z, "ws": np.zeros_like(w["ws"]), "bs": np.zeros_like(w["bs"])}
     d2 = z @ w["wg"].T
-    order = np.argsort(tg, kind="stable")
-    ends = np.searchsorted(tg[order], np.arange(GROUPS + 1))
-    for j in range(GROUPS):
-        own = order[ends[j]:ends[j + 1]]
-        if len(own):
-            more, z = slope(h2[own] @ w["ws"][j] + w["bs"][j] + slot[j][row[own]], ts[own], live[own])
-            loss += more
-            g["ws"][j], g["bs"][j] = h2[own].T @ z, z.sum(0)
-            d2[own] += z @ w["ws"][j].T
+    # a group's targets in chunks of CHUNK, so that all groups are multiplied at once
+    size = np.diff(ends)
+    chunks = -(-size // CHUNK)
+    of = np.repeat(np.arange(GROUPS), chunks)
+    place = np.arange(len(order)) + np.repeat((np.cumsum(chunks) - chunks) * CHUNK - ends[:-1], size)
+    h_in, z_in = np.zeros((len(of), CHUNK, DIM), kind), np.zeros((len(of), CHUNK, SLOTS), kind)
+    flat(h_in)[place] = h2
+    lo = np.take(flat(slot), tg.astype(np.int32) * INPUTS + row, axis=0)
+    lo += np.take(flat(h_in @ w["ws"][of] + w["bs"][of, None]), place, axis=0)
+    more, z = slope(lo, ts)
+    flat(z_in)[place] = z
+    d2 += np.take(flat(z_in @ w["ws"].transpose(0, 2, 1)[of]), place, axis=0)
+    for j, (first, end) in enumerate(zip(ends, ends[1:])):
+        if end > first:
+            np.matmul(h2[first:end].T, z[first:end], out=g["ws"][j])
+            np.matmul(ones[first:end], z[first:end], out=g["bs"][j])
     g["w2"] = a.T @ d2
-    da = d2 @ w["w2"].T * (a > 0)
-    g["w1"], g["b1"] = h.T @ da, da.sum(0)
-    dh = (d2 + da @ w["w1"].T).reshape(eq.shape)
-    dp = dh @ v.transpose(0, 2, 1)
-    dv = p.transpose(0, 2, 1) @ dh
-    ds = p * (dp - (dp * p).sum(-1, keepdims=True))
-    g["age"] = np.bincount(_AGE.ravel(), np.where(_FUTURE, 0, ds.sum(0)).ravel(), WINDOW).astype(w["age"].dtype)
-    dq, dk = ds @ k * c, ds.transpose(0, 2, 1) @ q
-    flat = lambda m: m.reshape(-1, m.shape[-1])
-    g["q"], g["k"], g["v"] = flat(eq).T @ flat(dq), flat(e).T @ flat(dk), flat(e).T @ flat(dv)
-    de = dk @ w["k"].T + dv @ w["v"].T
-    de[:, BACK:] += dh + dq @ w["q"].T
-    g["E"] = np.zeros_like(w["E"])
-    np.add.at(g["E"], x.ravel(), flat(de))
-    return loss, g
+    da = d2 @ w["w2"].T
+    da *= (a > 0).astype(kind)
+    g["w1"], g["b1"] = h.T @ da, ones @ da
+    d2 += da @ w["w1"].T
+    dh = np.zeros_like(eq)
+    flat(dh)[order] = d2
+    ds = dh @ v.transpose(0, 2, 1)
+    ds -= np.einsum("bij,bij->bi", ds, p)[..., None]
+    ds *= p
+    g["age"] = np.bincount(_AGE.ravel(), np.where(_FUTURE, 0, ds.sum(0)).ravel(), WINDOW).astype(kind)
+    dq, d_both = flat(ds @ k) * c, np.empty_like(both)
+    np.matmul(ds.transpose(0, 2, 1), q, out=d_both[:, :, :DIM])
+    np.matmul(p.transpose(0, 2, 1), dh, out=d_both[:, :, DIM:])
+    g["q"], (g["k"], g["v"]) = flat(eq).T @ dq, np.hsplit(flat(e).T @ flat(d_both), 2)
+    de = (flat(d_both) @ kv.T).reshape(e.shape)
+    dh += (dq @ w["q"].T).reshape(dh.shape)
+    de[:, BACK:] += dh
+    g["E"] = _add_rows(flat(de), x.ravel())
+    return loss + more, g
+
+
+def _add_rows(rows: np.ndarray, of: np.ndarray) -> np.ndarray:
+    """Sums of the rows by their number in `of`, below INPUTS."""
+    order = np.argsort(of, kind="stable")
+    own = np.take(of, order)
+    first = np.flatnonzero(np.diff(own, prepend=-1))
+    out = np.zeros((INPUTS, rows.shape[1]), rows.dtype)
+    if len(own):
+        out[own[first]] = np.add.reduceat(np.take(rows, order, axis=0), first, axis=0)
+    return out
 
 
 def train(w: dict[str, np.ndarray], group: np.ndarray, slot: np.ndarray, windows: Iterator[tuple[np.ndarray, np.ndarray]], rate: float) -> tuple[dict[str, np.ndarray], int]:
     """Adam over batches of windows; the new weights and the number of windows."""
-    w = {n: v.copy() for n, v in w.items()}
-    m, s = ({n: np.zeros_like(v) for n, v in w.items()} for _ in range(2))
+    flat = np.concatenate([v.ravel() for v in w.values()])
+    ends = np.cumsum([v.size for v in w.values()])
+    w = {k: own.reshape(v.shape) for (k, v), own in zip(w.items(), np.split(flat, ends[:-1]))}  # parts of `flat`
+    m, s = np.zeros_like(flat), np.zeros_like(flat)
     n = step = 0
     for x, y in windows:
         _, g = gradients(w, group, slot, x, y)
+        d = np.concatenate([g[k].ravel() for k in w])
         step, n = step + 1, n + len(x)
-        for k, d in g.items():
-            m[k] += 0.1 * (d - m[k])
-            s[k] += 0.01 * (d * d - s[k])
-            w[k] -= rate * (m[k] / (1 - 0.9 ** step)) / (np.sqrt(s[k] / (1 - 0.99 ** step)) + 1e-6)
+        m += 0.1 * (d - m)
+        d *= d
+        d -= s
+        d *= 0.01
+        s += d
+        root = np.sqrt(s, out=d)
+        root *= (1 - 0.99 ** step) ** -0.5
+        root += 1e-6
+        flat -= rate / (1 - 0.9 ** step) * m / root
     return w, n
 
 
@@ -373,7 +427,7 @@ class Network:
         stream = np.full(int(length.sum()), last, np.int32)  # the end, and after it what isn't counted
         stream[(at[:, None] + np.arange(BACK + 1)).ravel()] = last - 1  # the start, also as what comes before a text
         stream[np.repeat(at + BACK + 1 - (np.cumsum(size) - size), size) + np.arange(len(ids))] = ids
-        row, outcome, rare = c.row[stream], c.outcome[stream], c.rare[stream]
+        row, outcome, rare = np.take(c.row, stream), np.take(c.outcome, stream), np.take(c.rare, stream)
         first = np.repeat(at, wins) + STEP * (np.arange(wins.sum()) - np.repeat(np.cumsum(wins) - wins, wins))
         left = np.repeat(size + 1, wins) - (first - np.repeat(at, wins))  # targets from here to the end
         text = np.repeat(np.arange(n), wins)
@@ -392,14 +446,14 @@ class Network:
     def _hidden(self, x: np.ndarray) -> np.ndarray:
         """(B, STEP, DIM): what attention and the feed-forward layer make of the scored positions."""
         xq = x[:, BACK:]
-        s = self.q[xq] @ self.k[x].transpose(0, 2, 1)
+        s = np.take(self.q, xq, axis=0) @ np.take(self.k, x, axis=0).transpose(0, 2, 1)
         s += self.mask
         if self.bound > 80:
             np.minimum(s, 60, out=s)
         np.exp(s, out=s)
-        mixed = s @ self.v[x]
+        mixed = s @ np.take(self.v, x, axis=0)
         h = mixed[:, :, :DIM] / mixed[:, :, DIM:]
-        h += self.e[xq]
+        h += np.take(self.e, xq, axis=0)
         flat = h.reshape(-1, DIM)
         a = flat @ self.w["w1"]
         a += self.w["b1"]
@@ -421,16 +475,16 @@ class Network:
         for a in range(0, len(h), 1024):
             b = slice(a, a + 1024)
             lo = h[b] @ self.w["wg"]
-            lo += self.group[row[b]]
+            lo += np.take(self.group, row[b], axis=0)
             out[b] = log_softmax(lo, group[b])
         order = np.argsort(group.astype(np.uint8), kind="stable")
         ends = np.searchsorted(group[order], np.arange(GROUPS + 1))
         for j in range(GROUPS):
             for a in range(ends[j], ends[j + 1], 1024):
                 own = order[a:min(a + 1024, ends[j + 1])]
-                lo = h[own] @ self.w["ws"][j]
-                lo += self.slot[j][row[own]]
-                out[own] += log_softmax(lo, slot[own])
+                lo = np.take(h, own, axis=0) @ self.w["ws"][j]
+                lo += np.take(self.slot[j], np.take(row, own), axis=0)
+                out[own] += log_softmax(lo, np.take(slot, own))
         return out
 
 
@@ -616,8 +670,8 @@ class _Lexicon:
     def clear(self) -> None:
         self.number: dict[bytes, int] = {}
         self.words: list[bytes] = []
-        self.ids: list[list[int]] = []
-        self.count: list[int] = []
+        self.ids = np.empty(0, np.int32)  # the subwords of all words in a row
+        self.start, self.size, self.count = (np.empty(0, np.int64) for _ in range(3))
 
     def numbers(self, words: list[bytes]) -> np.ndarray:
         number = self.number
@@ -628,8 +682,10 @@ class _Lexicon:
         if new:
             number.update(zip(new, range(len(self.words), len(self.words) + len(new))))
             self.words += new
-            self.ids += self.coder.encode_all(new)
-            self.count += [self.counts.get(w, 0) for w in new]
+            ids, size = self.coder.encode_all(new)
+            count = np.fromiter((self.counts.get(w, 0) for w in new), np.int64, len(new))
+            self.ids, self.size, self.count = np.append(self.ids, ids), np.append(self.size, size), np.append(self.count, count)
+            self.start = np.cumsum(self.size) - self.size
         return np.fromiter(map(number.__getitem__, words), np.int32, len(words))
 
 
@@ -651,12 +707,10 @@ def _encoded(each_doc: list[list[bytes]], lex: _Lexicon) -> tuple[np.ndarray, ..
     used = np.flatnonzero(np.bincount(flat, minlength=len(lex.words)))
     place = np.empty(len(lex.words), np.int32)
     place[used] = np.arange(len(used))
-    at = place[flat]
-    own = [lex.ids[k] for k in used.tolist()]
-    size = np.array([len(x) for x in own], np.int32)
-    subs = np.fromiter(chain.from_iterable(own), np.int32, int(size.sum()))
-    start, each = np.cumsum(size) - size, size[at]
-    return flat, used, at, each, subs[np.repeat(start[at] - (np.cumsum(each) - each), each) + np.arange(each.sum())]
+    each = np.take(lex.size, flat)
+    where = np.repeat(np.take(lex.start, flat) - (np.cumsum(each) - each), each)
+    where += np.arange(len(where))
+    return flat, used, place[flat], each, np.take(lex.ids, where)
 
 
 def _score_batch(b: pa.RecordBatch, net: Network, lex: _Lexicon, row: int, n_docs: int) -> pa.RecordBatch:
@@ -666,7 +720,7 @@ def _score_batch(b: pa.RecordBatch, net: Network, lex: _Lexicon, row: int, n_doc
     flat, used, at, each, stream = _encoded(each_doc, lex)
     of = np.repeat(np.arange(len(ids)), n_words)
     score = net.log_probs(stream, np.bincount(of, each, len(ids)).astype(np.int64)) / LN10
-    count = np.array([lex.count[k] for k in used.tolist()], np.int64)
+    count = lex.count[used]
     known = np.bincount(of, np.log10(count + 1.0)[at], len(ids)) + np.log10(n_docs + 1.0)
     seen = (count > 0)[at]
     n_known = np.bincount(of, seen, len(ids)).astype(np.int64) + (n_docs > 0)
