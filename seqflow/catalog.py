@@ -929,6 +929,11 @@ def q_stream_prepare_features(spark, sf_dir):
 
 
 
+#: of tables of long arrays: a scan turns up to 4,096 rows of a row group into vectors at once, which took about 500 MB a
+#: task with row groups of 128 MB
+_WIDE_ROWS = {"parquet.block.size": str(16 << 20)}
+
+
 def _nested_with_split(spark, sf_dir, engineered: bool = False):
     """Nested sequences with their split; written first, as the split and the jobs after it read them. A fit's tasks then
     hold what a split of the files holds, and not a share of the rows that depends on the shuffle partitions."""
@@ -939,7 +944,7 @@ def _nested_with_split(spark, sf_dir, engineered: bool = False):
         nested = SQ.nest_sequences(SQ.chunk_rows(rows, t, by=("part_number",)), _FEATURE_COLS, by=("part_number",))
     else:
         nested = SQ.nest_sequences(_chunked(spark, sf_dir), _SEQ_FEATURES, by=("part_number",))
-    nested = TB.write_table(nested, path=_scratch(spark, "nested"))
+    nested = TB.write_table(nested, path=_scratch(spark, "nested"), options=_WIDE_ROWS)
     groups = SQ.split_groups(nested, keys=("part_number", "chunk"), train_size=0.75, val_size=0.1)
     return SQ.with_split(nested, groups, keys=("part_number", "chunk"))
 

@@ -24,6 +24,9 @@ from seqflow.session import materialize  # noqa: F401  (iterative fits read chec
 
 
 FOLD = "fold"
+#: a fit keeps the rows in blocks of so many MB: an array of half a heap region (1 MB at least) or more takes regions of its own,
+#: so Spark's blocks of 1 MB take up to twice what its memory manager counts
+BLOCK_MB = 0.25
 
 
 def sequence_vectors(nested: DataFrame, features: str = "features", out: str = "x") -> DataFrame:
@@ -35,7 +38,7 @@ def _estimator(model: str, params: dict | None, label: str, weight: str | None):
     params = dict(params or {})
     common = {"featuresCol": "x", "labelCol": label}
     if model == "logistic":
-        est = LogisticRegression(**common, **params)
+        est = LogisticRegression(**{"maxBlockSizeInMB": BLOCK_MB} | common | params)
     elif model == "gbt":
         est = GBTClassifier(**common, **params)
     else:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -17,13 +17,13 @@ def read_table(spark: SparkSession, name: str | None = None, path: str | None =
 
 
 def write_table(df: DataFrame, name: str | None = None, path: str | None = None, mode: str = "overwrite",
-                fmt: str = "parquet", partition_by: tuple[str, ...] = ()) -> DataFrame:
+                fmt: str = "parquet", partition_by: tuple[str, ...] = (), options: Mapping[str, str] | None = None) -> DataFrame:
     """Op 11: overwrite or append, then return the written table (lazy). An empty frame
     with append adds nothing; with overwrite it leaves a typed empty table (Spark writes
-    the schema). No count()."""
+    the schema). `options`: of the writer. No count()."""
     if mode not in ("overwrite", "append"):
         raise ValueError(f"unsupported write mode {mode!r}")
-    w = df.write.mode(mode).format(fmt)
+    w = df.write.mode(mode).format(fmt).options(**(options or {}))
     if partition_by:
         w = w.partitionBy(*partition_by)
     if name:

@@ -11,6 +11,8 @@ from seqflow.operators import sequences as SQ
 from seqflow.plans import model as MD
 from seqflow.sources import json_source as J
 
+from .conftest import SF_SMALL
+
 
 def test_confusion_matrix_pivot(spark):
     df = spark.createDataFrame([(1, 1), (1, 0), (0, 0), (0, 0)], "y int, p int")
@@ -53,3 +55,24 @@ def test_model_fit_score_and_grid(spark):
     assert len(cv.avgMetrics) == 2
     with pytest.raises(ValueError):
         MD.fit_classifier(train, "unknown")
+
+
+def test_a_fit_holds_small_blocks_and_row_groups(spark, tmp_dir, monkeypatch):
+    """Blocks of a fit stay under half of the smallest heap region (1 MB), and the nested table is written in small row groups."""
+    import glob
+
+    import pyarrow.parquet as pq
+
+    from seqflow import catalog as C
+    from seqflow.sources import tables as TB
+
+    assert MD._estimator("logistic", {"maxIter": 3}, "y", "w").getMaxBlockSizeInMB() < 0.5
+    assert MD._estimator("logistic", {"maxBlockSizeInMB": 2.0}, "y", None).getMaxBlockSizeInMB() == 2.0  # a number of the caller's own stays
+    wide = spark.range(0, 400, 1, 1).select("id", F.transform(F.sequence(F.lit(1), F.lit(500)), lambda i: F.rand(1) + i).alias("x"))
+    TB.write_table(wide, path=f"{tmp_dir}/t", options={"parquet.block.size": str(1 << 18)})
+    found = pq.ParquetFile(glob.glob(f"{tmp_dir}/t/*.parquet")[0]).metadata
+    assert found.num_row_groups > 1 and found.num_rows == 400
+    seen = []
+    monkeypatch.setattr(TB, "write_table", lambda df, f=TB.write_table, **k: seen.append(k.get("options") or {}) or f(df, **k))
+    C._nested_with_split(spark, SF_SMALL, engineered=True)
+    assert 0 < int(seen[-1]["parquet.block.size"]) <= 32 << 20
