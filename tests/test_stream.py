@@ -2,6 +2,7 @@
 
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from seqflow.sources import fixtures as FX
@@ -199,3 +200,107 @@ def test_listing_takes_few_tasks(spark, tmp_dir):
         assert run() and spark.conf.get(SC.LISTING) == "7"  # a number of the session's own stays
     finally:
         spark.conf.set(SC.LISTING, own)
+
+
+def _csv(path, value):
+    os.makedirs(os.path.dirname(path), exist_ok=True)
+    with open(path, "w") as f:
+        f.write(f"title\r\nheader\r\n1.0,0.0,0.0,0.0,{value}.0,,,,,,1.0,2.0\r\n")
+
+
+def test_the_driver_keeps_no_entry_for_a_file(spark, tmp_dir, monkeypatch):
+    """Tasks list the folders: the stream's own log names tables of the listing, not files; paths, hidden names, folders in
+    folders and odd characters are as in a batch read; a restart without new files lists nothing."""
+    from seqflow.sources import csv_folder as CSV
+    from seqflow.streaming import csv_ingest as SC
+
+    monkeypatch.setattr(SC, "LISTED_ROWS", 40)
+    for i in range(100):
+        _csv(f"{tmp_dir}/in/d é 100%25/{'sub/' * (i % 2)}B_0_1_{i}_z.csv", i)
+    for name in ("_hidden/B_0_1_900_z.csv", ".hidden/B_0_1_901_z.csv", "B_0_1_902_z.csv._COPYING_", "_B_0_1_903_z.csv", "part=1/B_0_1_100_z.csv", "_p=1/B_0_1_101_z.csv", "B_0_1_904_z.CSV"):
+        _csv(f"{tmp_dir}/in/d é 100%25/{name}", name.split("_")[-2] if "COPYING" not in name else 902)
+    os.symlink(f"{tmp_dir}/nowhere", f"{tmp_dir}/in/d é 100%25/B_0_1_905_z.csv")
+
+    def run(most=None):
+        SC.start_folder_ingest(spark, f"{tmp_dir}/in/*", "OK", "M1", f"{tmp_dir}/sink", f"{tmp_dir}/ckpt", max_files_per_trigger=most).awaitTermination()
+        return sorted(map(tuple, spark.read.parquet(f"{tmp_dir}/sink").select("path", "part_number", "first_param").collect()))
+
+    def tables():
+        return sorted(os.path.join(d, f) for d, _, names in os.walk(f"{tmp_dir}/ckpt/listed") for f in names if f.endswith(".parquet"))
+
+    got = run()
+    os.remove(f"{tmp_dir}/in/d é 100%25/B_0_1_905_z.csv")
+    batch = CSV.folder_ingest(spark, f"{tmp_dir}/in/*", "OK", "M1")
+    assert got == sorted(map(tuple, batch.select("path", "part_number", "first_param").collect())) and len(got) == 102
+    log = "".join(open(os.path.join(d, f), errors="replace").read() for d, _, names in os.walk(f"{tmp_dir}/ckpt/sources") for f in names if not f.startswith("."))
+    assert ".csv" not in log and ".parquet" in log
+    found = tables()
+    assert found and all(spark.read.parquet(x).count() <= 40 for x in found)
+    assert run() == got and tables() == found
+    for i in range(5):
+        _csv(f"{tmp_dir}/in/more/B_0_1_{500 + i}_z.csv", i)
+    assert len(run(2)) == 107  # cut into batches of two files
+    assert sorted(spark.read.parquet(x).count() for x in set(tables()) - set(found)) == [1, 2, 2]
+
+
+def test_listings_that_end_early_and_files_that_go(spark, tmp_dir):
+    from seqflow.streaming import csv_ingest as SC
+
+    for i in range(6):
+        _csv(f"{tmp_dir}/in/a/B_0_1_{i}_z.csv", i)
+
+    def run(name):
+        SC.start_folder_ingest(spark, f"{tmp_dir}/in/*", "OK", "M1", f"{tmp_dir}/sink-{name}", f"{tmp_dir}/{name}").awaitTermination()
+        return sorted(r["first_param"] for r in spark.read.parquet(f"{tmp_dir}/sink-{name}").select("first_param").collect())
+
+    SC.list_new(spark, f"{tmp_dir}/in/*", "OK", f"{tmp_dir}/x/listed")  # a run that ended between the listing and its batch
+    os.remove(f"{tmp_dir}/in/a/B_0_1_3_z.csv")
+    _csv(f"{tmp_dir}/in/a/B_0_1_7_z.csv", 7)
+    assert run("x") == run("x") == [0.0, 1.0, 2.0, 4.0, 5.0, 7.0]
+    assert SC.found_files(spark, [], "*.csv").count() == 0
+    own = spark.conf.get(SC.MAX_LENGTH, SC.DEFAULT_MAX_LENGTH)
+    spark.conf.set(SC.MAX_LENGTH, "20")
+    try:
+        with pytest.raises(Exception, match="B_0_1_._z.csv"):
+            run("small")
+    finally:
+        spark.conf.set(SC.MAX_LENGTH, own)
+    with pytest.raises(Exception, match="(?i)path"):
+        SC.start_folder_ingest(spark, f"{tmp_dir}/missing", "OK", "M1", f"{tmp_dir}/sink", f"{tmp_dir}/y")
+    SC.start_folder_ingest(spark, f"{tmp_dir}/missing*", "OK", "M1", f"{tmp_dir}/sink-none", f"{tmp_dir}/none").awaitTermination()
+
+
+def test_the_file_source_where_tasks_cant_list(spark, tmp_dir, monkeypatch):
+    """Checkpoints that it began stay with it, so no file is read again."""
+    from seqflow.streaming import csv_ingest as SC
+
+    def run():
+        SC.start_folder_ingest(spark, f"{tmp_dir}/in/*", "OK", "M1", f"{tmp_dir}/sink", f"{tmp_dir}/ckpt").awaitTermination()
+        return sorted(r["first_param"] for r in spark.read.parquet(f"{tmp_dir}/sink").select("first_param").collect())
+
+    _csv(f"{tmp_dir}/in/a/B_0_1_1_z.csv", 1)
+    with monkeypatch.context() as m:
+        m.setattr(SC, "_opens", lambda uri: False)
+        assert run() == [1.0]
+    _csv(f"{tmp_dir}/in/a/B_0_1_1_z.csv", 9)  # changed in place
+    _csv(f"{tmp_dir}/in/a/B_0_1_2_z.csv", 2)
+    assert run() == [1.0, 2.0]
+    assert not os.path.exists(f"{tmp_dir}/ckpt/listed")
+
+
+def test_a_query_that_goes_on_lists_again(spark, tmp_dir, monkeypatch):
+    import time
+
+    from seqflow.streaming import csv_ingest as SC
+
+    monkeypatch.setattr(SC, "EVERY_S", 1)
+    _csv(f"{tmp_dir}/in/a/B_0_1_1_z.csv", 1)
+    query = SC.start_folder_ingest(spark, f"{tmp_dir}/in/*", "OK", "M1", f"{tmp_dir}/sink", f"{tmp_dir}/ckpt", available_now=False)
+    try:
+        _csv(f"{tmp_dir}/in/b/B_0_1_2_z.csv", 2)
+        until = time.time() + 60
+        while time.time() < until and spark.read.schema(SC.LISTED_SCHEMA).parquet(f"{tmp_dir}/ckpt/listed/kind=*").count() < 2:
+            time.sleep(0.5)
+    finally:
+        query.stop()
+    assert spark.read.parquet(f"{tmp_dir}/ckpt/listed").count() == 2
